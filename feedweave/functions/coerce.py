@@ -58,40 +58,21 @@ def round_money(c: Column) -> Column:
     return bounded.cast(MONEY)
 
 
-def _date(year: Column, month: Column, day: Column) -> Column:
-    """Calendar date in which a day past the month's end runs into the next month."""
-    inside = year.between(1, 9999) & month.between(1, 12) & day.between(1, 31)
-    first = F.make_date(F.when(inside, year), F.when(inside, month), F.lit(1))
-    return F.date_add(first, day - 1)
-
-
 def lenient_date(c: Column, bad_date: str = "epoch") -> Column:
-    """European ``dd/mm/yy`` and ``dd/mm/yyyy`` (also with dashes) and ISO dates.
+    """``dd/mm/yy``, ``dd/mm/yyyy``, ``dd-mm-yyyy`` and ISO dates, a time of day left out.
 
-    Two-digit years are this century's after slashes; ``yy-mm-dd`` is read year first, as
-    the reference's date reader does. A time of day after the date is dropped.
+    Two-digit years are this century's. A day past the end of its month runs into the next
+    month, 31/02 being 3 March, as it does for the reference. Anything else is a bad date.
     """
     if bad_date not in ("epoch", "null"):
         raise ValueError("bad_date is 'epoch' or 'null'")
-    text = trim_blanks(c)
-    text = F.regexp_replace(text, r"^([0-9]{2})/([0-9]{2})/([0-9]{2})$", "$1/$2/20$3")
-    text = F.regexp_extract(F.replace(text, F.lit("/"), F.lit("-")), r"^([0-9]+-[0-9]+-[0-9]+)([ T][0-9:.]*)?$", 1)
-
-    def parts(pattern: str) -> list[Column]:
-        return [F.regexp_extract(text, pattern, i).try_cast("int") for i in (1, 2, 3)]
-
-    european = r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$"
-    iso = r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$"
-    short = r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{1,2})$"
-    day, month, year = parts(european)
-    iso_year, iso_month, iso_day = parts(iso)
-    short_year, short_month, short_day = parts(short)
-    century = F.when(short_year < 70, short_year + 2000).otherwise(short_year + 1900)
-    parsed = F.coalesce(
-        _date(year, month, day),
-        _date(iso_year, iso_month, iso_day),
-        _date(century, short_month, short_day),
-    )
+    text = F.regexp_replace(trim_blanks(c), r"^([0-9]{2})/([0-9]{2})/([0-9]{2})$", "20$3-$2-$1")
+    text = F.translate(text, "/", "-")
+    iso = F.regexp_replace(text, r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})([ T].*)?$", "$3-$2-$1")
+    day = F.when(iso.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$"), iso.try_cast("date"))
+    late = r"^([0-9]{4}-[0-9]{1,2})-(29|30|31)([ T].*)?$"
+    month = F.concat(F.regexp_extract(iso, late, 1), F.lit("-1")).try_cast("date")
+    parsed = F.coalesce(day, F.date_add(month, F.regexp_extract(iso, late, 2).try_cast("int") - 1))
     return parsed if bad_date == "null" else F.coalesce(parsed, F.lit(EPOCH).cast("date"))
 
 

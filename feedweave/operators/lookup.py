@@ -52,6 +52,5 @@ def reduced(table: DataFrame, lookup: Lookup, key_policy: str = "exact") -> Data
 def join_lookup(feed: DataFrame, table: DataFrame, lookup: Lookup, key_policy: str = "exact") -> DataFrame:
     """The feed with the lookup's columns added (``inner`` drops rows without a match)."""
     keys = [f"_k{i}" for i in range(len(lookup.on))]
-    for key, (left, _) in zip(keys, lookup.on):
-        feed = feed.withColumn(key, match_key(F.expr(left), key_policy))
-    return feed.join(reduced(table, lookup, key_policy), keys, lookup.how).drop(*keys)
+    keyed = feed.select("*", *[match_key(F.expr(left), key_policy).alias(k) for k, (left, _) in zip(keys, lookup.on)])
+    return keyed.join(reduced(table, lookup, key_policy), keys, lookup.how).drop(*keys)

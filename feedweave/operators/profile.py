@@ -30,29 +30,21 @@ def parses_as(c: Column) -> dict[str, Column]:
 def profile_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column: filled values, how many of them read as each type, and a proposed type.
 
-    One aggregation over all columns at once; only its single row is turned into one row
-    per column. The proposal is the narrowest type all filled values read as.
+    Every field becomes a row of its own, tested once and counted per task, so the plan
+    stays the same size however wide the feed is. The proposal is the narrowest type all
+    filled values read as.
     """
-    sums = []
-    for i, name in enumerate(columns):
-        filled = trim_blanks(F.col(name)) != ""
-        sums.append(F.sum(filled.cast("long")).alias(f"filled_{i}"))
-        for kind, test in parses_as(F.col(name)).items():
-            sums.append(F.sum((filled & test).cast("long")).alias(f"{kind}_{i}"))
-    row = df.agg(*sums)
-    kinds = list(parses_as(F.lit("")))
-    per_column = F.array(*[
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.coalesce(f"filled_{i}", F.lit(0)).alias("filled"),
-            *[F.coalesce(f"{kind}_{i}", F.lit(0)).alias(f"as_{kind.lower()}") for kind in kinds],
-        )
-        for i, name in enumerate(columns)
-    ])
+    fields = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("value")) for c in columns])
+    values = df.select(F.inline(fields)).withColumn("value", trim_blanks(F.col("value")))
+    tests = parses_as(F.col("value"))
+    counted = values.groupBy("column_name").agg(
+        F.sum((F.col("value") != "").cast("long")).alias("filled"),
+        *[F.sum(((F.col("value") != "") & test).cast("long")).alias(f"as_{kind.lower()}") for kind, test in tests.items()],
+    )
     proposal = F.lit("Description")
-    for kind in reversed(kinds[:-1]):
+    for kind in reversed(list(tests)[:-1]):
         proposal = F.when((F.col("filled") > 0) & (F.col(f"as_{kind.lower()}") == F.col("filled")), F.lit(kind)).otherwise(proposal)
-    return row.select(F.inline(per_column)).withColumn("proposed_type", proposal)
+    return counted.withColumn("proposed_type", proposal)
 
 
 def column_sample(df: DataFrame, columns: Sequence[str], order: Sequence[str], n: int = 10) -> DataFrame:

@@ -61,7 +61,7 @@ def due_minutes(pattern: Column) -> Column:
     """
     def matching(part: Column, last: int) -> Column:
         numbers = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda n: F.format_string("%02d", n))
-        return F.filter(numbers, lambda n: n.rlike(F.concat(F.lit("^"), F.translate(part, "*", "."), F.lit("$"))))
+        return F.filter(numbers, lambda n: n.rlike(F.concat(F.lit("^"), F.replace(part, F.lit("*"), F.lit(".")), F.lit("$"))))
 
     hours = matching(F.substring_index(pattern, ":", 1), 23)
     minutes = matching(F.substring_index(pattern, ":", -1), 59)
@@ -84,7 +84,7 @@ def schedule(resources: DataFrame) -> DataFrame:
 def due(resources: DataFrame, time: str) -> DataFrame:
     """Resources due at one ``HH:MM``."""
     listed = F.from_json(F.coalesce("sync_time", F.lit("[]")), "array<string>")
-    hit = F.exists(listed, lambda p: F.lit(time).rlike(F.concat(F.lit("^"), F.translate(p, "*", "."), F.lit("$"))))
+    hit = F.exists(listed, lambda p: F.lit(time).rlike(F.concat(F.lit("^"), F.replace(p, F.lit("*"), F.lit(".")), F.lit("$"))))
     return resources.filter(hit)
 
 

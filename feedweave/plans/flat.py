@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedweave.functions.keys import availability_rank, match_key, row_key
 from feedweave.operators.lookup import join_lookup
@@ -100,8 +100,10 @@ def cross_feed_order(price_order: str = "desc") -> list[Column]:
 def best_across(union: DataFrame, price_order: str = "desc", part: str = "part_number") -> DataFrame:
     """One row per part with the codes of all its feeds joined in rank order."""
     order = cross_feed_order(price_order)
-    codes = concat_ranked("code", [part], order)
-    return best_per(union.withColumn("_codes", codes), [part], order).withColumn("code", F.col("_codes")).drop("_codes")
+    # Codes and rank share one window: a part has at most one row per feed by now.
+    rank = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    ranked = union.withColumns({"code": concat_ranked("code", [part], order), "_rank": rank})
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def consolidate(

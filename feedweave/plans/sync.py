@@ -38,7 +38,8 @@ def prepared(source: DataFrame, target: Target, nulls: str = "keep") -> DataFram
     lengths = {name: n for name, _, n in target.columns if n}
     if "name" in source.columns:
         source = source.withColumn("name", strip_pound(F.col("name")))
-    source = source.withColumn(target.key, F.coalesce(F.col(target.key), F.lit("")))
+    if isinstance(schema[target.key].dataType, T.StringType):
+        source = source.withColumn(target.key, F.coalesce(F.col(target.key), F.lit("")))
     return diff.conform(source, schema, lengths, nulls)
 
 
@@ -50,6 +51,11 @@ def classify(source: DataFrame, stored: DataFrame, target: Target, now: Column,
     return diff.classify(unique, stored, target.key, target.fields(), target.stamp, now, delete_missing)
 
 
+def stamp(now: datetime) -> Column:
+    """A run's start time as a column, independent of any time zone setting."""
+    return F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def preflight(tables: Mapping[str, DataFrame], locked: DataFrame | None = None) -> list[str]:
     """Raise when a needed table is locked; return the names of empty ones."""
     if locked is not None:
@@ -82,7 +88,7 @@ def run_sync(
     if preflight(needed or {}, locked):
         return None
     stored = table.read(target.schema())
-    classified = classify(source, stored, target, F.lit(now).cast("timestamp_ntz"), nulls, delete_missing)
+    classified = classify(source, stored, target, stamp(now), nulls, delete_missing)
     counts = Observation()
     staged = table.stage(diff.applied(classified.observe(counts, *diff.report_columns())))
     got = counts.get

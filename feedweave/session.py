@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Call-site capture of every expression, a debugging aid, costs seconds on wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -127,17 +127,21 @@ FEEDS["es_categories"] = FEEDS["fo_categories"]
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels")
 
 
-def from_given(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A shared SELECT run by Spark."""
-    used = {name: read(spark, sf_dir, name) for name in GIVEN if "{" + name + "}" in sql}
-    return spark.sql(sql.replace("~", "`"), **used)
+def from_given(spark: SparkSession, sf_dir: str, sql: str, opened: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A shared SELECT run by Spark; ``opened`` keeps the given tables already looked up."""
+    opened = {} if opened is None else opened
+    used = [name for name in GIVEN if "{" + name + "}" in sql]
+    for name in used:
+        if name not in opened:
+            opened[name] = read(spark, sf_dir, name)
+    return spark.sql(sql.replace("~", "`"), **{name: opened[name] for name in used})
 
 
 def twin(sql: str) -> str:
     """A shared SELECT as DuckDB text."""
     for name in GIVEN:
         sql = sql.replace("{" + name + "}", name)
-    return sql.replace("~", '"')
+    return sql.replace("{{", "{").replace("}}", "}").replace("~", '"')
 
 
 class Tables(Mapping):
@@ -145,9 +149,10 @@ class Tables(Mapping):
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self.opened: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return from_given(self.spark, self.sf_dir, FEEDS[name])
+        return from_given(self.spark, self.sf_dir, FEEDS[name], self.opened)
 
     def __iter__(self) -> Iterator[str]:
         return iter(FEEDS)

@@ -1,0 +1,306 @@
+"""Lenient coercion, load rules and readers."""
+
+from __future__ import annotations
+
+import gzip
+import io
+import zipfile
+
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from feedweave.functions import coerce as c
+from feedweave.operators import diff
+from feedweave.operators.profile import column_sample, field_counts, profile_columns
+from feedweave.session import scratch_dir
+from feedweave.sources import load
+from feedweave.sources.reader import archive_lines, clean_lines, line_window, parse_lines, read_feed
+from feedweave.sources.schema import FeedSpec
+from suite import query, read
+from suite.feeds import from_given, twin
+
+# Coercion of dirty text ------------------------------------------------------------------
+
+BLANKED = "SELECT p_partkey, concat(chr(9), ' ', chr(10), p_name, '  ', chr(11), chr(13)) AS t FROM {part}"
+
+
+@query(f"SELECT p_partkey, trim(t, concat(' ', chr(9), chr(10), chr(13), chr(11))) AS t FROM ({twin(BLANKED)})")
+def coerce_trim(spark, sf_dir):
+    return from_given(spark, sf_dir, BLANKED).select("p_partkey", c.trim_blanks(F.col("t")).alias("t"))
+
+
+NUMBERS = """
+    SELECT l_orderkey, l_linenumber,
+           CASE l_linenumber WHEN 1 THEN concat(CAST(l_partkey AS STRING), '.7') WHEN 2 THEN 'abc' WHEN 3 THEN ' '
+                WHEN 4 THEN concat('-', CAST(l_partkey AS STRING), 'x') WHEN 5 THEN concat('99999', CAST(l_partkey AS STRING), '00000')
+                WHEN 6 THEN NULL ELSE concat('  ', CAST(l_partkey AS STRING), ' pcs') END AS t
+    FROM {lineitem}"""
+
+
+@query(f"""SELECT l_orderkey, l_linenumber, CAST(greatest(-2147483648.0, least(2147483647.0, n)) AS INTEGER) AS n FROM (
+    SELECT *, coalesce(try_cast(regexp_extract(trim(t), '^([+-]?[0-9]+)', 1) AS DOUBLE), 0) AS n FROM ({twin(NUMBERS)}))""")
+def coerce_int(spark, sf_dir):
+    return from_given(spark, sf_dir, NUMBERS).select("l_orderkey", "l_linenumber", c.lenient_int(F.col("t")).alias("n"))
+
+
+AMOUNTS = """
+    SELECT l_orderkey, l_linenumber,
+           CASE l_linenumber WHEN 1 THEN replace(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS STRING), '.', ',') WHEN 2 THEN 'abc'
+                WHEN 3 THEN concat('1.', CAST(l_partkey AS STRING), ',56') WHEN 4 THEN concat(CAST(l_suppkey AS STRING), ' EUR')
+                WHEN 5 THEN concat('-', CAST(l_suppkey AS STRING), '.') WHEN 6 THEN NULL ELSE '1e2' END AS t
+    FROM {lineitem}"""
+FLOAT_SQL = r"""coalesce(try_cast(regexp_extract(replace(trim(t), ',', '.'), '^([+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?)', 1) AS DOUBLE), 0)"""
+
+
+@query(f"SELECT l_orderkey, l_linenumber, {FLOAT_SQL} AS x FROM ({twin(AMOUNTS)})")
+def coerce_float(spark, sf_dir):
+    return from_given(spark, sf_dir, AMOUNTS).select("l_orderkey", "l_linenumber", c.lenient_float(F.col("t")).alias("x"))
+
+
+DAYS = """
+    SELECT o_orderkey, CASE o_orderkey % 7
+               WHEN 0 THEN concat(substr(d, 9, 2), '/', substr(d, 6, 2), '/', substr(d, 3, 2))
+               WHEN 1 THEN concat(substr(d, 9, 2), '/', substr(d, 6, 2), '/', substr(d, 1, 4))
+               WHEN 2 THEN concat(substr(d, 9, 2), '-', substr(d, 6, 2), '-', substr(d, 1, 4))
+               WHEN 3 THEN d WHEN 4 THEN 'junk' WHEN 5 THEN '' ELSE NULL END AS t
+    FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS STRING) AS d FROM {orders})"""
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN concat('20', substr(d, 3)) WHEN 1 THEN d WHEN 2 THEN d WHEN 3 THEN d
+    ELSE '1970-01-01' END AS d FROM (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d FROM orders)""")
+def coerce_date(spark, sf_dir):
+    return from_given(spark, sf_dir, DAYS).select("o_orderkey", c.lenient_date(F.col("t")).alias("d"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(CAST(least(l_extendedprice * (l_linenumber * 40000), 9999999999.99) AS DECIMAL(12,2)) AS DOUBLE) AS x FROM lineitem")
+def round_money(spark, sf_dir):
+    x = F.col("l_extendedprice") * (F.col("l_linenumber") * 40000)
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", c.round_money(x).alias("x"))
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(least(l_partkey * 3000000, 2147483647) AS INTEGER) AS n, substr(concat(l_returnflag, l_shipdate::DATE::VARCHAR), 1, 8) AS t FROM lineitem")
+def cut_clamp(spark, sf_dir):
+    text = F.concat("l_returnflag", F.col("l_shipdate").cast("date").cast("string"))
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", c.clamp_int(F.col("l_partkey") * 3000000).alias("n"), c.cut(text, 8).alias("t"))
+
+
+GAPS = """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS priority,
+           CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS price,
+           CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS day
+    FROM {orders}"""
+
+
+@query(f"SELECT o_orderkey, coalesce(priority, '') AS priority, CAST(coalesce(price, 0) AS DOUBLE) AS price, CAST(day AS VARCHAR) AS day FROM ({twin(GAPS)})")
+def null_policy(spark, sf_dir):
+    schema = T.StructType.fromDDL("o_orderkey bigint, priority string, price decimal(12,2), day date")
+    return diff.conform(from_given(spark, sf_dir, GAPS), schema, nulls="zero")
+
+
+# A raw feed ------------------------------------------------------------------------------
+# One line per order: key, price with a decimal comma, short date, status, quoted note. Some
+# lines are short, some long; keys repeat.
+
+LINES = """
+    SELECT 'orders.csv' AS file, CAST(0 AS BIGINT) AS block, o_orderkey AS ~row~,
+           CASE WHEN o_orderkey % 11 = 0 THEN concat(code, ';', price)
+                ELSE concat(code, ';', price, ';', day, '; ', o_orderstatus, ' ;~', o_orderpriority, '; said ~~so~~~',
+                            CASE WHEN o_orderkey % 13 = 0 THEN ';extra' ELSE '' END) END AS value
+    FROM (SELECT *, concat(CASE WHEN o_orderkey % 2 = 0 THEN 'C' ELSE 'c' END, CAST(o_custkey AS STRING)) AS code,
+                 replace(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING), '.', ',') AS price,
+                 concat(substr(CAST(o_orderdate AS STRING), 9, 2), '/', substr(CAST(o_orderdate AS STRING), 6, 2), '/',
+                        substr(CAST(o_orderdate AS STRING), 3, 2)) AS day FROM {orders})"""
+SPEC = FeedSpec(
+    "orders", (("code", "String"), ("price", "Float"), ("day", "Date"), ("status", "String"), ("note", "Description")), keys=("code",)
+)
+BAD = "(o_orderkey % 11 = 0 OR o_orderkey % 13 = 0)"
+ROWS_SQL = f"""SELECT o_orderkey AS "row", concat(CASE WHEN o_orderkey % 2 = 0 THEN 'C' ELSE 'c' END, o_custkey) AS code,
+    CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price, concat('20', substr(CAST(o_orderdate AS VARCHAR), 3, 8)) AS day,
+    o_orderstatus AS status, concat(o_orderpriority, '; said "so"') AS note, {BAD} AS bad FROM orders"""
+GOOD_SQL = f"SELECT * FROM ({ROWS_SQL}) WHERE NOT bad"
+
+
+def first_lines(key: str) -> str:
+    return f"""SELECT "row", code, price, day, status, note FROM (
+        SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY "row") AS rn FROM ({GOOD_SQL})) WHERE rn = 1"""
+
+
+def raw_lines(spark, sf_dir) -> DataFrame:
+    # The quote inside the text is a plain character here, not the identifier quote.
+    sql = LINES.replace("~row~", "`row`").replace("~", '"')
+    return from_given(spark, sf_dir, sql)
+
+
+def raw(spark, sf_dir) -> DataFrame:
+    return parse_lines(raw_lines(spark, sf_dir), SPEC)
+
+
+@query(f"SELECT code, price, day, status, note, \"row\" FROM ({GOOD_SQL})")
+def load_parse(spark, sf_dir):
+    rows = load.coerced(raw(spark, sf_dir), SPEC).filter("bad_line IS NULL")
+    return rows.select("row", "code", "price", "day", "status", "note")
+
+
+@query(f"""SELECT r."row", r.code, CASE WHEN r.bad THEN 'fields' WHEN f."row" IS NULL THEN 'duplicate' END AS reject_reason
+    FROM ({ROWS_SQL}) r LEFT JOIN ({first_lines('code')}) f ON r."row" = f."row" """)
+def load_quarantine(spark, sf_dir):
+    return load.with_reasons(raw(spark, sf_dir), SPEC).select("row", "code", "reject_reason")
+
+
+@query(first_lines("code"))
+def load_unique_first(spark, sf_dir):
+    return load.good_rows(raw(spark, sf_dir), SPEC).select("row", "code", "price", "day", "status", "note")
+
+
+@query(first_lines("lower(code)"))
+def load_unique_first_any_case(spark, sf_dir):
+    return load.good_rows(raw(spark, sf_dir), SPEC, "ci").select("row", "code", "price", "day", "status", "note")
+
+
+@query(f"""SELECT good AS completed, total - good AS missed, good > 0 AS success FROM
+    (SELECT count(*) AS good FROM ({first_lines('code')})), (SELECT count(*) AS total FROM orders)""")
+def load_report(spark, sf_dir):
+    return load.load_counts(load.with_reasons(raw(spark, sf_dir), SPEC))
+
+
+@query(f"""SELECT status, count(*) AS n, CAST(sum(CAST(price * 100 AS BIGINT)) AS BIGINT) AS cents FROM ({first_lines('code')}) WHERE status <> 'P' GROUP BY status""")
+def load_post_transform(spark, sf_dir):
+    def after(df: DataFrame) -> DataFrame:
+        cents = F.sum((F.col("price") * 100).cast("bigint")).alias("cents")
+        return df.filter("status <> 'P'").groupBy("status").agg(F.count(F.lit(1)).alias("n"), cents)
+    return load.good_rows(raw(spark, sf_dir), SPEC).transform(after)
+
+
+# Readers: the lines above, written and read back ----------------------------------------
+
+FILE_ROWS = f"SELECT code, price, day, status, note FROM ({GOOD_SQL})"
+
+
+def good_of(spark, spec, path) -> DataFrame:
+    rows = load.coerced(read_feed(spark, spec, path), spec).filter("bad_line IS NULL")
+    return rows.select("code", "price", "day", "status", "note")
+
+
+def spec_with(**changes) -> FeedSpec:
+    return FeedSpec(SPEC.name, SPEC.columns, **changes)
+
+
+@query(FILE_ROWS)
+def read_csv_roundtrip(spark, sf_dir):
+    path = scratch_dir(spark, "csv")
+    raw_lines(spark, sf_dir).select("value").write.text(path)
+    return good_of(spark, spec_with(), path)
+
+
+@query(FILE_ROWS)
+def read_gz(spark, sf_dir):
+    path = scratch_dir(spark, "gz")
+    raw_lines(spark, sf_dir).select("value").write.text(path, compression="gzip")
+    return good_of(spark, spec_with(conversion=("gz", "csv")), path)
+
+
+def with_junk(lines: DataFrame) -> DataFrame:
+    """Two junk lines and a header in front of every file to be written."""
+
+    def add(batches):
+        yield pd.DataFrame({"value": ["Price list", ""]})
+        yield pd.DataFrame({"value": ["code;price;day;status;note"]})
+        yield from batches
+
+    return lines.select("value").repartition(4).mapInPandas(add, "value string")
+
+
+@query(FILE_ROWS)
+def read_skip_lines(spark, sf_dir):
+    path = scratch_dir(spark, "junk")
+    with_junk(raw_lines(spark, sf_dir)).write.text(path)
+    return good_of(spark, spec_with(skip_lines=2, header=True), path)
+
+
+@query(first_lines("code").replace('"row", code', "code", 1))
+def read_and_load(spark, sf_dir):
+    """The whole load into versioned tables. One file, so that file order is the row order."""
+    folder = scratch_dir(spark, "load")
+    ordered = raw_lines(spark, sf_dir).repartitionByRange(4, "row").sortWithinPartitions("row")
+    ordered.select("value").write.text(f"{folder}/in")
+    load.load_feed(spark, SPEC, f"{folder}/tables", f"{folder}/in")
+    return load.VersionedTable(spark, f"{folder}/tables/{SPEC.name}").read(SPEC.schema())
+
+
+@F.pandas_udf(T.BinaryType())
+def zipped(texts: pd.Series) -> pd.Series:
+    """Each text as a zip archive whose first entry holds it and whose second is a decoy."""
+    def pack(text: str) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("list.csv", text)
+            archive.writestr("readme.txt", "not this one")
+        return out.getvalue()
+    return texts.map(pack)
+
+
+@F.pandas_udf(T.BinaryType())
+def zipped_gzip(texts: pd.Series) -> pd.Series:
+    """Each text gzipped inside a zip archive."""
+    def pack(text: str) -> bytes:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as archive:
+            archive.writestr("list.csv.gz", gzip.compress(text.encode()))
+        return out.getvalue()
+    return texts.map(pack)
+
+
+TEXT_LINES = r"""SELECT doc_id, line_no - 1 AS "row", value FROM (
+    SELECT doc_id, generate_subscripts(parts, 1) AS line_no, regexp_replace(unnest(parts), '[\x{FEFF}\r\n]', '', 'g') AS value
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)) WHERE value <> ''"""
+
+
+def unpacked(spark, sf_dir, pack, steps) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    files = documents.select(F.col("doc_id").cast("string").alias("path"), pack("text").alias("content"))
+    lines = clean_lines(archive_lines(files, steps))
+    return lines.select(F.col("file").cast("bigint").alias("doc_id"), "row", "value")
+
+
+@query(TEXT_LINES)
+def read_zip(spark, sf_dir):
+    return unpacked(spark, sf_dir, zipped, ["zip"])
+
+
+@query(TEXT_LINES)
+def read_conversion_chain(spark, sf_dir):
+    return unpacked(spark, sf_dir, zipped_gzip, ["zip", "gz", "csv"])
+
+
+# Profiling -------------------------------------------------------------------------------
+
+PROFILED = f"""SELECT code, price, day, status, note FROM (SELECT concat(CASE WHEN o_orderkey % 2 = 0 THEN 'C' ELSE 'c' END, o_custkey) AS code,
+    replace(CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR), '.', ',') AS price, CAST(o_orderdate AS VARCHAR) AS day,
+    o_orderstatus AS status, concat(o_orderpriority, '; said "so"') AS note FROM orders WHERE NOT {BAD})"""
+
+
+@query(f"""SELECT column_name, count(*) AS filled, 0::BIGINT AS as_integer,
+    count(*) FILTER (WHERE column_name = 'price') AS as_float, count(*) FILTER (WHERE column_name = 'day') AS as_date,
+    count(*) AS as_string, count(*) AS as_description,
+    CASE column_name WHEN 'price' THEN 'Float' WHEN 'day' THEN 'Date' ELSE 'String' END AS proposed_type
+    FROM (UNPIVOT ({PROFILED}) ON code, price, day, status, note INTO NAME column_name VALUE v) GROUP BY column_name""")
+def column_profile(spark, sf_dir):
+    return profile_columns(raw(spark, sf_dir).filter("bad_line IS NULL"), ["code", "price", "day", "status", "note"])
+
+
+@query(f"""SELECT d AS delimiter, (length(bare) - length(replace(bare, d, '')) + 1)::INTEGER AS n_fields, count(*) AS n_lines
+    FROM (SELECT regexp_replace(value, '"[^"]*"', '', 'g') AS bare FROM ({LINES.replace('~row~', '"row"').replace('~', '"').replace('{orders}', 'orders')})),
+         (SELECT unnest([';', ',', '|', chr(9)]) AS d) GROUP BY ALL""")
+def field_count_histogram(spark, sf_dir):
+    return field_counts(raw_lines(spark, sf_dir))
+
+
+@query(f"""SELECT "row", unnest(['code', 'status', 'note']) AS column_name, unnest([code, status, note]) AS value
+    FROM (SELECT * FROM ({GOOD_SQL}) ORDER BY "row" LIMIT 10)""")
+def head_sample(spark, sf_dir):
+    return column_sample(raw(spark, sf_dir).filter("bad_line IS NULL"), ["code", "status", "note"], ["row"])
+
+
+@query(f"""SELECT value FROM (SELECT "row", value FROM ({LINES.replace('~row~', '"row"').replace('~', '"').replace('{orders}', 'orders')}) ORDER BY "row" LIMIT 25 OFFSET 5)""")
+def line_window_sample(spark, sf_dir):
+    return line_window(raw_lines(spark, sf_dir), 5, 25).select("value")
