@@ -45,46 +45,61 @@ def by_id(df: DataFrame, table: DataFrame, id_column: str, prefix: str) -> DataF
 
 # Schedule ------------------------------------------------------------------------------
 
-def minutes_of_day() -> Column:
-    """The 1,440 values ``00:00`` to ``23:59`` as an array."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(1439)),
-        lambda m: F.format_string("%02d:%02d", F.floor(m / 60).cast("int"), m % 60),
-    )
+def _agree(digits: Column, pattern: Column, count: int) -> Column:
+    """Whether each of the first ``count`` digits is the pattern's, or the pattern has ``*`` there."""
+    wanted = [F.substring(pattern, i, 1) for i in range(1, count + 1)]
+    return reduce(lambda a, b: a & b, [(w == "*") | (w == F.substring(digits, i + 1, 1)) for i, w in enumerate(wanted)])
+
+
+def _without_colon(time: Column) -> Column:
+    return F.replace(time, F.lit(":"), F.lit(""))
+
+
+def matches(time: Column, pattern: Column) -> Column:
+    """Whether a time is one of those an ``HH:MM`` pattern stands for."""
+    return _agree(_without_colon(time), _without_colon(pattern), 4)
 
 
 def due_minutes(pattern: Column) -> Column:
     """The minutes an ``HH:MM`` pattern with ``*`` digits stands for, in order.
 
-    The 24 hours and 60 minutes are matched on their own and combined, at most 84 tests
-    for a pattern instead of 1,440.
+    The 24 hours and 60 minutes are matched on their own and combined.
     """
     def matching(part: Column, last: int) -> Column:
         numbers = F.transform(F.sequence(F.lit(0), F.lit(last)), lambda n: F.format_string("%02d", n))
-        return F.filter(numbers, lambda n: n.rlike(F.concat(F.lit("^"), F.replace(part, F.lit("*"), F.lit(".")), F.lit("$"))))
+        return F.filter(numbers, lambda n: _agree(n, part, 2))
 
-    hours = matching(F.substring_index(pattern, ":", 1), 23)
-    minutes = matching(F.substring_index(pattern, ":", -1), 59)
+    digits = _without_colon(pattern)
+    hours, minutes = matching(F.substring(digits, 1, 2), 23), matching(F.substring(digits, 3, 2), 59)
     return F.flatten(F.transform(hours, lambda h: F.transform(minutes, lambda m: F.concat(h, F.lit(":"), m))))
 
 
+def _listed() -> Column:
+    return F.from_json(F.coalesce("sync_time", F.lit("[]")), "array<string>")
+
+
 def patterns(resources: DataFrame) -> DataFrame:
     """One row per resource and distinct pattern of its ``sync_time`` list."""
-    listed = F.from_json(F.coalesce("sync_time", F.lit("[]")), "array<string>")
-    return resources.select("local_name", F.explode(F.array_distinct(listed)).alias("pattern"))
+    return resources.select("local_name", F.explode(F.array_distinct(_listed())).alias("pattern"))
 
 
 def schedule(resources: DataFrame) -> DataFrame:
-    """Every minute of the day at which a resource is due, once per resource."""
-    listed = F.from_json(F.coalesce("sync_time", F.lit("[]")), "array<string>")
-    times = F.array_distinct(F.flatten(F.transform(listed, due_minutes)))
-    return resources.select("local_name", F.explode(times).alias("time"))
+    """Every minute of the day at which a resource is due, once per resource.
+
+    Patterns are few however many resources share them, so each is expanded once and the
+    resources are joined to the result.
+    """
+    listed = patterns(resources)
+    times = listed.select("pattern").distinct().select("pattern", due_minutes(F.col("pattern")).alias("times"))
+    # Outer, because for a plain explode Spark would test the array's size before the distinct,
+    # once per resource. A resource with several patterns may meet a minute twice.
+    per_resource = listed.join(times, "pattern").select("local_name", F.explode_outer("times").alias("time"))
+    return per_resource.filter("time IS NOT NULL").distinct()
 
 
 def due(resources: DataFrame, time: str) -> DataFrame:
     """Resources due at one ``HH:MM``."""
-    listed = F.from_json(F.coalesce("sync_time", F.lit("[]")), "array<string>")
-    hit = F.exists(listed, lambda p: F.lit(time).rlike(F.concat(F.lit("^"), F.replace(p, F.lit("*"), F.lit(".")), F.lit("$"))))
+    hit = F.exists(_listed(), lambda p: matches(F.lit(time), p))
     return resources.filter(hit)
 
 

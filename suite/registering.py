@@ -91,7 +91,7 @@ MATCHED = f"""SELECT DISTINCT local_name, time FROM ({PATTERNS}) JOIN ({MINUTES}
 
 @query(f"SELECT local_name, count(*) AS minutes, min(time) AS first_time, max(time) AS last_time FROM ({MATCHED}) GROUP BY local_name")
 def schedule_expand(spark, sf_dir):
-    times = registry.schedule(resources(spark, sf_dir).dropDuplicates(["local_name", "sync_time"])).distinct()
+    times = registry.schedule(resources(spark, sf_dir))
     return times.groupBy("local_name").agg(F.count("time").alias("minutes"), F.min("time").alias("first_time"), F.max("time").alias("last_time"))
 
 
@@ -104,10 +104,10 @@ def schedule_due(spark, sf_dir):
 @query(f"""SELECT event_id, substr(CAST(ts AS VARCHAR), 12, 5) AS time FROM events WHERE regexp_matches(substr(CAST(ts AS VARCHAR), 12, 5), '^.1:00$')
     OR regexp_matches(substr(CAST(ts AS VARCHAR), 12, 5), '^0.:3.$') OR regexp_matches(substr(CAST(ts AS VARCHAR), 12, 5), '^12:..$')""")
 def schedule_events(spark, sf_dir):
-    """Events that fall into the minutes of three patterns; the minutes of a day are few."""
+    """Events at whose time a feed with one of three patterns would be due."""
     events = read(spark, sf_dir, "events").select("event_id", F.date_format("ts", "HH:mm").alias("time"))
-    wanted = F.array_distinct(F.flatten(F.array(*[registry.due_minutes(F.lit(p)) for p in ("*1:00", "0*:3*", "12:**")])))
-    return events.filter(F.array_contains(wanted, F.col("time")))
+    first, second, third = (registry.matches(F.col("time"), F.lit(p)) for p in ("*1:00", "0*:3*", "12:**"))
+    return events.filter(first | second | third)
 
 
 # Preflight -------------------------------------------------------------------------------
