@@ -8,15 +8,21 @@ from __future__ import annotations
 
 import gzip
 import io
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedweave.sources.schema import FeedSpec
 
+# The functions run by tasks travel with the job: executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 POSITION = ("file", "block", "row")
+LINE_COLUMNS = [*POSITION, "value"]
 BAD_LINE = "bad_line"
 BATCH_LINES = 10_000
 
@@ -132,21 +138,16 @@ def archive_lines(files: DataFrame, steps: Sequence[str], encoding: str = "UTF-8
     steps = list(steps)
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[tuple[str, int, int, str]] = []
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                lines: list[str] = []
-                first = 0
                 with _open(content, steps, encoding) as text:
-                    for line in text:
-                        lines.append(line)
-                        if len(lines) == BATCH_LINES:
-                            yield _batch(path, first, lines)
-                            first, lines = first + len(lines), []
-                if lines:
-                    yield _batch(path, first, lines)
+                    for number, line in enumerate(text):
+                        rows.append((path, 0, number, line))
+                        if len(rows) == BATCH_LINES:
+                            yield pd.DataFrame(rows, columns=LINE_COLUMNS)
+                            rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=LINE_COLUMNS)
 
     return files.select("path", "content").mapInPandas(unpack, "file string, block long, row long, value string")
-
-
-def _batch(path: str, first: int, lines: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({"file": path, "block": 0, "row": range(first, first + len(lines)), "value": lines})

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import gzip
 import io
+import sys
 import zipfile
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from feedweave.functions import coerce as c
@@ -19,6 +21,8 @@ from feedweave.sources.schema import FeedSpec
 from suite import query, read
 from suite.feeds import from_given, twin
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors do not have this module
+
 # Coercion of dirty text ------------------------------------------------------------------
 
 BLANKED = "SELECT p_partkey, concat(chr(9), ' ', chr(10), p_name, '  ', chr(11), chr(13)) AS t FROM {part}"
