@@ -24,8 +24,8 @@ class Lookup:
 
     ``on`` pairs a feed expression with a table expression, ``columns`` names what is taken
     over, ``where`` restricts the table before the join, ``first`` decides between several
-    rows of one key. ``per_part`` marks a lookup whose only key is the part number: it is
-    joined after the pick, to one row per part.
+    rows of one key. ``late`` marks a left lookup that has no say in the ranking: it is
+    joined after the pick, to one row per part instead of to every offer.
     """
 
     table: str
@@ -34,7 +34,11 @@ class Lookup:
     how: str = "inner"
     where: str | None = None
     first: tuple[str, ...] = ()
-    per_part: bool = False
+    late: bool = False
+
+    def __post_init__(self) -> None:
+        if self.late and self.how != "left":
+            raise ValueError("only a left lookup can be late: an inner one filters offers")
 
 
 def reduced(table: DataFrame, lookup: Lookup, key_policy: str = "exact") -> DataFrame:

@@ -49,6 +49,10 @@ class Branch:
     ``columns`` gives an expression for each product column (a missing one is NULL).
     Offers of one part rank by availability first, then ``price`` (descending unless
     ``price_order`` says otherwise), then ``then``.
+
+    Late lookups join the picked offers. ``carry`` names what their keys need beside the
+    product columns; ``late`` gives the product columns computed from them, over the product
+    columns, ``_price``, the carried columns and the lookups' columns.
     """
 
     source: str
@@ -60,7 +64,9 @@ class Branch:
     price_order: str | None = None
     then: tuple[str, ...] = ()
     where: str | None = None
-    lookups: tuple[Lookup, ...] = field(default=())
+    lookups: tuple[Lookup, ...] = ()
+    carry: dict[str, str] = field(default_factory=dict)
+    late: dict[str, str] = field(default_factory=dict)
 
     def tables(self) -> list[str]:
         return [self.feed, *(lookup.table for lookup in self.lookups)]
@@ -74,7 +80,7 @@ OWN_CODE = Lookup(
     columns={"code": "codart"},
     how="left",
     where="codfor <> '' AND codart NOT LIKE 'H%' AND codart NOT LIKE 'R%'",
-    per_part=True,
+    late=True,
 )
 
 
@@ -129,6 +135,7 @@ FO = Branch(
         category("fo_categories", ("Linea", "feed_cat_id"), ("Famiglia", "feed_subcat_id")),
         OWN_CODE,
     ),
+    late={"code": "code"},
     columns={
         "name": "Descr",
         "EAN": "EAN",
@@ -157,11 +164,13 @@ ES = Branch(
     available="dispo",
     price="prezzoRivenditore",
     lookups=(
-        Lookup("es_arrivals", (("codice", "codice"),), {"arrival_date": "arrival_date"}, how="left"),
         manufacturer("es_manufacturers", "prod"),
         category("es_categories", ("catMerc", "feed_cat_id"), ("fam", "feed_subcat_id")),
+        Lookup("es_arrivals", (("_article", "codice"),), {"_arrival": "arrival_date"}, how="left", late=True),
         OWN_CODE,
     ),
+    carry={"_article": "codice"},
+    late={"arrival_date": "_arrival", "code": "code"},
     columns={
         "name": "descrizione",
         "EAN": "codiceEAN",
@@ -176,7 +185,6 @@ ES = Branch(
         "internal_availability": "0",
         "external_availability": "dispo",
         "in_arrival": "arrivi",
-        "arrival_date": "arrival_date",
         "width": "lunghezza",
         "height": "altezza",
         "depth": "profondita",
@@ -193,24 +201,30 @@ IN = Branch(
     available="availability",
     price="custom_price",
     lookups=(
+        manufacturer("in_manufacturers", "vendor_number"),
+        category("in_categories", ("ingram_cat_subcat", "concat(feed_cat_id, feed_subcat_id)")),
         Lookup(
             "in_stock",
             (("ingram_part_number", "ingram_part_number"),),
             {"availability": "availability"},
             first=("availability desc",),
         ),
-        manufacturer("in_manufacturers", "vendor_number"),
-        category("in_categories", ("ingram_cat_subcat", "concat(feed_cat_id, feed_subcat_id)")),
         Lookup(
             "in_fees",
-            (("ingram_part_number", "ingram_part_number"),),
-            {"siae": "siae"},
+            (("_article", "ingram_part_number"),),
+            {"_fee": "coalesce(siae, 0)"},
             how="left",
             where="country = 'IT'",
-            first=("coalesce(siae, 0) asc",),
+            late=True,
         ),
         OWN_CODE,
     ),
+    carry={"_article": "ingram_part_number"},
+    late={
+        "enduser_price": "_price + coalesce(_fee, 0)",
+        "retailers_price": "_price + coalesce(_fee, 0)",
+        "code": "code",
+    },
     columns={
         "name": "ingram_part_description_1",
         "EAN": "if(upc_code <> '9999999999999', upc_code, '')",
@@ -221,7 +235,6 @@ IN = Branch(
         "subcat_id": "subcat_id",
         "original_manufacturer_id": "vendor_number",
         "manufacturer_id": "manufacturer_id",
-        "enduser_price": "custom_price + coalesce(siae, 0)",
         "internal_availability": "0",
         "external_availability": "availability",
         "in_arrival": "ordered",
@@ -231,7 +244,6 @@ IN = Branch(
         "depth": "length",
         "weight": "weight",
         "min_orderable_qty": "1",
-        "retailers_price": "custom_price + coalesce(siae, 0)",
         "list_price": "retail_price",
     },
 )
@@ -251,6 +263,7 @@ CG = Branch(
         ),
         OWN_CODE,
     ),
+    late={"code": "code"},
     columns={
         "name": "descrizione",
         "EAN": "''",

@@ -1,8 +1,8 @@
 """Consolidation of all feeds into one row per product.
 
-Each branch filters and joins its feed, then keeps the best offer per part. The branches'
-outputs are all hash-partitioned by part number, which their union keeps, so the pick across
-feeds and the joining of codes need no further shuffle. Only the collapse by EAN does.
+Each branch filters its feed, joins what filters or ranks, keeps the best offer per part and
+only then joins the rest. Where a branch's output is still hash-partitioned by part number,
+its union with the others keeps that, so the pick across feeds needs no further shuffle.
 """
 
 from __future__ import annotations
@@ -27,20 +27,28 @@ def _price_order(price: str, direction: str) -> Column:
 
 
 def branch_offers(tables: Tables, branch: Branch, key_policy: str = "exact") -> DataFrame:
-    """The branch's offers in product shape, plus ``_available`` and ``_price`` to rank by."""
+    """The branch's offers in product shape, as far as they are known before the pick.
+
+    Beside the product columns: ``_available``, ``_price`` and ``_then0..`` to rank by, and
+    what late lookups need.
+    """
     feed = tables[branch.feed]
     if branch.where:
         feed = feed.filter(branch.where)
-    late = {name for lookup in branch.lookups if lookup.per_part for name in lookup.columns}
     for lookup in branch.lookups:
-        if not lookup.per_part:
+        if not lookup.late:
             feed = join_lookup(feed, tables[lookup.table], lookup, key_policy)
     values = {"source": f"'{branch.source}'", "priority": str(branch.priority), **branch.columns}
     return feed.select(
-        *[F.expr(values.get(name, "NULL")).cast(kind).alias(name) for name, kind in PRODUCT.items() if name not in late],
+        *[
+            F.expr(values.get(name, "NULL")).cast(kind).alias(name)
+            for name, kind in PRODUCT.items()
+            if name not in branch.late
+        ],
         F.expr(branch.available).alias("_available"),
         F.expr(branch.price).alias("_price"),
         *[F.expr(o.rpartition(" ")[0]).alias(f"_then{i}") for i, o in enumerate(branch.then)],
+        *[F.expr(e).alias(name) for name, e in branch.carry.items()],
     )
 
 
@@ -62,13 +70,19 @@ def best_in_branch(
         _price_order("_price", branch.price_order or price_order),
         *[ordering(f"_then{i} {o.rpartition(' ')[2]}") for i, o in enumerate(branch.then)],
         ordering("external_availability desc"),
-        *[ordering(name) for name in PRODUCT if name in offers.columns and name not in ("source", "priority")],
+        *[ordering(name) for name in (*PRODUCT, *branch.carry) if name in offers.columns and name not in ("source", "priority")],
     ]
     best = best_per(offers, [part], order)
     for lookup in branch.lookups:
-        if lookup.per_part:
+        if lookup.late:
             best = join_lookup(best, tables[lookup.table], lookup, key_policy)
-    return best.select(*PRODUCT, *([part] if part not in PRODUCT else []))
+    return best.select(
+        *[
+            F.expr(branch.late[name]).cast(kind).alias(name) if name in branch.late else F.col(name)
+            for name, kind in PRODUCT.items()
+        ],
+        *([part] if part not in PRODUCT else []),
+    )
 
 
 def chosen(sources: Iterable[str] | None) -> list[Branch]:

@@ -24,7 +24,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 POSITION = ("file", "block", "row")
 LINE_COLUMNS = [*POSITION, "value"]
 BAD_LINE = "bad_line"
-BATCH_LINES = 10_000
+BATCH_LINES, BATCH_CHARS = 10_000, 16_000_000
 
 
 def _positions() -> list[Column]:
@@ -139,14 +139,16 @@ def archive_lines(files: DataFrame, steps: Sequence[str], encoding: str = "UTF-8
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple[str, int, int, str]] = []
+        size = 0
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 with _open(content, steps, encoding) as text:
                     for number, line in enumerate(text):
                         rows.append((path, 0, number, line))
-                        if len(rows) == BATCH_LINES:
+                        size += len(line)
+                        if len(rows) == BATCH_LINES or size > BATCH_CHARS:
                             yield pd.DataFrame(rows, columns=LINE_COLUMNS)
-                            rows = []
+                            rows, size = [], 0
         if rows:
             yield pd.DataFrame(rows, columns=LINE_COLUMNS)
 

@@ -14,9 +14,16 @@ from suite.feeds import Tables, from_given, twin, with_feeds
 
 # SQL twins ------------------------------------------------------------------------------
 
-TIES = "external_availability DESC NULLS LAST, " + ", ".join(
-    f"{c} ASC NULLS FIRST" for c in PRODUCT if c not in ("source", "priority")
-)
+# Ties: stock, then every column known before the late lookups, the article, then those lookups.
+LATE = {"M": (), "FO": ("code",), "ES": ("arrival_date", "code"), "IN": ("enduser_price", "retailers_price", "code"), "CG": ("code",)}
+
+
+def ties(source: str) -> str:
+    early = [c for c in PRODUCT if c not in ("source", "priority", *LATE[source])]
+    article = ["article"] if source in ("ES", "IN") else []
+    return "external_availability DESC NULLS LAST, " + ", ".join(f"{c} ASC NULLS FIRST" for c in [*early, *article, *LATE[source]])
+
+
 MONEY = {c for c, kind in PRODUCT.items() if kind.startswith("decimal")}
 
 
@@ -58,7 +65,7 @@ ROWS = {
                es_arrivals.arrival_date AS arrival_date, 'ES' AS source, CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS promo,
                lunghezza AS width, altezza AS height, profondita AS depth, pesoLordo AS weight,
                qtaMinimaOrd AS min_orderable_qty, 0 AS priority, prezzoRivenditore + raee AS retailers_price,
-               prezzolistino AS list_price, dispo AS a, prezzoRivenditore AS p
+               prezzolistino AS list_price, dispo AS a, prezzoRivenditore AS p, es_list.codice AS article
         FROM es_list LEFT JOIN es_arrivals ON es_arrivals.codice = es_list.codice
         JOIN es_manufacturers ON prod = feed_manufacturer_id
         JOIN es_categories ON catMerc = feed_cat_id AND fam = feed_subcat_id
@@ -73,7 +80,7 @@ ROWS = {
                availability AS external_availability, ordered AS in_arrival, arrival_date, 'IN' AS source,
                CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS promo, width, height, length AS depth, weight, 1 AS min_orderable_qty,
                0 AS priority, custom_price + coalesce(siae, 0) AS retailers_price, retail_price AS list_price,
-               availability AS a, custom_price AS p
+               availability AS a, custom_price AS p, in_list.ingram_part_number AS article
         FROM in_list JOIN in_stock ON in_stock.ingram_part_number = in_list.ingram_part_number
         JOIN in_manufacturers ON vendor_number = feed_manufacturer_id
         JOIN in_categories ON ingram_cat_subcat = concat(feed_cat_id, feed_subcat_id)
@@ -101,9 +108,10 @@ def picked(source: str, price: str = "DESC NULLS LAST") -> str:
     """The best offer per part of one feed, as the reference words it: sort, keep the first."""
     if source == "M":
         price = "ASC NULLS FIRST, a DESC NULLS LAST"
-    return f"""SELECT * EXCLUDE (a, p, rn) FROM (
+    hidden = "a, p, rn, article" if source in ("ES", "IN") else "a, p, rn"
+    return f"""SELECT * EXCLUDE ({hidden}) FROM (
         SELECT *, row_number() OVER (PARTITION BY part_number
-            ORDER BY CASE WHEN a > 0 THEN 1 ELSE 0 END DESC, p {price}, {TIES}) AS rn
+            ORDER BY CASE WHEN a > 0 THEN 1 ELSE 0 END DESC, p {price}, {ties(source)}) AS rn
         FROM ({ROWS[source]})) WHERE rn = 1"""
 
 
@@ -304,7 +312,7 @@ def map_composite_join(spark, sf_dir):
 @query(f"{with_feeds(['in_list', 'in_categories'])} SELECT ingram_part_number, ingram_cat_subcat, ordered, cat_id, subcat_id FROM in_list JOIN in_categories ON ingram_cat_subcat = concat(feed_cat_id, feed_subcat_id)")
 def map_computed_key_join(spark, sf_dir):
     tables = Tables(spark, sf_dir)
-    return join_lookup(tables["in_list"], tables["in_categories"], IN.lookups[2]).select("ingram_part_number", "ingram_cat_subcat", "ordered", "cat_id", "subcat_id")
+    return join_lookup(tables["in_list"], tables["in_categories"], IN.lookups[1]).select("ingram_part_number", "ingram_cat_subcat", "ordered", "cat_id", "subcat_id")
 
 
 @query(f"{with_feeds(['cg_list', 'cg_categories'])} SELECT codice_articolo_fornitore, codice_sottocategoria, futura, cat_id, subcat_id FROM cg_list JOIN cg_categories ON codice_macrocategoria = feed_cat_id AND concat_ws('$', codice_categoria, codice_sottocategoria) = feed_subcat_id")
@@ -320,7 +328,7 @@ def map_joined_key_join(spark, sf_dir):
     FROM in_list JOIN in_stock ON in_stock.ingram_part_number = in_list.ingram_part_number GROUP BY vendor_part_number""")
 def stock_join(spark, sf_dir):
     tables = Tables(spark, sf_dir)
-    joined = join_lookup(tables["in_list"], tables["in_stock"], IN.lookups[0])
+    joined = join_lookup(tables["in_list"], tables["in_stock"], IN.lookups[2])
     return joined.groupBy("vendor_part_number").agg(
         F.max("availability").alias("availability"), F.countDistinct("ingram_part_number").alias("articles")
     )
@@ -340,9 +348,9 @@ def code_left_join_on_filter(spark, sf_dir):
     GROUP BY in_list.ingram_part_number""")
 def fee_left_join_const(spark, sf_dir):
     tables = Tables(spark, sf_dir)
-    articles = tables["in_list"].groupBy("ingram_part_number").agg(F.max("custom_price").alias("price"))
+    articles = tables["in_list"].groupBy(F.col("ingram_part_number").alias("_article")).agg(F.max("custom_price").alias("price"))
     joined = join_lookup(articles, tables["in_fees"], IN.lookups[3])
-    return joined.select("ingram_part_number", "price", F.coalesce("siae", F.lit(0)).alias("fee"))
+    return joined.select(F.col("_article").alias("ingram_part_number"), "price", F.coalesce("_fee", F.lit(0)).alias("fee"))
 
 
 @query(f"""{with_feeds(['es_list', 'es_arrivals'])}
@@ -352,9 +360,11 @@ def fee_left_join_const(spark, sf_dir):
         FROM es_list LEFT JOIN es_arrivals ON es_arrivals.codice = es_list.codice) WHERE rn = 1""")
 def arrivals_fanout(spark, sf_dir):
     tables = Tables(spark, sf_dir)
-    joined = join_lookup(tables["es_list"], tables["es_arrivals"], ES.lookups[0])
-    best = best_per(joined, ["codiceProduttore"], ["prezzoRivenditore desc", "dispo desc", "codice", "arrival_date"])
-    return best.select("codice", "codiceProduttore", "prezzoRivenditore", "dispo", "arrival_date")
+    best = best_per(
+        tables["es_list"].withColumn("_article", F.col("codice")), ["codiceProduttore"], ["prezzoRivenditore desc", "dispo desc", "codice"]
+    )
+    joined = join_lookup(best, tables["es_arrivals"], ES.lookups[2])
+    return joined.select("codice", "codiceProduttore", "prezzoRivenditore", "dispo", F.col("_arrival").alias("arrival_date"))
 
 
 # Expressions ----------------------------------------------------------------------------
