@@ -27,9 +27,15 @@ def trim_blanks(c: Column) -> Column:
     return F.btrim(_text(c), F.lit(BLANKS))
 
 
+def _between(c: Column, low: float, high: float) -> Column:
+    """The number, or the nearest bound; ``greatest`` and ``least`` alone would skip a NULL."""
+    number = c.cast("double")
+    return F.when(number.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), number)))
+
+
 def clamp_int(c: Column) -> Column:
     """Store a number in 32 bits, out-of-range values at the nearest bound."""
-    return F.greatest(F.lit(float(INT_MIN)), F.least(F.lit(float(INT_MAX)), c.cast("double"))).cast("int")
+    return _between(c, float(INT_MIN), float(INT_MAX)).cast("int")
 
 
 def lenient_int(c: Column) -> Column:
@@ -54,8 +60,7 @@ def lenient_float(c: Column, decimal_comma: bool = False) -> Column:
 
 def round_money(c: Column) -> Column:
     """Two decimals, out-of-range values at the nearest bound."""
-    bounded = F.greatest(F.lit(-MONEY_MAX), F.least(F.lit(MONEY_MAX), c.cast("double")))
-    return bounded.cast(MONEY)
+    return _between(c, -MONEY_MAX, MONEY_MAX).cast(MONEY)
 
 
 def lenient_date(c: Column, bad_date: str = "epoch") -> Column:

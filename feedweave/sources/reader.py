@@ -75,7 +75,10 @@ def line_window(lines: DataFrame, start: int, n: int) -> DataFrame:
 
 
 def csv_options(spec: FeedSpec) -> dict[str, str]:
-    """A doubled enclosure stands for itself; every line is kept, bad ones marked."""
+    """A doubled enclosure stands for itself; every line is kept, bad ones marked.
+
+    Lines are always split whole: with columns pruned, a wrong field count would go unseen.
+    """
     return {
         "sep": spec.delimiter,
         "quote": spec.enclosure,
@@ -83,6 +86,7 @@ def csv_options(spec: FeedSpec) -> dict[str, str]:
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": BAD_LINE,
         "encoding": spec.encoding,
+        "columnPruning": "false",
     }
 
 
@@ -107,7 +111,10 @@ def read_feed(spark: SparkSession, spec: FeedSpec, path: str | None = None) -> D
         if not spec.skip_lines:
             reader = spark.read.schema(spec.raw_schema(BAD_LINE)).options(**csv_options(spec))
             names = [f"`{name}`" for name, _ in spec.columns]
-            return reader.csv(path, header=spec.header, multiLine=spec.multi_line).select(*_positions(), *names, BAD_LINE)
+            # Spark refuses to read the bad-line column alone, as a mere count would; the
+            # always true condition ties it to a data column.
+            bad = F.when(F.length(F.concat_ws("", BAD_LINE, names[0])) >= 0, F.col(BAD_LINE)).alias(BAD_LINE)
+            return reader.csv(path, header=spec.header, multiLine=spec.multi_line).select(*_positions(), *names, bad)
         lines = read_lines(spark, path, spec.skip_lines + int(spec.header))
     else:
         files = spark.read.format("binaryFile").load(path).select("path", "content")

@@ -76,16 +76,17 @@ def coerce_date(spark, sf_dir):
     return from_given(spark, sf_dir, DAYS).select("o_orderkey", c.lenient_date(F.col("t")).alias("d"))
 
 
-@query("SELECT l_orderkey, l_linenumber, CAST(CAST(least(l_extendedprice * (l_linenumber * 40000), 9999999999.99) AS DECIMAL(12,2)) AS DOUBLE) AS x FROM lineitem")
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_tax > 0 THEN
+    CAST(CAST(least(l_extendedprice * (l_linenumber * 40000), 9999999999.99) AS DECIMAL(12,2)) AS DOUBLE) END AS x FROM lineitem""")
 def round_money(spark, sf_dir):
-    x = F.col("l_extendedprice") * (F.col("l_linenumber") * 40000)
+    x = F.when(F.col("l_tax") > 0, F.col("l_extendedprice") * (F.col("l_linenumber") * 40000))
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", c.round_money(x).alias("x"))
 
 
-@query("SELECT l_orderkey, l_linenumber, CAST(least(l_partkey * 3000000, 2147483647) AS INTEGER) AS n, substr(concat(l_returnflag, l_shipdate::DATE::VARCHAR), 1, 8) AS t FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_tax > 0 THEN CAST(least(l_partkey * 3000000, 2147483647) AS INTEGER) END AS n, substr(concat(l_returnflag, l_shipdate::DATE::VARCHAR), 1, 8) AS t FROM lineitem")
 def cut_clamp(spark, sf_dir):
     text = F.concat("l_returnflag", F.col("l_shipdate").cast("date").cast("string"))
-    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", c.clamp_int(F.col("l_partkey") * 3000000).alias("n"), c.cut(text, 8).alias("t"))
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", c.clamp_int(F.when(F.col("l_tax") > 0, F.col("l_partkey") * 3000000)).alias("n"), c.cut(text, 8).alias("t"))
 
 
 GAPS = """
