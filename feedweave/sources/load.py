@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from feedweave.functions.keys import match_key
 from feedweave.operators.pick import best_per
 from feedweave.operators.registry import active, due
+from feedweave.session import scratch_dir
 from feedweave.sources.reader import BAD_LINE, POSITION, read_feed
 from feedweave.sources.schema import FeedSpec
 from feedweave.sources.versioned import VersionedTable
@@ -41,7 +42,7 @@ def _keys(spec: FeedSpec, key_policy: str) -> list:
 
 
 def coerced(raw: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Stored values of every line, with its position and ``bad_line``."""
+    """Stored values of every line, with its position and ``_bad_line``."""
     return raw.select(*POSITION, *spec.coercions(), BAD_LINE)
 
 
@@ -97,13 +98,30 @@ def load_feed(
 ) -> LoadReport:
     """Replace the feed's table by the file's content and keep the rejects beside it.
 
-    Both are written before the table becomes current, and the counts are read back from
-    what was written, so they stay right when tasks are repeated. Without a good row the
-    previous version stays.
+    The file is unpacked and split once, into a columnar copy in the shared folder that the
+    passes for good rows and rejects read. Both are written before the table becomes
+    current, and the counts are read back from what was written, so they stay right when
+    tasks are repeated. Without a good row the previous version stays.
     """
     table = VersionedTable(spark, f"{warehouse}/{spec.name}")
     rejects = VersionedTable(spark, f"{warehouse}/{spec.name}_rejected")
-    raw = read_feed(spark, spec, path)
+    copy = VersionedTable(spark, scratch_dir(spark, f"load_{spec.name}"))
+    copy.overwrite(read_feed(spark, spec, path))
+    try:
+        return _load(spark, spec, copy.read(), table, rejects, transform, key_policy)
+    finally:
+        copy.drop()
+
+
+def _load(
+    spark: SparkSession,
+    spec: FeedSpec,
+    raw: DataFrame,
+    table: VersionedTable,
+    rejects: VersionedTable,
+    transform: Callable[[DataFrame], DataFrame] | None,
+    key_policy: str,
+) -> LoadReport:
     rejects.overwrite(quarantine(raw, spec, key_policy))
     missed = rejects.read().count()
     staged = table.stage(good_rows(raw, spec, key_policy).drop(*POSITION))

@@ -1,6 +1,6 @@
 """Reading delimited feeds, plain, gzipped or in archives, with the position of every line.
 
-``file``, ``block`` and ``row`` order the lines of a feed as its files hold them: rows of one
+``_file``, ``_block`` and ``_row`` order the lines of a feed as its files hold them: rows of one
 file split are numbered by the one task that reads it, and splits follow by their offset.
 """
 
@@ -21,17 +21,17 @@ from feedweave.sources.schema import FeedSpec
 # The functions run by tasks travel with the job: executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-POSITION = ("file", "block", "row")
+POSITION = ("_file", "_block", "_row")
 LINE_COLUMNS = [*POSITION, "value"]
-BAD_LINE = "bad_line"
+BAD_LINE = "_bad_line"
 BATCH_LINES, BATCH_CHARS = 10_000, 16_000_000
 
 
 def _positions() -> list[Column]:
     return [
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
     ]
 
 
@@ -60,9 +60,9 @@ def drop_leading(lines: DataFrame, n: int) -> DataFrame:
     def drop(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         passed: dict[str, int] = {}
         for batch in batches:
-            start = batch[batch["block"] == 0]
-            rank = start.groupby("file", sort=False).cumcount() + start["file"].map(passed).fillna(0)
-            for file, count in start["file"].value_counts().items():
+            start = batch[batch["_block"] == 0]
+            rank = start.groupby("_file", sort=False).cumcount() + start["_file"].map(passed).fillna(0)
+            for file, count in start["_file"].value_counts().items():
                 passed[file] = passed.get(file, 0) + int(count)
             yield batch.drop(index=rank.index[rank < n])
 
@@ -91,7 +91,7 @@ def csv_options(spec: FeedSpec) -> dict[str, str]:
 
 
 def parse_lines(lines: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Lines split into the feed's columns, still text; ``bad_line`` holds lines that do not fit."""
+    """Lines split into the feed's columns, still text; ``_bad_line`` holds lines that do not fit."""
     schema = spec.raw_schema(BAD_LINE)
     parsed = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "), csv_options(spec))
     return lines.select(*[c for c in lines.columns if c != "value"], parsed.alias("_fields")).select(
@@ -100,7 +100,7 @@ def parse_lines(lines: DataFrame, spec: FeedSpec) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, spec: FeedSpec, path: str | None = None) -> DataFrame:
-    """The feed's columns as text with position and ``bad_line``.
+    """The feed's columns as text with position and ``_bad_line``.
 
     A plain feed without junk lines goes through the csv reader, which drops a header by
     itself. Junk lines and archives go line by line.
@@ -119,7 +119,7 @@ def read_feed(spark: SparkSession, spec: FeedSpec, path: str | None = None) -> D
     else:
         files = spark.read.format("binaryFile").load(path).select("path", "content")
         lines = archive_lines(files, packed, spec.encoding)
-        lines = clean_lines(lines.filter(F.col("row") >= spec.skip_lines + int(spec.header)))
+        lines = clean_lines(lines.filter(F.col("_row") >= spec.skip_lines + int(spec.header)))
     return parse_lines(lines, spec)
 
 
@@ -159,4 +159,4 @@ def archive_lines(files: DataFrame, steps: Sequence[str], encoding: str = "UTF-8
         if rows:
             yield pd.DataFrame(rows, columns=LINE_COLUMNS)
 
-    return files.select("path", "content").mapInPandas(unpack, "file string, block long, row long, value string")
+    return files.select("path", "content").mapInPandas(unpack, "_file string, _block long, _row long, value string")

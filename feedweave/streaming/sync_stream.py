@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from feedweave.plans.sync import run_sync
@@ -12,6 +13,16 @@ from feedweave.plans.targets import Target
 from feedweave.sources.versioned import VersionedTable
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the stream when it made the checkpoint folder."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
+def _already_applied(note: str, stream_id: str, batch_id: int) -> bool:
+    stream, _, batch = note.rpartition(" ")
+    return stream == stream_id and int(batch) >= batch_id
+
+
 def sync_stream(
     stream: DataFrame,
     table: VersionedTable,
@@ -23,14 +34,17 @@ def sync_stream(
     """Apply what has arrived since the last run, then stop.
 
     A batch holds only new files, so keys it lacks stay unless ``delete_missing`` is set.
-    Each commit records its batch; a batch replayed after a failure is skipped.
+    Each commit records stream and batch, so a batch replayed after a failure is skipped,
+    while a stream started afresh on a new checkpoint folder is not mistaken for the old one.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if table.note() and int(table.note()) >= batch_id:
+        stream_id = _stream_id(batch.sparkSession, checkpoint)
+        if _already_applied(table.note(), stream_id, batch_id):
             return
         stamp = now or datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
-        run_sync(batch.sparkSession, batch, table, target, stamp, delete_missing=delete_missing, note=str(batch_id))
+        note = f"{stream_id} {batch_id}"
+        run_sync(batch.sparkSession, batch, table, target, stamp, delete_missing=delete_missing, note=note)
 
     return (
         stream.writeStream.foreachBatch(apply)

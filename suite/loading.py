@@ -12,8 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from feedweave.functions import coerce as c
-from feedweave.operators import diff
-from feedweave.operators.profile import column_sample, field_counts, profile_columns
+from feedweave.operators import diff, profile
 from feedweave.session import scratch_dir
 from feedweave.sources import load
 from feedweave.sources.reader import archive_lines, clean_lines, line_window, parse_lines, read_feed
@@ -107,7 +106,7 @@ def null_policy(spark, sf_dir):
 # lines are short, some long; keys repeat.
 
 LINES = """
-    SELECT 'orders.csv' AS file, CAST(0 AS BIGINT) AS block, o_orderkey AS ~row~,
+    SELECT 'orders.csv' AS _file, CAST(0 AS BIGINT) AS _block, o_orderkey AS _row,
            CASE WHEN o_orderkey % 11 = 0 THEN concat(code, ';', price)
                 ELSE concat(code, ';', price, ';', day, '; ', o_orderstatus, ' ;~', o_orderpriority, '; said ~~so~~~',
                             CASE WHEN o_orderkey % 13 = 0 THEN ';extra' ELSE '' END) END AS value
@@ -119,21 +118,20 @@ SPEC = FeedSpec(
     "orders", (("code", "String"), ("price", "Float"), ("day", "Date"), ("status", "String"), ("note", "Description")), keys=("code",)
 )
 BAD = "(o_orderkey % 11 = 0 OR o_orderkey % 13 = 0)"
-ROWS_SQL = f"""SELECT o_orderkey AS "row", concat(CASE WHEN o_orderkey % 2 = 0 THEN 'C' ELSE 'c' END, o_custkey) AS code,
+ROWS_SQL = f"""SELECT o_orderkey AS _row, concat(CASE WHEN o_orderkey % 2 = 0 THEN 'C' ELSE 'c' END, o_custkey) AS code,
     CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price, concat('20', substr(CAST(o_orderdate AS VARCHAR), 3, 8)) AS day,
     o_orderstatus AS status, concat(o_orderpriority, '; said "so"') AS note, {BAD} AS bad FROM orders"""
 GOOD_SQL = f"SELECT * FROM ({ROWS_SQL}) WHERE NOT bad"
 
 
 def first_lines(key: str) -> str:
-    return f"""SELECT "row", code, price, day, status, note FROM (
-        SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY "row") AS rn FROM ({GOOD_SQL})) WHERE rn = 1"""
+    return f"""SELECT _row, code, price, day, status, note FROM (
+        SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY _row) AS rn FROM ({GOOD_SQL})) WHERE rn = 1"""
 
 
 def raw_lines(spark, sf_dir) -> DataFrame:
-    # The quote inside the text is a plain character here, not the identifier quote.
-    sql = LINES.replace("~row~", "`row`").replace("~", '"')
-    return from_given(spark, sf_dir, sql)
+    # In these lines ~ stands for the quote character of the feed.
+    return from_given(spark, sf_dir, LINES.replace("~", '"'))
 
 
 def raw(spark, sf_dir) -> DataFrame:
@@ -142,24 +140,24 @@ def raw(spark, sf_dir) -> DataFrame:
 
 @query(f"SELECT code, price, day, status, note, \"row\" FROM ({GOOD_SQL})")
 def load_parse(spark, sf_dir):
-    rows = load.coerced(raw(spark, sf_dir), SPEC).filter("bad_line IS NULL")
-    return rows.select("row", "code", "price", "day", "status", "note")
+    rows = load.coerced(raw(spark, sf_dir), SPEC).filter("_bad_line IS NULL")
+    return rows.select("_row", "code", "price", "day", "status", "note")
 
 
-@query(f"""SELECT r."row", r.code, CASE WHEN r.bad THEN 'fields' WHEN f."row" IS NULL THEN 'duplicate' END AS reject_reason
-    FROM ({ROWS_SQL}) r LEFT JOIN ({first_lines('code')}) f ON r."row" = f."row" """)
+@query(f"""SELECT r._row, r.code, CASE WHEN r.bad THEN 'fields' WHEN f._row IS NULL THEN 'duplicate' END AS reject_reason
+    FROM ({ROWS_SQL}) r LEFT JOIN ({first_lines('code')}) f ON r._row = f._row """)
 def load_quarantine(spark, sf_dir):
-    return load.with_reasons(raw(spark, sf_dir), SPEC).select("row", "code", "reject_reason")
+    return load.with_reasons(raw(spark, sf_dir), SPEC).select("_row", "code", "reject_reason")
 
 
 @query(first_lines("code"))
 def load_unique_first(spark, sf_dir):
-    return load.good_rows(raw(spark, sf_dir), SPEC).select("row", "code", "price", "day", "status", "note")
+    return load.good_rows(raw(spark, sf_dir), SPEC).select("_row", "code", "price", "day", "status", "note")
 
 
 @query(first_lines("lower(code)"))
 def load_unique_first_any_case(spark, sf_dir):
-    return load.good_rows(raw(spark, sf_dir), SPEC, "ci").select("row", "code", "price", "day", "status", "note")
+    return load.good_rows(raw(spark, sf_dir), SPEC, "ci").select("_row", "code", "price", "day", "status", "note")
 
 
 @query(f"""SELECT good AS completed, total - good AS missed, good > 0 AS success FROM
@@ -182,7 +180,7 @@ FILE_ROWS = f"SELECT code, price, day, status, note FROM ({GOOD_SQL})"
 
 
 def good_of(spark, spec, path) -> DataFrame:
-    rows = load.coerced(read_feed(spark, spec, path), spec).filter("bad_line IS NULL")
+    rows = load.coerced(read_feed(spark, spec, path), spec).filter("_bad_line IS NULL")
     return rows.select("code", "price", "day", "status", "note")
 
 
@@ -222,11 +220,11 @@ def read_skip_lines(spark, sf_dir):
     return good_of(spark, spec_with(skip_lines=2, header=True), path)
 
 
-@query(first_lines("code").replace('"row", code', "code", 1))
+@query(first_lines("code").replace('_row, code', "code", 1))
 def read_and_load(spark, sf_dir):
     """The whole load into versioned tables. One file, so that file order is the row order."""
     folder = scratch_dir(spark, "load")
-    ordered = raw_lines(spark, sf_dir).repartitionByRange(4, "row").sortWithinPartitions("row")
+    ordered = raw_lines(spark, sf_dir).repartitionByRange(4, "_row").sortWithinPartitions("_row")
     ordered.select("value").write.text(f"{folder}/in")
     load.load_feed(spark, SPEC, f"{folder}/tables", f"{folder}/in")
     return load.VersionedTable(spark, f"{folder}/tables/{SPEC.name}").read(SPEC.schema())
@@ -255,7 +253,7 @@ def zipped_gzip(texts: pd.Series) -> pd.Series:
     return texts.map(pack)
 
 
-TEXT_LINES = r"""SELECT doc_id, line_no - 1 AS "row", value FROM (
+TEXT_LINES = r"""SELECT doc_id, line_no - 1 AS _row, value FROM (
     SELECT doc_id, generate_subscripts(parts, 1) AS line_no, regexp_replace(unnest(parts), '[\x{FEFF}\r\n]', '', 'g') AS value
     FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)) WHERE value <> ''"""
 
@@ -264,7 +262,7 @@ def unpacked(spark, sf_dir, pack, steps) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     files = documents.select(F.col("doc_id").cast("string").alias("path"), pack("text").alias("content"))
     lines = clean_lines(archive_lines(files, steps))
-    return lines.select(F.col("file").cast("bigint").alias("doc_id"), "row", "value")
+    return lines.select(F.col("_file").cast("bigint").alias("doc_id"), "_row", "value")
 
 
 @query(TEXT_LINES)
@@ -289,23 +287,23 @@ PROFILED = f"""SELECT code, price, day, status, note FROM (SELECT concat(CASE WH
     count(*) AS as_string, count(*) AS as_description,
     CASE column_name WHEN 'price' THEN 'Float' WHEN 'day' THEN 'Date' ELSE 'String' END AS proposed_type
     FROM (UNPIVOT ({PROFILED}) ON code, price, day, status, note INTO NAME column_name VALUE v) GROUP BY column_name""")
-def column_profile(spark, sf_dir):
-    return profile_columns(raw(spark, sf_dir).filter("bad_line IS NULL"), ["code", "price", "day", "status", "note"])
+def profile_columns(spark, sf_dir):
+    return profile.profile_columns(raw(spark, sf_dir).filter("_bad_line IS NULL"), ["code", "price", "day", "status", "note"])
 
 
 @query(f"""SELECT d AS delimiter, (length(bare) - length(replace(bare, d, '')) + 1)::INTEGER AS n_fields, count(*) AS n_lines
-    FROM (SELECT regexp_replace(value, '"[^"]*"', '', 'g') AS bare FROM ({LINES.replace('~row~', '"row"').replace('~', '"').replace('{orders}', 'orders')})),
+    FROM (SELECT regexp_replace(value, '"[^"]*"', '', 'g') AS bare FROM ({LINES.replace('~', '"').replace('{orders}', 'orders')})),
          (SELECT unnest([';', ',', '|', chr(9)]) AS d) GROUP BY ALL""")
 def field_count_histogram(spark, sf_dir):
-    return field_counts(raw_lines(spark, sf_dir))
+    return profile.field_counts(raw_lines(spark, sf_dir))
 
 
-@query(f"""SELECT "row", unnest(['code', 'status', 'note']) AS column_name, unnest([code, status, note]) AS value
-    FROM (SELECT * FROM ({GOOD_SQL}) ORDER BY "row" LIMIT 10)""")
+@query(f"""SELECT _row, unnest(['code', 'status', 'note']) AS column_name, unnest([code, status, note]) AS value
+    FROM (SELECT * FROM ({GOOD_SQL}) ORDER BY _row LIMIT 10)""")
 def head_sample(spark, sf_dir):
-    return column_sample(raw(spark, sf_dir).filter("bad_line IS NULL"), ["code", "status", "note"], ["row"])
+    return profile.column_sample(raw(spark, sf_dir).filter("_bad_line IS NULL"), ["code", "status", "note"], ["_row"])
 
 
-@query(f"""SELECT value FROM (SELECT "row", value FROM ({LINES.replace('~row~', '"row"').replace('~', '"').replace('{orders}', 'orders')}) ORDER BY "row" LIMIT 25 OFFSET 5)""")
+@query(f"""SELECT value FROM (SELECT _row, value FROM ({LINES.replace('~', '"').replace('{orders}', 'orders')}) ORDER BY _row LIMIT 25 OFFSET 5)""")
 def line_window_sample(spark, sf_dir):
     return line_window(raw_lines(spark, sf_dir), 5, 25).select("value")

@@ -115,13 +115,13 @@ def test_packed_files(spark, tmp_path):
 def test_line_window(spark, tmp_path):
     path = write(tmp_path / "w.txt", "one\n\ntwo\r\nthree\nfour\n")
     assert values(read_lines(spark, path), "value") == [("four",), ("one",), ("three",), ("two",)]
-    raw = spark.read.text(path).selectExpr("'f' AS file", "0L AS block", "monotonically_increasing_id() AS row", "value")
+    raw = spark.read.text(path).selectExpr("'f' AS _file", "0L AS _block", "monotonically_increasing_id() AS _row", "value")
     assert [r["value"] for r in line_window(raw, 1, 3).collect()] == ["two", "three"]
     assert clean_lines(raw).count() == 4
 
 
 def test_case_blind_first_wins(spark):
-    lines = spark.createDataFrame([("f", 0, 1, "B;1;1;;x"), ("f", 0, 2, "b ;2;2;;y"), ("e", 9, 3, "b;3;3;;z")], "file string, block long, row long, value string")
+    lines = spark.createDataFrame([("f", 0, 1, "B;1;1;;x"), ("f", 0, 2, "b ;2;2;;y"), ("e", 9, 3, "b;3;3;;z")], "_file string, _block long, _row long, value string")
     raw = parse_lines(lines, spec())
     assert values(load.good_rows(raw, spec(), "ci"), "n") == [(3,)]
     assert values(load.good_rows(raw, spec()), "n") == [(1,), (3,)]
@@ -129,7 +129,7 @@ def test_case_blind_first_wins(spark):
 
 def test_rejects_do_not_gather_by_key(spark):
     """All rows of one key: only the first per task is shuffled by key, the rest by position."""
-    lines = spark.range(2000).selectExpr("'f' AS file", "0L AS block", "id AS row", "concat('same;', id, ';1;;x') AS value")
+    lines = spark.range(2000).selectExpr("'f' AS _file", "0L AS _block", "id AS _row", "concat('same;', id, ';1;;x') AS value")
     reasons = load.with_reasons(parse_lines(lines, spec()), spec())
     assert plan_of(reasons).count("WindowGroupLimit") == 2
     assert values(load.load_counts(reasons)) == [(1, 1999, True)]

@@ -86,7 +86,7 @@ def test_union_of_branches_needs_no_further_shuffle(spark, sf_dir):
 
 
 def test_core_stays_in_the_jvm(spark, sf_dir):
-    for name in ("flat_full", "sync_apply", "load_quarantine", "enrich_first_hit", "schedule_expand", "column_profile"):
+    for name in ("flat_full", "sync_apply", "load_quarantine", "enrich_first_hit", "schedule_expand", "profile_columns"):
         plan = plan_of(QUERIES[name](spark, sf_dir))
         assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan, name
 

@@ -102,6 +102,15 @@ def test_only_one_of_two_writers_commits(spark, tmp_path):
     assert table.read().count() == 3 and table.note() == "one"
 
 
+def test_expire_keeps_the_latest(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    for n in (1, 2, 3, 4):
+        table.overwrite(spark.range(n))
+    table.expire(keep=2)
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2
+    assert table.version() == 4 and table.read().count() == 4
+
+
 def test_no_version_yet(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "none"))
     assert table.version() == 0 and table.note() == ""
@@ -116,22 +125,36 @@ def test_target_schemas():
     assert CLOTHING.schema()["PREZZO"].dataType.simpleString() == "decimal(12,2)"
 
 
+def run_stream(spark, inbox, table, checkpoint):
+    arriving = spark.readStream.schema("id string, name string, qty long").parquet(inbox)
+    query = sync_stream(arriving, table, LIST, checkpoint, NOW)
+    assert query.awaitTermination(120)
+    assert query.exception() is None
+
+
 def test_stream_applies_each_file_once(spark, tmp_path):
-    inbox, table = str(tmp_path / "in"), VersionedTable(spark, str(tmp_path / "t"))
-    def run():
-        arriving = spark.readStream.schema("id string, name string, qty long").parquet(inbox)
-        query = sync_stream(arriving, table, LIST, str(tmp_path / "cp"), NOW)
-        assert query.awaitTermination(120)
-        assert query.exception() is None
+    inbox, checkpoint, table = str(tmp_path / "in"), str(tmp_path / "cp"), VersionedTable(spark, str(tmp_path / "t"))
     source(spark, [("1", "a", 1), ("2", "b", 2)]).coalesce(1).write.mode("append").parquet(inbox)
-    run()
+    run_stream(spark, inbox, table, checkpoint)
     source(spark, [("2", "x", 2), ("3", "c", 3)]).coalesce(1).write.mode("append").parquet(inbox)
-    run()
+    run_stream(spark, inbox, table, checkpoint)
     assert values(table.read(), "id", "name") == [("1", "a"), ("2", "x"), ("3", "c")]
     version = table.version()
-    run()
+    run_stream(spark, inbox, table, checkpoint)
     assert table.version() == version
-    assert table.note() == "1"
+
+
+def test_replayed_batch_is_skipped_but_a_new_stream_is_not(spark, tmp_path):
+    inbox, checkpoint, table = str(tmp_path / "in"), tmp_path / "cp", VersionedTable(spark, str(tmp_path / "t"))
+    source(spark, [("1", "a", 1)]).coalesce(1).write.parquet(inbox)
+    run_stream(spark, inbox, table, str(checkpoint))
+    # As if the job had died between the table's commit and the stream's.
+    for file in (checkpoint / "commits").iterdir():
+        file.unlink()
+    run_stream(spark, inbox, table, str(checkpoint))
+    assert table.version() == 1
+    run_stream(spark, inbox, table, str(tmp_path / "fresh"))
+    assert table.version() == 2 and table.read().count() == 1
 
 
 def test_no_full_rows_are_shuffled_twice(spark):
