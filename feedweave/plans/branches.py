@@ -50,7 +50,8 @@ class Branch:
     Offers of one part rank by availability first, then ``price`` (descending unless
     ``price_order`` says otherwise), then ``then``.
 
-    Late lookups join the picked offers. ``carry`` names what their keys need beside the
+    Late lookups join the picked offers; one keyed by part number should come first among
+    them, as the picked offers are still partitioned by it. ``carry`` names what their keys need beside the
     product columns; ``late`` gives the product columns computed from them, over the product
     columns, ``_price``, the carried columns and the lookups' columns.
     """
@@ -166,8 +167,8 @@ ES = Branch(
     lookups=(
         manufacturer("es_manufacturers", "prod"),
         category("es_categories", ("catMerc", "feed_cat_id"), ("fam", "feed_subcat_id")),
-        Lookup("es_arrivals", (("_article", "codice"),), {"_arrival": "arrival_date"}, how="left", late=True),
         OWN_CODE,
+        Lookup("es_arrivals", (("_article", "codice"),), {"_arrival": "arrival_date"}, how="left", late=True),
     ),
     carry={"_article": "codice"},
     late={"arrival_date": "_arrival", "code": "code"},
@@ -209,6 +210,7 @@ IN = Branch(
             {"availability": "availability"},
             first=("availability desc",),
         ),
+        OWN_CODE,
         Lookup(
             "in_fees",
             (("_article", "ingram_part_number"),),
@@ -217,7 +219,6 @@ IN = Branch(
             where="country = 'IT'",
             late=True,
         ),
-        OWN_CODE,
     ),
     carry={"_article": "ingram_part_number"},
     late={

@@ -349,7 +349,7 @@ def code_left_join_on_filter(spark, sf_dir):
 def fee_left_join_const(spark, sf_dir):
     tables = Tables(spark, sf_dir)
     articles = tables["in_list"].groupBy(F.col("ingram_part_number").alias("_article")).agg(F.max("custom_price").alias("price"))
-    joined = join_lookup(articles, tables["in_fees"], IN.lookups[3])
+    joined = join_lookup(articles, tables["in_fees"], IN.lookups[4])
     return joined.select(F.col("_article").alias("ingram_part_number"), "price", F.coalesce("_fee", F.lit(0)).alias("fee"))
 
 
@@ -363,7 +363,7 @@ def arrivals_fanout(spark, sf_dir):
     best = best_per(
         tables["es_list"].withColumn("_article", F.col("codice")), ["codiceProduttore"], ["prezzoRivenditore desc", "dispo desc", "codice"]
     )
-    joined = join_lookup(best, tables["es_arrivals"], ES.lookups[2])
+    joined = join_lookup(best, tables["es_arrivals"], ES.lookups[3])
     return joined.select("codice", "codiceProduttore", "prezzoRivenditore", "dispo", F.col("_arrival").alias("arrival_date"))
 
 

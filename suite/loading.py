@@ -138,7 +138,7 @@ def raw(spark, sf_dir) -> DataFrame:
     return parse_lines(raw_lines(spark, sf_dir), SPEC)
 
 
-@query(f"SELECT code, price, day, status, note, \"row\" FROM ({GOOD_SQL})")
+@query(f"SELECT code, price, day, status, note, _row FROM ({GOOD_SQL})")
 def load_parse(spark, sf_dir):
     rows = load.coerced(raw(spark, sf_dir), SPEC).filter("_bad_line IS NULL")
     return rows.select("_row", "code", "price", "day", "status", "note")
