@@ -61,11 +61,13 @@ def field_counts(lines: DataFrame, delimiters: Sequence[str] = DELIMITERS, enclo
     are counted per task before the shuffle, which moves one row per delimiter and count.
     """
     bare = F.regexp_replace(F.col(value), f"{enclosure}[^{enclosure}]*{enclosure}", "")
+    # Two generators: the blanked line is computed once and used for every delimiter.
+    blanked = lines.select(F.inline(F.array(F.struct(bare.alias("bare")))))
     fields = F.array(*[
-        F.struct(F.lit(d).alias("delimiter"), (F.length(bare) - F.length(F.translate(bare, d, "")) + 1).alias("n_fields"))
+        F.struct(F.lit(d).alias("delimiter"), (F.length("bare") - F.length(F.translate("bare", d, "")) + 1).alias("n_fields"))
         for d in delimiters
     ])
-    return lines.select(F.inline(fields)).groupBy("delimiter", "n_fields").agg(F.count(F.lit(1)).alias("n_lines"))
+    return blanked.select(F.inline(fields)).groupBy("delimiter", "n_fields").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def header_names(header: str, delimiter: str, enclosure: str = ENCLOSURE) -> list[str]:

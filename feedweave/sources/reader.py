@@ -37,7 +37,7 @@ def _positions() -> list[Column]:
 
 def clean_line(c: Column) -> Column:
     """The line without byte order mark, carriage return and line feed."""
-    return F.regexp_replace(c, "[﻿\r\n]", "")
+    return F.translate(c, "\ufeff\r\n", "")
 
 
 def clean_lines(lines: DataFrame) -> DataFrame:
@@ -92,11 +92,11 @@ def csv_options(spec: FeedSpec) -> dict[str, str]:
 
 def parse_lines(lines: DataFrame, spec: FeedSpec) -> DataFrame:
     """Lines split into the feed's columns, still text; ``_bad_line`` holds lines that do not fit."""
-    schema = spec.raw_schema(BAD_LINE)
-    parsed = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "), csv_options(spec))
-    return lines.select(*[c for c in lines.columns if c != "value"], parsed.alias("_fields")).select(
-        *[c for c in lines.columns if c != "value"], "_fields.*"
-    )
+    fields = ", ".join(f"`{field.name}` string" for field in spec.raw_schema(BAD_LINE))
+    # As a generator's output the split line is computed once; as a plain column Spark would
+    # copy the splitting into every filter on it.
+    split = F.inline(F.array(F.from_csv("value", fields, csv_options(spec))))
+    return lines.select(*[c for c in lines.columns if c != "value"], split)
 
 
 def read_feed(spark: SparkSession, spec: FeedSpec, path: str | None = None) -> DataFrame:

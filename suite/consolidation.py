@@ -38,72 +38,54 @@ def shown(columns, prefix: str = "") -> str:
 
 CODES = "LEFT JOIN own_codes ON codfor = {part} AND codfor <> '' AND codart NOT LIKE 'H%' AND codart NOT LIKE 'R%'"
 
-ROWS = {
-    "M": """
-        SELECT desart AS name, EAN, codfor AS part_number, codart AS code, clin1 AS original_cat_id,
-               clin2 AS original_subcat_id, clin1 AS cat_id, clin2 AS subcat_id, cpro AS original_manufacturer_id,
-               cpro AS manufacturer_id, PREART3 AS enduser_price, disp AS internal_availability,
-               0 AS external_availability, OFOR AS in_arrival, DTFOR AS arrival_date, 'M' AS source, stato AS state,
-               promo, NULL AS width, NULL AS height, NULL AS depth, peso AS weight, CAST(NULL AS INTEGER) AS min_orderable_qty,
-               2 AS priority, PREART2 AS retailers_price, PREART4 AS list_price, disp AS a, PREART3 AS p
-        FROM own_list WHERE codfor <> ''""",
-    "FO": f"""
-        SELECT Descr AS name, EAN, Cod AS part_number, codart AS code, Linea AS original_cat_id,
-               Famiglia AS original_subcat_id, cat_id, subcat_id, Marca AS original_manufacturer_id, manufacturer_id,
-               Prezzo AS enduser_price, 0 AS internal_availability, Disponibili AS external_availability,
-               0 AS in_arrival, CAST(NULL AS DATE) AS arrival_date, 'FO' AS source, CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS promo,
-               NULL AS width, NULL AS height, NULL AS depth, Peso AS weight, 0 AS min_orderable_qty, 0 AS priority,
-               Prezzo AS retailers_price, Prezzo AS list_price, Disponibili AS a, Prezzo AS p
-        FROM fo_list JOIN fo_manufacturers ON Marca = feed_manufacturer_id
-        JOIN fo_categories ON Linea = feed_cat_id AND Famiglia = feed_subcat_id
+# How each feed meets its tables when every join is written out, rows multiplying as they may.
+JOINED = {
+    "M": "own_list",
+    "FO": f"""fo_list
+        JOIN fo_manufacturers ON Marca = feed_manufacturer_id
+        JOIN fo_categories ON (Linea, Famiglia) = (feed_cat_id, feed_subcat_id)
         {CODES.format(part='Cod')}""",
-    "ES": f"""
-        SELECT descrizione AS name, codiceEAN AS EAN, codiceProduttore AS part_number, codart AS code,
-               catMerc AS original_cat_id, fam AS original_subcat_id, cat_id, subcat_id,
-               prod AS original_manufacturer_id, manufacturer_id, prezzoRivenditore + raee AS enduser_price,
-               0 AS internal_availability, dispo AS external_availability, arrivi AS in_arrival,
-               es_arrivals.arrival_date AS arrival_date, 'ES' AS source, CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS promo,
-               lunghezza AS width, altezza AS height, profondita AS depth, pesoLordo AS weight,
-               qtaMinimaOrd AS min_orderable_qty, 0 AS priority, prezzoRivenditore + raee AS retailers_price,
-               prezzolistino AS list_price, dispo AS a, prezzoRivenditore AS p, es_list.codice AS article
-        FROM es_list LEFT JOIN es_arrivals ON es_arrivals.codice = es_list.codice
+    "ES": f"""es_list
         JOIN es_manufacturers ON prod = feed_manufacturer_id
-        JOIN es_categories ON catMerc = feed_cat_id AND fam = feed_subcat_id
-        {CODES.format(part='codiceProduttore')}
-        WHERE tipo <> 'N' AND (dispo > 0 OR arrivi > 0 OR stato <> 'C')""",
-    "IN": f"""
-        SELECT ingram_part_description_1 AS name, CASE WHEN upc_code <> '9999999999999' THEN upc_code ELSE '' END AS EAN,
-               vendor_part_number AS part_number, codart AS code, substr(ingram_cat_subcat, 1, 2) AS original_cat_id,
-               substr(ingram_cat_subcat, 3, 2) AS original_subcat_id, cat_id, subcat_id,
-               vendor_number AS original_manufacturer_id, manufacturer_id,
-               custom_price + coalesce(siae, 0) AS enduser_price, 0 AS internal_availability,
-               availability AS external_availability, ordered AS in_arrival, arrival_date, 'IN' AS source,
-               CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS promo, width, height, length AS depth, weight, 1 AS min_orderable_qty,
-               0 AS priority, custom_price + coalesce(siae, 0) AS retailers_price, retail_price AS list_price,
-               availability AS a, custom_price AS p, in_list.ingram_part_number AS article
-        FROM in_list JOIN in_stock ON in_stock.ingram_part_number = in_list.ingram_part_number
+        JOIN es_categories ON (catMerc, fam) = (feed_cat_id, feed_subcat_id)
+        LEFT JOIN es_arrivals ON es_list.codice = es_arrivals.codice
+        {CODES.format(part='codiceProduttore')}""",
+    "IN": f"""in_list
         JOIN in_manufacturers ON vendor_number = feed_manufacturer_id
         JOIN in_categories ON ingram_cat_subcat = concat(feed_cat_id, feed_subcat_id)
+        JOIN in_stock ON in_list.ingram_part_number = in_stock.ingram_part_number
         LEFT JOIN in_fees ON in_list.ingram_part_number = in_fees.ingram_part_number AND country = 'IT'
         {CODES.format(part='vendor_part_number')}""",
-    "CG": f"""
-        SELECT descrizione AS name, '' AS EAN, codice_articolo_fornitore AS part_number, codart AS code,
-               codice_macrocategoria AS original_cat_id,
-               concat_ws('$', codice_categoria, codice_sottocategoria) AS original_subcat_id, cat_id, subcat_id,
-               produttore AS original_manufacturer_id, manufacturer_id,
-               prezzo_netto + "contr.siae" + "contr.raee" AS enduser_price, 0 AS internal_availability,
-               immediata AS external_availability, futura - immediata AS in_arrival, CAST(NULL AS DATE) AS arrival_date,
-               'CG' AS source, CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS promo, 0 AS width, 0 AS height, 0 AS depth, 0 AS weight,
-               1 AS min_orderable_qty, 0 AS priority, prezzo_netto + "contr.siae" + "contr.raee" AS retailers_price,
-               prezzo_listino AS list_price, immediata AS a, prezzo_netto AS p
-        FROM cg_list JOIN cg_manufacturers ON produttore = feed_manufacturer_id
+    "CG": f"""cg_list
+        JOIN cg_manufacturers ON produttore = feed_manufacturer_id
         JOIN cg_categories ON codice_macrocategoria = feed_cat_id
-             AND concat_ws('$', codice_categoria, codice_sottocategoria) = feed_subcat_id
+            AND concat_ws('$', codice_categoria, codice_sottocategoria) = feed_subcat_id
         {CODES.format(part='codice_articolo_fornitore')}""",
 }
+# Columns the library fills after the pick, over the written-out joins.
+FROM_JOINS = {
+    "M": {},
+    "FO": {"code": "codart"},
+    "ES": {"code": "codart", "arrival_date": "es_arrivals.arrival_date"},
+    "IN": {"code": "codart", "enduser_price": "custom_price + coalesce(siae, 0)", "retailers_price": "custom_price + coalesce(siae, 0)"},
+    "CG": {"code": "codart"},
+}
+ARTICLE = {"ES": "es_list.codice", "IN": "in_list.ingram_part_number"}
 BRANCHES = {"M": OWN, "FO": FO, "ES": ES, "IN": IN, "CG": CG}
 
 
+def rows(source: str) -> str:
+    """All offers of a feed in product shape, before any pick; ``a`` and ``p`` rank them."""
+    branch = BRANCHES[source]
+    values = {"source": f"'{source}'", "priority": str(branch.priority), **branch.columns, **FROM_JOINS[source]}
+    columns = [f"CAST({values.get(c, 'NULL')} AS {kind}) AS {c}" for c, kind in PRODUCT.items()]
+    columns += [f"{branch.available} AS a", f"{branch.price} AS p"]
+    if source in ARTICLE:
+        columns.append(f"{ARTICLE[source]} AS article")
+    sql = f"SELECT {', '.join(columns)} FROM {JOINED[source]}" + (f" WHERE {branch.where}" if branch.where else "")
+    return sql.replace("`", '"')
+
+
 def picked(source: str, price: str = "DESC NULLS LAST") -> str:
     """The best offer per part of one feed, as the reference words it: sort, keep the first."""
     if source == "M":
@@ -112,7 +94,7 @@ def picked(source: str, price: str = "DESC NULLS LAST") -> str:
     return f"""SELECT * EXCLUDE ({hidden}) FROM (
         SELECT *, row_number() OVER (PARTITION BY part_number
             ORDER BY CASE WHEN a > 0 THEN 1 ELSE 0 END DESC, p {price}, {ties(source)}) AS rn
-        FROM ({ROWS[source]})) WHERE rn = 1"""
+        FROM ({rows(source)})) WHERE rn = 1"""
 
 
 def needs(sources) -> list[str]:
@@ -192,12 +174,10 @@ for _name, _source in (
     branch_query(_name, _source)
 
 
-CLOTHING_SQL = """
-    SELECT CODART, FAM, SOTTOFAM, GENERE, TIPO_PROD, STAGIONE, DESCRIZIONE, GIACENZA, PREZZO,
-           CASE WHEN FAM = '526' THEN replace(CODFOR, 'PU', '') WHEN FAM = '501' THEN replace(CODFOR, 'NK', '')
-                ELSE CODFOR END AS CODFOR,
-           TAGLIA, COLORE, CODART AS id
-    FROM clothing_list WHERE FAM IN ('598', '528', '526', '501') AND SOTTOFAM IN ('006', '001')"""
+MARKS = " ".join(f"WHEN '{family}' THEN replace(CODFOR, '{mark}', '')" for family, mark in flat.CLOTHING_MARKS.items())
+CLOTHING_SQL = f"""
+    SELECT * REPLACE (CASE FAM {MARKS} ELSE CODFOR END AS CODFOR), CODART AS id FROM clothing_list
+    WHERE list_contains({list(flat.CLOTHING_FAMILIES)}, FAM) AND list_contains({list(flat.CLOTHING_SUBFAMILIES)}, SOTTOFAM)"""
 
 
 @query(f"{with_feeds(['clothing_list'])} SELECT * REPLACE (CAST(PREZZO AS DOUBLE) AS PREZZO) FROM ({CLOTHING_SQL})")
