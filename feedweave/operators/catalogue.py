@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from feedweave.operators.pick import best_per
+from feedweave.operators.pick import best_per, own_partitioning
 
 VALID = "1"  # fixed value
 
@@ -44,21 +44,23 @@ def first_hit(products: DataFrame, catalogue: DataFrame, fields: Sequence[str],
 
     Adds ``found_by`` (0 for the EAN, 1 + n for alias n, NULL without a hit) and the fields.
     The catalogue is reduced to one valid entry per EAN and per part number and vendor, the
-    first under ``first``, so neither join multiplies rows. Products with a blank EAN join
+    first under ``first``, so neither join multiplies rows, and both can be split at a hot
+    key (see ``lookup.reduced``). Products with a blank EAN join
     on their own id instead of meeting under one key, and only products without a hit go on
     to the second join.
     """
     valid = catalogue.filter(F.col("code") == VALID)
     entry = F.struct(*fields).alias("_entry")
-    by_ean = best_per(valid.filter("ean <> ''").select("ean", entry, *_extra(first, ["ean"])), ["ean"], first)
+    by_ean = valid.filter("ean <> ''").select("ean", entry, *_extra(first, ["ean"]))
+    by_ean = best_per(by_ean, own_partitioning(["ean"]), first)
     by_ean = by_ean.select(F.lit(True).alias("_has_ean"), F.col("ean").alias("_key"), "_entry")
     has_ean = F.coalesce(F.col("EAN") != "", F.lit(False))
     keyed = products.withColumns({"_has_ean": has_ean, "_key": F.when(has_ean, F.col("EAN")).otherwise(F.col("id"))})
     tried = keyed.join(by_ean, ["_has_ean", "_key"], "left").drop("_has_ean", "_key")
 
-    by_part = best_per(
-        valid.select("prod_id", "vendor", entry, *_extra(first, ["prod_id", "vendor"])), ["prod_id", "vendor"], first
-    ).select(F.col("prod_id").alias("part_number"), F.col("vendor").alias("alias"), F.col("_entry").alias("_part_entry"))
+    by_part = valid.select("prod_id", "vendor", entry, *_extra(first, ["prod_id", "vendor"]))
+    by_part = best_per(by_part, own_partitioning(["prod_id", "vendor"]), first)
+    by_part = by_part.select(F.col("prod_id").alias("part_number"), F.col("vendor").alias("alias"), F.col("_entry").alias("_part_entry"))
     # Only what still needs the second lookup is multiplied by its aliases.
     wanted = F.when(
         F.col("_entry").isNull() & (F.col("part_number") != "") & (F.col("manufacturer") != ""),

@@ -5,7 +5,7 @@ then keeps one row per part; here the table is first reduced to the row that pic
 take, so no join ever multiplies rows and a hot key on both sides stays linear.
 
 No join carries a broadcast hint: Spark broadcasts a lookup when its size is below
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, splitting hot keys (AQE).
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from feedweave.functions.keys import match_key
-from feedweave.operators.pick import best_per
+from feedweave.operators.pick import best_per, own_partitioning
 
 
 @dataclass(frozen=True)
@@ -41,8 +41,13 @@ class Lookup:
             raise ValueError("only a left lookup can be late: an inner one filters offers")
 
 
-def reduced(table: DataFrame, lookup: Lookup, key_policy: str = "exact") -> DataFrame:
-    """The lookup table with key columns ``_k0..`` and one row per key."""
+def reduced(table: DataFrame, lookup: Lookup, key_policy: str = "exact", hot: bool = True) -> DataFrame:
+    """The lookup table with key columns ``_k0..`` and one row per key.
+
+    With ``hot``, the table is reduced under a partitioning of its own, so that a join on the
+    keys shuffles it once more. Only a join whose two sides both come straight from a
+    shuffle can be split where a key is hot (AQE); what is moved again is one row per key.
+    """
     if lookup.where:
         table = table.filter(lookup.where)
     keys = [f"_k{i}" for i in range(len(lookup.on))]
@@ -50,11 +55,17 @@ def reduced(table: DataFrame, lookup: Lookup, key_policy: str = "exact") -> Data
         *[match_key(F.expr(right), key_policy).alias(k) for k, (_, right) in zip(keys, lookup.on)],
         *[F.expr(e).alias(name) for name, e in lookup.columns.items()],
     ).dropna(subset=keys)
-    return best_per(selected, keys, lookup.first or tuple(lookup.columns) or tuple(keys))
+    order = lookup.first or tuple(lookup.columns) or tuple(keys)
+    return best_per(selected, own_partitioning(keys) if hot else keys, order)
 
 
-def join_lookup(feed: DataFrame, table: DataFrame, lookup: Lookup, key_policy: str = "exact") -> DataFrame:
-    """The feed with the lookup's columns added (``inner`` drops rows without a match)."""
+def join_lookup(
+    feed: DataFrame, table: DataFrame, lookup: Lookup, key_policy: str = "exact", hot: bool = True
+) -> DataFrame:
+    """The feed with the lookup's columns added (``inner`` drops rows without a match).
+
+    ``hot=False`` is for a feed that holds each key once and is already partitioned by it.
+    """
     keys = [f"_k{i}" for i in range(len(lookup.on))]
     keyed = feed.select("*", *[match_key(F.expr(left), key_policy).alias(k) for k, (left, _) in zip(keys, lookup.on)])
-    return keyed.join(reduced(table, lookup, key_policy), keys, lookup.how).drop(*keys)
+    return keyed.join(reduced(table, lookup, key_policy, hot), keys, lookup.how).drop(*keys)

@@ -28,6 +28,11 @@ def best_per(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str |
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def own_partitioning(keys: Sequence[str]) -> list[str | Column]:
+    """The same groups under a hash partitioning no join on ``keys`` can reuse."""
+    return [F.xxhash64(*keys), *keys]
+
+
 def collapse_by(df: DataFrame, key: str, row_id: str, order: Sequence[str | Column]) -> DataFrame:
     """One row per non-blank ``key``; rows with a blank key all stay.
 

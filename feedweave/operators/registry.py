@@ -86,15 +86,17 @@ def patterns(resources: DataFrame) -> DataFrame:
 def schedule(resources: DataFrame) -> DataFrame:
     """Every minute of the day at which a resource is due, once per resource.
 
-    Patterns are few however many resources share them, so each is expanded once and the
-    resources are joined to the result.
+    Each pattern is expanded once and broadcast: a minute fits 16 patterns of four digits or
+    stars, so all patterns together have at most 1,440 x 16 = 23,040 minutes, however many
+    resources share them.
     """
-    listed = patterns(resources)
-    times = listed.select("pattern").distinct().select("pattern", due_minutes(F.col("pattern")).alias("times"))
+    listed = patterns(resources).withColumn("pattern", F.substring(_without_colon(F.col("pattern")), 1, 4))
     # Outer, because for a plain explode Spark would test the array's size before the distinct,
-    # once per resource. A resource with several patterns may meet a minute twice.
-    per_resource = listed.join(times, "pattern").select("local_name", F.explode_outer("times").alias("time"))
-    return per_resource.filter("time IS NOT NULL").distinct()
+    # once per resource.
+    times = listed.select("pattern").distinct().select("pattern", F.explode_outer(due_minutes(F.col("pattern"))).alias("time"))
+    times = times.filter("time IS NOT NULL")
+    # A resource with several patterns may meet a minute twice.
+    return listed.join(F.broadcast(times), "pattern").select("local_name", "time").distinct()
 
 
 def due(resources: DataFrame, time: str) -> DataFrame:

@@ -75,7 +75,8 @@ def best_in_branch(
     best = best_per(offers, [part], order)
     for lookup in branch.lookups:
         if lookup.late:
-            best = join_lookup(best, tables[lookup.table], lookup, key_policy)
+            by_part = [left for left, _ in lookup.on] == ["part_number"]
+            best = join_lookup(best, tables[lookup.table], lookup, key_policy, hot=not by_part)
     return best.select(
         *[
             F.expr(branch.late[name]).cast(kind).alias(name) if name in branch.late else F.col(name)

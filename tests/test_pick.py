@@ -98,6 +98,32 @@ def test_lookup_equals_multiplying_then_picking(spark):
     assert join_lookup(feed, table, lookup).count() == 300
 
 
+def test_lookup_join_is_split_at_a_hot_key(spark):
+    """A third of the feed and of the lookup under one key, and nothing may be broadcast."""
+    key = "concat('K', CASE WHEN id % 3 = 0 THEN 0 ELSE id END)"
+    feed = spark.range(0, 60000, 1, 8).selectExpr(f"{key} AS k", "id", "uuid() AS pad")
+    table = spark.range(0, 30000, 1, 4).selectExpr(f"{key} AS c", "concat('c', id) AS code")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for how in ("left", "inner"):
+            joined = join_lookup(feed, table, Lookup("t", (("k", "c"),), {"code": "code"}, how=how))
+            assert joined.groupBy().count().first()[0] == (60000 if how == "left" else 40000)
+            rows = joined.select("id", "code", "pad")
+            rows.collect()
+            assert "skew=true" in plan_of(rows)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_late_lookup_must_be_left():
     with pytest.raises(ValueError):
         Lookup("t", (("a", "b"),), late=True)
