@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from feedweave.functions.keys import availability_rank, row_key
 from feedweave.operators.lookup import join_lookup
@@ -275,6 +275,33 @@ def ordered_rank(spark, sf_dir):
     return ranked.orderBy(F.desc("available"), F.desc("price"), "supp", "l_orderkey", "l_linenumber")
 
 
+# The three levels in one: best offer per feed and part, across feeds with all codes, by EAN.
+PARTS = """
+    SELECT p_partkey AS part_no, p_brand AS maker,
+           CASE WHEN p_partkey % 5 = 0 THEN '' ELSE concat('EAN', CAST(p_partkey % 700 AS STRING)) END AS EAN,
+           CASE WHEN p_name LIKE 's%' THEN NULL ELSE concat(p_name, ' ') END AS part_code
+    FROM {part} WHERE p_size <= 40"""
+THREE_LEVELS = f"""
+    WITH offers AS (SELECT o.*, maker, EAN, part_code || source AS code FROM ({twin(OFFERS)}) o JOIN ({twin(PARTS)}) p ON o.part_no = p.part_no),
+    picks AS ({first_sql("source, part_no", RANKED.format(price="DESC"), "SELECT * FROM offers")}),
+    best AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY part_no ORDER BY {ACROSS}) AS rn,
+        string_agg(code, ',' ORDER BY {ACROSS}) OVER (PARTITION BY part_no) AS codes FROM picks) WHERE rn = 1)
+    SELECT concat_ws('|||', maker, part_no) AS id, EAN, source, price, avail, codes FROM (
+        SELECT *, row_number() OVER (PARTITION BY CASE WHEN EAN <> '' THEN EAN ELSE concat('#', part_no) END
+            ORDER BY priority DESC, CASE WHEN avail > 0 THEN 1 ELSE 0 END DESC, price DESC, part_no) AS rn FROM best) WHERE rn = 1"""
+
+
+@query(THREE_LEVELS)
+def three_level_consolidation(spark, sf_dir):
+    # What a part is says nothing about which offer wins, so it joins after the first pick.
+    picks = best_per(offers(spark, sf_dir), ["part_no", "source"], offer_order())
+    parts = picks.join(from_given(spark, sf_dir, PARTS), "part_no").withColumn("code", F.concat("part_code", "source"))
+    rank = F.row_number().over(Window.partitionBy("part_no").orderBy(*[ordering(o) if isinstance(o, str) else o for o in across_order()]))
+    best = parts.withColumns({"codes": concat_ranked("code", ["part_no"], across_order()), "_rank": rank}).filter("_rank = 1")
+    products = collapse_by(best, "EAN", "part_no", [*across_order()[:-1], "part_no"])
+    return products.select(row_key(F.col("maker"), F.col("part_no").cast("string")).alias("id"), "EAN", "source", "price", "avail", "codes")
+
+
 # Joins ----------------------------------------------------------------------------------
 
 @query(f"{with_feeds(['fo_list', 'fo_manufacturers'])} SELECT Cod, Marca, CAST(Prezzo AS DOUBLE) AS Prezzo, manufacturer_id FROM fo_list JOIN fo_manufacturers ON Marca = feed_manufacturer_id")

@@ -95,3 +95,19 @@ def test_restricted_reads_one_feed(spark, sf_dir):
     df = flat.restricted(Tables(spark, sf_dir))
     assert df.columns[0] == "b2b_id"
     assert {r["b2b_source"] for r in df.select("b2b_source").distinct().collect()} == {"IN"}
+
+
+def test_a_feed_found_empty_at_run_time(spark, sf_dir):
+    """AQE drops an empty branch while the query runs; the others stay whole."""
+
+    class Emptied(Tables):
+        def __getitem__(self, name):
+            df = super().__getitem__(name)
+            return df.filter("abs(Prezzo) < -abs(Prezzo)") if name == "fo_list" else df
+
+    for partitions in ("1", "4", "23"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        got = sorted_rows(flat.consolidate(Emptied(spark, sf_dir)).collect())
+        expected = sorted_rows(flat.consolidate(Tables(spark, sf_dir), flat.chosen(["M", "ES", "IN"])).collect())
+        assert got == expected
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
