@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedweave.functions.coerce import clamp_int, cut, null_to_zero
+from feedweave.functions.keys import match_key
 from feedweave.operators.pick import best_per
 
 INSERT, UPDATE, UNTOUCHED, DELETE = "insert", "update", "untouched", "delete"
@@ -37,12 +38,12 @@ def conform(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None
     return df.select(*[stored(field) for field in schema])
 
 
-def last_per_key(source: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
+def last_per_key(source: DataFrame, key: str, order: Sequence[str | Column], key_policy: str = "exact") -> DataFrame:
     """One source row per key: of rows applied in turn under ``order``, the last one stays.
 
     ``order`` is given last row first, so that the pick keeps it.
     """
-    return best_per(source, [key], order)
+    return best_per(source, [match_key(F.col(key), key_policy)], order)
 
 
 def classify(
@@ -53,28 +54,37 @@ def classify(
     stamp: str,
     now: Column,
     delete_missing: bool = True,
+    key_policy: str = "exact",
 ) -> DataFrame:
     """Every key of either side with its resulting values, its stamp and an ``action``.
 
     Columns are compared null-safe after both sides were brought to the stored types.
     Inserted and updated rows carry ``now``; untouched and deleted ones their old stamp.
-    With ``delete_missing`` off, keys absent from the source are untouched.
+    With ``delete_missing`` off, keys absent from the source are untouched. Under a
+    ``key_policy`` that equates keys, both sides meet by the equated form, and a key that
+    only differs in spelling is an update to the source's spelling.
     """
-    values = [name for name in columns if name != key]
-    s = source.select(F.col(key), *[F.col(c).alias(f"_s_{c}") for c in values], F.lit(True).alias("_in_s"))
-    t = target.select(F.col(key), *[F.col(c).alias(f"_t_{c}") for c in values], F.col(stamp).alias("_t_stamp"), F.lit(True).alias("_in_t"))
-    same = reduce(lambda a, b: a & b, [F.col(f"_s_{c}").eqNullSafe(F.col(f"_t_{c}")) for c in values], F.lit(True))
+
+    def side(df: DataFrame, mark: str, *more: Column) -> DataFrame:
+        return df.select(
+            match_key(F.col(key), key_policy).alias("_key"),
+            *[F.col(c).alias(f"_{mark}_{c}") for c in columns],
+            F.lit(True).alias(f"_in_{mark}"),
+            *more,
+        )
+
+    compared = [c for c in columns if c != key or key_policy != "exact"]
+    same = reduce(lambda a, b: a & b, [F.col(f"_s_{c}").eqNullSafe(F.col(f"_t_{c}")) for c in compared], F.lit(True))
     action = (
         F.when(F.col("_in_s").isNull(), F.lit(DELETE if delete_missing else UNTOUCHED))
         .when(F.col("_in_t").isNull(), F.lit(INSERT))
         .when(same, F.lit(UNTOUCHED))
         .otherwise(F.lit(UPDATE))
     )
-    changed = F.col("action").isin(INSERT, UPDATE)
-    return s.join(t, key, "full_outer").withColumn("action", action).select(
-        key,
-        *[F.when(F.col("_in_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c) for c in values],
-        F.when(changed, now).otherwise(F.col("_t_stamp")).alias(stamp),
+    both = side(source, "s").join(side(target, "t", F.col(stamp).alias("_t_stamp")), "_key", "full_outer")
+    return both.withColumn("action", action).select(
+        *[F.when(F.col("_in_s").isNotNull(), F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c) for c in columns],
+        F.when(F.col("action").isin(INSERT, UPDATE), now).otherwise(F.col("_t_stamp")).alias(stamp),
         "action",
     )
 

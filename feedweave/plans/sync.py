@@ -43,12 +43,22 @@ def prepared(source: DataFrame, target: Target, nulls: str = "keep") -> DataFram
     return diff.conform(source, schema, lengths, nulls)
 
 
-def classify(source: DataFrame, stored: DataFrame, target: Target, now: Column, nulls: str = "keep", delete_missing: bool = True) -> DataFrame:
+def classify(
+    source: DataFrame,
+    stored: DataFrame,
+    target: Target,
+    now: Column,
+    nulls: str = "keep",
+    delete_missing: bool = True,
+    key_policy: str = "exact",
+) -> DataFrame:
     """Every key with its resulting row and action; of a repeated source key one row counts."""
     rows = prepared(source, target, nulls)
     order = [F.col(name).desc_nulls_last() for name in target.fields() if name != target.key]
-    unique = diff.last_per_key(rows, target.key, order)
-    return diff.classify(unique, stored, target.key, target.fields(), target.stamp, now, delete_missing)
+    if key_policy != "exact":
+        order.append(F.col(target.key).desc())
+    unique = diff.last_per_key(rows, target.key, order, key_policy)
+    return diff.classify(unique, stored, target.key, target.fields(), target.stamp, now, delete_missing, key_policy)
 
 
 def stamp(now: datetime) -> Column:
@@ -75,6 +85,7 @@ def run_sync(
     locked: DataFrame | None = None,
     nulls: str = "keep",
     delete_missing: bool = True,
+    key_policy: str = "exact",
     max_delete_fraction: float | None = None,
     note: str = "",
 ) -> SyncReport | None:
@@ -88,7 +99,7 @@ def run_sync(
     if preflight(needed or {}, locked):
         return None
     stored = table.read(target.schema())
-    classified = classify(source, stored, target, stamp(now), nulls, delete_missing)
+    classified = classify(source, stored, target, stamp(now), nulls, delete_missing, key_policy)
     counts = Observation()
     staged = table.stage(diff.applied(classified.observe(counts, *diff.report_columns())))
     got = counts.get

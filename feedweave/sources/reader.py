@@ -106,6 +106,9 @@ def read_feed(spark: SparkSession, spec: FeedSpec, path: str | None = None) -> D
     itself. Junk lines and archives go line by line.
     """
     path = path or spec.path
+    unknown = set(spec.conversion) - {"zip", "gz", "csv"}
+    if unknown:
+        raise ValueError(f"cannot unpack {', '.join(sorted(unknown))}")
     packed = [step for step in spec.conversion if step != "csv"]
     if not packed or packed == ["gz"]:
         if not spec.skip_lines:

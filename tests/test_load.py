@@ -112,6 +112,11 @@ def test_packed_files(spark, tmp_path):
     expect(load.good_rows(read_feed(spark, spec(conversion=("zip", "gz", "csv")), str(tmp_path / "g.zip")), spec()))
 
 
+def test_spreadsheets_are_refused(spark):
+    with pytest.raises(ValueError):
+        read_feed(spark, spec(conversion=("zip", "xls", "csv")), "/nowhere")
+
+
 def test_line_window(spark, tmp_path):
     path = write(tmp_path / "w.txt", "one\n\ntwo\r\nthree\nfour\n")
     assert values(read_lines(spark, path), "value") == [("four",), ("one",), ("three",), ("two",)]

@@ -47,6 +47,15 @@ def test_null_policy(spark):
     assert values(sync.classify(rows, target, LIST, sync.stamp(NOW), nulls="zero"), "action") == [("untouched",)]
 
 
+def test_keys_that_differ_in_case_only(spark):
+    target = stored(spark, [("a", "n", 1), ("B", "n", 1)])
+    rows = source(spark, [("A", "n", 1), ("B ", "n", 1), ("b", "m", 1)])
+    exact = sync.classify(rows, target, LIST, sync.stamp(NOW))
+    assert values(exact, "id", "action") == [("A", "insert"), ("B", "delete"), ("B ", "insert"), ("a", "delete"), ("b", "insert")]
+    equated = sync.classify(rows, target, LIST, sync.stamp(NOW), key_policy="ci")
+    assert values(equated, "id", "name", "action") == [("A", "n", "update"), ("B ", "n", "update")]
+
+
 def test_repeated_source_keys_leave_one_row(spark):
     got = sync.classify(source(spark, [("1", "a", 1), ("1", "b", 1), (None, "n", 1)]), stored(spark, []), LIST, sync.stamp(NOW))
     assert values(got, "id", "name") == [("", "n"), ("1", "b")]
