@@ -18,7 +18,7 @@ result. Reruns agree, since nothing depends on partitions.
 
 from __future__ import annotations
 
-from feedweave.llm.ranks import one_of_each, row_hash, running_sums, written
+from feedweave.llm.ranks import one_of_each, row_hash, running_sums, whole_row, written
 from feedweave.llm.words import n_words
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -80,7 +80,7 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     """The mix itself: each row of ``docs`` as often as it is taken."""
     sized = written(sizes(docs, doc_id, text, source, row_hash(docs).alias("_row")), "mix-sizes")
     taken = copies(sized, source_targets(sized, **targets)).groupBy("_row").agg(F.sum("copies").alias("_taken"))
-    rows = one_of_each(docs.select(F.struct(*docs.columns).alias("_doc"), row_hash(docs).alias("_row")), "_row")
+    rows = one_of_each(docs.select(whole_row(docs).alias("_doc"), row_hash(docs).alias("_row")), "_row")
     chosen = rows.join(taken.filter("_taken > 0"), "_row")
     # Copies of one row are emitted in runs, each no longer than a row's text is worth.
     runs = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_taken")))

@@ -13,6 +13,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+from feedweave.llm.ranks import whole_row
 from feedweave.llm.words import words
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -101,5 +102,5 @@ def filtered(docs: DataFrame, text: str = "text", host: str = "source") -> DataF
     narrow = docs.select(F.col(text).alias("text"), F.col(host).alias("source"))
     hosts = host_verdicts(measures(narrow))
     keyed = docs.withColumns({"_text": F.col(text), "_source": F.col(host)})
-    measured = measures(keyed.select(F.struct(*docs.columns).alias("_row"), "_text", "_source"), "_text")
+    measured = measures(keyed.select(whole_row(docs).alias("_row"), "_text", "_source"), "_text")
     return judged(measured, hosts, "_source").filter("kept").select("_row.*")

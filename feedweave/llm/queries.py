@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 
-from feedweave.llm import mixing, packing, quality, simhash, sql, tokenids
+from feedweave.llm import mixing, packing, quality, simhash, sql, substrings, tokenids
 from feedweave.session import scratch_dir
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -50,6 +50,12 @@ def op5_quality_rules(spark, sf_dir):
     return quality.judged(measured, quality.host_verdicts(measured)).drop("source")
 
 
+@query()
+def op6_suffix_array_dedup(spark, sf_dir):
+    cut = substrings.deduplicated(documents(spark, sf_dir))
+    return cut.select("_doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query()
 def op7_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))

@@ -50,6 +50,10 @@ def _has_map(kind: T.DataType) -> bool:
     return isinstance(kind, (T.MapType, T.VariantType))
 
 
+def whole_row(df: DataFrame) -> Column:
+    return F.struct(*[F.col(f"`{name}`") for name in df.columns])
+
+
 def row_hash(df: DataFrame) -> Column:
     """128 bits over all columns: rows of equal content are equal."""
     parts = [F.col(f"`{f.name}`").cast("string") if _has_map(f.dataType) else F.col(f"`{f.name}`") for f in df.schema]
