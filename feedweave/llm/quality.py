@@ -48,28 +48,35 @@ def _repeat_words(grams: Column) -> Column:
     return let(F.sort_array(F.transform(let(placed, found_twice), lambda x: x["k"])), covered)
 
 
+def _measured(text: Column) -> Column:
+    """All measures as one struct. Each list is computed once, whatever the optimiser moves around."""
+    whole = F.coalesce(text, F.lit(""))
+    lines = F.filter(F.split(whole, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+
+    def of(w: Column) -> Column:
+        grams = F.when(F.size(w) >= WINDOW, F.transform(
+            F.sequence(F.lit(0), F.size(w) - WINDOW), lambda k: F.xxhash64(*[F.get(w, k + n) for n in range(WINDOW)]),
+        )).otherwise(F.array().cast("array<bigint>"))
+        repeated = let(grams, lambda g: F.when(F.size(F.array_distinct(g)) < F.size(g), _repeat_words(g)).otherwise(0))
+        return let(repeated, lambda n_repeat_words: F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.char_length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            F.char_length(F.regexp_replace(whole, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+            let(lines, lambda some: F.size(some) - F.size(F.array_distinct(some))).cast("long").alias("n_dup_lines"),
+            n_repeat_words.cast("long").alias("n_repeat_words"),
+            ((F.size(w) < MIN_WORDS) | (100 * n_repeat_words.cast("long") > MAX_REPEATED_PERCENT * F.size(w))).alias("base_failed"),
+        ))
+
+    return let(words(text), of)
+
+
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
-    own = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    whole = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(whole, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    df = docs.select(*[c for c in docs.columns if c not in own], words(F.col(text)).alias("_words"), lines.alias("_lines"))
-    df = df.withColumn("n_words", F.size("_words").cast("long"))
-    df = df.withColumn("_grams", F.when(F.col("n_words") >= WINDOW, F.transform(
-        F.sequence(F.lit(0), F.size("_words") - WINDOW),
-        lambda k: F.xxhash64(*[F.get("_words", k + n) for n in range(WINDOW)]),
-    )))
-    df = df.withColumn("n_repeat_words", F.when(
-        F.size(F.array_distinct("_grams")) < F.size("_grams"), _repeat_words(F.col("_grams")),
-    ).otherwise(0).cast("long"))
-    df = df.withColumns({
-        "word_chars": F.char_length(F.array_join("_words", "")).cast("long"),
-        "n_symbols": F.char_length(F.regexp_replace(whole, r"[^#*$%&|<>]+", "")).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "base_failed": (F.col("n_words") < MIN_WORDS)
-        | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words")),
-    })
-    return df.drop("_words", "_lines", "_grams")
+    df = docs.drop(*MEASURES).withColumn("_measures", _measured(F.col(text)))
+    return df.withColumns({name: F.col("_measures")[name] for name in MEASURES}).drop("_measures")
 
 
 def host_verdicts(measured: DataFrame, host: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
@@ -87,10 +94,10 @@ def host_verdicts(measured: DataFrame, host: str = "source", limit: float = HOST
 
 def judged(measured: DataFrame, hosts: DataFrame, host: str = "source") -> DataFrame:
     """``measured`` with ``kept``: the document passes its own rules and its host is not rejected."""
-    verdicts = hosts.select(F.col("host").alias("_host"), F.col("rejected").alias("_rejected"))
-    joined = measured.join(verdicts, F.col(host).eqNullSafe(F.col("_host")), "left")
+    verdicts = hosts.select(F.col("host").alias("_verdict_of"), F.col("rejected").alias("_rejected"))
+    joined = measured.join(verdicts, F.col(host).eqNullSafe(F.col("_verdict_of")), "left")
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("_rejected"), F.lit(False))
-    return joined.withColumn("kept", kept).drop("_host", "_rejected")
+    return joined.withColumn("kept", kept).drop("_verdict_of", "_rejected")
 
 
 def filtered(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
@@ -99,8 +106,7 @@ def filtered(docs: DataFrame, text: str = "text", host: str = "source") -> DataF
     The texts are read twice, once for the hosts' rates and once to filter them; nothing but
     counts by host is shuffled.
     """
-    narrow = docs.select(F.col(text).alias("text"), F.col(host).alias("source"))
-    hosts = host_verdicts(measures(narrow))
-    keyed = docs.withColumns({"_text": F.col(text), "_source": F.col(host)})
-    measured = measures(keyed.select(whole_row(docs).alias("_row"), "_text", "_source"), "_text")
-    return judged(measured, hosts, "_source").filter("kept").select("_row.*")
+    failed = _measured(F.col("_row")[text])["base_failed"].alias("base_failed")
+    rows = docs.select(whole_row(docs).alias("_row")).select("_row", F.col("_row")[host].alias("_host"), failed)
+    hosts = host_verdicts(rows, "_host")
+    return judged(rows, hosts, "_host").filter("kept").select("_row.*")

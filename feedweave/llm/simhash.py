@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 
 from feedweave.llm.components import components
-from feedweave.llm.ranks import written
+from feedweave.llm.ranks import one_of_each, row_hash, whole_row, written
 from pyspark.sql import DataFrame, functions as F
 
 BITS = 64
@@ -188,3 +188,16 @@ def near_duplicates(
     return marked.join(by_print, marked["_fp"] == by_print["fp"]).select(
         "doc_id", hexed.alias("fingerprint"), "component_id",
     )
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of ``docs`` for each component: the one of smallest id (NULL ids last), then of least row hash."""
+    keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), row_hash(docs).alias("_row"))
+    marked = written(fingerprints(keyed, "text", options.get("size", SHINGLE_WORDS)).select("doc_id", "_row", "_fp"), "simhash")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("first")
+    distinct = marked.groupBy(F.col("_fp").alias("fp")).agg(first)
+    roots = components(links(distinct, options.get("radius", RADIUS), options.get("bound", BUCKET_BOUND)))
+    rooted = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left")
+    kept = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    rows = one_of_each(docs.select(whole_row(docs).alias("_doc"), row_hash(docs).alias("_row")), "_row")
+    return rows.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").select("_doc.*")

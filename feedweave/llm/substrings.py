@@ -27,6 +27,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from feedweave.llm.lyndon import suffix_arrays
@@ -388,3 +389,28 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **
         T.StructField("kept_sha256", T.StringType()),
     ])
     return joined.mapInArrow(run, schema)
+
+
+def remaining(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **bounds) -> DataFrame:
+    """``docs`` with the text that is left; a character cut in two goes, and so may whole texts, to ''.
+
+    A column ``n_chars`` is brought in line with the text.
+    """
+    cut = deduplicated(docs, doc_id, text, **bounds)
+    left = F.when(F.col("n_removed") > 0, _whole_characters(F.col("_kept"))).otherwise(F.col("_doc")[text])
+    cut = cut.select("_doc", left.alias("_left"))
+    new = {text: F.col("_left"), "n_chars": F.char_length("_left")}
+    return cut.select([
+        new[f.name].cast(f.dataType).alias(f.name) if f.name in new else F.col("_doc")[f.name].alias(f.name)
+        for f in docs.schema
+    ])
+
+
+def _whole_characters(data: Column) -> Column:
+    """Bytes as text without those that no longer form a character."""
+
+    @F.pandas_udf("string")
+    def of(values: pd.Series) -> pd.Series:
+        return values.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
+
+    return of(data)
