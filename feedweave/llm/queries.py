@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 
-from feedweave.llm import mixing, packing, quality, simhash, sql, substrings, tokenids
+from feedweave.llm import chunks, language, mixing, packing, quality, simhash, sql, substrings, tokenids
 from feedweave.session import scratch_dir
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -41,6 +41,12 @@ def op2_token_ids(spark, sf_dir):
     return tokenids.index(tokenids.read(spark, path))
 
 
+@query()
+def op3_content_defined_chunks(spark, sf_dir):
+    cut = chunks.deduplicated(documents(spark, sf_dir))
+    return cut.select("_doc.doc_id", "text_left", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query(sql.QUALITY)
 def op5_quality_rules(spark, sf_dir):
     from feedweave.llm.ranks import written
@@ -61,6 +67,15 @@ def op7_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query()
+def op9_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    held_out = F.coalesce(rest == 2, F.lit(False)).alias("held_out")
+    prototypes = language.learn(docs.filter(~held_out))
+    return language.predicted(docs, prototypes, "doc_id", held_out)
+
+
 @query()
 def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
