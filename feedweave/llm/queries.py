@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 
-from feedweave.llm import chunks, language, mixing, packing, quality, simhash, sql, substrings, tokenids
+from feedweave.llm import chunks, imatch, language, mixing, packing, quality, simhash, sql, substrings, tokenids
 from feedweave.session import scratch_dir
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -47,6 +47,11 @@ def op3_content_defined_chunks(spark, sf_dir):
     return cut.select("_doc.doc_id", "text_left", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query()
+def op4_imatch(spark, sf_dir):
+    return imatch.compared(documents(spark, sf_dir))
+
+
 @query(sql.QUALITY)
 def op5_quality_rules(spark, sf_dir):
     from feedweave.llm.ranks import written
