@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 
-from feedweave.llm import chunks, imatch, language, mixing, packing, quality, simhash, sql, substrings, tokenids
+from feedweave.llm import chunks, imatch, language, licences, mixing, packing, quality, simhash, sql, substrings, tokenids
 from feedweave.session import scratch_dir
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -72,6 +72,15 @@ def op7_packing(spark, sf_dir):
     return packing.packed(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query(sql.LICENCES)
+def op8_licences(spark, sf_dir):
+    """The table has no paths: sources stand for repositories, and one document in 20 for a licence file."""
+    i = F.col("doc_id")
+    name = F.when(i % 20 == 0, F.lit("LICENSE.txt")).otherwise(F.concat(i.cast("string"), F.lit(".txt")))
+    path = F.concat("source", F.lit("/"), "lang", F.lit("/"), (F.floor(i / 20) % 5).cast("string"), F.lit("/"), name)
+    return licences.scanned(documents(spark, sf_dir), path)
+
+
 @query()
 def op9_language_id(spark, sf_dir):
     docs = documents(spark, sf_dir)

@@ -66,3 +66,62 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT rejected AS kept
 FROM failed f JOIN verdicts v ON f.source IS NOT DISTINCT FROM v.source
 """
+
+def _licences() -> str:
+    from feedweave.llm.licences import NOTICES, THRESHOLD
+
+    notices = ", ".join(f"({k}, '{licence}', '{line}')" for k, (licence, line) in enumerate(NOTICES))
+    terms = "regexp_extract_all(lower(line), '[a-z0-9]+')"
+    return rf"""
+WITH notices(notice, licence, line) AS (VALUES {notices}),
+idf AS (
+  SELECT term, ln((1 + {len(NOTICES)}) / (1 + count(DISTINCT notice))) + 1 AS idf
+  FROM (SELECT notice, unnest({terms}) AS term FROM notices) GROUP BY term
+),
+docs AS (
+  SELECT doc_id, source || '/' || lang || '/' || CAST((doc_id // 20) % 5 AS VARCHAR) || '/' ||
+    CASE WHEN doc_id % 20 = 0 THEN 'LICENSE.txt' ELSE CAST(doc_id AS VARCHAR) || '.txt' END AS path, text
+  FROM documents
+),
+cued AS (
+  SELECT DISTINCT doc_id, path, line FROM (SELECT doc_id, path, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '(?i)licen[cs]e|redistribution|permission|public domain')
+),
+lines AS (SELECT DISTINCT line FROM cued),
+line_terms AS (
+  SELECT line, term, count(*) * coalesce(any_value(idf), ln(1.0 + {len(NOTICES)}) + 1) AS w
+  FROM (SELECT line, unnest({terms}) AS term FROM lines) LEFT JOIN idf USING (term) GROUP BY line, term
+),
+notice_terms AS (
+  SELECT notice, licence, term, count(*) * any_value(idf) AS w
+  FROM (SELECT notice, licence, unnest({terms}) AS term FROM notices) JOIN idf USING (term) GROUP BY notice, licence, term
+),
+line_length AS (SELECT line, sqrt(sum(w * w)) AS n FROM line_terms GROUP BY line),
+notice_length AS (SELECT notice, sqrt(sum(w * w)) AS n FROM notice_terms GROUP BY notice),
+near AS (
+  SELECT line, licence, round(sum(a.w * b.w) / any_value(la.n) / any_value(lb.n), 6) AS similarity
+  FROM line_terms a JOIN notice_terms b USING (term) JOIN line_length la USING (line) JOIN notice_length lb USING (notice)
+  GROUP BY line, notice, licence
+),
+own AS (
+  SELECT doc_id, path, arg_min(licence, struct_pack(far := -similarity, licence := licence)) AS licence, max(similarity) AS similarity
+  FROM cued JOIN near USING (line) WHERE similarity >= {THRESHOLD} GROUP BY doc_id, path
+),
+licensed AS (
+  SELECT regexp_replace(path, '/[^/]*$', '') AS above, min(licence) AS theirs FROM own WHERE path LIKE '%/LICENSE.txt' GROUP BY above
+),
+directories AS (SELECT DISTINCT regexp_replace(path, '/[^/]*$', '') AS directory FROM docs WHERE path IS NOT NULL),
+inherited AS (
+  SELECT directory, above, theirs, row_number() OVER (PARTITION BY directory ORDER BY length(above) DESC) AS nr
+  FROM directories JOIN licensed ON directory = above OR starts_with(directory, above || '/')
+)
+SELECT doc_id, path, coalesce(o.licence, i.theirs) AS licence, similarity,
+  CASE WHEN o.licence IS NOT NULL THEN 'own' WHEN i.theirs IS NOT NULL THEN 'inherited' END AS origin,
+  CASE WHEN o.licence IS NULL THEN i.above END AS inherited_from,
+  CASE WHEN o.licence IS NULL THEN len(string_split(directory, '/')) - len(string_split(i.above, '/')) END::BIGINT AS distance
+FROM (SELECT *, regexp_replace(path, '/[^/]*$', '') AS directory FROM docs) LEFT JOIN own o USING (doc_id, path)
+LEFT JOIN (SELECT * FROM inherited WHERE nr = 1) i USING (directory)
+"""
+
+
+LICENCES = _licences()
