@@ -34,12 +34,32 @@ def _between(c: Column, low: float, high: float) -> Column:
 
 
 def clamp_int(c: Column) -> Column:
-    """Store a number in 32 bits, out-of-range values at the nearest bound."""
-    return _between(c, float(INT_MIN), float(INT_MAX)).cast("int")
+    """Store a number in 32 bits, out-of-range values at the nearest bound, fractions rounded half away from zero."""
+    return F.round(_between(c, float(INT_MIN), float(INT_MAX))).cast("int")
+
+
+def kept_as(c: Column, found: T.DataType, stored: T.DataType) -> Column:
+    """A value as a column of type ``stored`` keeps it; text never fails the job.
+
+    Text is read leniently, numbers out of range go to the nearest bound.
+    """
+    if found == stored:
+        return c
+    if isinstance(found, T.StringType) and isinstance(stored, T.NumericType):
+        c = F.when(c.isNotNull(), lenient_float(c))
+    elif isinstance(found, T.StringType) and isinstance(stored, T.DateType):
+        return F.when(c.isNotNull(), lenient_date(c, "null"))
+    if isinstance(stored, T.IntegerType):
+        return clamp_int(c)
+    if isinstance(stored, T.DecimalType):
+        most = "9" * (stored.precision - stored.scale) + "." + "9" * stored.scale
+        over = F.when(c.cast("double") > 0, F.lit(most)).when(c.cast("double") < 0, F.lit(f"-{most}"))
+        return F.coalesce(c.try_cast(stored), over.try_cast(stored))
+    return c.try_cast(stored)
 
 
 def lenient_int(c: Column) -> Column:
-    """The leading integer of the text, 0 when there is none."""
+    """The leading integer of the text, 0 when there is none; what follows it is cut off."""
     digits = F.regexp_extract(trim_blanks(c), r"^([+-]?[0-9]+)", 1)
     return clamp_int(F.coalesce(digits.try_cast("double"), F.lit(0.0)))
 

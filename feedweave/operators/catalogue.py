@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from feedweave.functions.keys import match_key
 from feedweave.operators.pick import best_per, own_partitioning
 
 VALID = "1"  # fixed value
@@ -23,15 +24,17 @@ PRODUCT_XML = (
 )
 
 
-def missing_entries(products: DataFrame, manufacturers: DataFrame, entries: DataFrame) -> DataFrame:
+def missing_entries(products: DataFrame, manufacturers: DataFrame, entries: DataFrame, key_policy: str = "exact") -> DataFrame:
     """Products without a catalogue entry, with the name list of their manufacturer.
 
     ``manufacturers`` holds ``cod`` (unique) and ``des``. The anti join is written as such:
     Spark does not derive it from an outer join with a NULL test.
     """
-    names = manufacturers.select(F.col("cod").alias("manufacturer_id"), F.col("des").alias("manufacturer"))
-    missing = products.join(entries.select("id"), "id", "left_anti")
-    return missing.join(names, "manufacturer_id", "left").select("id", "EAN", "part_number", "manufacturer")
+    names = manufacturers.select(match_key(F.col("cod"), key_policy).alias("_maker"), F.col("des").alias("manufacturer"))
+    known = entries.select(match_key(F.col("id"), key_policy).alias("_id"))
+    missing = products.join(known, match_key(products["id"], key_policy) == known["_id"], "left_anti")
+    keyed = missing.withColumn("_maker", match_key(F.col("manufacturer_id"), key_policy))
+    return keyed.join(names, "_maker", "left").select("id", "EAN", "part_number", "manufacturer")
 
 
 def aliases(products: DataFrame) -> DataFrame:
@@ -39,7 +42,9 @@ def aliases(products: DataFrame) -> DataFrame:
     return products.select("*", F.posexplode(F.split("manufacturer", "/")).alias("position", "alias"))
 
 
-def first_hit(products: DataFrame, catalogue: DataFrame, fields: Sequence[str], first: Sequence[str]) -> DataFrame:
+def first_hit(
+    products: DataFrame, catalogue: DataFrame, fields: Sequence[str], first: Sequence[str], key_policy: str = "exact",
+) -> DataFrame:
     """Each product's catalogue entry: by EAN, else by part number and first alias that hits.
 
     Adds ``found_by`` (0 for the EAN, 1 + n for alias n, NULL without a hit) and the fields.
@@ -49,13 +54,20 @@ def first_hit(products: DataFrame, catalogue: DataFrame, fields: Sequence[str],
     on their own id instead of meeting under one key, and only products without a hit go on
     to the second join.
     """
+    same = lambda c: match_key(c, key_policy)
     valid = catalogue.filter(F.col("code") == VALID)
     entry = F.struct(*fields).alias("_entry")
+    # What ranks entries is taken before their keys are brought to the compared form.
+    kept = [name for name in _extra(first, []) if name in ("ean", "prod_id", "vendor")]
+    if key_policy != "exact":
+        valid = valid.withColumns({f"_raw_{name}": F.col(name) for name in kept})
+        valid = valid.withColumns({name: same(F.col(name)) for name in ("ean", "prod_id", "vendor")})
+        first = [f"_raw_{o}" if o.split(" ")[0] in kept else o for o in first]
     by_ean = valid.filter("ean <> ''").select("ean", entry, *_extra(first, ["ean"]))
     by_ean = best_per(by_ean, own_partitioning(["ean"]), first)
     by_ean = by_ean.select(F.lit(True).alias("_has_ean"), F.col("ean").alias("_key"), "_entry")
     has_ean = F.coalesce(F.col("EAN") != "", F.lit(False))
-    keyed = products.withColumns({"_has_ean": has_ean, "_key": F.when(has_ean, F.col("EAN")).otherwise(F.col("id"))})
+    keyed = products.withColumns({"_has_ean": has_ean, "_key": F.when(has_ean, same(F.col("EAN"))).otherwise(F.col("id"))})
     tried = keyed.join(by_ean, ["_has_ean", "_key"], "left").drop("_has_ean", "_key")
 
     by_part = valid.select("prod_id", "vendor", entry, *_extra(first, ["prod_id", "vendor"]))
@@ -70,8 +82,8 @@ def first_hit(products: DataFrame, catalogue: DataFrame, fields: Sequence[str],
     # A candidate without alias keeps a key of its own, so that these rows spread as well.
     candidates = candidates.withColumns({
         "_by_alias": F.col("alias").isNotNull(),
-        "_part": F.when(F.col("alias").isNotNull(), F.col("part_number")).otherwise(F.col("id")),
-        "alias": F.coalesce("alias", F.lit("")),
+        "_part": F.when(F.col("alias").isNotNull(), same(F.col("part_number"))).otherwise(F.col("id")),
+        "alias": same(F.coalesce("alias", F.lit(""))),
     })
     by_part = by_part.select(F.lit(True).alias("_by_alias"), F.col("part_number").alias("_part"), "alias", "_part_entry")
     joined = candidates.join(by_part, ["_by_alias", "_part", "alias"], "left")

@@ -11,31 +11,31 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from feedweave.functions.coerce import clamp_int, cut, null_to_zero
+from feedweave.functions.coerce import cut, kept_as, null_to_zero
 from feedweave.functions.keys import match_key
 from feedweave.operators.pick import best_per
 
 INSERT, UPDATE, UNTOUCHED, DELETE = "insert", "update", "untouched", "delete"
 
 
-def conform(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None = None, nulls: str = "keep") -> DataFrame:
-    """The columns of ``schema`` as the store would keep them: cut, clamped and cast.
+def conform(
+    df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None = None, nulls: str = "keep", more: Sequence[str] = (),
+) -> DataFrame:
+    """The columns of ``schema`` as the store would keep them: read leniently, cut, rounded and clamped.
 
-    ``nulls`` is ``keep``, or ``zero`` to store '' and 0 in place of NULL.
+    ``nulls`` is ``keep``, or ``zero`` to store '' and 0 in place of NULL. Columns ``more``
+    come along as they are.
     """
     if nulls not in ("keep", "zero"):
         raise ValueError("nulls is 'keep' or 'zero'")
 
     def stored(field: T.StructField) -> Column:
-        c = F.col(field.name)
-        if isinstance(field.dataType, T.IntegerType):
-            c = clamp_int(c)
-        elif (lengths or {}).get(field.name):
-            c = cut(c.cast("string"), lengths[field.name])
-        c = c.cast(field.dataType)
+        c = kept_as(F.col(field.name), df.schema[field.name].dataType, field.dataType)
+        if (lengths or {}).get(field.name):
+            c = cut(c, lengths[field.name])
         return (null_to_zero(c, field.dataType) if nulls == "zero" else c).alias(field.name)
 
-    return df.select(*[stored(field) for field in schema])
+    return df.select(*[stored(field) for field in schema], *more)
 
 
 def last_per_key(source: DataFrame, key: str, order: Sequence[str | Column], key_policy: str = "exact") -> DataFrame:
@@ -111,11 +111,23 @@ def report(classified: DataFrame) -> DataFrame:
     return classified.agg(*report_columns())
 
 
-def missing_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+def missing_keys(target: DataFrame, source: DataFrame, key: str, key_policy: str = "exact") -> DataFrame:
     """Target rows whose key the source does not have."""
-    return target.join(source.select(key), key, "left_anti")
+    if key_policy == "exact":
+        return target.join(source.select(key), key, "left_anti")
+    theirs = source.select(match_key(F.col(key), key_policy).alias("_key"))
+    return target.join(theirs, match_key(target[key], key_policy) == theirs["_key"], "left_anti")
+
 
+def replace_into(stored: DataFrame, new: DataFrame, key: str, key_policy: str = "exact") -> DataFrame:
+    """Stored rows with the new rows put in place of those of the same key.
 
-def replace_into(stored: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """Stored rows with the new rows put in place of those of the same key."""
-    return stored.join(new.select(key), key, "left_anti").unionByName(new)
+    Both are read once and a key keeps one row: a new one before a stored one, of several new
+    ones the greatest by value. Stored rows hold each key once, and NULL keys never meet.
+    """
+    columns = stored.columns
+    both = stored.select(*columns, F.lit(0).alias("_new")).unionByName(new.select(*columns, F.lit(1).alias("_new")))
+    keyed = match_key(F.col(key), key_policy) if isinstance(stored.schema[key].dataType, T.StringType) else F.col(key)
+    lone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    order = [F.col("_new").desc(), *[F.col(c).desc_nulls_last() for c in columns]]
+    return best_per(both.withColumns({"_key": keyed, "_lone": lone}), ["_key", "_lone"], order).select(*columns)

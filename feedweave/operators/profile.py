@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -60,7 +61,8 @@ def field_counts(lines: DataFrame, delimiters: Sequence[str] = DELIMITERS, enclo
     Enclosed stretches are blanked first, so a delimiter inside them does not count. Lines
     are counted per task before the shuffle, which moves one row per delimiter and count.
     """
-    bare = F.regexp_replace(F.col(value), f"{enclosure}[^{enclosure}]*{enclosure}", "")
+    mark = re.escape(enclosure)
+    bare = F.regexp_replace(F.col(value), f"{mark}[^{mark}]*{mark}", "")
     # Two generators: the blanked line is computed once and used for every delimiter.
     blanked = lines.select(F.inline(F.array(F.struct(bare.alias("bare")))))
     fields = F.array(*[

@@ -125,22 +125,43 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 # Validation ----------------------------------------------------------------------------
 
-# Accepted forms of registry values.
-_OCTET = r"([0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-_LABEL = r"[a-zA-Z0-9]([a-zA-Z0-9\-]*[a-zA-Z0-9])?"
+def _every_part(c: Column, separator: str, accepted) -> Column:
+    return F.forall(F.split(c, separator), accepted)
+
+
+def _host(c: Column) -> Column:
+    """Four numbers up to 255 without leading zeros, or dotted names of letters, digits and inner hyphens."""
+    number = lambda part: part.rlike("^[0-9]{1,3}$") & (part.try_cast("int") < 256) & ((part == "0") | ~part.startswith("0"))
+    name = lambda part: part.rlike("^[a-zA-Z0-9-]+$") & ~part.startswith("-") & ~part.endswith("-")
+    return (F.size(F.split(c, r"\.")) == 4) & _every_part(c, r"\.", number) | _every_part(c, r"\.", name)
+
+
+def _path(c: Column) -> Column:
+    """Absolute, every part made of letters, digits, dots, underscores and hyphens."""
+    return c.startswith("/") & _every_part(F.substr(c, F.lit(2)), "/", lambda part: part.rlike("^[a-zA-Z0-9._-]+$"))
+
+
+def _time(c: Column) -> Column:
+    """HH:MM, any digit possibly an asterisk, such that some time of day fits."""
+    at = [F.substring(c, k, 1) for k in (1, 2, 3, 4, 5)]
+    hour = at[0].isin("*", "0", "1") & at[1].rlike("[0-9*]") | (at[0] == "2") & at[1].isin("*", "0", "1", "2", "3")
+    return (F.length(c) == 5) & hour & (at[2] == ":") & at[3].rlike("[0-5*]") & at[4].rlike("[0-9*]")
+
+
+# The accepted forms of registry values.
 RULES = {
-    "host": rf"^(({_OCTET}\.){{3}}{_OCTET}|({_LABEL}\.)*{_LABEL})$",
-    "path": r"^/([a-zA-Z0-9._\-]+/)*[a-zA-Z0-9._\-]+$",
-    "integer": r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$",
-    "string": r"(?s)^.+$",
-    "yes/no": r"^(yes|no)$",
-    "time": r"^(\*[0-9*]|0[0-9*]|1[0-9*]|2[0-3*]):[0-5*][0-9*]$",
+    "host": _host,
+    "path": _path,
+    "integer": lambda c: c.try_cast("double").isNotNull() & ~c.rlike("[A-DF-Za-df-z]"),
+    "string": lambda c: c != "",
+    "yes/no": lambda c: c.isin("yes", "no"),
+    "time": _time,
 }
 
 
 def valid(c: Column, kind: str) -> Column:
     """Whether a value has the accepted form; NULL does not."""
-    return F.coalesce(c.cast("string").rlike(RULES[kind]), F.lit(False))
+    return F.coalesce(RULES[kind](c.cast("string")), F.lit(False))
 
 
 def violations(df: DataFrame, id_column: str, kinds: Mapping[str, str]) -> DataFrame:

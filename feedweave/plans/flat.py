@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from feedweave.functions.coerce import lenient_float
 from feedweave.functions.keys import availability_rank, match_key, row_key
+from feedweave.operators.diff import conform
 from feedweave.operators.lookup import join_lookup
 from feedweave.operators.pick import best_per, collapse_by, concat_ranked, ordering
 from feedweave.plans.branches import ALL, DEFAULT, PRODUCT, Branch
@@ -20,6 +22,11 @@ from feedweave.plans.branches import ALL, DEFAULT, PRODUCT, Branch
 Tables = Mapping[str, DataFrame]
 
 
+def _product_schema(names: Iterable[str] = tuple(PRODUCT)) -> T.StructType:
+    return T.StructType.fromDDL(", ".join(f"`{name}` {PRODUCT[name]}" for name in names))
+
+
+
 def _price_order(price: str, direction: str) -> Column:
     if direction not in ("asc", "desc"):
         raise ValueError("price_order is 'asc' or 'desc'")
@@ -39,17 +46,15 @@ def branch_offers(tables: Tables, branch: Branch, key_policy: str = "exact") ->
         if not lookup.late:
             feed = join_lookup(feed, tables[lookup.table], lookup, key_policy)
     values = {"source": f"'{branch.source}'", "priority": str(branch.priority), **branch.columns}
-    return feed.select(
-        *[
-            F.expr(values.get(name, "NULL")).cast(kind).alias(name)
-            for name, kind in PRODUCT.items()
-            if name not in branch.late
-        ],
-        F.expr(branch.available).alias("_available"),
-        F.expr(branch.price).alias("_price"),
-        *[F.expr(o.rpartition(" ")[0]).alias(f"_then{i}") for i, o in enumerate(branch.then)],
-        *[F.expr(e).alias(name) for name, e in branch.carry.items()],
+    now = [name for name in PRODUCT if name not in branch.late]
+    then = {f"_then{i}": o.rpartition(" ")[0] for i, o in enumerate(branch.then)}
+    ranked = {"_available": branch.available, "_price": branch.price, **then, **branch.carry}
+    offers = feed.selectExpr(
+        *[f"{values.get(name, 'NULL')} AS `{name}`" for name in now], *[f"{e} AS `{name}`" for name, e in ranked.items()],
     )
+    kept = conform(offers, _product_schema(now), more=ranked)
+    numbers = [name for name in ("_available", "_price") if isinstance(offers.schema[name].dataType, T.StringType)]
+    return kept.withColumns({name: lenient_float(F.col(name)) for name in numbers}) if numbers else kept
 
 
 def best_in_branch(
@@ -77,13 +82,9 @@ def best_in_branch(
         if lookup.late:
             by_part = [left for left, _ in lookup.on] == ["part_number"]
             best = join_lookup(best, tables[lookup.table], lookup, key_policy, hot=not by_part)
-    return best.select(
-        *[
-            F.expr(branch.late[name]).cast(kind).alias(name) if name in branch.late else F.col(name)
-            for name, kind in PRODUCT.items()
-        ],
-        *([part] if part not in PRODUCT else []),
-    )
+    more = [part] if part not in PRODUCT else []
+    late = best.selectExpr(*[f"{branch.late.get(name, name)} AS `{name}`" for name in PRODUCT], *more)
+    return conform(late, _product_schema(), more=more)
 
 
 def chosen(sources: Iterable[str] | None) -> list[Branch]:
@@ -131,7 +132,10 @@ def consolidate(
     part = "part_number" if key_policy == "exact" else "_part"
     picks = [best_in_branch(tables, branch, price_order, key_policy) for branch in branches]
     parts = best_across(union_branches(picks), price_order, part)
-    products = collapse_by(parts, "EAN", part, [*cross_feed_order(price_order)[:-1], F.col(part).asc_nulls_first()])
+    barcode = "EAN"
+    if key_policy != "exact":
+        barcode, parts = "_barcode", parts.withColumn("_barcode", match_key(F.col("EAN"), key_policy))
+    products = collapse_by(parts, barcode, part, [*cross_feed_order(price_order)[:-1], F.col(part).asc_nulls_first()])
     return products.select(
         row_key(F.col("manufacturer_id"), F.col("part_number")).alias("id"),
         *[name for name in PRODUCT if name != "priority"],
@@ -157,9 +161,9 @@ RESTRICTED_PREFIX = "b2b_"
 RESTRICTED_SOURCES = ("IN",)
 
 
-def restricted(tables: Tables, sources: Iterable[str] = RESTRICTED_SOURCES) -> DataFrame:
+def restricted(tables: Tables, sources: Iterable[str] = RESTRICTED_SOURCES, key_policy: str = "exact") -> DataFrame:
     """Consolidation of some feeds only, reduced to prefixed fields."""
-    return project(consolidate(tables, chosen(sources)), RESTRICTED_FIELDS, RESTRICTED_PREFIX)
+    return project(consolidate(tables, chosen(sources), key_policy=key_policy), RESTRICTED_FIELDS, RESTRICTED_PREFIX)
 
 
 # Families and subfamilies of the clothing list, and the mark each family's

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -18,9 +18,12 @@ from feedweave.sources.versioned import VersionedTable
 
 @dataclass(frozen=True)
 class SyncReport:
+    """What a run did; ``empty`` names the needed tables that kept it from doing anything."""
+
     changed: int
     untouched: int
     deleted: int
+    empty: tuple[str, ...] = ()
 
 
 class LockedTable(RuntimeError):
@@ -32,15 +35,15 @@ def needed_tables(branches: tuple[Branch, ...] = DEFAULT) -> list[str]:
     return list(dict.fromkeys(name for branch in branches for name in branch.tables()))
 
 
-def prepared(source: DataFrame, target: Target, nulls: str = "keep") -> DataFrame:
-    """The source in the stored shape, pound sign stripped, keys never NULL."""
+def prepared(source: DataFrame, target: Target, nulls: str = "keep", more: Sequence[str] = ()) -> DataFrame:
+    """The source in the stored shape, pound sign stripped, keys never NULL; columns ``more`` as they are."""
     schema = T.StructType(target.schema().fields[:-1])
     lengths = {name: n for name, _, n in target.columns if n}
     if "name" in source.columns:
         source = source.withColumn("name", strip_pound(F.col("name")))
     if isinstance(schema[target.key].dataType, T.StringType):
         source = source.withColumn(target.key, F.coalesce(F.col(target.key), F.lit("")))
-    return diff.conform(source, schema, lengths, nulls)
+    return diff.conform(source, schema, lengths, nulls, more)
 
 
 def classify(
@@ -51,13 +54,20 @@ def classify(
     nulls: str = "keep",
     delete_missing: bool = True,
     key_policy: str = "exact",
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Every key with its resulting row and action; of a repeated source key one row counts."""
-    rows = prepared(source, target, nulls)
-    order = [F.col(name).desc_nulls_last() for name in target.fields() if name != target.key]
+    """Every key with its resulting row and action; of a repeated source key one row counts.
+
+    ``order`` names source columns in the order in which rows are applied: the last row of a
+    key stays. Rows equal under it, or all without it, are told apart by their values.
+    """
+    kept = [f"_order{n}" for n in range(len(order))]
+    rows = prepared(source.withColumns({k: F.col(c) for k, c in zip(kept, order)}), target, nulls, kept)
+    last = [F.col(k).desc_nulls_last() for k in kept]
+    last += [F.col(name).desc_nulls_last() for name in target.fields() if name != target.key]
     if key_policy != "exact":
-        order.append(F.col(target.key).desc())
-    unique = diff.last_per_key(rows, target.key, order, key_policy)
+        last.append(F.col(target.key).desc())
+    unique = diff.last_per_key(rows, target.key, last, key_policy).drop(*kept)
     return diff.classify(unique, stored, target.key, target.fields(), target.stamp, now, delete_missing, key_policy)
 
 
@@ -66,12 +76,13 @@ def stamp(now: datetime) -> Column:
     return F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def preflight(tables: Mapping[str, DataFrame], locked: DataFrame | None = None) -> list[str]:
-    """Raise when a needed table is locked; return the names of empty ones."""
-    if locked is not None:
-        names = [row[0] for row in locked.select("local_name").filter(F.col("local_name").isin(*tables)).take(len(tables))]
-        if names:
-            raise LockedTable(f"locked: {', '.join(sorted(names))}")
+def preflight(tables: Mapping[str, DataFrame], locked: DataFrame | None = None, also: Sequence[str] = ()) -> list[str]:
+    """Raise when a needed table, or one named in ``also``, is locked; return the names of empty ones."""
+    names = [*tables, *also]
+    if locked is not None and names:
+        found = locked.select("local_name").filter(F.col("local_name").isin(*names)).distinct().take(len(names))
+        if found:
+            raise LockedTable(f"locked: {', '.join(sorted(row[0] for row in found))}")
     return empty_tables(tables)
 
 
@@ -88,26 +99,37 @@ def run_sync(
     key_policy: str = "exact",
     max_delete_fraction: float | None = None,
     note: str = "",
-) -> SyncReport | None:
+    order: Sequence[str] = (),
+    keep_versions: int = 2,
+) -> SyncReport:
     """Bring the stored table in line with ``source`` and count what happened.
 
-    A locked table raises, an empty needed table makes the run do nothing (``None``). The
-    counts are taken by the writing tasks themselves, after the last shuffle, where a
-    repeated task is counted once. ``max_delete_fraction`` refuses to commit a run that
-    would delete more than that share of the stored rows.
+    The target itself, or a needed table, being locked raises; an empty needed table makes
+    the run do nothing and is named in the report. The counts are taken by the writing tasks
+    themselves, after the last shuffle, where a repeated task is counted once.
+    ``max_delete_fraction`` refuses to commit a run that would delete more than that share of
+    the stored rows. What is committed follows the version that was read, so another writer
+    in between makes this run fail instead of being overwritten. Without any change nothing
+    is committed, unless a note is to be kept.
     """
-    if preflight(needed or {}, locked):
-        return None
-    stored = table.read(target.schema())
-    classified = classify(source, stored, target, stamp(now), nulls, delete_missing, key_policy)
+    if empty := preflight(needed or {}, locked, [target.name]):
+        return SyncReport(0, 0, 0, tuple(empty))
+    base = table.version()
+    stored = table.read(target.schema(), base)
+    classified = classify(source, stored, target, stamp(now), nulls, delete_missing, key_policy, order)
     counts = Observation()
-    staged = table.stage(diff.applied(classified.observe(counts, *diff.report_columns())))
+    staged = table.stage(diff.applied(classified.observe(counts, *diff.report_columns())), base)
     got = counts.get
     result = SyncReport(got["changed"], got["untouched"], got["deleted"])
     if max_delete_fraction is not None and result.deleted:
         # Every stored row is deleted, kept or updated; inserted rows only add to the base.
         before = stored.count()
         if result.deleted > max_delete_fraction * before:
+            table.discard(staged)
             raise RuntimeError(f"{result.deleted} of {before} rows would be deleted; nothing committed")
+    if base and not note and not result.changed and not result.deleted:
+        table.discard(staged)
+        return result
     table.commit(staged, note)
+    table.expire(keep_versions)
     return result

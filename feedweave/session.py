@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,14 +19,15 @@ SETTINGS = {
 }
 
 
-def local_session(app: str = "feedweave", cpus: str = "8") -> SparkSession:
-    """A single-machine session for tests and the benchmark."""
+def local_session(app: str = "feedweave", cpus: str = "8", shared: str | None = None) -> SparkSession:
+    """A single-machine session for the benchmark; ``shared`` is its folder for intermediate tables."""
     builder = (
         SparkSession.builder.appName(app)
         .master(f"local[{cpus}]")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
+        .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="feedweave-"))
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -35,14 +37,13 @@ def local_session(app: str = "feedweave", cpus: str = "8") -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name below the shared folder of ``spark.checkpoint.dir``.
+    """A new folder name below ``spark.checkpoint.dir``, the folder that driver and executors share.
 
-    Only a local session may fall back to a temporary folder of the machine; on a
-    cluster the executors could not see it.
+    Only where driver and executors are one process may a folder of the machine stand in for it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="feedweave-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

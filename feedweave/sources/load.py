@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -33,12 +34,11 @@ class LoadReport:
         return self.completed > 0
 
 
-def _keys(spec: FeedSpec, key_policy: str) -> list:
+def _keys(spec: FeedSpec, key_policy: str, within: str = "") -> list:
+    """The key columns as they are compared; of the struct ``within`` if it is given."""
     kinds = dict(spec.columns)
-    return [
-        match_key(F.col(f"`{k}`"), key_policy) if kinds[k] in ("String", "Description") else F.col(f"`{k}`")
-        for k in spec.keys
-    ]
+    columns = {k: F.col(within)[k] if within else F.col(f"`{k}`") for k in spec.keys}
+    return [match_key(c, key_policy) if kinds[k] in ("String", "Description") else c for k, c in columns.items()]
 
 
 def coerced(raw: DataFrame, spec: FeedSpec) -> DataFrame:
@@ -52,31 +52,40 @@ def good_rows(raw: DataFrame, spec: FeedSpec, key_policy: str = "exact") -> Data
     return best_per(rows, _keys(spec, key_policy), POSITION) if spec.keys else rows
 
 
-def with_reasons(raw: DataFrame, spec: FeedSpec, key_policy: str = "exact") -> DataFrame:
-    """Every row with ``reject_reason``: wrong field count, repeated key, or NULL when good.
+def _marked(raw: DataFrame, spec: FeedSpec, key_policy: str) -> DataFrame:
+    """``raw`` with ``reject_reason``: wrong field count, repeated key, or NULL when good.
 
-    The kept rows are found per key first; then all rows meet them by position, which is
-    unique, so a key repeated a billion times spreads over all tasks.
+    Keys and positions are counted first, one row per task and key; only keys that occur
+    more than once are met again, and the first position of each tells which row stays. A
+    feed without repeated keys moves nothing but those counts, and a key repeated a billion
+    times is joined with one row, which AQE splits.
     """
-    rows = coerced(raw, spec)
     reason = F.when(F.col(BAD_LINE).isNotNull(), F.lit(FIELDS))
-    if spec.keys:
-        kept = good_rows(raw, spec, key_policy).select(*POSITION, F.lit(True).alias("_kept"))
-        rows = rows.join(kept, list(POSITION), "left")
-        reason = reason.when(F.col("_kept").isNull(), F.lit(DUPLICATE))
-        return rows.withColumn("reject_reason", reason).drop("_kept")
-    return rows.withColumn("reject_reason", reason)
+    if not spec.keys:
+        return raw.withColumn("reject_reason", reason)
+    columns = [name for name, _ in spec.columns]
+    values = F.struct(*spec.coercions()).alias("_values")
+    rows = raw.select(*[f"`{c}`" for c in raw.columns], F.inline(F.array(F.struct(values)))).withColumns(
+        {f"_key{n}": key for n, key in enumerate(_keys(spec, key_policy, "_values"))},
+    ).drop("_values")
+    keys = [f"_key{n}" for n in range(len(spec.keys))]
+    place = F.struct(*POSITION)
+    repeated = rows.filter(F.col(BAD_LINE).isNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
+    repeated = repeated.filter("_n > 1").select(*[F.col(k).alias(f"_r{k}") for k in keys], "_first")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r{k}")) for k in keys])
+    joined = rows.join(repeated, same, "left")
+    later = F.col("_first").isNotNull() & (F.col("_first") != place)
+    return joined.withColumn("reject_reason", reason.when(later, F.lit(DUPLICATE))).select(*POSITION, *[f"`{c}`" for c in columns], BAD_LINE, "reject_reason")
+
+
+def with_reasons(raw: DataFrame, spec: FeedSpec, key_policy: str = "exact") -> DataFrame:
+    """Stored values of every row with ``reject_reason``: wrong field count, repeated key, or NULL when good."""
+    return _marked(raw, spec, key_policy).select(*POSITION, *spec.coercions(), BAD_LINE, "reject_reason")
 
 
 def quarantine(raw: DataFrame, spec: FeedSpec, key_policy: str = "exact") -> DataFrame:
     """The rows a load sets aside, as text, with the reason."""
-    bad = raw.filter(F.col(BAD_LINE).isNotNull()).withColumn("reject_reason", F.lit(FIELDS))
-    if not spec.keys:
-        return bad
-    fitting = raw.filter(F.col(BAD_LINE).isNull())
-    kept = good_rows(raw, spec, key_policy).select(*POSITION)
-    repeated = fitting.join(kept, list(POSITION), "left_anti").withColumn("reject_reason", F.lit(DUPLICATE))
-    return bad.unionByName(repeated)
+    return _marked(raw, spec, key_policy).filter("reject_reason IS NOT NULL")
 
 
 def load_counts(reasons: DataFrame) -> DataFrame:
@@ -122,18 +131,35 @@ def _load(
     transform: Callable[[DataFrame], DataFrame] | None,
     key_policy: str,
 ) -> LoadReport:
+    base = table.version()
     rejects.overwrite(quarantine(raw, spec, key_policy))
     missed = rejects.read().count()
-    staged = table.stage(good_rows(raw, spec, key_policy).drop(*POSITION))
-    completed = spark.read.schema(spec.schema()).parquet(f"{table.path}/data/{staged.folder}").count()
+    staged = table.stage(good_rows(raw, spec, key_policy).drop(*POSITION), base)
+    completed = table.staged(staged, spec.schema()).count()
     if completed:
+        if transform is None and spec.after_import:
+            transform = after_import(spark, spec)
         if transform is not None:
-            loaded = spark.read.parquet(f"{table.path}/data/{staged.folder}")
-            staged = table.stage(transform(loaded))
+            loaded = staged
+            staged = table.stage(transform(table.staged(loaded)), base)
+            table.discard(loaded)
         table.commit(staged)
+    else:
+        table.discard(staged)
+    for kept in (table, rejects):
+        kept.expire()
     return LoadReport(spec.name, completed, missed)
 
 
+def after_import(spark: SparkSession, spec: FeedSpec) -> Callable[[DataFrame], DataFrame]:
+    """The registered statement that a load ends with, a SELECT over the feed's own name."""
+
+    def run(loaded: DataFrame) -> DataFrame:
+        return spark.sql(spec.after_import.replace(f"{{{spec.name}}}", "{loaded}"), loaded=loaded)
+
+    return run
+
+
 def load_due(
     spark: SparkSession,
     resources: DataFrame,
@@ -144,23 +170,26 @@ def load_due(
     at: str | None = None,
     root: str = "",
     workers: int = 4,
+    key_policy: str = "exact",
 ) -> list[LoadReport]:
     """Load all active feeds, the ones due at ``at`` (``which='auto'``), or the named one.
 
-    Feeds are independent Spark jobs run side by side; one that fails does not stop the others.
+    Feeds are independent Spark jobs run side by side; one that fails, or whose record cannot
+    be read, is reported and does not stop the others.
     """
     listed = active(resources, sources, services, None if which in ("all", "auto") else which)
     if which == "auto":
         if at is None:
             raise ValueError("auto needs the time, as HH:MM")
         listed = due(listed, at)
-    specs = [FeedSpec.from_record(row.asDict()) for row in listed.toLocalIterator()]
+    records = [row.asDict() for row in listed.toLocalIterator()]  # one per registered feed
 
-    def one(spec: FeedSpec) -> LoadReport:
+    def one(record: dict) -> LoadReport:
         try:
-            return load_feed(spark, spec, warehouse, root + spec.path)
+            spec = FeedSpec.from_record(record)
+            return load_feed(spark, spec, warehouse, root + spec.path, key_policy=key_policy)
         except Exception as error:  # reported per feed
-            return LoadReport(spec.name, 0, 0, str(error))
+            return LoadReport(str(record.get("local_name")), 0, 0, str(error))
 
     with ThreadPoolExecutor(workers) as pool:
-        return list(pool.map(one, specs))
+        return list(pool.map(one, records))

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedweave.sources.schema import FeedSpec
 
@@ -45,6 +46,11 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("value", clean_line(F.col("value"))).filter("value != ''")
 
 
+def clean_records(lines: DataFrame) -> DataFrame:
+    """Records without byte order mark and final line break; those within quotes stay. Blank ones are dropped."""
+    return lines.withColumn("value", F.regexp_replace("value", "^\ufeff|[\r\n]+$", "")).filter("value != ''")
+
+
 def read_lines(spark: SparkSession, path: str | Sequence[str], skip: int = 0) -> DataFrame:
     """Non-blank lines with their position, without the first ``skip`` lines of each file.
 
@@ -55,23 +61,43 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], skip: int = 0) ->
 
 
 def drop_leading(lines: DataFrame, n: int) -> DataFrame:
-    """Drop the first ``n`` lines of each file, counted by the task that reads its start."""
-
-    def drop(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        passed: dict[str, int] = {}
-        for batch in batches:
-            start = batch[batch["_block"] == 0]
-            rank = start.groupby("_file", sort=False).cumcount() + start["_file"].map(passed).fillna(0)
-            for file, count in start["_file"].value_counts().items():
-                passed[file] = passed.get(file, 0) + int(count)
-            yield batch.drop(index=rank.index[rank < n])
+    """Drop the first ``n`` lines of each file.
 
-    return lines.mapInPandas(drop, lines.schema)
+    They lie at the start of a file's first split or splits; of each file only the ``n`` first
+    positions of every task travel, and the others are compared with the last of them.
+    """
+    place = F.struct("_block", "_row").alias("_place")
+    order = Window.partitionBy("_file").orderBy("_place")
+    heads = lines.select("_file", place).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= n)
+    last = heads.groupBy("_file").agg(F.max("_place").alias("_last"))
+    joined = lines.join(last, "_file").filter(F.struct("_block", "_row") > F.col("_last"))
+    return joined.select(*lines.columns)
 
 
 def line_window(lines: DataFrame, start: int, n: int) -> DataFrame:
-    """A sample of a feed: lines ``start`` to ``start + n`` in file order, blank ones left out."""
-    return clean_lines(lines.orderBy(*POSITION).offset(start).limit(n))
+    """A sample of a feed: lines ``start`` to ``start + n`` in file order, blank ones left out.
+
+    Lines are counted by file and split; the counts tell in which splits the window lies, and
+    only their lines are ordered.
+    """
+    split = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    counted = lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_lines"))
+    placed = counted.withColumn("_before", F.coalesce(F.sum("_lines").over(split), F.lit(0)))
+    touched = placed.filter((F.col("_before") < start + n) & (F.col("_before") + F.col("_lines") > start))
+    within = Window.partitionBy("_file", "_block").orderBy("_row")
+    numbered = lines.join(touched, ["_file", "_block"]).withColumn("_at", F.col("_before") + F.row_number().over(within) - 1)
+    kept = numbered.filter((F.col("_at") >= start) & (F.col("_at") < start + n))
+    return clean_lines(kept.select(*lines.columns))
+
+
+def open_quote(delimiter: str, enclosure: str) -> str:
+    """The pattern of a line that ends within a quoted field, for Java and Python alike.
+
+    Quotes count where a field begins with one; a doubled one stands for itself.
+    """
+    d, e = re.escape(delimiter), re.escape(enclosure)
+    quoted = f"{e}[^{e}]*+(?:{e}{e}[^{e}]*+)*+"
+    return f"^(?:(?:{quoted}{e}[^{d}]*+|(?!{e})[^{d}]*+){d})*+{quoted}$"
 
 
 def csv_options(spec: FeedSpec) -> dict[str, str]:
@@ -91,43 +117,59 @@ def csv_options(spec: FeedSpec) -> dict[str, str]:
 
 
 def parse_lines(lines: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Lines split into the feed's columns, still text; ``_bad_line`` holds lines that do not fit."""
+    """Records split into the feed's columns, still text; ``_bad_line`` holds records that do not fit.
+
+    A record whose last quote is never closed does not fit, whatever its field count.
+    """
     fields = ", ".join(f"`{field.name}` string" for field in spec.raw_schema(BAD_LINE))
+    broken = F.col("value").rlike(open_quote(spec.delimiter, spec.enclosure))
     # As a generator's output the split line is computed once; as a plain column Spark would
     # copy the splitting into every filter on it.
-    split = F.inline(F.array(F.from_csv("value", fields, csv_options(spec))))
-    return lines.select(*[c for c in lines.columns if c != "value"], split)
+    split = F.inline(F.array(F.struct(F.from_csv("value", fields, csv_options(spec)).alias("_fields"), F.when(broken, F.col("value")).alias("_open"))))
+    rest = [c for c in lines.columns if c != "value"]
+    names = [F.col("_fields")[name].alias(name) for name, _ in spec.columns]
+    return lines.select(*rest, split).select(*rest, *names, F.coalesce("_open", F.col("_fields")[BAD_LINE]).alias(BAD_LINE))
 
 
 def read_feed(spark: SparkSession, spec: FeedSpec, path: str | None = None) -> DataFrame:
     """The feed's columns as text with position and ``_bad_line``.
 
-    A plain feed without junk lines goes through the csv reader, which drops a header by
-    itself. Junk lines and archives go line by line.
+    With ``multi_line``, records are put together from a file's lines by the one task that
+    streams it, archives included. Without it, files are split among tasks line by line.
     """
     path = path or spec.path
     unknown = set(spec.conversion) - {"zip", "gz", "csv"}
     if unknown:
         raise ValueError(f"cannot unpack {', '.join(sorted(unknown))}")
     packed = [step for step in spec.conversion if step != "csv"]
-    if not packed or packed == ["gz"]:
-        if not spec.skip_lines:
-            reader = spark.read.schema(spec.raw_schema(BAD_LINE)).options(**csv_options(spec))
-            names = [f"`{name}`" for name, _ in spec.columns]
-            # Spark refuses to read the bad-line column alone, as a mere count would; the
-            # always true condition ties it to a data column.
-            bad = F.when(F.length(F.concat_ws("", BAD_LINE, names[0])) >= 0, F.col(BAD_LINE)).alias(BAD_LINE)
-            return reader.csv(path, header=spec.header, multiLine=spec.multi_line).select(*_positions(), *names, bad)
-        lines = read_lines(spark, path, spec.skip_lines + int(spec.header))
-    else:
-        files = spark.read.format("binaryFile").load(path).select("path", "content")
-        lines = archive_lines(files, packed, spec.encoding)
-        lines = clean_lines(lines.filter(F.col("_row") >= spec.skip_lines + int(spec.header)))
-    return parse_lines(lines, spec)
+    skip = spec.skip_lines + int(spec.header)
+    if not spec.multi_line and packed in ([], ["gz"]):
+        return parse_lines(read_lines(spark, path, skip), spec)
+    files = packed_files(spark, path)
+    ends = (spec.delimiter, spec.enclosure) if spec.multi_line else None
+    clean = clean_records if spec.multi_line else clean_lines
+    return parse_lines(clean(archive_lines(files, packed, spec.encoding, skip, ends)), spec)
+
+
+#: Larger files are opened by path where they are read; smaller ones come as one cell.
+CELL_BYTES = 256 << 20
+
+
+def packed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, content) of files; content is NULL for those too large for a cell."""
+    files = spark.read.format("binaryFile").load(path)
+    large = files.filter(F.col("length") > CELL_BYTES).select("path", F.lit(None).cast("binary").alias("content"))
+    return files.filter(F.col("length") <= CELL_BYTES).select("path", "content").unionAll(large)
 
 
-def _open(content: bytes, steps: Sequence[str], encoding: str) -> io.TextIOWrapper:
-    stream: io.IOBase = io.BytesIO(content)
+def _open(path: str, content: bytes | None, steps: Sequence[str], encoding: str) -> io.TextIOWrapper:
+    if content is None:
+        from pyarrow import fs
+
+        store, name = fs.FileSystem.from_uri(path)
+        stream: io.IOBase = store.open_input_file(name)
+    else:
+        stream = io.BytesIO(content)
     for step in steps:
         if step == "zip":
             archive = zipfile.ZipFile(stream)
@@ -136,25 +178,54 @@ def _open(content: bytes, steps: Sequence[str], encoding: str) -> io.TextIOWrapp
             stream = gzip.GzipFile(fileobj=stream)
         elif step != "csv":
             raise ValueError(f"cannot unpack {step}")
+    if path.endswith(".gz") and "gz" not in steps:
+        stream = gzip.GzipFile(fileobj=stream)
     return io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="\n")
 
 
-def archive_lines(files: DataFrame, steps: Sequence[str], encoding: str = "UTF-8") -> DataFrame:
-    """Lines of packed files (``path``, ``content``), unpacked step by step.
+#: A quote that is still open after so many characters ends its record, which is then a reject.
+LONGEST_RECORD = 1 << 20
+
+
+def records(lines: Iterator[str], opened: re.Pattern, enclosure: str) -> Iterator[tuple[int, str]]:
+    """(number of the first line, record): lines are joined while a quoted field is open."""
+    held, size, first = [], 0, 0
+    for number, line in enumerate(lines):
+        if not held:
+            first = number
+        body = line.rstrip("\r\n")
+        held.append(line)
+        size += len(line)
+        if opened.match(body if len(held) == 1 else enclosure + body) and size <= LONGEST_RECORD:
+            continue
+        yield first, "".join(held)
+        held, size = [], 0
+    if held:
+        yield first, "".join(held)
+
+
+def archive_lines(
+    files: DataFrame, steps: Sequence[str], encoding: str = "UTF-8", skip: int = 0, ends: tuple[str, str] | None = None,
+) -> DataFrame:
+    """Lines of packed files (``path``, ``content``), unpacked step by step, without the first ``skip``.
 
-    An archive cannot be split, so one task reads it, but as a stream: only the packed bytes
-    and one batch of lines are in memory. Of a zip, the first entry counts.
+    With ``ends``, a delimiter and an enclosure, whole records: line breaks within quotes stay
+    in them. An archive cannot be split, so one task reads it, but as a stream: only a small
+    file's packed bytes and one batch of lines are in memory. Of a zip, the first entry counts.
     """
     steps = list(steps)
+    opened = re.compile(open_quote(*ends)) if ends else None
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple[str, int, int, str]] = []
         size = 0
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                with _open(content, steps, encoding) as text:
-                    for number, line in enumerate(text):
-                        rows.append((path, 0, number, line))
+                with _open(path, content, steps, encoding) as text:
+                    for _ in range(skip):
+                        next(text, None)
+                    for number, line in records(text, opened, ends[1]) if ends else enumerate(text):
+                        rows.append((path, 0, skip + number, line))
                         size += len(line)
                         if len(rows) == BATCH_LINES or size > BATCH_CHARS:
                             yield pd.DataFrame(rows, columns=LINE_COLUMNS)

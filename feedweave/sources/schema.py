@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedweave.functions.coerce import cut, lenient_date, lenient_float, lenient_int, round_money, trim_blanks
+from feedweave.operators.profile import header_names
 
 # Ids and names of the column types, and the text length of a String.
 COLUMN_TYPES = {1: "String", 2: "Integer", 3: "Float", 4: "Date", 5: "Description"}
@@ -26,7 +27,12 @@ ARROW = "→"  # separates the steps of a conversion rule
 
 @dataclass(frozen=True)
 class FeedSpec:
-    """A registered feed. ``bad_date`` and ``decimal_comma`` are explained at the coercions."""
+    """A registered feed. ``bad_date`` and ``decimal_comma`` are explained at the coercions.
+
+    Quoted fields may hold line breaks; a file is then read by one task. ``multi_line=False``
+    lets tasks share a file of one line per record; a line with an open quote is a reject.
+    ``after_import`` is a SELECT over ``{<name>}`` whose rows replace the loaded ones.
+    """
 
     name: str
     columns: tuple[tuple[str, str], ...]
@@ -37,10 +43,11 @@ class FeedSpec:
     header: bool = False
     skip_lines: int = 0
     conversion: tuple[str, ...] = ("csv",)
-    multi_line: bool = False
+    multi_line: bool = True
     encoding: str = "UTF-8"
     bad_date: str = "epoch"
     decimal_comma: bool = False
+    after_import: str = ""
 
     def __post_init__(self) -> None:
         unknown = [kind for _, kind in self.columns if kind not in SPARK_TYPES]
@@ -53,6 +60,14 @@ class FeedSpec:
         if missing:
             raise ValueError(f"key columns {missing} are not in the feed")
 
+    @staticmethod
+    def from_header(name: str, header: str, kinds: Mapping[str, str] | None = None, **options: Any) -> FeedSpec:
+        """The spec of a file whose first line names its columns; ``kinds`` gives types other than String."""
+        delimiter, enclosure = options.get("delimiter", ";"), options.get("enclosure", '"')
+        names = header_names(header, delimiter, enclosure)
+        kinds = kinds or {}
+        return FeedSpec(name, tuple((n, kinds.get(n, "String")) for n in names), header=True, **options)
+
     @staticmethod
     def from_record(record: Mapping[str, Any]) -> FeedSpec:
         """The spec a registry row describes."""
@@ -68,6 +83,7 @@ class FeedSpec:
             header=bool(record["csv_header_row"]),
             skip_lines=int(record["empty_lines"] or 0),
             conversion=tuple(step.strip() for step in (record["conversion_rule"] or "csv").split(ARROW)),
+            after_import=record.get("sql_after_import") or "",
         )
 
     def raw_schema(self, bad_line: str) -> T.StructType:

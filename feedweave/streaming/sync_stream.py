@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,10 +31,17 @@ def sync_stream(
     checkpoint: str,
     now: datetime | None = None,
     delete_missing: bool = False,
+    order: Sequence[str] = (),
+    locked: Callable[[], DataFrame] | None = None,
+    max_delete_fraction: float | None = None,
 ) -> StreamingQuery:
     """Apply what has arrived since the last run, then stop.
 
-    A batch holds only new files, so keys it lacks stay unless ``delete_missing`` is set.
+    A batch holds only new files, so keys it lacks stay unless ``delete_missing`` is set. Of
+    a key's rows within a batch the last under ``order`` stays, and between batches the later
+    batch's, as rows applied in turn would leave them. ``locked`` gives the locked tables as
+    they are when a batch begins; a locked target ends the stream, whose batch is then
+    repeated by the next run.
     Each commit records stream and batch, so a batch replayed after a failure is skipped,
     while a stream started afresh on a new checkpoint folder is not mistaken for the old one.
     """
@@ -44,7 +52,10 @@ def sync_stream(
             return
         stamp = now or datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
         note = f"{stream_id} {batch_id}"
-        run_sync(batch.sparkSession, batch, table, target, stamp, delete_missing=delete_missing, note=note)
+        run_sync(
+            batch.sparkSession, batch, table, target, stamp, locked=locked() if locked else None, delete_missing=delete_missing,
+            max_delete_fraction=max_delete_fraction, note=note, order=order,
+        )
 
     return (
         stream.writeStream.foreachBatch(apply)

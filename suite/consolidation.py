@@ -2,29 +2,39 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Window, functions as F
 
 from feedweave.functions.keys import availability_rank, row_key
 from feedweave.operators.lookup import join_lookup
 from feedweave.operators.pick import best_per, collapse_by, concat_ranked, ordering
 from feedweave.plans import flat
-from feedweave.plans.branches import CG, ES, FO, IN, OWN, OWN_CODE, PRODUCT
+from feedweave.plans.branches import CG, ES, FO, IN, OWN, OWN_CODE
 from suite import query, read
 from suite.feeds import Tables, from_given, twin, with_feeds
 
 # SQL twins ------------------------------------------------------------------------------
 
+#: The product's columns and their types, as the targets' DDL has them.
+KINDS = dict(re.findall(r"(\w+) (\w+(?:\(\d+,\d+\))?)", """
+    name varchar, EAN varchar, part_number varchar, code varchar, original_cat_id varchar, original_subcat_id varchar, cat_id varchar,
+    subcat_id varchar, original_manufacturer_id varchar, manufacturer_id varchar, enduser_price decimal(14,2),
+    internal_availability int, external_availability int, in_arrival int, arrival_date date, source varchar, state varchar,
+    promo varchar, width decimal(12,2), height decimal(12,2), depth decimal(12,2), weight decimal(12,2), min_orderable_qty int,
+    priority int, retailers_price decimal(14,2), list_price decimal(14,2)"""))
+
 # Ties: stock, then every column known before the late lookups, the article, then those lookups.
 LATE = {"M": (), "FO": ("code",), "ES": ("arrival_date", "code"), "IN": ("enduser_price", "retailers_price", "code"), "CG": ("code",)}
 
 
 def ties(source: str) -> str:
-    early = [c for c in PRODUCT if c not in ("source", "priority", *LATE[source])]
+    early = [c for c in KINDS if c not in ("source", "priority", *LATE[source])]
     article = ["article"] if source in ("ES", "IN") else []
     return "external_availability DESC NULLS LAST, " + ", ".join(f"{c} ASC NULLS FIRST" for c in [*early, *article, *LATE[source]])
 
 
-MONEY = {c for c, kind in PRODUCT.items() if kind.startswith("decimal")}
+MONEY = {c for c, kind in KINDS.items() if kind.startswith("decimal")}
 
 
 def shown(columns, prefix: str = "") -> str:
@@ -62,13 +72,46 @@ JOINED = {
             AND concat_ws('$', codice_categoria, codice_sottocategoria) = feed_subcat_id
         {CODES.format(part='codice_articolo_fornitore')}""",
 }
-# Columns the library fills after the pick, over the written-out joins.
-FROM_JOINS = {
-    "M": {},
-    "FO": {"code": "codart"},
-    "ES": {"code": "codart", "arrival_date": "es_arrivals.arrival_date"},
-    "IN": {"code": "codart", "enduser_price": "custom_price + coalesce(siae, 0)", "retailers_price": "custom_price + coalesce(siae, 0)"},
-    "CG": {"code": "codart"},
+# What each feed puts into the product columns, worded here once more and apart from the
+# library, so that a mistake there shows. The feeds' column names.
+MAPPED = {
+    "M": """name desart, EAN EAN, part_number codfor, code codart, original_cat_id clin1, original_subcat_id clin2, cat_id clin1,
+        subcat_id clin2, original_manufacturer_id cpro, manufacturer_id cpro, enduser_price PREART3, internal_availability disp,
+        external_availability 0, in_arrival OFOR, arrival_date DTFOR, state stato, promo promo, weight peso, priority 2,
+        retailers_price PREART2, list_price PREART4""",
+    "FO": """name Descr, EAN EAN, part_number Cod, code codart, original_cat_id Linea, original_subcat_id Famiglia, cat_id cat_id,
+        subcat_id subcat_id, original_manufacturer_id Marca, manufacturer_id manufacturer_id, enduser_price Prezzo,
+        internal_availability 0, external_availability Disponibili, in_arrival 0, weight Peso, min_orderable_qty 0, priority 0,
+        retailers_price Prezzo, list_price Prezzo""",
+    "ES": """name descrizione, EAN codiceEAN, part_number codiceProduttore, code codart, original_cat_id catMerc,
+        original_subcat_id fam, cat_id cat_id, subcat_id subcat_id, original_manufacturer_id prod, manufacturer_id manufacturer_id,
+        enduser_price raee+prezzoRivenditore, internal_availability 0, external_availability dispo, in_arrival arrivi,
+        arrival_date es_arrivals.arrival_date, width lunghezza, height altezza, depth profondita, weight pesoLordo,
+        min_orderable_qty qtaMinimaOrd, priority 0, retailers_price raee+prezzoRivenditore, list_price prezzolistino""",
+    "IN": """name ingram_part_description_1, EAN nullif(coalesce(upc_code,'9999999999999'),'9999999999999'),
+        part_number vendor_part_number, code codart, original_cat_id ingram_cat_subcat[1:2], original_subcat_id ingram_cat_subcat[3:4],
+        cat_id cat_id, subcat_id subcat_id, original_manufacturer_id vendor_number, manufacturer_id manufacturer_id,
+        enduser_price coalesce(siae,0)+custom_price, internal_availability 0, external_availability availability, in_arrival ordered,
+        arrival_date arrival_date, width width, height height, depth length, weight weight, min_orderable_qty 1, priority 0,
+        retailers_price coalesce(siae,0)+custom_price, list_price retail_price""",
+    "CG": """name descrizione, EAN '', part_number codice_articolo_fornitore, code codart, original_cat_id codice_macrocategoria,
+        original_subcat_id concat_ws('$',codice_categoria,codice_sottocategoria), cat_id cat_id, subcat_id subcat_id,
+        original_manufacturer_id produttore, manufacturer_id manufacturer_id,
+        enduser_price "contr.raee"+"contr.siae"+prezzo_netto, internal_availability 0, external_availability immediata,
+        in_arrival futura-immediata, width 0, height 0, depth 0, weight 0, min_orderable_qty 1, priority 0,
+        retailers_price "contr.raee"+"contr.siae"+prezzo_netto, list_price prezzo_listino""",
+}
+#: By feed: what its offers rank by, availability and price.
+RANKING = {
+    "M": ("disp", "PREART3"), "FO": ("Disponibili", "Prezzo"), "ES": ("dispo", "prezzoRivenditore"),
+    "IN": ("availability", "custom_price"), "CG": ("immediata", "prezzo_netto"),
+}
+KEPT = {"M": "codfor <> ''", "ES": "tipo <> 'N' AND (greatest(dispo, arrivi) > 0 OR stato <> 'C')"}
+TABLES_OF = {
+    "M": ["own_list"], "FO": ["fo_list", "fo_manufacturers", "fo_categories", "own_codes"],
+    "ES": ["es_list", "es_manufacturers", "es_categories", "own_codes", "es_arrivals"],
+    "IN": ["in_list", "in_manufacturers", "in_categories", "in_stock", "own_codes", "in_fees"],
+    "CG": ["cg_list", "cg_manufacturers", "cg_categories", "own_codes"],
 }
 ARTICLE = {"ES": "es_list.codice", "IN": "in_list.ingram_part_number"}
 BRANCHES = {"M": OWN, "FO": FO, "ES": ES, "IN": IN, "CG": CG}
@@ -76,14 +119,15 @@ BRANCHES = {"M": OWN, "FO": FO, "ES": ES, "IN": IN, "CG": CG}
 
 def rows(source: str) -> str:
     """All offers of a feed in product shape, before any pick; ``a`` and ``p`` rank them."""
-    branch = BRANCHES[source]
-    values = {"source": f"'{source}'", "priority": str(branch.priority), **branch.columns, **FROM_JOINS[source]}
-    columns = [f"CAST({values.get(c, 'NULL')} AS {kind}) AS {c}" for c, kind in PRODUCT.items()]
-    columns += [f"{branch.available} AS a", f"{branch.price} AS p"]
+    values = dict(part.split(None, 1) for part in re.split(r",\s+", MAPPED[source]))
+    values["source"] = f"'{source}'"
+    if source == "IN":  # an unknown or a sentinel barcode is blank
+        values["EAN"] = f"coalesce({values['EAN']}, '')"
+    columns = [f"CAST({values.get(c, 'NULL')} AS {kind}) AS {c}" for c, kind in KINDS.items()]
+    columns += [f"{what} AS {name}" for what, name in zip(RANKING[source], "ap")]
     if source in ARTICLE:
         columns.append(f"{ARTICLE[source]} AS article")
-    sql = f"SELECT {', '.join(columns)} FROM {JOINED[source]}" + (f" WHERE {branch.where}" if branch.where else "")
-    return sql.replace("`", '"')
+    return f"SELECT {', '.join(columns)} FROM {JOINED[source]}" + (f" WHERE {KEPT[source]}" if source in KEPT else "")
 
 
 def picked(source: str, price: str = "DESC NULLS LAST") -> str:
@@ -98,7 +142,7 @@ def picked(source: str, price: str = "DESC NULLS LAST") -> str:
 
 
 def needs(sources) -> list[str]:
-    return list(dict.fromkeys(t for s in sources for t in BRANCHES[s].tables()))
+    return list(dict.fromkeys(t for s in sources for t in TABLES_OF[s]))
 
 
 CROSS = """priority DESC, CASE WHEN external_availability > 0 THEN 1 ELSE 0 END DESC,
@@ -122,7 +166,7 @@ def flat_parts(sources, price: str = "DESC NULLS LAST") -> list[str]:
     ]
 
 
-PRODUCTS = ["id", *[c for c in PRODUCT if c != "priority"]]
+PRODUCTS = ["id", *[c for c in KINDS if c != "priority"]]
 DEFAULT = ("M", "FO", "ES", "IN")
 
 
@@ -130,6 +174,8 @@ def flat_sql(sources=DEFAULT, price: str = "DESC NULLS LAST", columns=PRODUCTS,
     return f"{with_feeds(needs(sources), *flat_parts(sources, price))}\nSELECT {shown(columns, prefix)} FROM products"
 
 
+RESTRICTED = "id external_availability in_arrival arrival_date min_orderable_qty source retailers_price".split()
+
 # Full and restricted consolidation ------------------------------------------------------
 
 @query(flat_sql())
@@ -152,13 +198,13 @@ def flat_with_suspended(spark, sf_dir):
     return flat.consolidate(Tables(spark, sf_dir), flat.chosen(["M", "FO", "ES", "IN", "CG"]))
 
 
-@query(flat_sql(("IN",), columns=flat.RESTRICTED_FIELDS, prefix="b2b_"))
+@query(flat_sql(("IN",), columns=RESTRICTED, prefix="b2b_"))
 def flat_prefixed(spark, sf_dir):
     return flat.restricted(Tables(spark, sf_dir))
 
 
 def source_sql(source: str) -> str:
-    return f"{with_feeds(needs([source]))}\nSELECT {shown(PRODUCT)} FROM ({picked(source)})"
+    return f"{with_feeds(needs([source]))}\nSELECT {shown(KINDS)} FROM ({picked(source)})"
 
 
 def branch_query(name: str, source: str) -> None:
@@ -174,10 +220,9 @@ for _name, _source in (
     branch_query(_name, _source)
 
 
-MARKS = " ".join(f"WHEN '{family}' THEN replace(CODFOR, '{mark}', '')" for family, mark in flat.CLOTHING_MARKS.items())
-CLOTHING_SQL = f"""
-    SELECT * REPLACE (CASE FAM {MARKS} ELSE CODFOR END AS CODFOR), CODART AS id FROM clothing_list
-    WHERE list_contains({list(flat.CLOTHING_FAMILIES)}, FAM) AND list_contains({list(flat.CLOTHING_SUBFAMILIES)}, SOTTOFAM)"""
+CLOTHING_SQL = """
+    SELECT * REPLACE (regexp_replace(CODFOR, if(FAM = '526', 'PU', if(FAM = '501', 'NK', '^$')), '', 'g') AS CODFOR), CODART AS id
+    FROM clothing_list WHERE regexp_full_match(FAM, '5(98|28|26|01)') AND regexp_full_match(SOTTOFAM, '00[16]')"""
 
 
 @query(f"{with_feeds(['clothing_list'])} SELECT * REPLACE (CAST(PREZZO AS DOUBLE) AS PREZZO) FROM ({CLOTHING_SQL})")
@@ -254,7 +299,7 @@ def concat_codes(spark, sf_dir):
     return best_per(codes, ["part_no"], across_order()).select("part_no", "codes")
 
 
-UNION_SQL = f"{with_feeds(needs(DEFAULT))}\nSELECT {shown(PRODUCT)} FROM (" + " {op} BY NAME ".join(f"({picked(s)})" for s in DEFAULT) + ")"
+UNION_SQL = f"{with_feeds(needs(DEFAULT))}\nSELECT {shown(KINDS)} FROM (" + " {op} BY NAME ".join(f"({picked(s)})" for s in DEFAULT) + ")"
 
 
 @query(UNION_SQL.replace("{op}", "UNION ALL"))

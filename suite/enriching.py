@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from feedweave.functions.paths import without_login
 from feedweave.operators import catalogue, diff
 from feedweave.operators.lookup import Lookup, join_lookup
+from feedweave.plans import enrich
+from feedweave.session import scratch_dir
+from feedweave.sources.versioned import VersionedTable
 from suite import query
 from suite.feeds import from_given, twin
 
@@ -96,6 +99,17 @@ def enrich_replace(spark, sf_dir):
     return diff.replace_into(from_given(spark, sf_dir, ENTRIES), hits, "id")
 
 
+@query(f"""SELECT id, path, high_pic, short_desc FROM ({HITS})
+    UNION ALL SELECT * FROM ({twin(ENTRIES)}) e WHERE e.id NOT IN (SELECT id FROM ({HITS}))""")
+def enrich_run(spark, sf_dir):
+    """The whole run over a stored table: candidates, look-up, replacement, commit."""
+    table = VersionedTable(spark, scratch_dir(spark, "enrich_run"))
+    table.overwrite(from_given(spark, sf_dir, ENTRIES))
+    products, manufacturers, entries = (from_given(spark, sf_dir, sql) for sql in (PRODUCTS, MANUFACTURERS, CATALOGUE))
+    enrich.run_enrichment(spark, products, manufacturers, table, entries, FIELDS)
+    return table.read()
+
+
 # Catalogue documents, one per part, with escaped text and a few broken ones.
 DOCUMENTS = """
     SELECT p_partkey, CASE WHEN p_partkey % 29 = 0 THEN '<broken' ELSE concat('<Catalogue><Product Code=~', CASE WHEN p_partkey % 4 = 0 THEN '-1' ELSE '1' END,

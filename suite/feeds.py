@@ -34,7 +34,7 @@ FEEDS = {
         SELECT CASE WHEN l_partkey % 41 = 0 THEN '' ELSE concat('P', CAST(l_partkey AS STRING)) END AS codfor,
                concat(CASE WHEN l_linenumber = 1 THEN 'H' WHEN l_linenumber = 2 THEN 'R' ELSE 'C' END,
                       CAST(l_suppkey AS STRING)) AS codart
-        FROM {lineitem} WHERE l_returnflag = 'R' AND l_quantity > 40""",
+        FROM {lineitem}""",
     "fo_list": f"""
         SELECT p_name AS Descr,
                CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE concat('EAN', CAST(p_partkey % 700 AS STRING)) END AS EAN,

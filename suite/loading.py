@@ -6,6 +6,7 @@ import gzip
 import io
 import sys
 import zipfile
+from functools import reduce
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -15,7 +16,7 @@ from feedweave.functions import coerce as c
 from feedweave.operators import diff, profile
 from feedweave.session import scratch_dir
 from feedweave.sources import load
-from feedweave.sources.reader import archive_lines, clean_lines, line_window, parse_lines, read_feed
+from feedweave.sources.reader import archive_lines, clean_lines, clean_records, line_window, parse_lines, read_feed, read_lines
 from feedweave.sources.schema import FeedSpec
 from suite import query, read
 from suite.feeds import from_given, twin
@@ -82,10 +83,10 @@ def round_money(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", c.round_money(x).alias("x"))
 
 
-@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_tax > 0 THEN CAST(least(l_partkey * 3000000, 2147483647) AS INTEGER) END AS n, substr(concat(l_returnflag, l_shipdate::DATE::VARCHAR), 1, 8) AS t FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN l_tax > 0 THEN CAST(round(least(l_partkey * 3000000 + l_extendedprice, 2147483647)) AS INTEGER) END AS n, substr(concat(l_returnflag, l_shipdate::DATE::VARCHAR), 1, 8) AS t FROM lineitem")
 def cut_clamp(spark, sf_dir):
     text = F.concat("l_returnflag", F.col("l_shipdate").cast("date").cast("string"))
-    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", c.clamp_int(F.when(F.col("l_tax") > 0, F.col("l_partkey") * 3000000)).alias("n"), c.cut(text, 8).alias("t"))
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", c.clamp_int(F.when(F.col("l_tax") > 0, F.col("l_partkey") * 3000000 + F.col("l_extendedprice"))).alias("n"), c.cut(text, 8).alias("t"))
 
 
 GAPS = """
@@ -210,7 +211,7 @@ def with_junk(lines: DataFrame) -> DataFrame:
         yield pd.DataFrame({"value": ["code;price;day;status;note"]})
         yield from batches
 
-    return lines.select("value").repartition(4).mapInPandas(add, "value string")
+    return lines.select("value").mapInPandas(add, "value string")
 
 
 @query(FILE_ROWS)
@@ -224,7 +225,7 @@ def read_skip_lines(spark, sf_dir):
 def read_and_load(spark, sf_dir):
     """The whole load into versioned tables. One file, so that file order is the row order."""
     folder = scratch_dir(spark, "load")
-    ordered = raw_lines(spark, sf_dir).repartitionByRange(4, "_row").sortWithinPartitions("_row")
+    ordered = raw_lines(spark, sf_dir).repartitionByRange("_row").sortWithinPartitions("_row")
     ordered.select("value").write.text(f"{folder}/in")
     load.load_feed(spark, SPEC, f"{folder}/tables", f"{folder}/in")
     return load.VersionedTable(spark, f"{folder}/tables/{SPEC.name}").read(SPEC.schema())
@@ -275,6 +276,94 @@ def read_conversion_chain(spark, sf_dir):
     return unpacked(spark, sf_dir, zipped_gzip, ["zip", "gz", "csv"])
 
 
+# Records over several lines: a document's id, its quoted text with all its line breaks, its language.
+
+DOCUMENT_SPEC = FeedSpec("documents", (("id", "String"), ("body", "Description"), ("lang", "String")), keys=("id",))
+DOCUMENT_RECORD = "concat(CAST(doc_id AS STRING), ';\"', replace(translate(text, '\\r\\0\\u000b\\ufeff', ''), '\"', '\"\"'), '\";', lang)"
+STORED_TEXT = r"trim(translate(text, concat(chr(13), chr(11), chr(65279)), ''), concat(' ', chr(9), chr(10)))"
+DOCUMENT_ROWS = f"SELECT CAST(doc_id AS VARCHAR) AS id, {STORED_TEXT} AS body, lang FROM documents"
+
+
+@query(DOCUMENT_ROWS)
+def read_multi_line(spark, sf_dir):
+    path = scratch_dir(spark, "multi")
+    read(spark, sf_dir, "documents").select(F.expr(DOCUMENT_RECORD)).write.text(path)
+    rows = load.coerced(read_feed(spark, DOCUMENT_SPEC, path), DOCUMENT_SPEC).filter("_bad_line IS NULL")
+    return rows.select("id", "body", "lang")
+
+
+@query(DOCUMENT_ROWS)
+def read_zip_multi_line(spark, sf_dir):
+    """Each document an archive of one record; the records are put together from the lines unpacked."""
+    files = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), zipped(F.expr(DOCUMENT_RECORD)).alias("content"))
+    records = clean_records(archive_lines(files, ["zip"], ends=(";", '"')))
+    rows = load.coerced(parse_lines(records, DOCUMENT_SPEC), DOCUMENT_SPEC).filter("_bad_line IS NULL")
+    return rows.select("id", "body", "lang")
+
+
+# Of each order one line; every seventh has a quote that is never closed.
+OPEN_LINES = """
+    SELECT 'open.csv' AS _file, CAST(0 AS BIGINT) AS _block, o_orderkey AS _row,
+           concat(CAST(o_orderkey AS STRING), ';', CASE WHEN o_orderkey % 7 = 0 THEN '~never closed' WHEN o_orderkey % 5 = 0 THEN '~a;b~~c~' ELSE '5~ disk' END) AS value
+    FROM {orders}"""
+
+
+@query("SELECT o_orderkey AS _row, CASE WHEN o_orderkey % 7 = 0 THEN 'fields' END AS reject_reason FROM orders")
+def load_open_quotes(spark, sf_dir):
+    spec = FeedSpec("open", (("id", "Integer"), ("note", "String")), multi_line=False)
+    lines = from_given(spark, sf_dir, OPEN_LINES.replace("~", '"'))
+    return load.with_reasons(parse_lines(lines, spec), spec).select("_row", "reject_reason")
+
+
+# Registered imports: three feeds of the same lines, one of them due, one with a statement after it.
+IMPORTED = f"SELECT code, price, status FROM ({first_lines('code')})"
+COLUMNS = '{"name":["code","price","day","status","note"],"type":[1,3,4,1,5]}'
+
+
+def imported(spark, sf_dir, **which) -> DataFrame:
+    folder = scratch_dir(spark, "import")
+    raw_lines(spark, sf_dir).repartitionByRange("_row").sortWithinPartitions("_row").select("value").write.text(f"{folder}/in/lines")
+    rows = [
+        (1, True, False, "/lines", "lines", 1, "csv", ";", '"', 0, False, '["code"]', COLUMNS, '["12:**"]', None),
+        (2, True, False, "/lines", "open_orders", 1, "csv", ";", '"', 0, False, '["code"]', COLUMNS, None,
+         "SELECT code, price, status FROM {open_orders} WHERE status = 'O'"),
+        (3, True, False, "/lines", "broken", 1, "csv", ";", '"', 0, False, '["code"]', "{", '["12:30"]', None),
+    ]
+    resources = spark.createDataFrame(
+        rows, "id long, active boolean, locked boolean, path string, local_name string, source_id long, conversion_rule string, "
+        "delimiter string, enclosure string, empty_lines int, csv_header_row boolean, indices string, columns string, sync_time string, sql_after_import string",
+    )
+    sources = spark.createDataFrame([(1, "lists", "host", 1)], "id long, name string, host string, service_id long")
+    services = spark.createDataFrame([(1, "local", "Local", None)], "id long, service string, name string, port int")
+    reports = load.load_due(spark, resources, sources, services, f"{folder}/tables", root=f"{folder}/in", **which)
+    tables = [
+        load.VersionedTable(spark, f"{folder}/tables/{r.feed}").read().select(F.lit(r.feed).alias("feed"), "code", "price", "status")
+        for r in reports if r.success
+    ]
+    failed = spark.createDataFrame([(r.feed,) for r in reports if not r.success], "feed string")
+    return reduce(DataFrame.unionByName, tables).unionByName(failed, allowMissingColumns=True)
+
+
+@query(f"SELECT 'lines' AS feed, code, price, status FROM ({IMPORTED}) UNION ALL SELECT 'broken', NULL, NULL, NULL")
+def import_due(spark, sf_dir):
+    return imported(spark, sf_dir, which="auto", at="12:30")
+
+
+@query(f"SELECT 'open_orders' AS feed, code, price, status FROM ({IMPORTED}) WHERE status = 'O'")
+def import_named(spark, sf_dir):
+    return imported(spark, sf_dir, which="open_orders")
+
+
+@query(f"SELECT code, price, day, status, note FROM ({GOOD_SQL})")
+def header_schema(spark, sf_dir):
+    """The spec comes from the header that every file begins with."""
+    path = scratch_dir(spark, "header")
+    with_junk(raw_lines(spark, sf_dir)).write.text(path)
+    header = read_lines(spark, path, 2).limit(1).first()["value"]
+    spec = FeedSpec.from_header("orders", header, {"price": "Float", "day": "Date", "note": "Description"}, skip_lines=2)
+    return good_of(spark, spec, path)
+
+
 # Profiling -------------------------------------------------------------------------------
 
 PROFILED = f"""SELECT code, price, day, status, note FROM (SELECT concat(CASE WHEN o_orderkey % 2 = 0 THEN 'C' ELSE 'c' END, o_custkey) AS code,
@@ -298,6 +387,13 @@ def field_count_histogram(spark, sf_dir):
     return profile.field_counts(raw_lines(spark, sf_dir))
 
 
+@query(f"""SELECT d AS delimiter, (length(bare) - length(replace(bare, d, '')) + 1)::INTEGER AS n_fields, count(*) AS n_lines
+    FROM (SELECT regexp_replace(value, '\\|[^|]*\\|', '', 'g') AS bare FROM ({LINES.replace('~', '|').replace('{orders}', 'orders')})),
+         (SELECT unnest([';', ',']) AS d) GROUP BY ALL""")
+def field_count_other_enclosure(spark, sf_dir):
+    return profile.field_counts(from_given(spark, sf_dir, LINES.replace("~", "|")), (";", ","), "|")
+
+
 @query(f"""SELECT _row, unnest(['code', 'status', 'note']) AS column_name, unnest([code, status, note]) AS value
     FROM (SELECT * FROM ({GOOD_SQL}) ORDER BY _row LIMIT 10)""")
 def head_sample(spark, sf_dir):

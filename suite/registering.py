@@ -112,7 +112,7 @@ def schedule_events(spark, sf_dir):
 
 # Preflight -------------------------------------------------------------------------------
 
-NEEDED = "SELECT DISTINCT concat('feed_', CAST(o_custkey AS STRING)) AS local_name FROM {orders} WHERE o_totalprice > 400000"
+NEEDED = "SELECT DISTINCT concat('feed_', CAST(o_custkey AS STRING)) AS local_name FROM {orders}"
 
 
 @query(f"SELECT local_name FROM ({twin(NEEDED)}) WHERE local_name IN (SELECT local_name FROM ({RES}) WHERE locked)")
@@ -141,20 +141,27 @@ def preflight_empty(spark, sf_dir):
 
 # Validation ------------------------------------------------------------------------------
 
-RULES = {k: v.replace("'", "''") for k, v in registry.RULES.items()}
+# The accepted forms, worded here once more and apart from the library.
+BAD_PATH = """path NOT LIKE '/%' OR path LIKE '%/' OR path LIKE '%//%' OR regexp_matches(path, '[^a-zA-Z0-9._/-]')"""
+NUMBERS = """len(string_split(host, '.')) = 4 AND list_bool_and(list_transform(string_split(host, '.'), lambda x:
+    try_cast(x AS INTEGER) BETWEEN 0 AND 255 AND CAST(try_cast(x AS INTEGER) AS VARCHAR) = x))"""
+LABELS = """list_bool_and(list_transform(string_split(host, '.'), lambda x: x <> '' AND NOT x LIKE '-%' AND NOT x LIKE '%-'
+    AND NOT regexp_matches(x, '[^a-zA-Z0-9-]')))"""
 
 
-@query(f"""SELECT 'path' AS column_name, 'path' AS rule, path AS value, id FROM ({RES}) WHERE NOT regexp_matches(path, '{RULES['path']}')
+@query(f"""SELECT 'path' AS column_name, 'path' AS rule, path AS value, id FROM ({RES}) WHERE {BAD_PATH}
     UNION ALL SELECT 'conversion_rule', 'string', conversion_rule, id FROM ({RES}) WHERE conversion_rule IS NULL OR conversion_rule = ''
     UNION ALL SELECT 'local_name', 'integer', local_name, id FROM ({RES}) WHERE try_cast(local_name AS DOUBLE) IS NULL
-    UNION ALL SELECT 'host', 'host', host, id FROM ({SRC}) WHERE host IS NULL OR NOT regexp_matches(host, '{RULES['host']}')""")
+    UNION ALL SELECT 'host', 'host', host, id FROM ({SRC}) WHERE host IS NULL OR NOT coalesce({NUMBERS}, false) AND NOT coalesce({LABELS}, false)""")
 def registry_violations(spark, sf_dir):
     listed, sources, _ = registry_tables(spark, sf_dir)
     broken = registry.violations(listed, "id", {"path": "path", "conversion_rule": "string", "local_name": "integer"})
     return broken.unionByName(registry.violations(sources, "id", {"host": "host"}))
 
 
-@query(f"SELECT id, pattern FROM (SELECT id, unnest(CAST(coalesce(sync_time, '[]')::JSON AS VARCHAR[])) AS pattern FROM ({RES})) WHERE regexp_matches(pattern, '{RULES['time']}')")
+@query(f"""SELECT id, pattern FROM (SELECT id, unnest(CAST(coalesce(sync_time, '[]')::JSON AS VARCHAR[])) AS pattern FROM ({RES}))
+    WHERE length(pattern) = 5 AND pattern[3] = ':' AND EXISTS (SELECT 1 FROM ({MINUTES})
+        WHERE regexp_full_match(time, replace(pattern, '*', '.')))""")
 def valid_times(spark, sf_dir):
     listed = F.from_json(F.coalesce("sync_time", F.lit("[]")), "array<string>")
     patterns = resources(spark, sf_dir).select("id", F.explode(listed).alias("pattern"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from feedweave.functions.coerce import strip_pound
 from feedweave.operators import diff
@@ -110,6 +111,54 @@ def replace_into(spark, sf_dir):
     return diff.replace_into(stored, from_given(spark, sf_dir, SOURCE).select("id", "o_totalprice"), "id")
 
 
+@query(f"""SELECT id, o_totalprice FROM ({twin(STORED)}) t WHERE id NOT IN (SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem)
+    UNION ALL SELECT CAST(l_orderkey AS VARCHAR), max(l_extendedprice) FROM lineitem GROUP BY l_orderkey""")
+def replace_into_repeated_keys(spark, sf_dir):
+    """Of several new rows of a key the greatest stays, so keys stay unique."""
+    stored = from_given(spark, sf_dir, STORED).select("id", "o_totalprice")
+    new = from_given(spark, sf_dir, "SELECT CAST(l_orderkey AS STRING) AS id, l_extendedprice AS o_totalprice FROM {lineitem}")
+    return diff.replace_into(stored, new, "id")
+
+
+# Lines applied in turn by ship date and line; the last one of an order stays, whatever its values.
+TURNS = """
+    SELECT CAST(l_orderkey AS STRING) AS id, l_partkey AS o_custkey, l_returnflag AS o_orderstatus, l_extendedprice AS o_totalprice,
+           l_linestatus AS o_orderpriority, l_shipdate, l_linenumber, l_suppkey FROM {lineitem}"""
+
+
+@query(f"""SELECT {SHOWN} FROM (SELECT *, CAST('2024-06-01 12:30:00' AS TIMESTAMP) AS updated, row_number() OVER (PARTITION BY id ORDER BY
+    l_shipdate DESC, l_linenumber DESC, l_suppkey DESC, o_custkey DESC, o_orderstatus DESC, o_totalprice DESC, o_orderpriority DESC) AS rn
+    FROM ({twin(TURNS)})) WHERE rn = 1""")
+def sync_last_wins(spark, sf_dir):
+    table = VersionedTable(spark, scratch_dir(spark, "sync_turns"))
+    sync.run_sync(spark, from_given(spark, sf_dir, TURNS), table, ORDERS, NOW, order=["l_shipdate", "l_linenumber", "l_suppkey"])
+    return table.read(ORDERS.schema())
+
+
+@query(f"""SELECT 'empty: negative' AS outcome, count(*) AS rows FROM ({twin(STORED)})
+    UNION ALL SELECT 'locked: orders', count(*) FROM ({twin(STORED)})
+    UNION ALL SELECT 'too many deletes', count(*) FROM ({twin(STORED)})""")
+def sync_guarded(spark, sf_dir):
+    """Every guard stops the run and leaves the stored table as it was."""
+    table = VersionedTable(spark, scratch_dir(spark, "sync_guarded"))
+    stored, source = from_given(spark, sf_dir, STORED).drop("updated"), from_given(spark, sf_dir, SOURCE)
+    sync.run_sync(spark, stored, table, ORDERS, CREATED)
+    outcomes = []
+
+    def attempt(**options):
+        try:
+            outcomes.append(f"empty: {', '.join(sync.run_sync(spark, source, table, ORDERS, NOW, **options).empty)}")
+        except sync.LockedTable as error:
+            outcomes.append(str(error))
+        except RuntimeError:
+            outcomes.append("too many deletes")
+        return table.read().select(F.lit(outcomes[-1]).alias("outcome"))
+
+    locked = from_given(spark, sf_dir, "SELECT DISTINCT 'orders' AS local_name FROM {orders}")
+    attempts = [attempt(needed={"source": source, "negative": source.filter("o_totalprice < 0")}), attempt(locked=locked), attempt(max_delete_fraction=0.001)]
+    return reduce(DataFrame.unionByName, attempts).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
+
+
 # The clothing list has several lines per article; the stored one lacks some and differs in others.
 CLOTHING_VALUES = [c for c in CLOTHING.fields() if c != "id"]
 LAST_LINE = ", ".join(f"{c} DESC NULLS LAST" for c in CLOTHING_VALUES)
@@ -146,13 +195,24 @@ def sync_run(spark, sf_dir):
     return table.read(ORDERS.schema())
 
 
+def files_of(spark, path, schema):
+    """The files of a table as a stream, whether the table is one file or a folder of them."""
+    jvm, path = spark._jvm, path.rstrip("/")
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(schema)
+    if file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file).isFile():
+        folder, _, name = path.rpartition("/")  # a stream reads folders only
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
+
+
 @query(f"SELECT {SHOWN} FROM ({classified_sql(twin(SOURCE), CREATED_SQL, missing='untouched')})")
 def sync_stream_available_now(spark, sf_dir):
     folder = scratch_dir(spark, "sync_stream")
     table = VersionedTable(spark, f"{folder}/table")
     sync.run_sync(spark, from_given(spark, sf_dir, STORED).drop("updated"), table, ORDERS, CREATED)
     schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf_dir)
+    arriving = files_of(spark, f"{sf_dir}/orders.parquet", schema)
     rows = arriving.filter("o_orderkey % 7 <> 0").select(
         F.col("o_orderkey").cast("string").alias("id"), "o_custkey", "o_orderstatus", "o_totalprice",
         F.when(F.col("o_orderkey") % 17 != 0, F.col("o_orderpriority")).alias("o_orderpriority"),

@@ -10,7 +10,7 @@ import pytest
 
 from conftest import plan_of, values
 from feedweave.sources import load
-from feedweave.sources.reader import clean_lines, line_window, parse_lines, read_feed, read_lines
+from feedweave.sources.reader import clean_lines, line_window, open_quote, parse_lines, read_feed, read_lines
 from feedweave.sources.schema import FeedSpec, registered_columns
 from feedweave.sources.versioned import VersionedTable
 
@@ -83,11 +83,11 @@ def test_junk_lines_are_dropped_once_per_file_whatever_the_split(spark, tmp_path
     path = write(tmp_path / "big.csv", "junk\njunk\n" + lines)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
-        raw = read_feed(spark, spec(skip_lines=2), path)
+        raw = read_feed(spark, spec(skip_lines=2, multi_line=False), path)
         assert raw.rdd.getNumPartitions() > 4
         assert raw.count() == 5000
         doubled = write(tmp_path / "twice.csv", lines + lines.replace(";t\n", ";second\n"))
-        for reader in (spec(), spec(skip_lines=1)):
+        for reader in (spec(), spec(skip_lines=1), spec(multi_line=False), spec(skip_lines=1, multi_line=False)):
             kept = load.good_rows(read_feed(spark, reader, doubled), spec())
             # The skipped first line leaves its key to the second half of the file.
             assert kept.filter("t = 'second'").count() == reader.skip_lines
@@ -100,6 +100,51 @@ def test_multi_line_records(spark, tmp_path):
     assert values(load.good_rows(raw, spec()), "k", "t") == [("a", "two\nlines"), ("b", "x")]
 
 
+MULTI = 'junk;"\na;1;1;;"two\nlines; ""x"""\nb;2;2;;x\nc;3;3;;"never\nclosed\n'
+
+
+def test_records_over_lines_on_every_path(spark, tmp_path):
+    """Line breaks in quotes stay in the record; an open quote is a reject, never half a record."""
+    path = write(tmp_path / "m.csv", MULTI)
+    (tmp_path / "m.csv.gz").write_bytes(gzip.compress(MULTI.encode()))
+    with zipfile.ZipFile(tmp_path / "m.zip", "w") as archive:
+        archive.writestr("m.csv", MULTI)
+    record = {
+        "local_name": "f", "delimiter": ";", "enclosure": '"', "csv_header_row": False, "empty_lines": 1, "indices": '["k"]',
+        "columns": json.dumps({"name": ["k", "n", "x", "d", "t"], "type": [1, 2, 3, 4, 5]}),
+    }
+    for file, rule in ((path, "csv"), (f"{path}.gz", "gz→csv"), (str(tmp_path / "m.zip"), "zip→csv")):
+        registered = FeedSpec.from_record({**record, "path": file, "conversion_rule": rule})
+        raw = read_feed(spark, registered)
+        assert values(load.good_rows(raw, registered), "k", "t") == [("a", 'two\nlines; "x"'), ("b", "x")], file
+        assert load.quarantine(raw, registered).count() == 1
+    single = spec(skip_lines=1, multi_line=False)
+    raw = read_feed(spark, single, path)
+    assert values(load.good_rows(raw, single), "k") == [("b",)]
+    assert values(load.quarantine(raw, single), "reject_reason") == [("fields",)] * 4
+
+
+def test_open_quotes():
+    import re
+
+    opened = re.compile(open_quote(";", '"'))
+    for line, expected in (
+        ('a;"b', True), ('a;"b"', False), ('"a;""b"', False), ('a;"b"";c', True), ('a;5" disk;b', False), ('"', True), ('""', False),
+        ('a;"b" tail;"c', True), ("", False), ('"""', True), ('a"b;c', False), (';;"x;y', True), ('"' + '""' * 5000 + '"', False),
+    ):
+        assert bool(opened.match(line)) == expected, line
+    assert re.match(open_quote("|", "^"), "a|^b") and not re.match(open_quote("|", "^"), "a|^b^")
+
+
+def test_large_archives_are_opened_by_path(spark, tmp_path, monkeypatch):
+    from feedweave.sources import reader
+
+    monkeypatch.setattr(reader, "CELL_BYTES", 10)
+    with zipfile.ZipFile(tmp_path / "f.zip", "w") as archive:
+        archive.writestr("f.csv", TEXT)
+    expect(load.good_rows(read_feed(spark, spec(conversion=("zip", "csv")), str(tmp_path / "f.zip")), spec()))
+
+
 def test_packed_files(spark, tmp_path):
     (tmp_path / "f.csv.gz").write_bytes(gzip.compress(TEXT.encode()))
     expect(load.good_rows(read_feed(spark, spec(conversion=("gz", "csv")), str(tmp_path / "f.csv.gz")), spec()))
@@ -133,13 +178,36 @@ def test_case_blind_first_wins(spark):
 
 
 def test_rejects_do_not_gather_by_key(spark):
-    """All rows of one key: only the first per task is shuffled by key, the rest by position."""
+    """Keys are counted, one row per task; what occurs once moves no row."""
     lines = spark.range(2000).selectExpr("'f' AS _file", "0L AS _block", "id AS _row", "concat('same;', id, ';1;;x') AS value")
     reasons = load.with_reasons(parse_lines(lines, spec()), spec())
-    assert plan_of(reasons).count("WindowGroupLimit") == 2
+    assert "Window" not in plan_of(reasons) and plan_of(reasons).count("Exchange hashpartitioning") == 1
     assert values(load.load_counts(reasons)) == [(1, 1999, True)]
 
 
+def test_nothing_is_left_behind_by_a_load(spark, tmp_path):
+    warehouse = str(tmp_path / "w")
+    path = write(tmp_path / "f.csv", TEXT)
+    for _ in range(4):
+        load.load_feed(spark, spec(), warehouse, path, transform=lambda df: df.filter("n = 1"))
+    load.load_feed(spark, spec(), warehouse, write(tmp_path / "bad.csv", "x\n"))
+    assert len(list((tmp_path / "w" / "list" / "data").iterdir())) == 2
+    assert len(list((tmp_path / "w" / "list_rejected" / "data").iterdir())) == 2
+
+
+def test_statement_after_import(spark, tmp_path):
+    after = spec(after_import="SELECT k, n + 1 AS n FROM {list} WHERE n > 0")
+    load.load_feed(spark, after, str(tmp_path / "w"), write(tmp_path / "f.csv", TEXT))
+    assert values(VersionedTable(spark, str(tmp_path / "w" / "list")).read(), "k", "n") == [("a", 2)]
+
+
+def test_spec_from_header():
+    got = FeedSpec.from_header("f", 'code ;"the; price"; day', {"day": "Date"}, keys=("code",))
+    assert got.columns == (("code", "String"), ("the; price", "String"), ("day", "Date")) and got.header
+    with pytest.raises(ValueError):
+        FeedSpec.from_header("f", "a;a")
+
+
 def test_load_replaces_and_keeps_rejects(spark, tmp_path):
     warehouse = str(tmp_path / "w")
     report = load.load_feed(spark, spec(), warehouse, write(tmp_path / "f.csv", TEXT))
@@ -160,8 +228,9 @@ def test_load_all_due_and_named(spark, tmp_path):
     columns, row = '{"name":["k","n"],"type":[1,2]}', ("/{0}.csv", 1, "csv", ";", '"', 0, False, '["k"]')
     def resource(i, name, locked, sync_time):
         return (i, True, locked, row[0].format(name), name, *row[1:], columns, sync_time)
+    broken = (*resource(5, "broken", False, None)[:11], None, "{", None)
     resources = spark.createDataFrame(
-        [resource(1, "one", False, '["*1:00"]'), resource(2, "two", False, None), resource(3, "three", True, None), resource(4, "gone", False, '["01:0*"]')],
+        [resource(1, "one", False, '["*1:00"]'), resource(2, "two", False, None), resource(3, "three", True, None), resource(4, "gone", False, '["01:0*"]'), broken],
         "id long, active boolean, locked boolean, path string, local_name string, source_id long, conversion_rule string, delimiter string, enclosure string, empty_lines int, csv_header_row boolean, indices string, columns string, sync_time string",
     )
     sources = spark.createDataFrame([(1, "s", "h", 1)], "id long, name string, host string, service_id long")
@@ -169,7 +238,7 @@ def test_load_all_due_and_named(spark, tmp_path):
     def run(**options):
         reports = load.load_due(spark, resources, sources, services, str(tmp_path / "w"), root=str(tmp_path), **options)
         return {r.feed: r.success for r in reports}
-    assert run() == {"one": True, "two": True, "gone": False}
+    assert run() == {"one": True, "two": True, "gone": False, "broken": False}
     assert run(which="auto", at="11:00") == {"one": True}
     assert run(which="two") == {"two": True}
     with pytest.raises(ValueError):

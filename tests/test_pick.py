@@ -1,5 +1,6 @@
 """Picks, lookups and the consolidation on hand-worked rows."""
 
+from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -10,7 +11,9 @@ from feedweave.functions.keys import availability_rank
 from feedweave.operators.lookup import Lookup, join_lookup
 from feedweave.operators.pick import best_per, collapse_by, concat_ranked
 from feedweave.plans import flat
-from feedweave.plans.branches import FO, OWN, PRODUCT
+from feedweave.plans.enrich import EnrichReport, run_enrichment
+from feedweave.sources.versioned import VersionedTable
+from feedweave.plans.branches import CG, ES, FO, IN, OWN, PRODUCT
 
 OWN_COLUMNS = "desart string, EAN string, codfor string, codart string, clin1 string, clin2 string, cpro string, PREART2 decimal(12,2), PREART3 decimal(12,2), PREART4 decimal(12,2), disp int, OFOR int, DTFOR date, stato string, promo string, peso decimal(12,2)"
 FO_COLUMNS = "Descr string, EAN string, Cod string, Linea string, Famiglia string, Marca string, Prezzo decimal(12,2), Disponibili int, Peso decimal(12,2)"
@@ -154,3 +157,109 @@ def test_product_shape(spark):
     t = tables(spark, [own("p", 5, 1)], [])
     assert flat.best_in_branch(t, OWN).columns == list(PRODUCT)
     assert "priority" not in flat.consolidate(t, [OWN]).columns
+
+
+# One offer of each further feed, every product column worked out by hand.
+MAPS = {"manufacturers": "feed_manufacturer_id string, manufacturer_id string", "categories": "feed_cat_id string, feed_subcat_id string, cat_id string, subcat_id string"}
+D = Decimal
+
+
+def product(**filled):
+    return {**dict.fromkeys(PRODUCT), **filled}
+
+
+def branch_tables(spark, feed, listed, columns, category, **more):
+    made = {
+        f"{feed}_list": spark.createDataFrame(listed, columns),
+        f"{feed}_manufacturers": spark.createDataFrame([("V7", "MAN"), ("V8", "OTHER")], MAPS["manufacturers"]),
+        f"{feed}_categories": spark.createDataFrame([category], MAPS["categories"]),
+        "own_codes": spark.createDataFrame([("PN", "C5"), ("PN", "H1"), ("PN", "R2"), ("", "C0")], "codfor string, codart string"),
+    }
+    return made | {name: spark.createDataFrame(*rows) for name, rows in more.items()}
+
+
+def only(df):
+    rows = df.collect()
+    assert len(rows) == 1
+    return rows[0].asDict()
+
+
+def test_every_column_of_the_es_feed(spark):
+    columns = (
+        "codice string, descrizione string, codiceEAN string, codiceProduttore string, catMerc string, fam string, prod string, tipo string, stato string, "
+        "prezzoRivenditore decimal(12,2), raee decimal(12,2), prezzolistino decimal(12,2), lunghezza decimal(12,2), altezza decimal(12,2), "
+        "profondita decimal(12,2), pesoLordo decimal(12,2), dispo int, arrivi int, qtaMinimaOrd int"
+    )
+    offer = ("A1", "a screen", "800", "PN", "CM", "FM", "V7", "S", "C", D("10.00"), D("0.50"), D("15.00"), D("1.10"), D("2.20"), D("3.30"), D("4.40"), 6, 2, 3)
+    change = lambda **new: tuple(new.get(c.split()[0], v) for c, v in zip(columns.split(", "), offer))
+    rows = [
+        offer, change(tipo="N", prezzoRivenditore=D(99)), change(dispo=0, arrivi=0, codice="A2", prezzoRivenditore=D(98)),
+        change(dispo=0, arrivi=0, stato="A", codice="A3", prezzoRivenditore=D(97)), change(prod="V9", prezzoRivenditore=D(96)), change(prezzoRivenditore=D(9)),
+    ]
+    t = branch_tables(spark, "es", rows, columns, ("CM", "FM", "c", "s"), es_arrivals=([("A1", date(2024, 5, 6)), ("A1", date(2024, 5, 7))], "codice string, arrival_date date"))
+    assert only(flat.best_in_branch(t, ES)) == product(
+        name="a screen", EAN="800", part_number="PN", code="C5", original_cat_id="CM", original_subcat_id="FM", cat_id="c", subcat_id="s",
+        original_manufacturer_id="V7", manufacturer_id="MAN", enduser_price=D("10.50"), internal_availability=0, external_availability=6,
+        in_arrival=2, arrival_date=date(2024, 5, 6), source="ES", width=D("1.10"), height=D("2.20"), depth=D("3.30"), weight=D("4.40"),
+        min_orderable_qty=3, priority=0, retailers_price=D("10.50"), list_price=D("15.00"),
+    )
+
+
+def test_every_column_of_the_in_feed(spark):
+    columns = (
+        "ingram_part_number string, ingram_part_description_1 string, upc_code string, vendor_part_number string, vendor_number string, ingram_cat_subcat string, "
+        "custom_price decimal(12,2), retail_price decimal(12,2), width decimal(12,2), height decimal(12,2), length decimal(12,2), weight decimal(12,2), ordered int, arrival_date date"
+    )
+    offer = ("I1", "a disk", "9999999999999", "PN", "V7", "0412", D("20.00"), D("30.00"), D("1.00"), D("2.00"), D("3.00"), D("4.00"), 5, date(2024, 7, 8))
+    rows = [offer, ("I2", "no stock", *offer[2:]), ("I3", "unmapped", *offer[2:5], "9912", *offer[6:])]
+    t = branch_tables(
+        spark, "in", rows, columns, ("04", "12", "c", "s"),
+        in_stock=([("I1", 7), ("I3", 9)], "ingram_part_number string, availability int"),
+        in_fees=([("I1", D("0.70"), "IT"), ("I1", D("9.00"), "FR")], "ingram_part_number string, siae decimal(12,2), country string"),
+    )
+    assert only(flat.best_in_branch(t, IN)) == product(
+        name="a disk", EAN="", part_number="PN", code="C5", original_cat_id="04", original_subcat_id="12", cat_id="c", subcat_id="s",
+        original_manufacturer_id="V7", manufacturer_id="MAN", enduser_price=D("20.70"), internal_availability=0, external_availability=7,
+        in_arrival=5, arrival_date=date(2024, 7, 8), source="IN", width=D("1.00"), height=D("2.00"), depth=D("3.00"), weight=D("4.00"),
+        min_orderable_qty=1, priority=0, retailers_price=D("20.70"), list_price=D("30.00"),
+    )
+
+
+def test_every_column_of_the_cg_feed(spark):
+    columns = (
+        "descrizione string, codice_articolo_fornitore string, codice_macrocategoria string, codice_categoria string, codice_sottocategoria string, produttore string, "
+        "prezzo_netto decimal(12,2), prezzo_listino decimal(12,2), `contr.siae` decimal(12,2), `contr.raee` decimal(12,2), immediata int, futura int"
+    )
+    offer = ("a phone", "PN", "MC", "K", "J", "V7", D("5.00"), D("8.00"), D("0.20"), D("0.03"), 4, 9)
+    t = branch_tables(spark, "cg", [offer, ("other", *offer[1:4], "X", *offer[5:])], columns, ("MC", "K$J", "c", "s"))
+    assert only(flat.best_in_branch(t, CG)) == product(
+        name="a phone", EAN="", part_number="PN", code="C5", original_cat_id="MC", original_subcat_id="K$J", cat_id="c", subcat_id="s",
+        original_manufacturer_id="V7", manufacturer_id="MAN", enduser_price=D("5.23"), internal_availability=0, external_availability=4,
+        in_arrival=5, source="CG", width=D("0.00"), height=D("0.00"), depth=D("0.00"), weight=D("0.00"), min_orderable_qty=1, priority=0,
+        retailers_price=D("5.23"), list_price=D("8.00"),
+    )
+
+
+def test_text_stock_does_not_end_the_consolidation(spark):
+    t = tables(spark, [], [fo("p", 5, 2), fo("q", 5, 2)])
+    t["fo_list"] = t["fo_list"].withColumn("Disponibili", F.when(F.col("Cod") == "p", "12 pz").otherwise("none"))
+    assert values(flat.best_in_branch(t, FO), "part_number", "external_availability") == [("p", 12), ("q", 0)]
+
+
+def test_barcodes_follow_the_key_policy(spark):
+    t = tables(spark, [own("p", 5, 1, ean="abc"), own("q", 5, 1, ean="ABC ")], [])
+    assert len(values(flat.consolidate(t, [OWN]), "id")) == 2
+    assert len(values(flat.consolidate(t, [OWN], key_policy="ci"), "id")) == 1
+
+
+def test_enrichment_run(spark, tmp_path):
+    products = spark.createDataFrame([("1", "m", "E1", "P1"), ("2", "m", "", "p2"), ("3", "M", None, "P3")], "id string, manufacturer_id string, EAN string, part_number string")
+    makers = spark.createDataFrame([("m", "X/Y")], "cod string, des string")
+    xml = '<Catalogue><Product Code="1" HighPic="h"/></Catalogue>'
+    entries = spark.createDataFrame([("E1", "z", "z", xml), ("", "P2", "y", xml), ("", "P3", "X", xml)], "ean string, prod_id string, vendor string, xml string")
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert run_enrichment(spark, products, makers, table, entries) == EnrichReport(1, 3)
+    assert values(table.read(), "id", "high_pic") == [("1", "h")]
+    assert run_enrichment(spark, products, makers, table, entries, key_policy="ci") == EnrichReport(2, 2)
+    assert values(table.read(), "id") == [("1",), ("2",), ("3",)]
+    assert run_enrichment(spark, products, makers, table, entries) == EnrichReport(0, 0) and table.version() == 2

@@ -6,13 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import suite
 from conftest import plan_of
 from feedweave.plans import flat
 from feedweave.plans.branches import DEFAULT
 from suite.feeds import Tables
 
 GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = suite.QUERIES, suite.ORACLE
 
 
 @pytest.fixture(scope="module")

@@ -3,13 +3,13 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from conftest import plan_of, values
 from feedweave.operators import diff
 from feedweave.plans import sync
 from feedweave.plans.targets import CLOTHING, FULL, RESTRICTED, Target
-from feedweave.sources.versioned import VersionedTable
+from feedweave.sources.versioned import LostRace, VersionedTable
 from feedweave.streaming.sync_stream import sync_stream
 
 OLD, NOW, LATER = datetime(2024, 1, 1), datetime(2024, 2, 2, 3, 4, 5), datetime(2024, 3, 3)
@@ -92,10 +92,13 @@ def test_guards(spark, tmp_path):
     rows = source(spark, [(str(i), "a", i) for i in range(10)])
     sync.run_sync(spark, rows, table, LIST, OLD)
     empty = rows.limit(0)
-    assert sync.run_sync(spark, rows, table, LIST, NOW, needed={"feed": empty}) is None
+    assert sync.run_sync(spark, rows, table, LIST, NOW, needed={"feed": empty}).empty == ("feed",)
     locked = spark.createDataFrame([("feed",), ("other",)], "local_name string")
     with pytest.raises(sync.LockedTable):
         sync.run_sync(spark, rows, table, LIST, NOW, needed={"feed": rows}, locked=locked)
+    own = spark.createDataFrame([("list",)], "local_name string")
+    with pytest.raises(sync.LockedTable):  # the target's own lock counts, needed tables or not
+        sync.run_sync(spark, rows, table, LIST, NOW, locked=own)
     with pytest.raises(RuntimeError):
         sync.run_sync(spark, rows.filter("qty < 3"), table, LIST, NOW, max_delete_fraction=0.5)
     assert table.version() == 1 and table.read().count() == 10
@@ -111,6 +114,71 @@ def test_only_one_of_two_writers_commits(spark, tmp_path):
     assert table.read().count() == 3 and table.note() == "one"
 
 
+def test_a_commit_in_between_is_not_lost(spark, tmp_path):
+    """The version that was read is the one that is followed, so the slower run fails."""
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    rows = source(spark, [("1", "a", 1)])
+    sync.run_sync(spark, rows, table, LIST, OLD)
+
+    class Slow(VersionedTable):
+        def read(self, schema=None, version=None):
+            df = super().read(schema, version)
+            sync.run_sync(spark, source(spark, [("1", "a", 1), ("2", "other", 2)]), table, LIST, NOW)
+            return df
+
+    with pytest.raises(LostRace):
+        sync.run_sync(spark, source(spark, [("1", "mine", 1)]), Slow(spark, table.path), LIST, LATER)
+    assert values(table.read(), "id", "name") == [("1", "a"), ("2", "other")]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2  # the loser's data is gone
+
+
+def test_a_crash_while_committing_leaves_the_table_usable(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.overwrite(spark.range(3))
+    (tmp_path / "t" / "commits" / ".half").write_text("")
+    (tmp_path / "t" / "commits" / "notes.txt").write_text("x")
+    assert table.version() == 1 and table.read().count() == 3
+    table.stage(spark.range(9))  # never committed
+    table.overwrite(spark.range(4))
+    assert table.version() == 2 and table.read().count() == 4
+    table.expire(keep=1)
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2  # another writer may still commit its own
+    table.expire(keep=1, grace=0)
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 1 and table.read().count() == 4
+
+
+def test_rows_are_applied_in_turn(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "z", 9, 1), ("1", "a", 1, 2), ("2", "b", 1, 1)], "id string, name string, qty long, turn int")
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    sync.run_sync(spark, rows, table, LIST, NOW, order=["turn"])
+    assert values(table.read(), "id", "name") == [("1", "a"), ("2", "b")]
+
+
+def test_no_commit_without_a_change(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    rows = source(spark, [("1", "a", 1)])
+    sync.run_sync(spark, rows, table, LIST, OLD)
+    assert sync.run_sync(spark, rows, table, LIST, NOW) == sync.SyncReport(0, 1, 0)
+    assert table.version() == 1 and len(list((tmp_path / "t" / "data").iterdir())) == 1
+
+
+def test_replaced_keys_stay_unique(spark):
+    old = source(spark, [("1", "a", 1), ("2", "b", 2), (None, "n", 1), (None, "m", 1)])
+    new = source(spark, [("2", "x", 9), ("2", "y", 1), ("A", "c", 3), ("a", "d", 3)])
+    got = diff.replace_into(old, new, "id")
+    assert values(got, "id", "name") == [(None, "m"), (None, "n"), ("1", "a"), ("2", "y"), ("A", "c"), ("a", "d")]
+    assert diff.replace_into(old, new, "id", "ci").count() == 5
+    assert values(diff.missing_keys(new, source(spark, [("a ", "q", 1)]), "id", "ci"), "id") == [("2",), ("2",)]
+
+
+def test_text_is_stored_leniently(spark):
+    df = spark.createDataFrame([("12 pz", "2.5", "x", 2.7, "05/03/14"), (None, "99999999999", "1,5", -2.5, "junk")], "a string, b string, c string, d double, e string")
+    got = diff.conform(df, T.StructType.fromDDL("a int, b int, c decimal(6,2), d int, e date")).collect()
+    assert [tuple(map(str, r)) for r in got] == [
+        ("12", "3", "0.00", "3", "2014-03-05"), ("None", "2147483647", "1.50", "-3", "None"),
+    ]
+
+
 def test_expire_keeps_the_latest(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"))
     for n in (1, 2, 3, 4):
@@ -166,6 +234,23 @@ def test_replayed_batch_is_skipped_but_a_new_stream_is_not(spark, tmp_path):
     assert table.version() == 2 and table.read().count() == 1
 
 
+def test_stream_over_a_file_and_over_a_folder(spark, tmp_path):
+    from suite.syncing import files_of
+
+    rows = source(spark, [(str(i), "a", i) for i in range(20)])
+    rows.repartition(4).write.parquet(str(tmp_path / "many" / "list.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "parts"))
+    part = next((tmp_path / "parts").glob("*.parquet"))
+    (tmp_path / "single").mkdir()
+    part.rename(tmp_path / "single" / "list.parquet")
+    for kind in ("many", "single"):
+        table = VersionedTable(spark, str(tmp_path / f"t-{kind}"))
+        arriving = files_of(spark, str(tmp_path / kind / "list.parquet"), rows.schema)
+        query = sync_stream(arriving, table, LIST, str(tmp_path / f"cp-{kind}"), NOW, order=["qty"])
+        assert query.awaitTermination(120) and query.exception() is None
+        assert table.read().count() == 20, kind
+
+
 def test_no_full_rows_are_shuffled_twice(spark):
     """Deduplication and the full-outer join share the partitioning by key."""
     big = spark.range(1000).select(F.col("id").cast("string").alias("id"), F.lit("n").alias("name"), F.col("id").alias("qty"))
