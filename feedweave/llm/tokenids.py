@@ -16,11 +16,10 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
-from feedweave.llm.ranks import running_sums
-from feedweave.llm.tokens import TextEncoder
+from feedweave.llm.ranks import running_sums, written
+from feedweave.llm.tokens import shared_encoder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 END_ID = 1
@@ -34,12 +33,12 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", te
     """Encode every text and write doc_id, text_hash, ids in ascending order of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            ids = [encoder.encode(t.as_py() or "") + end for t in batch.column(2)]
-            offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in ids])]).astype(np.int32)
-            flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+            ids = encoder.encode_all(batch.column(2))
+            offsets = np.concatenate([[0], np.cumsum([len(b) // 4 + 1 for b in ids])]).astype(np.int32)
+            flat = pa.array(np.frombuffer(end.join([*ids, b""]), "<i4"))
             lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["doc_id", "text_hash", "ids"])
 
@@ -61,10 +60,16 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 def index(stored: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every stored document; ``start`` counts all ids ahead."""
 
-    @F.pandas_udf("long")
-    def checksum(ids: pd.Series) -> pd.Series:
-        return pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in ids], dtype="int64")
-
-    sized = stored.select("doc_id", "text_hash", F.size("ids").cast("long").alias("n_tokens"), checksum("ids").alias("ids_crc32"))
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            ends = lists.offsets.to_numpy()
+            flat = memoryview(np.ascontiguousarray(lists.values.to_numpy(), "<u4")).cast("B")
+            sums = [zlib.crc32(flat[4 * a:4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            columns = [batch.column(0), batch.column(1), pa.array(np.diff(ends).astype(np.int64)), pa.array(sums, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_tokens", "ids_crc32"])
+
+    sized = stored.mapInArrow(measure, "doc_id long, text_hash long, n_tokens long, ids_crc32 long")
+    sized = written(sized, "token-sizes")
     placed = running_sums(sized, [], ["doc_id", "text_hash"], ["n_tokens"], "token-starts")
     return placed.select("doc_id", F.col("before_n_tokens").alias("start"), "n_tokens", "ids_crc32")

@@ -13,15 +13,25 @@ import re
 import sys
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: Half of the known pieces per worker; about 250 bytes each.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 500_000
 #: Pieces of more characters are encoded each time instead of being kept.
 LONGEST_KEPT = 100
+#: Bytes of text treated at a time.
+SLICE_BYTES = 6 << 20
+#: White space other than single spaces and line feeds between other characters.
+ODD_SPACE = (
+    r"  |^[ \n]|[ \n]$| \n|\n |\n\n|[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 
 _cut = re.compile(r"(?<=\S)(?=[ \n])").split
 _other_space = re.compile(r"[^\S \n]").search
-#: A word whose letters are stable under normalisation, with at most one mark behind it.
-_word = re.compile("([\n ]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
+#: Letters that normalisation leaves alone.
+_stable = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
 
 def _byte_letters() -> list[str]:
@@ -54,7 +64,7 @@ class TextEncoder:
         self._letters = _byte_letters()
         self._spaced = self._plain(" a") != self._plain("a")  # whether a space belongs to the word after it
         self._line_feed = self._plain("\n") if self._spaced else b""
-        self._mark = {mark: self._plain(mark) for mark in ("", ".", ",")}
+        self._mark = {mark: self._plain(mark) for mark in (".", ",")}
         self._lower = self._plain("A") == self._plain("a")
 
     def _plain(self, text: str) -> bytes:
@@ -65,7 +75,7 @@ class TextEncoder:
         unit = word.lower() if self._lower else word
         if not unit.isascii():
             unit = "".join([self._letters[b] for b in unit.encode()])
-        if self._spaced and space == " ":
+        if self._spaced and space:
             unit = self._letters[32] + unit
         return _packed([t.id for t in self._model.tokenize(unit)])
 
@@ -81,20 +91,24 @@ class TextEncoder:
         return ids
 
     def _learn(self, piece: str) -> bytes:
-        text = piece if piece[:1] == "\n" else " " + piece
-        match = _word(text)
-        if not match:
-            return self._plain(text)
-        space, word, mark = match.groups()
-        if mark:  # a mark behind a letter begins a unit of its own
-            return self._piece(piece[:-1]) + self._mark[mark]
-        if space == "\n":
-            return self._line_feed + self._one_word("", word)
-        return self._one_word(space, word)
+        if piece.isalpha() and (piece.isascii() or _stable(piece)):
+            return self._one_word(" ", piece)
+        if piece[-1:] in self._mark and piece[-2:-1].isalpha():  # a mark behind a letter is a unit of its own
+            return self._piece(piece[:-1]) + self._mark[piece[-1]]
+        if piece[:1] == "\n":
+            word = piece[1:]
+            if not self._spaced and word and not word[0].isspace():
+                return self._piece(word)  # white space is dropped
+            if word.isalpha() and (word.isascii() or _stable(word)):
+                return self._line_feed + self._one_word("", word)
+            return self._plain(piece)
+        return self._plain(" " + piece)
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if self._lower and text.isascii():
+            text = text.lower()  # so that fewer pieces differ
         odd = _other_space(text) or text[0] in " \n" or text[-1] in " \n"
         if odd or any(run in text for run in ("  ", " \n", "\n ", "\n\n")):
             return b"".join(map(self._raw, _cut(text)))  # runs of white space stay in one piece
@@ -113,3 +127,50 @@ class TextEncoder:
         if chunk[0] == "\n" or chunk[0] == " " and len(chunk) > 1 and not chunk[1].isspace():
             return self._piece(chunk if chunk[0] == "\n" else chunk[1:])
         return self._plain(chunk)
+
+    def encode_all(self, texts: pa.Array) -> list[bytes | memoryview]:
+        """The ids of each text of an Arrow array; NULL is empty. Equal pieces are looked up once per slice."""
+        result: list[bytes | memoryview] = [b""] * len(texts)
+        odd = pc.fill_null(pc.match_substring_regex(texts, ODD_SPACE), False).to_numpy(zero_copy_only=False)
+        for row in np.flatnonzero(odd).tolist():
+            result[row] = self.encode(texts[row].as_py())
+        rows = np.flatnonzero(~odd & texts.is_valid().to_numpy(zero_copy_only=False))
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)[rows], dtype=np.int64)
+        for some in np.split(rows, np.flatnonzero(np.diff(sizes // SLICE_BYTES)) + 1):
+            if len(some):
+                for row, ids in zip(some.tolist(), self._evenly_spaced(texts.take(pa.array(some)))):
+                    result[row] = ids
+        return result
+
+    def _evenly_spaced(self, texts: pa.Array) -> list[memoryview]:
+        if self._lower:
+            texts = pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(texts), texts)
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        begins, pieces = lists.offsets.to_numpy(), lists.values
+        coded = pieces.dictionary_encode()
+        if len(self._known) > self._known_pieces:
+            self._known, self._older = {}, self._known
+        words = coded.dictionary.to_pylist()
+        ids = list(map(self._known.get, words))
+        for k in [k for k, found in enumerate(ids) if found is None]:
+            ids[k] = self._piece(words[k])
+        index = np.array(coded.indices)
+        index[begins[:-1]] = np.arange(len(ids), len(ids) + len(texts))  # no space stands before the first
+        ids += [self._plain(piece) for piece in pieces.take(pa.array(begins[:-1])).to_pylist()]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        flat, counts = np.frombuffer(b"".join(ids), "<u4"), sizes[index]
+        ends = np.cumsum(counts)
+        every = np.repeat(starts[index] - (ends - counts), counts)
+        every += np.arange(len(every))
+        data = memoryview(flat[every]).cast("B")
+        bounds = (4 * np.append(0, ends)[begins]).tolist()
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+
+
+def shared_encoder(path: str) -> TextEncoder:
+    """This worker process's encoder: later tasks go on with the pieces that earlier ones met."""
+    encoders = vars(sys).setdefault("_feedweave_encoders", {})
+    if path not in encoders:
+        encoders[path] = TextEncoder(path)
+    return encoders[path]
