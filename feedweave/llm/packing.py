@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 
 from feedweave.llm.ranks import running_sums, written
-from feedweave.llm.tokens import TextEncoder
+from feedweave.llm.tokens import shared_encoder
 from pyspark.sql import DataFrame, functions as F
 
 CAPACITY = 1024
@@ -33,6 +33,8 @@ END_ID = 2
 GROUPS = 96
 #: Lengths up to this share of the capacity are small.
 SMALL = 1 / 8
+#: Room, as a share of the capacity, that a configuration may leave once actual lengths are in place.
+SLACKS = (1, 1 / 32, 1 / 64, 1 / 128, 1 / 256, 1 / 512)
 RANK_BITS = 42
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -41,13 +43,13 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
     """One row per piece: doc_id, piece, start, length, ids_crc32. The first piece takes the odd length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
             rows = []
-            for doc, words in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(words.as_py() or "") + end
+            for doc, found in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1))):
+                ids = bytes(found) + end
                 n = len(ids) // 4
                 start, upto, piece = 0, (n - 1) % capacity + 1, 0
                 while start < n:
@@ -144,55 +146,74 @@ class _Bins:
         return times, room, items
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[tuple[int, list[tuple[int, int]]]]:
-    """(times, [(length, copies), ...]): kinds of sequences that hold all lengths of the histogram."""
-    left = {length: n for length, n in histogram.items() if n > 0}
-    bins = _Bins()
-    if left.get(capacity):
-        bins.add(left.pop(capacity), 0, ((capacity, 1),))
+def _grouped(left: dict[int, int], capacity: int, groups: int) -> list[tuple[int, tuple]]:
+    """(times, items): configurations of large lengths, actual ones in place of the rounded ones."""
     large = [(length, left[length]) for length in sorted(left, reverse=True) if length > capacity * SMALL]
     total = sum(n for _, n in large)
-    if total:
-        runs: dict[int, list[list[int]]] = {}  # rounded size: its actual lengths, as [length, how many]
-        per_group, filled, size = -(-total // groups), 0, 0
-        for length, n in large:
-            while n:
-                if filled % per_group == 0:
-                    size = length
-                take = min(n, per_group - filled % per_group)
-                runs.setdefault(size, []).append([length, take])
-                filled, n = filled + take, n - take
-        sizes = sorted(runs, reverse=True)
-        for times, used in configurations(sizes, [sum(n for _, n in runs[s]) for s in sizes], capacity):
-            slots = [s for s, n in zip(sizes, used) for _ in range(n)]
-            kinds = [(times, ())]
-            for s in slots:  # actual lengths take the slot's place, kind by kind
-                after = []
-                for many, items in kinds:
-                    while many:
-                        run = runs[s][0]
-                        take = min(many, run[1])
-                        after.append((take, items + ((run[0], 1),)))
-                        left[run[0]] -= take
-                        run[1] -= take
-                        many -= take
-                        if not run[1]:
-                            runs[s].pop(0)
-                kinds = after
-            for many, items in kinds:
-                bins.add(many, capacity - sum(length for length, _ in items), items)
-    for length in sorted(left, reverse=True):
-        n = left[length]
+    if not total:
+        return []
+    runs: dict[int, list[list[int]]] = {}  # rounded size: its actual lengths, as [length, how many]
+    per_group, filled, size = -(-total // groups), 0, 0
+    for length, n in large:
         while n:
-            found = bins.tightest(length)
-            times, room, items = found or (n, capacity, ())
-            copies = min(room // length, n)
-            used = min(times, n // copies)
-            bins.add(used, room - copies * length, items + ((length, copies),))
-            if found:
-                bins.add(times - used, room, items)
-            n -= used * copies
-    return [(times, list(items)) for kinds in bins.by_room.values() for times, items in kinds]
+            if filled % per_group == 0:
+                size = length
+            take = min(n, per_group - filled % per_group)
+            runs.setdefault(size, []).append([length, take])
+            filled, n = filled + take, n - take
+    sizes, result = sorted(runs, reverse=True), []
+    for times, used in configurations(sizes, [sum(n for _, n in runs[s]) for s in sizes], capacity):
+        kinds = [(times, ())]
+        for s in [s for s, n in zip(sizes, used) for _ in range(n)]:
+            after = []
+            for many, items in kinds:
+                while many:
+                    run = runs[s][0]
+                    take = min(many, run[1])
+                    after.append((take, (*items, (run[0], 1))))
+                    run[1] -= take
+                    many -= take
+                    if not run[1]:
+                        runs[s].pop(0)
+            kinds = after
+        result += kinds
+    return result
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[tuple[int, list[tuple[int, int]]]]:
+    """(times, [(length, copies), ...]): kinds of sequences that hold all lengths of the histogram.
+
+    Configurations that rounding left with more room than a slack are given up, and their
+    lengths go best-fit with the small ones; of several slacks the one that needs the fewest
+    sequences counts.
+    """
+    counts = {length: n for length, n in histogram.items() if n > 0}
+    full = counts.pop(capacity, 0)
+    kinds = [(times, capacity - sum(length for length, _ in items), items) for times, items in _grouped(counts, capacity, groups)]
+    best: list[tuple[int, list[tuple[int, int]]]] | None = None
+    for slack in SLACKS:
+        left, bins = dict(counts), _Bins()
+        bins.add(full, 0, ((capacity, 1),))
+        for times, room, items in kinds:
+            if room <= capacity * slack:
+                bins.add(times, room, items)
+                for length, _ in items:
+                    left[length] -= times
+        for length in sorted(left, reverse=True):
+            n = left[length]
+            while n:
+                found = bins.tightest(length)
+                times, room, items = found or (n, capacity, ())
+                copies = min(room // length, n)
+                used = min(times, n // copies)
+                bins.add(used, room - copies * length, (*items, (length, copies)))
+                if found:
+                    bins.add(times - used, room, items)
+                n -= used * copies
+        made = [(times, list(items)) for some in bins.by_room.values() for times, items in some]
+        if best is None or sum(t for t, _ in made) < sum(t for t, _ in best):
+            best = made
+    return best
 
 
 def runs(kinds: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:
