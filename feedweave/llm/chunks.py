@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 
 from feedweave.llm.substrings import _batch, _letters, cut, ordered_documents
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Zero bits at the top of the hash where a chunk ends: one place in 32.
 ZERO_BITS = 5
@@ -32,27 +32,36 @@ LEAST_RUN = 80
 STRIDE = 1 << 20
 
 
+def _rolled(data: bytes, low: int, high: int, gears: np.ndarray) -> np.ndarray:
+    """The hash at each place from ``low`` to ``high``, of the 32 bytes that end there."""
+    begin = max(low - 31, 0)
+    h, span = gears[np.frombuffer(data, np.uint8)[begin:high]], 1
+    while span < 32:  # after each step the hash covers twice as many bytes
+        longer = h.copy()
+        longer[span:] += h[:-span] << np.uint32(span)
+        h, span = longer, span * 2
+    return h[low - begin:]
+
+
 def gear_ends(data: bytes, gears: np.ndarray) -> np.ndarray:
     """The places behind which the hash allows a chunk to end."""
-    found = []
-    for at in range(0, len(data), STRIDE):
-        low = max(at - 31, 0)
-        h, span = gears[np.frombuffer(data, np.uint8)[low:at + STRIDE]], 1
-        while span < 32:  # after each step the hash covers twice as many bytes
-            longer = h.copy()
-            longer[span:] += h[:-span] << np.uint32(span)
-            h, span = longer, span * 2
-        ends = np.flatnonzero(h >> np.uint32(32 - ZERO_BITS) == 0) + low + 1
-        found.append(ends[ends > at] if low else ends)
+    found = [
+        np.flatnonzero(_rolled(data, at, at + STRIDE, gears) >> np.uint32(32 - ZERO_BITS) == 0) + at + 1
+        for at in range(0, len(data), STRIDE)
+    ]
     return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 def chunk_ends(data: bytes, gears: np.ndarray) -> list[int]:
-    """The end of each chunk: LEAST to MOST bytes long, but for the last one."""
+    """The end of each chunk: LEAST to MOST bytes long, but for the last one.
+
+    Where the hash allows no end for so long, the chunk ends at its greatest value, which
+    depends on the bytes alone as well.
+    """
     result, start = [], 0
     for end in [*gear_ends(data, gears).tolist(), len(data)]:
         while end - start > MOST:
-            start += MOST
+            start += LEAST + int(np.argmax(_rolled(data, start + LEAST - 1, start + MOST, gears)))
             result.append(start)
         if end - start >= LEAST:
             result.append(end)
@@ -132,24 +141,22 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     ``text_left`` is what remains; a character cut in two is left out of it.
     """
     placed = ordered_documents(docs, doc_id, text)
-    joined = placed.join(repeated_chunks(placed, F.col("_doc")[text]), "_at", "left").select("_doc", "_spans")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    body = F.col("_doc")[text]
+
+    def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        ends = spans.offsets.to_numpy().tolist()
+        start, stop = (spans.values.field(k).to_numpy().tolist() for k in range(2))
+        rows = []
+        for words, low, high in zip(texts, ends, ends[1:]):
+            data = (words.as_py() or "").encode("utf-8", "surrogatepass")
+            kept, removed, n = cut(data, runs(list(zip(start[low:high], stop[low:high])), least_run))
+            rows.append((kept.decode("utf-8", "ignore"), len(data), removed, n, hashlib.sha256(kept).hexdigest()))
         types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-        for batch in batches:
-            rows = []
-            for words, places in zip(batch.column(0).field(text), batch.column(1).to_pylist()):
-                data = (words.as_py() or "").encode("utf-8", "surrogatepass")
-                found = runs([(p["start"], p["stop"]) for p in places or ()], least_run)
-                kept, removed, n = cut(data, found)
-                rows.append((kept.decode("utf-8", "ignore"), len(data), removed, n, hashlib.sha256(kept).hexdigest()))
-            if rows:
-                columns = (pa.array(c, t) for c, t in zip(zip(*rows), types))
-                yield _batch("_doc text_left n_bytes n_removed n_spans kept_sha256", batch.column(0), *columns)
-
-    schema = T.StructType([
-        T.StructField("_doc", joined.schema["_doc"].dataType), T.StructField("text_left", T.StringType()),
-        *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
-        T.StructField("kept_sha256", T.StringType()),
-    ])
-    return joined.mapInArrow(run, schema)
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, types)]
+        return pa.StructArray.from_arrays(columns, ["text_left", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    kind = "struct<text_left: string, n_bytes: long, n_removed: long, n_spans: long, kept_sha256: string>"
+    joined = placed.join(repeated_chunks(placed, body), "_at", "left")
+    none = F.array().cast("array<struct<start: bigint, stop: bigint>>")
+    cut_out = F.arrow_udf(run, kind)(body, F.coalesce("_spans", none)).alias("_cut")
+    return joined.select("_doc", cut_out).select("_doc", "_cut.*")
