@@ -87,8 +87,7 @@ def _dealt(df: DataFrame, radius: int, level: int) -> DataFrame:
     tables = F.array(*[F.struct(F.lit(k).alias("t"), F.lit(m).alias("m")) for k, m in enumerate(masks(radius, level))])
     each = df.select("path", "mask", "fp", F.explode(tables).alias("x"))
     mask = F.col("mask").bitwiseOR(F.col("x.m"))
-    path = F.col("path") * F.lit(1 << (radius + 1)) + F.col("x.t") + 1
-    return each.select(path.cast("long").alias("path"), mask.alias("mask"), mask.bitwiseAND(F.col("fp")).alias("key"), "fp")
+    return each.select(F.xxhash64("path", "x.t").alias("path"), mask.alias("mask"), mask.bitwiseAND(F.col("fp")).alias("key"), "fp")
 
 
 def _groups(fps: np.ndarray, starts: np.ndarray, ends: np.ndarray, radius: int) -> np.ndarray:
