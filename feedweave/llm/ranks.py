@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import gc
+
 from feedweave.session import scratch_dir
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, safe from lost executors."""
-    path = scratch_dir(df.sparkSession, label)
+def written(df: DataFrame, label: str, release: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, safe from lost executors.
+
+    Spark deletes a finished query's shuffle files when the driver's garbage collector finds
+    that nobody holds its plan any more; ``release`` has it look now, so that the files of
+    one phase do not lie beside those of the next.
+    """
+    spark = df.sparkSession
+    path, schema = scratch_dir(spark, label), df.schema
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def running_sums(df: DataFrame, keys: list[str], order: list[Column | str], values: list[str], label: str) -> DataFrame:
@@ -21,24 +32,26 @@ def running_sums(df: DataFrame, keys: list[str], order: list[Column | str], valu
     keys. NULL keys are keys like others; NULLs come first; a NULL value counts as 0. Rows
     equal in keys and order stand in any order among themselves.
     """
+    if clash := [c for c in df.columns if c.startswith("_rs_")]:
+        raise ValueError(f"columns {clash} have names used here")
     by = [F.col(k) for k in keys] + [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = df.repartitionByRange(*by).sortWithinPartitions(*by)
-    at = ranged.withColumn("_at", F.monotonically_increasing_id())
-    placed = written(at.withColumn("_part", F.shiftright("_at", 33)), label)
+    at = ranged.withColumn("_rs_at", F.monotonically_increasing_id())
+    placed = written(at.withColumn("_rs_part", F.shiftright("_rs_at", 33)), label)
     amounts = {v: F.coalesce(F.col(v), F.lit(0)).cast("long") for v in values}
-    parts = placed.groupBy("_part", *keys).agg(*[F.sum(a).alias(f"_sum_{v}") for v, a in amounts.items()])
-    ahead = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("_rs_part", *keys).agg(*[F.sum(a).alias(f"_rs_sum_{v}") for v, a in amounts.items()])
+    ahead = Window.partitionBy(*keys).orderBy("_rs_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select(
-        F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)],
-        *[F.coalesce(F.sum(f"_sum_{v}").over(ahead), F.lit(0)).alias(f"_offset_{v}") for v in values],
+        F.col("_rs_part").alias("_rs_p"), *[F.col(k).alias(f"_rs_k{n}") for n, k in enumerate(keys)],
+        *[F.coalesce(F.sum(f"_rs_sum_{v}").over(ahead), F.lit(0)).alias(f"_rs_offset_{v}") for v in values],
     )
-    within = Window.partitionBy("_part", *keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    local = placed.withColumns({f"_local_{v}": F.coalesce(F.sum(a).over(within), F.lit(0)) for v, a in amounts.items()})
-    same = F.col("_part") == F.col("_p")
+    within = Window.partitionBy("_rs_part", *keys).orderBy("_rs_at").rowsBetween(Window.unboundedPreceding, -1)
+    local = placed.withColumns({f"_rs_local_{v}": F.coalesce(F.sum(a).over(within), F.lit(0)) for v, a in amounts.items()})
+    same = F.col("_rs_part") == F.col("_rs_p")
     for n, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{n}"))
+        same = same & F.col(k).eqNullSafe(F.col(f"_rs_k{n}"))
     return local.join(offsets, same).select(
-        *df.columns, *[(F.col(f"_local_{v}") + F.col(f"_offset_{v}")).alias(f"before_{v}") for v in values],
+        *df.columns, *[(F.col(f"_rs_local_{v}") + F.col(f"_rs_offset_{v}")).alias(f"before_{v}") for v in values],
     )
 
 

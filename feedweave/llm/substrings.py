@@ -1,9 +1,9 @@
 """Exact substring dedup: bytes under a long string that also starts earlier are removed.
 
-1. Anchors. Of every ``length`` bytes in a row, the 32-byte gram with the least hash is an
-   anchor; which one it is depends on those bytes alone, so equal strings have an anchor at
-   equal places. A task hands on an anchor's hash and a digest of its context: all bytes that
-   strings of that length around it can reach.
+1. Anchors. Every string of ``length`` bytes belongs to the first of its 32-byte grams with
+   the least hash; which one it is depends on the string alone, so equal strings belong to
+   equal grams. A task hands on a gram's hash and a digest of its context: the run of strings
+   that belong to it.
 2. Groups by gram. Anchors without a partner are dropped. Of equal contexts only the
    earliest matters further; the others lie under earlier strings entirely.
 3. Suffix arrays. The different contexts of a gram form a short text whose suffixes are
@@ -32,7 +32,7 @@ import pyarrow as pa
 
 from feedweave.llm.lyndon import suffix_arrays
 from feedweave.llm.ranks import running_sums, whole_row, written
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 LENGTH = 100
 GRAM = 32
@@ -42,8 +42,8 @@ GROUP_BOUND = 64
 HELD = 1 << 20
 #: Bytes whose suffixes are sorted at a time.
 SORTED_BYTES = 1 << 21
-#: Places of a text that are hashed at a time.
-STRIDE = 1 << 20
+#: Places of a text that are hashed at a time; a hash gives up so many bits for a place among them.
+STRIDE, PLACE_BITS = 1 << 20, 21
 
 
 def _letters() -> np.ndarray:
@@ -72,23 +72,23 @@ def gram_hashes(data: np.ndarray, letters: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(28))
 
 
-def anchors(data: bytes, length: int, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes): a least gram of every string of ``length`` bytes; all of them where several are least."""
+def anchors(data: bytes, length: int, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, counts, hashes): runs of strings of ``length`` bytes whose first least gram is the same one.
+
+    Every string belongs to one run, that of ``count`` strings beginning at ``start`` and so on,
+    and to which gram depends on its bytes alone.
+    """
     width, n = length - GRAM + 1, len(data)
-    places, hashes = [], []
+    found = []
+    low = np.uint64((1 << PLACE_BITS) - 1)
     for start in range(0, n - length + 1, STRIDE):
         h = gram_hashes(np.frombuffer(data, np.uint8)[start:start + STRIDE + length - 1], letters)
-        least = _sliding(np.minimum, h, width)
-        pad = np.zeros(width - 1, np.uint64)
-        chosen = np.flatnonzero(_sliding(np.maximum, np.concatenate([pad, least, pad]), width) == h)
-        places.append(chosen + start)
-        hashes.append(h[chosen])
-    if len(places) == 1:
-        return places[0], hashes[0]
-    if not places:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    places, first = np.unique(np.concatenate(places), return_index=True)
-    return places, np.concatenate(hashes)[first]
+        least = _sliding(np.minimum, (h & ~low) | np.arange(len(h), dtype=np.uint64), width) & low
+        heads = np.append(0, np.flatnonzero(least[1:] != least[:-1]) + 1)
+        found.append((heads + start, np.diff(np.append(heads, len(least))), h[least[heads]]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return found[0] if len(found) == 1 else tuple(np.concatenate(c) for c in zip(*found))
 
 
 def _batch(names: str, *columns) -> pa.RecordBatch:
@@ -99,27 +99,27 @@ def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
-        letters, reach = _letters(), length - GRAM
+        letters = _letters()
         for batch in batches:
             parts = []
             for at, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                places, hashes = anchors(data, length, letters)
-                if not len(places):
+                starts, counts, hashes = anchors(data, length, letters)
+                if not len(starts):
                     continue
                 view = memoryview(data)
-                lows = np.maximum(places - reach, 0).tolist()
-                highs = (places + length).tolist()
-                digests = np.array([xxh64_intdigest(view[a:b]) for a, b in zip(lows, highs)], np.uint64)
-                parts.append((hashes, digests, np.full(len(places), at, np.int64), places))
+                stops = (starts + counts + length - 1).tolist()
+                digests = np.array([xxh64_intdigest(view[a:b]) for a, b in zip(starts.tolist(), stops)], np.uint64)
+                parts.append((hashes, digests, np.full(len(starts), at, np.int64), starts, counts))
             if not parts:
                 continue
-            gram, digest, at, place = (np.concatenate(c) for c in zip(*parts))
-            by = np.lexsort((place, at, digest, gram))
-            gram, digest, at, place = gram[by], digest[by], at[by], place[by]
+            gram, digest, at, start, count = (np.concatenate(c) for c in zip(*parts))
+            by = np.lexsort((start, at, digest, gram))
+            gram, digest, at, start, count = gram[by], digest[by], at[by], start[by], count[by]
             again = np.append(False, (gram[1:] == gram[:-1]) & (digest[1:] == digest[:-1]))
-            gram = np.where(again, digest + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), gram)  # settled; spread
-            yield _batch("gram digest at place settled", gram.view(np.int64), digest.view(np.int64), at, place, again)
+            gram = np.where(again, digest + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), gram)  # settled; spread
+            count = np.where(again, -count, count)
+            yield _batch("gram digest at start count", gram.view(np.int64), digest.view(np.int64), at, start, count.astype(np.int32))
 
     return run
 
@@ -133,57 +133,53 @@ def _starts(*keys: np.ndarray) -> np.ndarray:
 
 
 def _meet(length: int, bound: int, held_most: int):
-    """Rows sorted by gram, document, place: spans that are settled, and anchors still open."""
+    """Rows sorted by gram, document, start: stretches that are settled, and contexts still open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def spans(at, place):
-            return _batch("at start stop gram many", at, place - (length - GRAM), place + length, at, np.zeros(len(at), np.int64))
-
-        def opened(gram, at, place, many):
-            return _batch("at start stop gram many", at, place, place, gram, many)
+        def stretches(at, start, count, gram=None, many=None):
+            none = np.zeros(len(at), np.int64)
+            return _batch("at start stop gram many", at, start, start + np.abs(count) + length - 1, none if gram is None else gram, none if many is None else many)
 
-        def settle(gram, digest, at, place):
-            by = np.lexsort((place, at, digest, gram))
-            gram, digest, at, place = gram[by], digest[by], at[by], place[by]
+        def settle(gram, digest, at, start, count):
+            by = np.lexsort((start, at, digest, gram))
+            gram, digest, at, start, count = (c[by] for c in (gram, digest, at, start, count))
             kinds = _starts(gram, digest)
             later = np.ones(len(gram), bool)
             later[kinds] = False
-            yield spans(at[later], place[later])
-            gram, at, place = gram[kinds], at[kinds], place[kinds]
-            heads = _starts(gram)
-            many = np.diff(np.append(heads, len(gram)))
+            yield stretches(at[later], start[later], count[later])
+            gram, at, start, count = gram[kinds], at[kinds], start[kinds], count[kinds]
+            many = np.diff(np.append(_starts(gram), len(gram)))
             many = np.repeat(many, many)
             keep = many > 1
-            yield opened(gram[keep], at[keep], place[keep], many[keep])
+            yield stretches(at[keep], start[keep], count[keep], gram[keep], many[keep])
+
+        def flood(gram, digest, at, start, count):
+            return stretches(at, start, count, gram, np.full(len(gram), bound + 1, np.int64))
 
         held, flooded = None, None
         for batch in batches:
-            gram, digest, at, place, settled = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            rows = tuple(c.to_numpy() for c in batch.columns)
+            settled = rows[4] < 0
             if settled.any():
-                yield spans(at[settled], place[settled])
-                gram, digest, at, place = gram[~settled], digest[~settled], at[~settled], place[~settled]
-            rows = (gram, digest, at, place)
+                yield stretches(*(c[settled] for c in rows[2:]))
+                rows = tuple(c[~settled] for c in rows)
             if held is not None:
                 rows = tuple(np.concatenate(pair) for pair in zip(held, rows))
-            if not len(rows[0]):
-                continue
-            heads = _starts(rows[0])
-            if flooded is not None:  # a gram too frequent to be held goes on as it comes
+                held = None
+            if flooded is not None and len(rows[0]):  # a gram too frequent to be held goes on as it comes
                 here = rows[0] == flooded
                 if here.any():
-                    yield opened(*(rows[k][here] for k in (0, 2, 3)), np.full(here.sum(), bound + 1, np.int64))
+                    yield flood(*(c[here] for c in rows))
                     rows = tuple(c[~here] for c in rows)
-                    if not len(rows[0]):
-                        held = None
-                        continue
-                    heads = _starts(rows[0])
-            last = heads[-1]
+            if not len(rows[0]):
+                continue
+            last = _starts(rows[0])[-1]
             if last:
                 yield from settle(*(c[:last] for c in rows))
             held = tuple(c[last:] for c in rows)
             if len(held[0]) > held_most:
                 flooded = held[0][0]
-                yield opened(held[0], held[2], held[3], np.full(len(held[0]), bound + 1, np.int64))
+                yield flood(*held)
                 held = None
         if held is not None and len(held[0]):
             yield from settle(*held)
@@ -192,28 +188,29 @@ def _meet(length: int, bound: int, held_most: int):
 
 
 def _contexts(length: int, bound: int):
-    """Of each open anchor its context, or all strings around it if its gram has too many contexts."""
+    """Of each open context its bytes, or all strings in it if its gram has too many contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
-        reach, names = length - GRAM, "x y at start settled body"
+        names = "x y at start settled body"
         for batch in batches:
             keys, ats, starts, bodies, strings = [], [], [], [], []
-            for at, text, opened in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            lists = batch.column(2)
+            gram, begin, end, many = (lists.values.field(k).to_numpy().tolist() for k in range(4))
+            ends = lists.offsets.to_numpy().tolist()
+            for at, text, low, high in zip(batch.column(0).to_pylist(), batch.column(1), ends, ends[1:]):
                 data = text.as_py().encode("utf-8", "surrogatepass")
-                single = set()
-                for a in opened:
-                    low, high = max(a["place"] - reach, 0), min(a["place"] + length, len(data))
-                    if a["many"] <= bound:
-                        keys.append(a["gram"])
+                single = []
+                for k in range(low, high):
+                    if many[k] <= bound:
+                        keys.append(gram[k])
                         ats.append(at)
-                        starts.append(low)
-                        bodies.append(data[low:high])
+                        starts.append(begin[k])
+                        bodies.append(data[begin[k]:end[k]])
                     else:
-                        single.update(range(low, high - length + 1))
+                        single += range(begin[k], end[k] - length + 1)
                 if single:
-                    single = sorted(single)
                     digests = b"".join([xxh3_128_digest(data[s:s + length]) for s in single])
                     strings.append((digests, np.full(len(single), at, np.int64), np.array(single, np.int64)))
             if keys:
@@ -335,17 +332,17 @@ def ordered_documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def spans(docs: DataFrame, text: Column, length: int = LENGTH, bound: int = GROUP_BOUND, held: int = HELD) -> DataFrame:
     """(_at, spans): by document, the stretches [start, stop) to remove. ``docs`` has _at and the text's struct."""
     texts = docs.select("_at", text.alias("_text"))
-    found = texts.mapInArrow(_anchor_rows(length), "gram long, digest long, at long, place long, settled boolean")
-    by_gram = found.repartition("gram").sortWithinPartitions("gram", "at", "place")
+    found = texts.mapInArrow(_anchor_rows(length), "gram long, digest long, at long, start long, count int")
+    by_gram = found.repartition("gram").sortWithinPartitions("gram", "at", "start")
     met = by_gram.mapInArrow(_meet(length, bound, held), "at long, start long, stop long, gram long, many long")
-    met = written(met, "substrings")
-    opened = met.filter("many > 0").groupBy("at").agg(
-        F.collect_list(F.struct("gram", F.col("start").alias("place"), "many")).alias("opened"),
+    met = written(met, "substrings-met", release=True)
+    opened = met.filter("many > 0").groupBy(F.col("at").alias("_at")).agg(
+        F.collect_list(F.struct("gram", "start", "stop", "many")).alias("opened"),
     )
-    held_open = docs.join(opened.withColumnRenamed("at", "_at"), "_at").select("_at", text.alias("_text"), "opened")
+    held_open = docs.join(opened, "_at").select("_at", text.alias("_text"), "opened")
     dealt = held_open.mapInArrow(_contexts(length, bound), "x long, y long, at long, start long, settled boolean, body binary")
     dealt = dealt.repartition("x").sortWithinPartitions("x", "y", "at", "start")
-    later = dealt.mapInArrow(_repeats(length), "at long, start long, stop long")
+    later = written(dealt.mapInArrow(_repeats(length), "at long, start long, stop long"), "substrings-later", release=True)
     every = met.filter("many = 0").select("at", "start", "stop").unionByName(later)
     return every.groupBy(F.col("at").alias("_at")).agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
 
@@ -363,31 +360,37 @@ def cut(data: bytes, found: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     return kept, len(data) - len(kept), len(runs)
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **bounds) -> DataFrame:
-    """(_doc, _kept, n_bytes, n_removed, n_spans, kept_sha256): each row, the bytes left of its text, and counts."""
+def _cutting(with_text: bool):
+    """(text, spans) to what is left of it and counts."""
+    kind = "struct<kept: binary, n_bytes: long, n_removed: long, n_spans: long, kept_sha256: string>"
+
+    def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        ends = spans.offsets.to_numpy().tolist()
+        start, stop = (spans.values.field(k).to_numpy().tolist() for k in range(2))
+        rows = []
+        for text, low, high in zip(texts, ends, ends[1:]):
+            data = (text.as_py() or "").encode("utf-8", "surrogatepass")
+            kept, removed, runs = cut(data, list(zip(start[low:high], stop[low:high])))
+            sha = hashlib.sha256(kept).hexdigest()
+            rows.append((kept if with_text and removed else None, len(data), removed, runs, sha))
+        types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, types)]
+        return pa.StructArray.from_arrays(columns, ["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+
+    return F.arrow_udf(run, kind)
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False, **bounds) -> DataFrame:
+    """(_doc, kept, n_bytes, n_removed, n_spans, kept_sha256): each row and counts.
+
+    ``kept`` holds the remaining bytes of texts that lost any, if ``with_text`` is set.
+    """
     placed = ordered_documents(docs, doc_id, text)
     body = F.col("_doc")[text]
-    found = spans(placed, body, **bounds)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = "_doc _kept n_bytes n_removed n_spans kept_sha256"
-        for batch in batches:
-            rows = []
-            for data, places in zip(batch.column(0).field(text), batch.column(1).to_pylist()):
-                data = (data.as_py() or "").encode("utf-8", "surrogatepass")
-                kept, removed, runs = cut(data, [(p["start"], p["stop"]) for p in places or ()])
-                rows.append((kept, len(data), removed, runs, hashlib.sha256(kept).hexdigest()))
-            if rows:
-                types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-                yield _batch(names, batch.column(0), *(pa.array(c, t) for c, t in zip(zip(*rows), types)))
-
-    joined = placed.join(found, "_at", "left").select("_doc", "_spans")
-    schema = T.StructType([
-        T.StructField("_doc", joined.schema["_doc"].dataType), T.StructField("_kept", T.BinaryType()),
-        *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")],
-        T.StructField("kept_sha256", T.StringType()),
-    ])
-    return joined.mapInArrow(run, schema)
+    joined = placed.join(spans(placed, body, **bounds), "_at", "left")
+    none = F.array().cast("array<struct<start: bigint, stop: bigint>>")
+    cut_out = _cutting(with_text)(body, F.coalesce("_spans", none)).alias("_cut")
+    return joined.select("_doc", cut_out).select("_doc", "_cut.*")
 
 
 def remaining(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **bounds) -> DataFrame:
@@ -395,8 +398,8 @@ def remaining(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **bou
 
     A column ``n_chars`` is brought in line with the text.
     """
-    cut = deduplicated(docs, doc_id, text, **bounds)
-    left = F.when(F.col("n_removed") > 0, _whole_characters(F.col("_kept"))).otherwise(F.col("_doc")[text])
+    cut = deduplicated(docs, doc_id, text, with_text=True, **bounds)
+    left = F.when(F.col("n_removed") > 0, _whole_characters(F.col("kept"))).otherwise(F.col("_doc")[text])
     cut = cut.select("_doc", left.alias("_left"))
     new = {text: F.col("_left"), "n_chars": F.char_length("_left")}
     return cut.select([
