@@ -113,7 +113,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprints(df: DataFrame, texts: dict[str, Column], corpus: DataFrame, subsets: int = SUBSETS, **band: float) -> DataFrame:
     """``df`` with a fingerprint (an array of hashes) for each named text; the lexicon is that of ``corpus``' column text."""
-    words = written(lexicon(corpus, F.col("text"), **band), "imatch-lexicon")
+    words = written(lexicon(corpus, F.col("text"), **band), "imatch-lexicon", release=True)
     if words.count() > MOST_TERMS:
         raise ValueError("the band holds more terms than a scalar may; narrow it")
     table = hash_table([r["h"] for r in words.collect()])
@@ -127,14 +127,16 @@ def edited_pairs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(_at, _next, doc_id, text, edited): every document, and its text with the next one's beginning as its second half."""
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     placed = _unique(whole)
-    ids = placed.select("_at", F.char_length("text").alias("n"), F.lit(1).alias("one"))
+    ids = placed.select("_at", "doc_id", F.char_length("text").alias("n"), F.lit(1).alias("one"))
     order = written(running_sums(ids, [], ["_at"], ["one"], "imatch-order"), "imatch-ids")
     n = order.count()
     ahead = order.select(F.pmod(F.col("before_one") - 1, F.lit(max(n, 1))).alias("before_one"), F.col("_at").alias("_next"))
-    links = order.join(ahead, "before_one").select("_at", "_next", F.floor(F.col("n") / 2).cast("int").alias("half"))
-    texts = placed.select("_at", "doc_id", "text")
-    named = links.withColumnRenamed("_at", "_for")
-    heads = texts.join(named, texts["_at"] == named["_next"]).select("_for", "_next", F.substring("text", F.lit(1), F.col("half")).alias("_head"))
+    links = order.join(ahead, "before_one").select(F.col("_at").alias("_for"), "doc_id", "_next", F.floor(F.col("n") / 2).cast("int").alias("half"))
+    # Both joins shuffle the same two columns by the same key, so Spark shuffles the texts once.
+    texts = placed.select("_at", "text")
+    heads = texts.join(links, texts["_at"] == links["_next"]).select(
+        "_for", "doc_id", "_next", F.substring("text", F.lit(1), F.col("half")).alias("_head"),
+    )
     joined = texts.join(heads, texts["_at"] == heads["_for"])
     n_chars = F.char_length("text")
     kept = F.substring("text", F.lit(1), n_chars - F.floor(n_chars / 2).cast("int"))
