@@ -13,7 +13,7 @@ gives an empty result.
 
 from __future__ import annotations
 
-from feedweave.llm.ranks import whole_row
+from feedweave.llm.ranks import whole_row, written
 from feedweave.llm.words import words
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -103,10 +103,12 @@ def judged(measured: DataFrame, hosts: DataFrame, host: str = "source") -> DataF
 def filtered(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The documents that pass, with the columns of ``docs``.
 
-    The texts are read twice, once for the hosts' rates and once to filter them; nothing but
-    counts by host is shuffled.
+    The texts are read twice, once for the hosts' rates and once to filter them. The rejected
+    hosts are written, so Spark knows their size when it plans the join: few of them are
+    broadcast and no text is shuffled.
     """
     failed = _measured(F.col("_row")[text])["base_failed"].alias("base_failed")
     rows = docs.select(whole_row(docs).alias("_row")).select("_row", F.col("_row")[host].alias("_host"), failed)
-    hosts = host_verdicts(rows, "_host")
-    return judged(rows, hosts, "_host").filter("kept").select("_row.*")
+    hosts = host_verdicts(rows, "_host").filter("rejected")
+    rejected = written(hosts.select("host", "rejected"), "quality-hosts")
+    return judged(rows, rejected, "_host").filter("kept").select("_row.*")
