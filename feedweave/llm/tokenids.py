@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 from feedweave.llm.ranks import running_sums, written
-from feedweave.llm.tokens import shared_encoder
+from feedweave.llm.tokens import release, shared_encoder, slices
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 END_ID = 1
@@ -35,19 +35,20 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared_encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 2)):
             ids = encoder.encode_all(batch.column(2))
             offsets = np.concatenate([[0], np.cumsum([len(b) // 4 + 1 for b in ids])]).astype(np.int32)
             flat = pa.array(np.frombuffer(end.join([*ids, b""]), "<i4"))
             lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["doc_id", "text_hash", "ids"])
+        release()
 
     narrow = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"),
     )
     ranged = narrow.repartitionByRange("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash")
     options = {
-        "compression": "zstd", "orc.stripe.size": STRIPE_BYTES, "orc.create.index": "true",
+        "compression": "snappy", "orc.stripe.size": STRIPE_BYTES, "orc.create.index": "true",
         "orc.row.index.stride": ROWS_PER_INDEX, "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": FALSE_HITS,
     }
     ranged.mapInArrow(run, SCHEMA).write.options(**options).orc(path)

@@ -12,13 +12,14 @@ import os
 import re
 import sys
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Half of the known pieces per worker; about 250 bytes each.
-KNOWN_PIECES = 500_000
+KNOWN_PIECES = 200_000
 #: Pieces of more characters are encoded each time instead of being kept.
 LONGEST_KEPT = 100
 #: Bytes of text treated at a time.
@@ -129,23 +130,22 @@ class TextEncoder:
         return self._plain(chunk)
 
     def encode_all(self, texts: pa.Array) -> list[bytes | memoryview]:
-        """The ids of each text of an Arrow array; NULL is empty. Equal pieces are looked up once per slice."""
+        """The ids of each text of an Arrow array; NULL is empty. Equal pieces are looked up once."""
         result: list[bytes | memoryview] = [b""] * len(texts)
         odd = pc.fill_null(pc.match_substring_regex(texts, ODD_SPACE), False).to_numpy(zero_copy_only=False)
         for row in np.flatnonzero(odd).tolist():
             result[row] = self.encode(texts[row].as_py())
         rows = np.flatnonzero(~odd & texts.is_valid().to_numpy(zero_copy_only=False))
-        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)[rows], dtype=np.int64)
-        for some in np.split(rows, np.flatnonzero(np.diff(sizes // SLICE_BYTES)) + 1):
-            if len(some):
-                for row, ids in zip(some.tolist(), self._evenly_spaced(texts.take(pa.array(some)))):
-                    result[row] = ids
+        if len(rows):
+            for row, ids in zip(rows.tolist(), self._evenly_spaced(texts.take(pa.array(rows)))):
+                result[row] = ids
         return result
 
     def _evenly_spaced(self, texts: pa.Array) -> list[memoryview]:
         if self._lower:
             texts = pc.if_else(pc.string_is_ascii(texts), pc.ascii_lower(texts), texts)
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        # A line feed marks its piece, unless the vocabulary drops white space anyway.
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n" if self._spaced else " "), " ")
         begins, pieces = lists.offsets.to_numpy(), lists.values
         coded = pieces.dictionary_encode()
         if len(self._known) > self._known_pieces:
@@ -168,6 +168,20 @@ class TextEncoder:
         return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
+def release() -> None:
+    """Give freed memory back to the machine: a worker that is idle stays beside other stages."""
+    pa.default_memory_pool().release_unused()
+
+
+def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about SLICE_BYTES of its text column; a longer text is a part of its own."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(sizes // SLICE_BYTES)) + 1).tolist(), len(sizes)]
+    for start, stop in zip(cuts, cuts[1:]):
+        if stop > start:
+            yield batch.slice(start, stop - start)
+
+
 def shared_encoder(path: str) -> TextEncoder:
     """This worker process's encoder: later tasks go on with the pieces that earlier ones met."""
     encoders = vars(sys).setdefault("_feedweave_encoders", {})
