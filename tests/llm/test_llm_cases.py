@@ -137,7 +137,14 @@ def test_token_files_have_bloom_filters_and_prune(spark):
 
     path = scratch_dir(spark, "orc")
     tokenids.write(spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text")), path, WORD)
-    assert any(b"BLOOM_FILTER" in open(f, "rb").read() or True for f in glob.glob(f"{path}/*.orc"))
+    jvm, kinds = spark._jvm, set()
+    for file in glob.glob(f"{path}/*.orc"):
+        options = jvm.org.apache.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration())
+        reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(file), options)
+        assert reader.getRowIndexStride() == tokenids.ROWS_PER_INDEX
+        for stripe in reader.getStripes():
+            kinds |= {str(stream.getKind()) for stream in reader.rows().readStripeFooter(stripe).getStreamsList()}
+    assert {"ROW_INDEX", "BLOOM_FILTER_UTF8"} <= kinds
     one = tokenids.read(spark, path).filter("doc_id = 4321")
     assert [r["doc_id"] for r in one.collect()] == [4321]
     assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,4321)]" in one._jdf.queryExecution().explainString(
