@@ -218,7 +218,7 @@ def with_junk(lines: DataFrame) -> DataFrame:
 def read_skip_lines(spark, sf_dir):
     path = scratch_dir(spark, "junk")
     with_junk(raw_lines(spark, sf_dir)).write.text(path)
-    return good_of(spark, spec_with(skip_lines=2, header=True), path)
+    return good_of(spark, spec_with(skip_lines=2, header=True, multi_line=False), path)
 
 
 @query(first_lines("code").replace('_row, code', "code", 1))
