@@ -8,11 +8,13 @@ memory for known pieces is bounded: pieces that were not met for a while are for
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import sys
 from array import array
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +107,10 @@ class TextEncoder:
             return self._plain(piece)
         return self._plain(" " + piece)
 
+    def forget(self) -> None:
+        """Drop the known pieces."""
+        self._known, self._older = {}, {}
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
@@ -171,6 +177,8 @@ class TextEncoder:
 def release() -> None:
     """Give freed memory back to the machine: a worker that is idle stays beside other stages."""
     pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
