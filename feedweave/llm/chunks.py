@@ -115,7 +115,7 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_chunks(docs: DataFrame, text: Column) -> DataFrame:
-    """(_at, _spans): by document, the chunks that occur earlier."""
+    """(_at, _spans): by document, the chunks that occur earlier. ``docs`` has each _at once."""
     found = docs.select("_at", text.alias("_text")).mapInArrow(
         _chunk_rows, "x long, y long, at long, start long, stop long, settled boolean",
     )
@@ -140,7 +140,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
 
     ``text_left`` is what remains; a character cut in two is left out of it.
     """
-    placed = ordered_documents(docs, doc_id, text)
+    placed, once = ordered_documents(docs, doc_id, text)
     body = F.col("_doc")[text]
 
     def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -156,7 +156,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
         return pa.StructArray.from_arrays(columns, ["text_left", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = "struct<text_left: string, n_bytes: long, n_removed: long, n_spans: long, kept_sha256: string>"
-    joined = placed.join(repeated_chunks(placed, body), "_at", "left")
+    joined = placed.join(repeated_chunks(once, body), "_at", "left")
     none = F.array().cast("array<struct<start: bigint, stop: bigint>>")
     cut_out = F.arrow_udf(run, kind)(body, F.coalesce("_spans", none)).alias("_cut")
     return joined.select("_doc", cut_out).select("_doc", "_cut.*")

@@ -31,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 
 from feedweave.llm.lyndon import suffix_arrays
-from feedweave.llm.ranks import running_sums, whole_row, written
+from feedweave.llm.ranks import one_of_each, running_sums, whole_row, written
 from pyspark.sql import Column, DataFrame, functions as F
 
 LENGTH = 100
@@ -317,20 +317,26 @@ def _repeats(length: int):
     return run
 
 
-def ordered_documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(_at, _doc): a number in the documents' order, which is the id itself if ids are unique."""
+def ordered_documents(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(_at, _doc) of every row, and of one row for each _at.
+
+    ``_at`` is a number in the documents' order, which is the id itself if ids are unique.
+    Repeats are looked for among the second: a repeated row is no copy of an earlier document.
+    """
     row = whole_row(docs).alias("_doc")
     ids = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("hash"))
     if not ids.groupBy("id").count().filter("id IS NULL OR count > 1").take(1):
-        return docs.select(F.col(doc_id).cast("long").alias("_at"), row)
+        single = docs.select(F.col(doc_id).cast("long").alias("_at"), row)
+        return single, single
     placed = running_sums(ids.distinct().withColumn("one", F.lit(1)), [], ["id", "hash"], ["one"], "substrings-order")
     rows = docs.select(row, F.col(doc_id).cast("long").alias("_id"), F.xxhash64(F.col(text)).alias("_hash"))
     same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("hash"))
-    return rows.join(placed, same).select(F.col("before_one").alias("_at"), "_doc")
+    every = rows.join(placed, same).select(F.col("before_one").alias("_at"), "_doc")
+    return every, one_of_each(every, "_at")
 
 
 def spans(docs: DataFrame, text: Column, length: int = LENGTH, bound: int = GROUP_BOUND, held: int = HELD) -> DataFrame:
-    """(_at, spans): by document, the stretches [start, stop) to remove. ``docs`` has _at and the text's struct."""
+    """(_at, spans): by document, the stretches [start, stop) to remove. ``docs`` has _at, each once, and the text's struct."""
     texts = docs.select("_at", text.alias("_text"))
     found = texts.mapInArrow(_anchor_rows(length), "gram long, digest long, at long, start long, count int")
     by_gram = found.repartition("gram").sortWithinPartitions("gram", "at", "start")
@@ -385,9 +391,9 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
 
     ``kept`` holds the remaining bytes of texts that lost any, if ``with_text`` is set.
     """
-    placed = ordered_documents(docs, doc_id, text)
+    placed, once = ordered_documents(docs, doc_id, text)
     body = F.col("_doc")[text]
-    joined = placed.join(spans(placed, body, **bounds), "_at", "left")
+    joined = placed.join(spans(once, body, **bounds), "_at", "left")
     none = F.array().cast("array<struct<start: bigint, stop: bigint>>")
     cut_out = _cutting(with_text)(body, F.coalesce("_spans", none)).alias("_cut")
     return joined.select("_doc", cut_out).select("_doc", "_cut.*")

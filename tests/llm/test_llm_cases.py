@@ -193,6 +193,23 @@ def test_substring_operators_odd(spark, operator):
     assert operator.deduplicated(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("operator", [chunks, subs])
+def test_repeated_rows_are_no_copies_of_themselves(spark, operator):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice("abcdefgh") * 3 + str(rng.randrange(10**6)) for _ in range(60)) for _ in range(4)]
+    texts += [texts[0] + " " + texts[3], ""]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame([*rows, *rows[:3], rows[0], rows[4], rows[5]], "doc_id long, text string").repartition(3)
+    got = operator.deduplicated(df).select("_doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert len(got) == len(rows) + 6
+    assert all(r["n_removed"] == 0 for r in got if r["doc_id"] < 4)  # they occur nowhere else
+    if operator is subs:
+        assert in_order(list({tuple(r) for r in got})) == substrings(rows, 100)
+    else:
+        alone = operator.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert {tuple(r) for r in got} == {tuple(r) for r in alone.select("_doc.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()}
+
+
 def test_remaining_texts_are_whole_characters(spark):
     text = "é" * 75
     df = spark.createDataFrame([(1, text, 75), (2, "x" + text, 76), (3, None, None)], "doc_id long, text string, n_chars int")
