@@ -2,8 +2,8 @@
 
 A text is cut wherever a space or a line feed follows a character that is no white space.
 No pattern of the vocabularies used here matches across such a place, so the ids of a text
-are the ids of its pieces in a row, and a piece seen before needs no second encoding. The
-memory for known pieces is bounded: pieces that were not met for a while are forgotten.
+are the ids of its pieces in a row, and a piece seen before needs no second encoding. Texts
+that hold the string of an added token, such as <|endoftext|>, are encoded whole. The memory for known pieces is bounded: pieces that were not met for a while are forgotten.
 """
 
 from __future__ import annotations
@@ -59,7 +59,9 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Their strings become their ids. In another case too: texts are made lower-case before they are cut.
+        self._added = [re.escape(token.content) for token in self._tokenizer.get_added_tokens_decoder().values()]
+        self._holds_added = re.compile("|".join(self._added) or "(?!)", re.IGNORECASE).search
         self._model = self._tokenizer.model
         self._known_pieces = known_pieces
         self._known: dict[str, bytes] = {}
@@ -114,6 +116,8 @@ class TextEncoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if self._holds_added(text):
+            return self._plain(text)
         if self._lower and text.isascii():
             text = text.lower()  # so that fewer pieces differ
         odd = _other_space(text) or text[0] in " \n" or text[-1] in " \n"
@@ -139,6 +143,9 @@ class TextEncoder:
         """The ids of each text of an Arrow array; NULL is empty. Equal pieces are looked up once."""
         result: list[bytes | memoryview] = [b""] * len(texts)
         odd = pc.fill_null(pc.match_substring_regex(texts, ODD_SPACE), False).to_numpy(zero_copy_only=False)
+        if self._added:
+            added = pc.match_substring_regex(texts, "|".join(self._added), ignore_case=True)
+            odd = odd | pc.fill_null(added, False).to_numpy(zero_copy_only=False)
         for row in np.flatnonzero(odd).tolist():
             result[row] = self.encode(texts[row].as_py())
         rows = np.flatnonzero(~odd & texts.is_valid().to_numpy(zero_copy_only=False))

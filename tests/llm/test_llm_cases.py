@@ -14,6 +14,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from llm_data import empty, in_order, linked, odd, odd_rows, simhash, substrings
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from feedweave.llm import chunks, components, imatch, language, licences, mixing, packing, quality, simhash as sim, substrings as subs, tokenids
 from feedweave.llm.lyndon import suffix_arrays
@@ -75,6 +76,17 @@ def test_pieces_give_the_ids_of_the_whole_text(path):
     assert [bytes(ids) for ids in found[2:]] == [encoder.encode(text) for text in texts]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORD])
+def test_strings_of_added_tokens_become_their_ids(path):
+    untouched, encoder = Tokenizer.from_file(path), TextEncoder(path)
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext|", "endoftext"]
+    texts = [form.replace("#", mark) for mark in marks for form in ("a#b", "#", "one # two", "one\n#  é", "x##\n", "plain words, # and # again.")]
+    texts += ["plain words, and again."]
+    expected = [untouched.encode(text, add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(encoder.encode(text), "<u4").tolist() for text in texts] == expected
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(pa.array(texts))] == expected
+
+
 def test_components_of_chains_stars_and_loops(spark):
     rng, edges = random.Random(2), [(k, k + 1) for k in range(60)] + [(500, k) for k in range(501, 560)] + [(9000, 9000)]
     edges += [(rng.randrange(1000, 1300), rng.randrange(1000, 1300)) for _ in range(150)]
