@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import gzip
 import io
+import itertools
 import re
 import sys
+import tempfile
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -183,24 +185,42 @@ def _open(path: str, content: bytes | None, steps: Sequence[str], encoding: str)
     return io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="\n")
 
 
-#: A quote that is still open after so many characters ends its record, which is then a reject.
-LONGEST_RECORD = 1 << 20
+#: Characters of an unfinished record that are held in memory; further ones wait in a temporary file.
+HELD_CHARS = 1 << 20
 
 
 def records(lines: Iterator[str], opened: re.Pattern, enclosure: str) -> Iterator[tuple[int, str]]:
-    """(number of the first line, record): lines are joined while a quoted field is open."""
-    held, size, first = [], 0, 0
+    """(number of the first line, record): lines are joined while a quoted field is open, however many.
+
+    A quote that is still open where the lines end makes a reject: of all that is behind it, or
+    of its line alone if more than HELD_CHARS are behind it. Every later line of those ended
+    within quotes, so one that opens a quote itself is not closed either, and any other is a record.
+    """
+    held, size, first, waiting = [], 0, 0, None
     for number, line in enumerate(lines):
-        if not held:
+        begins = not held and waiting is None
+        if begins:
             first = number
         body = line.rstrip("\r\n")
         held.append(line)
         size += len(line)
-        if opened.match(body if len(held) == 1 else enclosure + body) and size <= LONGEST_RECORD:
+        if opened.match(body if begins else enclosure + body):
+            if size > HELD_CHARS:
+                waiting = waiting or tempfile.TemporaryFile("w+", encoding="utf-8", errors="surrogatepass", newline="\n")
+                waiting.writelines(held)
+                held, size = [], 0
             continue
+        if waiting is not None:
+            waiting.seek(0)
+            held.insert(0, waiting.read())
+            waiting.close()
         yield first, "".join(held)
-        held, size = [], 0
-    if held:
+        held, size, waiting = [], 0, None
+    if waiting is not None:
+        waiting.seek(0)
+        yield from enumerate(itertools.chain(waiting, held), first)
+        waiting.close()
+    elif held:
         yield first, "".join(held)
 
 

@@ -124,6 +124,24 @@ def test_records_over_lines_on_every_path(spark, tmp_path):
     assert values(load.quarantine(raw, single), "reject_reason") == [("fields",)] * 4
 
 
+def test_records_of_any_length_are_whole(spark, tmp_path):
+    """A record of more than a megabyte ends at its closing quote; lines in it that look like records are none."""
+    long = "\n".join(f"q{k};{k};1;;not a record\r, 漢" for k in range(120_000))
+    path = write(tmp_path / "m.csv", f'a;1;1;;x\nb;2;2;;"{long}"\nc;3;3;;y\n')
+    raw = read_feed(spark, spec(multi_line=True), path)
+    got = {r["k"]: r["t"] for r in raw.collect()}
+    assert got == {"a": "x", "b": long, "c": "y"} and raw.filter("_bad_line IS NOT NULL").count() == 0
+
+
+def test_an_open_quote_does_not_take_the_rest_of_a_long_file(spark, tmp_path):
+    rest = 'd;3;3;;say ""\ne";4;4;;"again\n' + "".join(f"r{k};1;1;;{'z' * 100}\n" for k in range(30_000))
+    raw = read_feed(spark, spec(multi_line=True), write(tmp_path / "m.csv", 'a;1;1;;x\nc;3;3;;"never closed\n' + rest))
+    bad = raw.filter("_bad_line IS NOT NULL").select("_row", "_bad_line").collect()
+    assert sorted(tuple(r) for r in bad) == [(1, 'c;3;3;;"never closed'), (3, 'e";4;4;;"again')]
+    good = raw.filter("_bad_line IS NULL").select("k").collect()
+    assert {r["k"] for r in good} == {"a", "d", *(f"r{k}" for k in range(30_000))} and len(good) == 30_002
+
+
 def test_open_quotes():
     import re
 
