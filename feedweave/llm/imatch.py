@@ -12,20 +12,26 @@ average, however large the corpus is. That is checked before the lexicon, as a h
 two possible places per term, becomes a scalar that the tasks look terms up in; were it
 larger, the look-up would be a join.
 
-Defined cases: NULL is an empty text; a text without terms of the band is known by one hash
-of all its terms; rows equal in id and text are one document with equal results; other texts
+Terms are counted over different texts. A text with hardly any term of the band, as the
+members of a large group of near copies, has all its terms dealt to the parts instead.
+
+Defined cases: NULL is an empty text; a text without any term is known by one hash; rows equal in id and text are one document with equal results; other texts
 of one id are ordered by a hash, NULL ids first; other columns take no part; an empty table
 gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from feedweave.llm.quality import let
-from feedweave.llm.ranks import running_sums, written
+from feedweave.llm.ranks import one_of_each, running_sums, written
 from pyspark.sql import Column, DataFrame, functions as F
 
 MIN_IDF, MAX_IDF = 4.0, 5.0
 SUBSETS = 32
+#: A text with fewer terms of the band than this is known by all its terms.
+FEW = 4
 #: Terms that the lexicon's scalar may hold: 16 MB at two places each.
 MOST_TERMS = 1 << 19
 
@@ -36,10 +42,23 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, text: Column, min_idf: float = MIN_IDF, max_idf: float = MAX_IDF) -> DataFrame:
-    """(h): the hashes of the terms in the band. Terms are counted by hash, which is narrower to shuffle."""
-    n = docs.count()
-    hashed = docs.select(F.explode(F.transform(terms(text), lambda t: F.xxhash64(t))).alias("h"))
-    counted = hashed.groupBy("h").agg(F.count("*").alias("df"))
+    """(h): the hashes of the terms in the band, counted over different texts: copies push no term out of it.
+
+    Terms are counted by hash, which is narrower to shuffle. All rows are counted where they
+    are; of a repeated text one row is met again and takes what the others added.
+    """
+    texts = docs.select(text.alias("_text"), F.xxhash64(text).alias("_hash"))
+    repeated = written(texts.groupBy("_hash").agg((F.count("*") - 1).alias("_extra")).filter("_extra > 0"), "imatch-repeated")
+    extra = repeated.agg(F.sum("_extra")).first()[0] or 0
+    n = docs.count() - extra
+
+    def hashed(rows: DataFrame, amount: Column) -> DataFrame:
+        return rows.select(amount.alias("amount"), F.explode(F.transform(terms(F.col("_text")), lambda t: F.xxhash64(t))).alias("h"))
+
+    counted = hashed(texts, F.lit(1).cast("long"))
+    if extra:
+        counted = counted.unionAll(hashed(one_of_each(texts.join(repeated, "_hash"), "_hash"), -F.col("_extra")))
+    counted = counted.groupBy("h").agg(F.sum("amount").alias("df"))
     idf = F.log(F.lit(float(n or 1)) / F.col("df"))
     return counted.filter(idf.between(min_idf, max_idf)).select("h")
 
@@ -71,14 +90,20 @@ def hash_table(hashes: list[int]) -> list[int]:
         size *= 2
 
 
-def _prints(found: Column, table: Column, size: int, subsets: int) -> Column:
-    """The hashes by part; one hash of all terms if none is in the lexicon."""
+def _known(found: Column, table: Column, size: int) -> Column:
+    """Those of the terms that the table holds."""
 
     def known(t: Column) -> Column:
         h = F.xxhash64(t)
         a, b = _places(h, size)
         return (F.get(table, a) == h) | (F.get(table, b) == h)
 
+    return F.filter(found, known)
+
+
+def _prints(found: Column, known: Callable[[Column], Column], subsets: int) -> Column:
+    """The hashes by part of the known terms, or of all terms if fewer than FEW are known; one hash if there is no term."""
+
     def part(t: Column) -> Column:
         return F.pmod(F.xxhash64(t, F.lit(1)), F.lit(subsets))
 
@@ -90,10 +115,9 @@ def _prints(found: Column, table: Column, size: int, subsets: int) -> Column:
         return F.transform(F.sequence(F.lit(0).cast("long"), F.lit(subsets - 1).cast("long")), one)
 
     def of(every: Column) -> Column:
-        kept = F.sort_array(F.transform(F.filter(every, known), lambda t: F.struct(part(t).alias("k"), t.alias("t"))))
-        return let(kept, lambda x: F.when(F.size(x) > 0, by_part(x)).otherwise(
-            F.array(F.xxhash64(F.sort_array(every))),
-        ))
+        used = let(known(every), lambda some: F.when(F.size(some) < FEW, every).otherwise(some))
+        dealt = F.sort_array(F.transform(used, lambda t: F.struct(part(t).alias("k"), t.alias("t"))))
+        return let(dealt, lambda x: F.when(F.size(x) > 0, by_part(x)).otherwise(F.array(F.xxhash64(every))))
 
     return let(found, of)
 
@@ -119,7 +143,7 @@ def fingerprints(df: DataFrame, texts: dict[str, Column], corpus: DataFrame, sub
     table = hash_table([r["h"] for r in words.collect()])
     stored = written(df.sparkSession.createDataFrame([(table,)], "slots array<bigint>"), "imatch-table")
     looked_up = df.withColumn("_table", stored.select("slots").scalar())
-    made = {name: _prints(terms(text), F.col("_table"), len(table), subsets) for name, text in texts.items()}
+    made = {name: _prints(terms(text), lambda found: _known(found, F.col("_table"), len(table)), subsets) for name, text in texts.items()}
     return looked_up.withColumns(made).drop("_table")
 
 

@@ -284,6 +284,38 @@ def test_imatch_over_many_partitions(spark, sf_dir):
     assert len(few) == docs.count() and many == few
 
 
+def _likeness(a, b):
+    either = [(x, y) for x, y in zip(a, b, strict=True) if x is not None or y is not None]
+    return sum(x == y for x, y in either) / len(either)
+
+
+def test_imatch_of_a_large_group_of_near_copies(spark):
+    rng = random.Random(13)
+
+    def prose(n):
+        return [f"w{rng.randrange(4000)}" for _ in range(n)]
+
+    one, texts = prose(60), [" ".join(prose(60)) for _ in range(200)]
+    for k in range(100):
+        words = list(one)
+        words[rng.randrange(60)] = f"new{k}"
+        texts.append(" ".join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "_at long, text string")
+    prints = dict(imatch.fingerprints(df, {"fp": F.col("text")}, df).select("_at", "fp").collect())
+    group = [prints[k] for k in range(200, 300)]
+    assert min(_likeness(a, b) for a, b in zip(group, group[1:])) > 0.7
+    assert max(_likeness(prints[k], group[0]) for k in range(100) if len(prints[k]) == len(group[0])) < 0.2
+
+
+def test_imatch_counts_terms_over_different_texts(spark):
+    texts = [f"common own{k}" for k in range(100)]
+    rows = [(t,) for t in texts + 40 * ["common own7"] + 3 * ["common own8"]]
+    df = spark.createDataFrame(rows, "text string").repartition(3)
+    found = {r["h"] for r in imatch.lexicon(df, F.col("text")).collect()}
+    terms = spark.createDataFrame([(f"own{k}",) for k in range(100)], "t string").select(F.xxhash64("t").alias("h"))
+    assert found == {r["h"] for r in terms.collect()}
+
+
 def test_imatch_of_one_document(spark):
     row = imatch.compared(spark.createDataFrame([(5, "a b c")], "doc_id long, text string")).first()
     assert row["near_next"] == 1.0 and row["n_chars"] == 5
