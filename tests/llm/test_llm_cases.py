@@ -434,6 +434,35 @@ def test_licences_are_inherited_from_the_nearest_directory(spark):
     assert licences.scanned(empty(spark), F.col("source")).count() == 0
 
 
+def test_licences_of_headers_and_whole_files(spark):
+    standard = licences.standard_texts()
+    header = {licence: text for licence, text in reversed(standard) if len(text) < 1200}
+    whole = {licence: text for licence, text in standard}
+    prose = " ".join(f"filler{k % 50} words" for k in range(300))
+
+    def comment(licence, mark):
+        return "\n".join(mark + " " + header[licence][k:k + 70].replace("\n", " ") for k in range(0, len(header[licence]), 70)) + "\nimport os\n" + prose
+
+    rows = [
+        (1, "a/x.py", "# Copyright (C) 2020 Some One\n#\n" + comment("GPL-3.0", "#"), "GPL-3.0"), (2, "a/y.c", comment("LGPL-2.1", " *"), "LGPL-2.1"),
+        (3, "b/LICENSE", whole["GPL-2.0"], "GPL-2.0"), (4, "c/COPYING", whole["AGPL-3.0"], "AGPL-3.0"), (5, "d/LICENSE.md", whole["MIT"], "MIT"),
+        (6, "e/LICENSE", whole["BSD-2-Clause"], "BSD-2-Clause"), (7, "e/f/z.txt", prose, "BSD-2-Clause"), (8, "g/plain.txt", prose, None),
+        (9, "h/LICENSE", whole["GPL-3.0"].replace("\n", "\r\n"), "GPL-3.0"), (10, "i/k.txt", whole["ISC"].replace("\n", " ").strip() + "\n\n" + prose, "ISC"),
+        (11, "j/n.txt", "Subject to the terms of the Mozilla Public: This Source Code Form is v. 2.0", "MPL-2.0"),  # no cue word of old
+    ]
+    df = spark.createDataFrame([(i, p, t) for i, p, t, _ in rows], "doc_id long, p string, text string")
+    got = {r["doc_id"]: r["licence"] for r in licences.scanned(df, F.col("p")).collect()}
+    assert got == {i: licence for i, _, _, licence in rows}
+
+
+def test_required_terms_miss_no_match():
+    rng = random.Random(14)
+    vectors = [licences._unit(line, {}, 1.0) for _, line in licences.NOTICES]
+    terms = licences.required(vectors, {t: rng.random() for v in vectors for t in v}, 0.8)
+    for vector in vectors:
+        assert sum(w * w for t, w in vector.items() if t not in terms) < 0.64
+
+
 # --- 9 language
 
 
