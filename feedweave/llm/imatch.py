@@ -8,9 +8,9 @@ the terms it touches and leaves the others.
 
 Size of the lexicon: a term in the band occurs in at least a share e^-max_idf of all
 documents, so there are at most e^max_idf times as many as a document has distinct terms on
-average, however large the corpus is. That is checked before the lexicon, as a hash table of
-two possible places per term, becomes a scalar that the tasks look terms up in; were it
-larger, the look-up would be a join.
+average, however large the corpus is. Up to MOST_TERMS the lexicon, as a hash table of two
+possible places per term, becomes a scalar that the tasks look terms up in; a larger one is
+joined with the texts' terms.
 
 Terms are counted over different texts. A text with hardly any term of the band, as the
 members of a large group of near copies, has all its terms dealt to the parts instead.
@@ -135,11 +135,30 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(a) != F.size(b), F.lit(0.0)).otherwise(both / either)
 
 
-def fingerprints(df: DataFrame, texts: dict[str, Column], corpus: DataFrame, subsets: int = SUBSETS, **band: float) -> DataFrame:
-    """``df`` with a fingerprint (an array of hashes) for each named text; the lexicon is that of ``corpus``' column text."""
+def _joined(df: DataFrame, key: str, text: Column, words: DataFrame, name: str) -> DataFrame:
+    """``df`` with the terms of a text that the lexicon holds, by a join: for lexicons that no task should hold."""
+    each = df.select(F.col(key).alias("_key"), F.explode(terms(text)).alias("_term"))
+    held = each.join(words, F.xxhash64("_term") == F.col("h")).groupBy("_key").agg(F.collect_list("_term").alias(name))
+    joined = df.join(held, F.col(key) == F.col("_key"), "left").drop("_key")
+    return joined.withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
+
+
+def fingerprints(
+    df: DataFrame, texts: dict[str, Column], corpus: DataFrame, subsets: int = SUBSETS, key: str = "_at", **band: float,
+) -> DataFrame:
+    """``df`` with a fingerprint (an array of hashes) for each named text; the lexicon is that of ``corpus``' column text.
+
+    ``key`` is a column of ``df`` whose values are unique; only a lexicon beyond MOST_TERMS needs it.
+    """
     words = written(lexicon(corpus, F.col("text"), **band), "imatch-lexicon", release=True)
     if words.count() > MOST_TERMS:
-        raise ValueError("the band holds more terms than a scalar may; narrow it")
+        wide, columns = written(df, "imatch-texts"), df.columns
+        made = {}
+        for k, (name, text) in enumerate(texts.items()):
+            wide = _joined(wide, key, text, words, f"_held_{k}")
+            held = F.col(f"_held_{k}")
+            made[name] = _prints(terms(text), lambda found, held=held: held, subsets)
+        return wide.withColumns(made).select(*columns, *made)
     table = hash_table([r["h"] for r in words.collect()])
     stored = written(df.sparkSession.createDataFrame([(table,)], "slots array<bigint>"), "imatch-table")
     looked_up = df.withColumn("_table", stored.select("slots").scalar())

@@ -316,6 +316,14 @@ def test_imatch_counts_terms_over_different_texts(spark):
     assert found == {r["h"] for r in terms.collect()}
 
 
+def test_imatch_joins_a_large_lexicon(spark, sf_dir, monkeypatch):
+    for docs in (spark.read.parquet(f"{sf_dir}/documents.parquet").limit(120), odd(spark)):
+        looked_up = sorted(map(repr, imatch.compared(docs).collect()))
+        monkeypatch.setattr(imatch, "MOST_TERMS", 0)
+        assert sorted(map(repr, imatch.compared(docs).collect())) == looked_up
+        monkeypatch.undo()
+
+
 def test_imatch_of_one_document(spark):
     row = imatch.compared(spark.createDataFrame([(5, "a b c")], "doc_id long, text string")).first()
     assert row["near_next"] == 1.0 and row["n_chars"] == 5
