@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 
-from feedweave.llm import chunks, imatch, language, licences, mixing, packing, quality, simhash, sql, substrings, tokenids
+from feedweave.llm import chunks, imatch, language, licences, mixing, packing, quality, simhash, sql, substrings, tokenids, warc
 from feedweave.session import scratch_dir
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -93,3 +93,12 @@ def op9_language_id(spark, sf_dir):
 @query()
 def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query(sql.WARC)
+def op13_warc(spark, sf_dir):
+    path = scratch_dir(spark, "warc")
+    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path, date="2026-01-01T00:00:00Z")
+    found = warc.resolved(warc.captures(warc.records(spark, path)))
+    ids = {c: F.col(c).cast("long") for c in ("page_id", "refers_to")}
+    return found.withColumns(ids).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

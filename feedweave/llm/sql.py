@@ -125,3 +125,17 @@ LEFT JOIN (SELECT * FROM inherited WHERE nr = 1) i USING (directory)
 
 
 LICENCES = _licences()
+
+_PART = "lpad(to_base(CAST('0x' || substr(hex, {}, 10) AS BIGINT), 32), 8, '0')"
+_DIGITS = " || ".join(_PART.format(at) for at in (1, 11, 21, 31))
+
+WARC = f"""
+    WITH pages_with AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+    placed AS (
+        SELECT *, row_number() OVER same AS place, first_value(page_id) OVER same AS first_page FROM pages_with
+        WINDOW same AS (PARTITION BY hex ORDER BY page_id NULLS LAST))
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+           translate({_DIGITS}, '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+           CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN place > 1 THEN first_page END AS refers_to
+    FROM placed"""
