@@ -38,7 +38,8 @@ def crc(ids):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_equals_its_twin(spark, sf_dir, name):
     connection = duckdb.connect()
-    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "pages"):
+        connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     df = queries.QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
     result = connection.execute(queries.ORACLE[name])
