@@ -8,10 +8,7 @@ from __future__ import annotations
 
 import gzip
 import io
-import itertools
-import re
 import sys
-import tempfile
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -19,6 +16,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from feedweave.session import scratch_dir
+from feedweave.sources.records import ends_open, whole_records
 from feedweave.sources.schema import FeedSpec
 
 # The functions run by tasks travel with the job: executors need not have this package.
@@ -53,15 +52,27 @@ def clean_records(lines: DataFrame) -> DataFrame:
     return lines.withColumn("value", F.regexp_replace("value", "^\ufeff|[\r\n]+$", "")).filter("value != ''")
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str], skip: int = 0) -> DataFrame:
+def _decoded(value: Column, encoding: str) -> Column:
+    return value if encoding.upper() == "UTF-8" else F.decode(value.cast("binary"), encoding)
+
+
+def read_lines(spark: SparkSession, path: str | Sequence[str], skip: int = 0, encoding: str = "UTF-8") -> DataFrame:
     """Non-blank lines with their position, without the first ``skip`` lines of each file.
 
     Gzipped files are read as they are, one task per file.
     """
-    lines = spark.read.text(path).select(*_positions(), "value")
+    lines = spark.read.text(path).select(*_positions(), _decoded(F.col("value"), encoding).alias("value"))
     return clean_lines(drop_leading(lines, skip) if skip else lines)
 
 
+def raw_lines(spark: SparkSession, path: str | Sequence[str], skip: int = 0, encoding: str = "UTF-8") -> DataFrame:
+    """All lines, cut at line feeds only, with their position; a byte order mark at the start of one goes."""
+    value = _decoded(F.col("value"), encoding)
+    unmarked = F.when(value.startswith("\ufeff"), F.substring(value, 2, 1 << 30)).otherwise(value)
+    lines = spark.read.option("lineSep", "\n").text(path).select(*_positions(), unmarked.alias("value"))
+    return drop_leading(lines, skip) if skip else lines
+
+
 def drop_leading(lines: DataFrame, n: int) -> DataFrame:
     """Drop the first ``n`` lines of each file.
 
@@ -92,16 +103,6 @@ def line_window(lines: DataFrame, start: int, n: int) -> DataFrame:
     return clean_lines(kept.select(*lines.columns))
 
 
-def open_quote(delimiter: str, enclosure: str) -> str:
-    """The pattern of a line that ends within a quoted field, for Java and Python alike.
-
-    Quotes count where a field begins with one; a doubled one stands for itself.
-    """
-    d, e = re.escape(delimiter), re.escape(enclosure)
-    quoted = f"{e}[^{e}]*+(?:{e}{e}[^{e}]*+)*+"
-    return f"^(?:(?:{quoted}{e}[^{d}]*+|(?!{e})[^{d}]*+){d})*+{quoted}$"
-
-
 def csv_options(spec: FeedSpec) -> dict[str, str]:
     """A doubled enclosure stands for itself; every line is kept, bad ones marked.
 
@@ -113,7 +114,6 @@ def csv_options(spec: FeedSpec) -> dict[str, str]:
         "escape": spec.enclosure,
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": BAD_LINE,
-        "encoding": spec.encoding,
         "columnPruning": "false",
     }
 
@@ -124,7 +124,7 @@ def parse_lines(lines: DataFrame, spec: FeedSpec) -> DataFrame:
     A record whose last quote is never closed does not fit, whatever its field count.
     """
     fields = ", ".join(f"`{field.name}` string" for field in spec.raw_schema(BAD_LINE))
-    broken = F.col("value").rlike(open_quote(spec.delimiter, spec.enclosure))
+    broken = ends_open(F.col("value"), spec.delimiter, spec.enclosure)
     # As a generator's output the split line is computed once; as a plain column Spark would
     # copy the splitting into every filter on it.
     split = F.inline(F.array(F.struct(F.from_csv("value", fields, csv_options(spec)).alias("_fields"), F.when(broken, F.col("value")).alias("_open"))))
@@ -136,8 +136,9 @@ def parse_lines(lines: DataFrame, spec: FeedSpec) -> DataFrame:
 def read_feed(spark: SparkSession, spec: FeedSpec, path: str | None = None) -> DataFrame:
     """The feed's columns as text with position and ``_bad_line``.
 
-    With ``multi_line``, records are put together from a file's lines by the one task that
-    streams it, archives included. Without it, files are split among tasks line by line.
+    With ``multi_line``, line breaks within quotes are part of a record, else every line is one.
+    Files are split among tasks either way; an archive is unpacked by one task, into a table in
+    the shared folder, and then treated like them.
     """
     path = path or spec.path
     unknown = set(spec.conversion) - {"zip", "gz", "csv"}
@@ -145,12 +146,29 @@ def read_feed(spark: SparkSession, spec: FeedSpec, path: str | None = None) -> D
         raise ValueError(f"cannot unpack {', '.join(sorted(unknown))}")
     packed = [step for step in spec.conversion if step != "csv"]
     skip = spec.skip_lines + int(spec.header)
-    if not spec.multi_line and packed in ([], ["gz"]):
-        return parse_lines(read_lines(spark, path, skip), spec)
-    files = packed_files(spark, path)
-    ends = (spec.delimiter, spec.enclosure) if spec.multi_line else None
-    clean = clean_records if spec.multi_line else clean_lines
-    return parse_lines(clean(archive_lines(files, packed, spec.encoding, skip, ends)), spec)
+    if packed in ([], ["gz"]) and spec.encoding.upper() in SPLIT_ENCODINGS and _by_name(spark, path, packed):
+        if not spec.multi_line:
+            return parse_lines(read_lines(spark, path, skip, spec.encoding), spec)
+        lines = raw_lines(spark, path, skip, spec.encoding)
+    else:
+        lines = archive_lines(packed_files(spark, path), packed, spec.encoding, skip)
+        if not spec.multi_line:
+            return parse_lines(clean_lines(lines), spec)
+        unpacked, kind = scratch_dir(spark, "unpacked"), lines.schema
+        lines.write.parquet(unpacked)
+        lines = spark.read.schema(kind).parquet(unpacked)
+    return parse_lines(clean_records(whole_records(lines, spec.delimiter, spec.enclosure)), spec)
+
+
+#: Encodings in which a line feed is one byte and that Spark can decode.
+SPLIT_ENCODINGS = ("UTF-8", "US-ASCII", "ISO-8859-1")
+
+
+def _by_name(spark: SparkSession, path: str | Sequence[str], packed: Sequence[str]) -> bool:
+    """Whether Spark's text source can tell from the files' names how to read them."""
+    if not packed:
+        return True
+    return not spark.read.format("binaryFile").load(path).select("path").filter("NOT endswith(path, '.gz')").take(1)
 
 
 #: Larger files are opened by path where they are read; smaller ones come as one cell.
@@ -185,56 +203,13 @@ def _open(path: str, content: bytes | None, steps: Sequence[str], encoding: str)
     return io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="\n")
 
 
-#: Characters of an unfinished record that are held in memory; further ones wait in a temporary file.
-HELD_CHARS = 1 << 20
-
-
-def records(lines: Iterator[str], opened: re.Pattern, enclosure: str) -> Iterator[tuple[int, str]]:
-    """(number of the first line, record): lines are joined while a quoted field is open, however many.
-
-    A quote that is still open where the lines end makes a reject: of all that is behind it, or
-    of its line alone if more than HELD_CHARS are behind it. Every later line of those ended
-    within quotes, so one that opens a quote itself is not closed either, and any other is a record.
-    """
-    held, size, first, waiting = [], 0, 0, None
-    for number, line in enumerate(lines):
-        begins = not held and waiting is None
-        if begins:
-            first = number
-        body = line.rstrip("\r\n")
-        held.append(line)
-        size += len(line)
-        if opened.match(body if begins else enclosure + body):
-            if size > HELD_CHARS:
-                waiting = waiting or tempfile.TemporaryFile("w+", encoding="utf-8", errors="surrogatepass", newline="\n")
-                waiting.writelines(held)
-                held, size = [], 0
-            continue
-        if waiting is not None:
-            waiting.seek(0)
-            held.insert(0, waiting.read())
-            waiting.close()
-        yield first, "".join(held)
-        held, size, waiting = [], 0, None
-    if waiting is not None:
-        waiting.seek(0)
-        yield from enumerate(itertools.chain(waiting, held), first)
-        waiting.close()
-    elif held:
-        yield first, "".join(held)
-
-
-def archive_lines(
-    files: DataFrame, steps: Sequence[str], encoding: str = "UTF-8", skip: int = 0, ends: tuple[str, str] | None = None,
-) -> DataFrame:
+def archive_lines(files: DataFrame, steps: Sequence[str], encoding: str = "UTF-8", skip: int = 0) -> DataFrame:
     """Lines of packed files (``path``, ``content``), unpacked step by step, without the first ``skip``.
 
-    With ``ends``, a delimiter and an enclosure, whole records: line breaks within quotes stay
-    in them. An archive cannot be split, so one task reads it, but as a stream: only a small
-    file's packed bytes and one batch of lines are in memory. Of a zip, the first entry counts.
+    An archive cannot be split, so one task unpacks it, but as a stream: only a small file's
+    packed bytes and one batch of lines are in memory. Of a zip, the first entry counts.
     """
     steps = list(steps)
-    opened = re.compile(open_quote(*ends)) if ends else None
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows: list[tuple[str, int, int, str]] = []
@@ -244,8 +219,8 @@ def archive_lines(
                 with _open(path, content, steps, encoding) as text:
                     for _ in range(skip):
                         next(text, None)
-                    for number, line in records(text, opened, ends[1]) if ends else enumerate(text):
-                        rows.append((path, 0, skip + number, line))
+                    for number, line in enumerate(text):
+                        rows.append((path, 0, skip + number, line.removesuffix("\n")))
                         size += len(line)
                         if len(rows) == BATCH_LINES or size > BATCH_CHARS:
                             yield pd.DataFrame(rows, columns=LINE_COLUMNS)

@@ -29,8 +29,8 @@ ARROW = "→"  # separates the steps of a conversion rule
 class FeedSpec:
     """A registered feed. ``bad_date`` and ``decimal_comma`` are explained at the coercions.
 
-    Quoted fields may hold line breaks; a file is then read by one task. ``multi_line=False``
-    lets tasks share a file of one line per record; a line with an open quote is a reject.
+    Quoted fields may hold line breaks; with ``multi_line=False`` every line is a record, and one
+    with an open quote a reject.
     ``after_import`` is a SELECT over ``{<name>}`` whose rows replace the loaded ones.
     """
 
@@ -84,6 +84,7 @@ class FeedSpec:
             skip_lines=int(record["empty_lines"] or 0),
             conversion=tuple(step.strip() for step in (record["conversion_rule"] or "csv").split(ARROW)),
             after_import=record.get("sql_after_import") or "",
+            multi_line=record.get("multi_line") is not False,
         )
 
     def raw_schema(self, bad_line: str) -> T.StructType:

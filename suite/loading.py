@@ -17,6 +17,7 @@ from feedweave.operators import diff, profile
 from feedweave.session import scratch_dir
 from feedweave.sources import load
 from feedweave.sources.reader import archive_lines, clean_lines, clean_records, line_window, parse_lines, read_feed, read_lines
+from feedweave.sources.records import whole_records
 from feedweave.sources.schema import FeedSpec
 from suite import query, read
 from suite.feeds import from_given, twin
@@ -296,7 +297,9 @@ def read_multi_line(spark, sf_dir):
 def read_zip_multi_line(spark, sf_dir):
     """Each document an archive of one record; the records are put together from the lines unpacked."""
     files = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), zipped(F.expr(DOCUMENT_RECORD)).alias("content"))
-    records = clean_records(archive_lines(files, ["zip"], ends=(";", '"')))
+    lines = scratch_dir(spark, "unpacked")
+    archive_lines(files, ["zip"]).write.parquet(lines)
+    records = clean_records(whole_records(spark.read.parquet(lines), ";", '"'))
     rows = load.coerced(parse_lines(records, DOCUMENT_SPEC), DOCUMENT_SPEC).filter("_bad_line IS NULL")
     return rows.select("id", "body", "lang")
 
@@ -315,6 +318,29 @@ def load_open_quotes(spark, sf_dir):
     return load.with_reasons(parse_lines(lines, spec), spec).select("_row", "reject_reason")
 
 
+# The same orders in 16 files, each with quoted notes over two lines up to its middle, where a quote opens that nothing closes.
+OPEN_FILES = """
+    SELECT part, o_orderkey, concat(CAST(o_orderkey AS STRING), ';', CASE WHEN place < half THEN concat('~over', chr(10), 'two; ~~lines~~~')
+           WHEN place = half THEN '~never closed' ELSE concat('plain ', o_orderpriority) END) AS value
+    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey % 16 ORDER BY o_orderkey) AS place,
+                 floor(count(*) OVER (PARTITION BY o_custkey % 16) / 2) + 1 AS half, o_custkey % 16 AS part FROM {orders})"""
+
+
+@query("""SELECT CASE WHEN place <> half THEN o_orderkey END AS id, CASE WHEN place < half THEN concat('over', chr(10), 'two; "lines"')
+        WHEN place > half THEN concat('plain ', o_orderpriority) END AS note, CASE WHEN place = half THEN concat(o_orderkey, ';"never closed') END AS bad
+    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey % 16 ORDER BY o_orderkey) AS place,
+                 floor(count(*) OVER (PARTITION BY o_custkey % 16) / 2) + 1 AS half FROM orders)""")
+def read_open_quotes(spark, sf_dir):
+    """A quote that is never closed costs its own line, however much stands behind it."""
+    path = scratch_dir(spark, "open")
+    lines = from_given(spark, sf_dir, OPEN_FILES.replace("~", '"'))
+    lines.repartition("part").sortWithinPartitions("part", "o_orderkey").select("part", "value").write.partitionBy("part").text(path)
+    spec = FeedSpec("open", (("id", "Integer"), ("note", "Description")))
+    raw = read_feed(spark, spec, path)
+    good, bad = F.col("_bad_line").isNull(), F.col("_bad_line")
+    return load.coerced(raw, spec).select(F.when(good, F.col("id").cast("long")).alias("id"), F.when(good, F.col("note")).alias("note"), bad.alias("bad"))
+
+
 # Registered imports: three feeds of the same lines, one of them due, one with a statement after it.
 IMPORTED = f"SELECT code, price, status FROM ({first_lines('code')})"
 COLUMNS = '{"name":["code","price","day","status","note"],"type":[1,3,4,1,5]}'

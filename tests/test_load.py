@@ -10,7 +10,8 @@ import pytest
 
 from conftest import plan_of, values
 from feedweave.sources import load
-from feedweave.sources.reader import clean_lines, line_window, open_quote, parse_lines, read_feed, read_lines
+from feedweave.sources.reader import clean_lines, line_window, parse_lines, raw_lines, read_feed, read_lines
+from feedweave.sources.records import open_quote, whole_records
 from feedweave.sources.schema import FeedSpec, registered_columns
 from feedweave.sources.versioned import VersionedTable
 
@@ -36,6 +37,7 @@ def test_spec_from_record():
     assert got.columns == (("a", "String"), ("b", "Float")) and got.keys == ("a",) and got.conversion == ("zip", "csv")
     assert (got.header, got.skip_lines, got.delimiter, got.enclosure) == (True, 2, "|", "'")
     assert got.schema().simpleString() == "struct<a:string,b:decimal(12,2)>"
+    assert got.multi_line and not FeedSpec.from_record({**record, "multi_line": False}).multi_line
 
 
 def test_spec_is_checked():
@@ -104,7 +106,7 @@ MULTI = 'junk;"\na;1;1;;"two\nlines; ""x"""\nb;2;2;;x\nc;3;3;;"never\nclosed\n'
 
 
 def test_records_over_lines_on_every_path(spark, tmp_path):
-    """Line breaks in quotes stay in the record; an open quote is a reject, never half a record."""
+    """Line breaks in quotes stay in the record; a line with a quote that never closes is a reject, and reading goes on behind it."""
     path = write(tmp_path / "m.csv", MULTI)
     (tmp_path / "m.csv.gz").write_bytes(gzip.compress(MULTI.encode()))
     with zipfile.ZipFile(tmp_path / "m.zip", "w") as archive:
@@ -117,7 +119,7 @@ def test_records_over_lines_on_every_path(spark, tmp_path):
         registered = FeedSpec.from_record({**record, "path": file, "conversion_rule": rule})
         raw = read_feed(spark, registered)
         assert values(load.good_rows(raw, registered), "k", "t") == [("a", 'two\nlines; "x"'), ("b", "x")], file
-        assert load.quarantine(raw, registered).count() == 1
+        assert values(load.quarantine(raw, registered), "_bad_line") == [('c;3;3;;"never',), ("closed",)]
     single = spec(skip_lines=1, multi_line=False)
     raw = read_feed(spark, single, path)
     assert values(load.good_rows(raw, single), "k") == [("b",)]
@@ -142,6 +144,81 @@ def test_an_open_quote_does_not_take_the_rest_of_a_long_file(spark, tmp_path):
     assert {r["k"] for r in good} == {"a", "d", *(f"r{k}" for k in range(30_000))} and len(good) == 30_002
 
 
+def records_in_turn(lines, delimiter, enclosure):
+    """(number of the first line, record) by one pass, as a reader without tasks would find them."""
+    import re
+
+    opened = re.compile(open_quote(delimiter, enclosure))
+    result, at = [], 0
+    while at < len(lines):
+        upto = at
+        inside = bool(opened.match(lines[at].rstrip("\r\n")))
+        while inside and upto + 1 < len(lines):
+            upto += 1
+            inside = bool(opened.match(enclosure + lines[upto].rstrip("\r\n")))
+        upto = at if inside else upto
+        result.append((at, "\n".join(lines[at:upto + 1])))
+        at = upto + 1
+    return result
+
+
+def odd_lines(seed, n):
+    import random
+
+    rng = random.Random(seed)
+    parts = ['"', '""', ";", "a", "b c", "", "\r", 'x"', '";"', ';"', '";', "é", ";plain;"]
+    rare = seed % 3 == 0
+    return ["".join(rng.choice(["a", ";", "b"] if rare and rng.random() < 0.97 else parts) for _ in range(rng.randrange(6))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(9))
+def test_records_do_not_depend_on_the_cuts(spark, tmp_path, seed):
+    """Files of lines that open, close and swap the quote state, read as a whole and in many splits."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    expected = []
+    for k, n in enumerate((700, 1, 130, 64)):
+        lines = odd_lines(seed * 10 + k, n)
+        if k == 0:
+            lines[-1] = "a" if seed % 2 else 'a;"'
+        (folder / f"{k}.csv").write_text("\n".join(lines) + "\n", encoding="utf-8", newline="\n")
+        expected += [(f"{k}.csv", record) for _, record in records_in_turn(lines, ";", '"')]
+    for size in ("128m", "300"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            lines = raw_lines(spark, str(folder))
+            assert size == "128m" or lines.rdd.getNumPartitions() >= 8
+            got = whole_records(lines, ";", '"').collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        got = [(r["_file"].rsplit("/", 1)[-1], r["value"]) for r in sorted(got, key=lambda r: (r["_file"], r["_block"], r["_row"]))]
+        assert got == sorted(expected, key=lambda r: r[0])
+
+
+def test_records_over_lines_are_found_without_python(spark, tmp_path):
+    raw = read_feed(spark, spec(), write(tmp_path / "m.csv", MULTI))
+    assert not {"MapInPandas", "MapInArrow", "Python", "Arrow"} & set(plan_of(raw).replace("(", " ").split())
+
+
+def test_a_quote_that_never_closes_costs_its_line_whatever_follows(spark, tmp_path):
+    for n in (3, 30_000):
+        lines = ['a;1;1;;x', 'b;2;2;;"never', *[f"k{i};1;1;;{'z' * 50}" for i in range(n)]]
+        raw = read_feed(spark, spec(), write(tmp_path / f"{n}.csv", "\n".join(lines) + "\n"))
+        assert values(raw.filter("_bad_line IS NOT NULL"), "_bad_line") == [('b;2;2;;"never',)]
+        assert raw.count() == n + 2
+
+
+def test_encodings_and_names_decide_the_path(spark, tmp_path):
+    text = 'é;1;1;;"ü\nö"\nb;2;2;;x\n'
+    for name, encoding in (("a.csv", "ISO-8859-1"), ("b.csv", "windows-1252"), ("c.csv", "UTF-16")):
+        (tmp_path / name).write_bytes(text.encode(encoding))
+        raw = read_feed(spark, spec(encoding=encoding), str(tmp_path / name))
+        assert values(raw, "k", "t") == [("b", "x"), ("é", "ü\nö")], encoding
+    (tmp_path / "packed").write_bytes(gzip.compress(text.encode()))
+    raw = read_feed(spark, spec(conversion=("gz", "csv")), str(tmp_path / "packed"))
+    assert values(raw, "k", "t") == [("b", "x"), ("é", "ü\nö")]
+
+
 def test_open_quotes():
     import re
 
