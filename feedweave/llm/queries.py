@@ -163,7 +163,7 @@ def op12_conversation_repair(spark, sf_dir):
 @query(sql.WARC)
 def op13_warc(spark, sf_dir):
     path = scratch_dir(spark, "warc")
-    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path, date="2026-01-01T00:00:00Z")
+    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path, date="2026-01-01T00:00:00Z", compression="gzip")
     found = warc.resolved(warc.captures(warc.records(spark, path)))
     ids = {c: F.col(c).cast("long") for c in ("page_id", "refers_to")}
     return found.withColumns(ids).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
