@@ -15,13 +15,16 @@ import sys
 from array import array
 from collections.abc import Iterator
 from contextlib import suppress
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Half of the known pieces per worker; about 250 bytes each.
-KNOWN_PIECES = 200_000
+#: Known pieces per worker, of about 170 bytes each with their ids.
+KNOWN_PIECES = 400_000
+#: Half of the pieces that are kept for oddly spaced texts; about 250 bytes each.
+KNOWN_APART = 50_000
 #: Pieces of more characters are encoded each time instead of being kept.
 LONGEST_KEPT = 100
 #: Bytes of text treated at a time.
@@ -33,8 +36,10 @@ ODD_SPACE = (
 
 _cut = re.compile(r"(?<=\S)(?=[ \n])").split
 _other_space = re.compile(r"[^\S \n]").search
-#: Letters that normalisation leaves alone.
-_stable = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+#: Letters that normalisation leaves alone, or turns into one such letter. Others may end in a combining mark,
+#: which then belongs to the unit of the mark behind it.
+STABLE = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+_stable = re.compile(f"{STABLE}+").fullmatch
 
 
 def _byte_letters() -> list[str]:
@@ -64,25 +69,30 @@ class TextEncoder:
         self._holds_added = re.compile("|".join(self._added) or "(?!)", re.IGNORECASE).search
         self._model = self._tokenizer.model
         self._known_pieces = known_pieces
+        self.forget()
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._letters = _byte_letters()
+        self._high_letters = {c: "".join([self._letters[b] for b in chr(c).encode()]) for c in range(128, 256)}
         self._spaced = self._plain(" a") != self._plain("a")  # whether a space belongs to the word after it
-        self._line_feed = self._plain("\n") if self._spaced else b""
-        self._mark = {mark: self._plain(mark) for mark in (".", ",")}
+        self._line_feed = self._whole("\n") if self._spaced else []
+        self._mark = {mark: self._whole(mark) for mark in (".", ",")}
         self._lower = self._plain("A") == self._plain("a")
 
+    def _whole(self, text: str) -> list[int]:
+        return self._tokenizer.encode(text, add_special_tokens=False).ids
+
     def _plain(self, text: str) -> bytes:
-        return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
+        return _packed(self._whole(text))
 
-    def _one_word(self, space: str, word: str) -> bytes:
+    def _one_word(self, space: str, word: str) -> list[int]:
         """A word is one unit of every vocabulary here, so its merges can be asked for directly."""
         unit = word.lower() if self._lower else word
         if not unit.isascii():
             unit = "".join([self._letters[b] for b in unit.encode()])
         if self._spaced and space:
             unit = self._letters[32] + unit
-        return _packed([t.id for t in self._model.tokenize(unit)])
+        return [t.id for t in self._model.tokenize(unit)]
 
     def _piece(self, piece: str) -> bytes:
         """``piece`` stands behind a space unless it begins with a line feed."""
@@ -90,28 +100,31 @@ class TextEncoder:
         if ids is None:
             ids = self._older.get(piece)
             if ids is None:
-                ids = self._learn(piece)
+                ids = _packed(self._learn(piece))
             if len(piece) <= LONGEST_KEPT:
                 self._known[piece] = ids
         return ids
 
-    def _learn(self, piece: str) -> bytes:
+    def _learn(self, piece: str) -> list[int]:
         if piece.isalpha() and (piece.isascii() or _stable(piece)):
             return self._one_word(" ", piece)
-        if piece[-1:] in self._mark and piece[-2:-1].isalpha():  # a mark behind a letter is a unit of its own
-            return self._piece(piece[:-1]) + self._mark[piece[-1]]
+        if piece[-1:] in self._mark and _stable(piece[-2:-1]):  # a mark behind a letter is a unit of its own
+            return self._learn(piece[:-1]) + self._mark[piece[-1]]
         if piece[:1] == "\n":
             word = piece[1:]
             if not self._spaced and word and not word[0].isspace():
-                return self._piece(word)  # white space is dropped
+                return self._learn(word)  # white space is dropped
             if word.isalpha() and (word.isascii() or _stable(word)):
                 return self._line_feed + self._one_word("", word)
-            return self._plain(piece)
-        return self._plain(" " + piece)
+            return self._whole(piece)
+        return self._whole(" " + piece)
 
     def forget(self) -> None:
         """Drop the known pieces."""
         self._known, self._older = {}, {}
+        self._index: dict[str, int] = {}  # known pieces of evenly spaced texts: the places of their ids
+        self._begins, self._sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._ids = np.zeros(0, "<u4")
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -124,7 +137,7 @@ class TextEncoder:
         if odd or any(run in text for run in ("  ", " \n", "\n ", "\n\n")):
             return b"".join(map(self._raw, _cut(text)))  # runs of white space stay in one piece
         pieces = text.replace("\n", " \n").split(" ")  # the same cuts, found faster
-        if len(self._known) > self._known_pieces:
+        if len(self._known) > KNOWN_APART:
             self._known, self._older = {}, self._known
         found = list(map(self._known.get, pieces))
         found[0] = self._plain(pieces[0])
@@ -161,25 +174,74 @@ class TextEncoder:
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n" if self._spaced else " "), " ")
         begins, pieces = lists.offsets.to_numpy(), lists.values
         coded = pieces.dictionary_encode()
-        if len(self._known) > self._known_pieces:
-            self._known, self._older = {}, self._known
         words = coded.dictionary.to_pylist()
-        ids = list(map(self._known.get, words))
-        for k in [k for k, found in enumerate(ids) if found is None]:
-            ids[k] = self._piece(words[k])
-        index = np.array(coded.indices)
-        index[begins[:-1]] = np.arange(len(ids), len(ids) + len(texts))  # no space stands before the first
-        ids += [self._plain(piece) for piece in pieces.take(pa.array(begins[:-1])).to_pylist()]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(sizes) - sizes
-        flat, counts = np.frombuffer(b"".join(ids), "<u4"), sizes[index]
-        ends = np.cumsum(counts)
-        every = np.repeat(starts[index] - (ends - counts), counts)
-        every += np.arange(len(every))
-        data = memoryview(flat[every]).cast("B")
-        bounds = (4 * np.append(0, ends)[begins]).tolist()
+        places = self._places(coded.dictionary, words)
+        at = places[coded.indices.to_numpy()]
+        pool, starts, counts = self._ids, self._begins, self._sizes
+        if self._spaced:  # no space stands before the first piece
+            first = [self._whole(piece) for piece in pieces.take(pa.array(begins[:-1])).to_pylist()]
+            at[begins[:-1]] = np.arange(len(starts), len(starts) + len(first))
+            pool, starts, counts = _appended(pool, starts, counts, first)
+        sizes = counts[at]
+        data = memoryview(_gathered(pool, starts[at], sizes)).cast("B")
+        bounds = (4 * np.append(0, np.cumsum(sizes))[begins]).tolist()
+        if len(self._index) > self._known_pieces:  # what this slice did not need goes
+            self._index = dict(zip(words, range(len(words))))
+            sizes = self._sizes[places]
+            self._ids, self._begins, self._sizes = _gathered(self._ids, self._begins[places], sizes), np.cumsum(sizes) - sizes, sizes
         return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
+    def _places(self, pieces: pa.Array, words: list[str]) -> np.ndarray:
+        """Where each of the different pieces stands among the known ones; the others are encoded first."""
+        at = np.fromiter(map(self._index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = pieces.take(pa.array(missing))
+            simple = pc.match_substring_regex(new, f"^{STABLE}+[.,]?$").to_numpy(zero_copy_only=False)
+            for some, learn in ((simple, self._learn_simple), (~simple, self._learn_others)):
+                if some.any():
+                    at[missing[some]] = np.arange(len(self._begins), len(self._begins) + some.sum())
+                    learn(new.filter(pa.array(some)))
+            self._index.update(zip([words[k] for k in missing.tolist()], at[missing].tolist()))
+        return at
+
+    def _learn_others(self, pieces: pa.Array) -> None:
+        found = [self._learn(piece) for piece in pieces.to_pylist()]
+        self._ids, self._begins, self._sizes = _appended(self._ids, self._begins, self._sizes, found)
+
+    def _learn_simple(self, pieces: pa.Array) -> None:
+        """Words of plain letters, some with a mark behind them: each different word is encoded once, as one unit."""
+        coded = pc.ascii_rtrim(pieces, ".,").dictionary_encode()
+        stems, tokenize = coded.dictionary.to_pylist(), self._model.tokenize
+        if self._lower:
+            stems = [stem.lower() for stem in stems]
+        space = self._letters[32] if self._spaced else ""
+        stems = [space + (stem if stem.isascii() else stem.translate(self._high_letters)) for stem in stems]
+        found = [[t.id for t in tokenize(unit)] for unit in stems]
+        marks = [self._mark["."], self._mark[","], []]
+        pool, begins, sizes = _appended(np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64), found + marks)
+        ends = np.select([pc.ends_with(pieces, mark).to_numpy(zero_copy_only=False) for mark in (".", ",")], [0, 1], 2) + len(found)
+        parts = np.stack([coded.indices.to_numpy(), ends], 1)
+        ids = _gathered(pool, begins[parts].ravel(), sizes[parts].ravel())
+        whole = sizes[parts].sum(1)
+        self._begins = np.append(self._begins, len(self._ids) + np.cumsum(whole) - whole)
+        self._sizes = np.append(self._sizes, whole)
+        self._ids = np.append(self._ids, ids)
+
+
+def _appended(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray, more: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    new = np.fromiter(map(len, more), np.int64, len(more))
+    flat = np.fromiter(chain.from_iterable(more), "<u4", int(new.sum()))
+    return np.append(ids, flat), np.append(begins, len(ids) + np.cumsum(new) - new), np.append(sizes, new)
+
+
+def _gathered(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """ids[begin:begin + size] of all, one behind the other."""
+    ends = np.cumsum(sizes)
+    every = np.repeat(begins - (ends - sizes), sizes)
+    every += np.arange(len(every))
+    return ids[every]
+
 
 def release() -> None:
     """Give freed memory back to the machine: a worker that is idle stays beside other stages."""

@@ -76,6 +76,22 @@ def test_pieces_give_the_ids_of_the_whole_text(path):
     assert [bytes(ids) for ids in found[2:]] == [encoder.encode(text) for text in texts]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORD])
+def test_every_letter_before_a_mark(path):
+    """Some letters' normal forms end in a combining mark, which belongs to the mark's unit."""
+    import sys
+
+    untouched, encoder = Tokenizer.from_file(path), TextEncoder(path)
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha()]
+    texts = [f"x a{c}. b{c}, {c}" for c in letters]
+    expected = [e.ids for e in untouched.encode_batch(texts, add_special_tokens=False)]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(pa.array(texts))]
+    assert [t for t, a, b in zip(texts, expected, found) if a != b] == []
+    assert [t for t, a in zip(texts[:20000], expected) if np.frombuffer(encoder.encode(t), "<u4").tolist() != a] == []
+    for text in ("TÜRKİYE CUMHURİYETİ, ANKARA", "Ｆｕｌｌ, ﬁ. ǅ, ß."):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == untouched.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("path", [BYTES, WORD])
 def test_strings_of_added_tokens_become_their_ids(path):
     untouched, encoder = Tokenizer.from_file(path), TextEncoder(path)

@@ -27,7 +27,6 @@ def rows_of(spark, sf_dir, name, *columns):
 
 def ids_of(file, end, texts):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [end] for t in texts]
 
 
