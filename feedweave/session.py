@@ -21,13 +21,15 @@ SETTINGS = {
 
 def local_session(app: str = "feedweave", cpus: str = "8", shared: str | None = None) -> SparkSession:
     """A single-machine session for the benchmark; ``shared`` is its folder for intermediate tables."""
+    shared = shared or tempfile.mkdtemp(prefix="feedweave-")
     builder = (
         SparkSession.builder.appName(app)
         .master(f"local[{cpus}]")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus if cpus.isdigit() else "8")
-        .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="feedweave-"))
+        .config("spark.checkpoint.dir", shared)
+        .config("spark.sql.warehouse.dir", f"{shared}/warehouse")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

@@ -12,6 +12,7 @@ from feedweave.operators import diff
 from feedweave.plans import flat, sync
 from feedweave.plans.targets import CLOTHING, Target
 from feedweave.session import scratch_dir
+from feedweave.sources.bucketed import BucketedTable
 from feedweave.sources.versioned import VersionedTable
 from feedweave.streaming.sync_stream import sync_stream
 from suite import query
@@ -159,6 +160,19 @@ def sync_guarded(spark, sf_dir):
     return reduce(DataFrame.unionByName, attempts).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query(f"SELECT action, count(*) AS keys FROM ({CLASSIFIED}) GROUP BY action")
+def sync_bucket_diff(spark, sf_dir):
+    """Keys and digests of a bucketed table against the source's, without a shuffle of either."""
+    folder, n = scratch_dir(spark, "sync_diff"), 16
+    table = BucketedTable(spark, f"{folder}/table", ORDERS.schema(), buckets=n)
+    sync.run_sync(spark, from_given(spark, sf_dir, STORED).drop("updated"), table, ORDERS, CREATED)
+    rows = sync.keyed_rows(from_given(spark, sf_dir, SOURCE), ORDERS, n)
+    with table.view(table.manifest()) as stored:
+        counted = sync.bucket_diff(rows, stored, ORDERS).groupBy("action").agg(F.count(F.lit(1)).alias("keys"))
+        counted.write.parquet(f"{folder}/result")
+    return spark.read.parquet(f"{folder}/result")
+
+
 # The clothing list has several lines per article; the stored one lacks some and differs in others.
 CLOTHING_VALUES = [c for c in CLOTHING.fields() if c != "id"]
 LAST_LINE = ", ".join(f"{c} DESC NULLS LAST" for c in CLOTHING_VALUES)
@@ -188,7 +202,8 @@ CREATED_SQL = f"SELECT * REPLACE (CAST('2024-01-01 00:00:00' AS TIMESTAMP) AS up
 
 @query(f"SELECT {SHOWN} FROM ({classified_sql(twin(SOURCE), CREATED_SQL)}) WHERE action <> 'delete'")
 def sync_run(spark, sf_dir):
-    table = VersionedTable(spark, scratch_dir(spark, "sync_run"))
+    """Into a bucketed table, whose unchanged buckets are left as they are."""
+    table = BucketedTable(spark, scratch_dir(spark, "sync_run"), ORDERS.schema(), buckets=16)
     stored, source = from_given(spark, sf_dir, STORED).drop("updated"), from_given(spark, sf_dir, SOURCE)
     sync.run_sync(spark, stored, table, ORDERS, CREATED, needed={"stored": stored})
     sync.run_sync(spark, source, table, ORDERS, NOW, needed={"source": source})
@@ -209,7 +224,7 @@ def files_of(spark, path, schema):
 @query(f"SELECT {SHOWN} FROM ({classified_sql(twin(SOURCE), CREATED_SQL, missing='untouched')})")
 def sync_stream_available_now(spark, sf_dir):
     folder = scratch_dir(spark, "sync_stream")
-    table = VersionedTable(spark, f"{folder}/table")
+    table = BucketedTable(spark, f"{folder}/table", ORDERS.schema(), buckets=16)
     sync.run_sync(spark, from_given(spark, sf_dir, STORED).drop("updated"), table, ORDERS, CREATED)
     schema = spark.read.parquet(f"{sf_dir}/orders.parquet").schema
     arriving = files_of(spark, f"{sf_dir}/orders.parquet", schema)
