@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 
 from feedweave.llm.ranks import running_sums, written
-from feedweave.llm.tokens import release, shared_encoder, slices
+from feedweave.llm.tokens import ENCODED_BYTES, release, shared_encoder, slices
 from pyspark.sql import DataFrame, functions as F
 
 CAPACITY = 1024
@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
         encoder = shared_encoder(tokenizer)
         end = np.array([END_ID], "<u4").tobytes()
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        for batch in (part for batch in batches for part in slices(batch, 1)):
+        for batch in (part for batch in batches for part in slices(batch, 1, ENCODED_BYTES)):
             rows = []
             for doc, found in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1))):
                 ids = bytes(found) + end

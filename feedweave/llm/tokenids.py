@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 from feedweave.llm.ranks import running_sums, written
-from feedweave.llm.tokens import release, shared_encoder, slices
+from feedweave.llm.tokens import ENCODED_BYTES, release, shared_encoder, slices
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 END_ID = 1
@@ -35,7 +35,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared_encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in (part for batch in batches for part in slices(batch, 2)):
+        for batch in (part for batch in batches for part in slices(batch, 2, ENCODED_BYTES)):
             ids = encoder.encode_all(batch.column(2))
             offsets = np.concatenate([[0], np.cumsum([len(b) // 4 + 1 for b in ids])]).astype(np.int32)
             flat = pa.array(np.frombuffer(end.join([*ids, b""]), "<i4"))

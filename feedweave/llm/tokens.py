@@ -15,6 +15,7 @@ import sys
 from array import array
 from collections.abc import Iterator
 from contextlib import suppress
+from dataclasses import dataclass, field
 from itertools import chain, repeat
 
 import numpy as np
@@ -22,13 +23,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Known pieces per worker, of about 170 bytes each with their ids.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 200_000
 #: Half of the pieces that are kept for oddly spaced texts; about 250 bytes each.
 KNOWN_APART = 50_000
 #: Pieces of more characters are encoded each time instead of being kept.
 LONGEST_KEPT = 100
 #: Bytes of text treated at a time.
 SLICE_BYTES = 6 << 20
+#: The same while texts are encoded: in a longer slice fewer of the words are new.
+ENCODED_BYTES = 12 << 20
 #: White space other than single spaces and line feeds between other characters.
 ODD_SPACE = (
     r"  |^[ \n]|[ \n]$| \n|\n |\n\n|[\t\v\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -123,8 +126,7 @@ class TextEncoder:
         """Drop the known pieces."""
         self._known, self._older = {}, {}
         self._index: dict[str, int] = {}  # known pieces of evenly spaced texts: the places of their ids
-        self._begins, self._sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self._ids = np.zeros(0, "<u4")
+        self._store = _Store()
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -174,42 +176,44 @@ class TextEncoder:
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n" if self._spaced else " "), " ")
         begins, pieces = lists.offsets.to_numpy(), lists.values
         coded = pieces.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        places = self._places(coded.dictionary, words)
-        at = places[coded.indices.to_numpy()]
-        pool, starts, counts = self._ids, self._begins, self._sizes
+        words, indices = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        store, places, new = self._places(coded.dictionary, words)
+        kept, at = store, places[indices]
         if self._spaced:  # no space stands before the first piece
             first = [self._whole(piece) for piece in pieces.take(pa.array(begins[:-1])).to_pylist()]
-            at[begins[:-1]] = np.arange(len(starts), len(starts) + len(first))
-            pool, starts, counts = _appended(pool, starts, counts, first)
-        sizes = counts[at]
-        data = memoryview(_gathered(pool, starts[at], sizes)).cast("B")
+            at[begins[:-1]] = np.arange(len(store.sizes), len(store.sizes) + len(first))
+            store = store.with_more(first)
+        sizes = store.sizes[at]
+        data = memoryview(_gathered(store.ids, store.begins[at], sizes)).cast("B")
         bounds = (4 * np.append(0, np.cumsum(sizes))[begins]).tolist()
-        if len(self._index) > self._known_pieces:  # what this slice did not need goes
-            self._index = dict(zip(words, range(len(words))))
-            sizes = self._sizes[places]
-            self._ids, self._begins, self._sizes = _gathered(self._ids, self._begins[places], sizes), np.cumsum(sizes) - sizes, sizes
+        self._remember(kept, words, places, new[np.bincount(indices, minlength=len(words))[new] > 1])
         return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
-    def _places(self, pieces: pa.Array, words: list[str]) -> np.ndarray:
-        """Where each of the different pieces stands among the known ones; the others are encoded first."""
+    def _places(self, pieces: pa.Array, words: list[str]) -> tuple[_Store, np.ndarray, np.ndarray]:
+        """Ids, where each of the different pieces stands in them, and which pieces were not known."""
         at = np.fromiter(map(self._index.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0)
+        missing, store = np.flatnonzero(at < 0), self._store
         if len(missing):
             new = pieces.take(pa.array(missing))
             simple = pc.match_substring_regex(new, f"^{STABLE}+[.,]?$").to_numpy(zero_copy_only=False)
             for some, learn in ((simple, self._learn_simple), (~simple, self._learn_others)):
-                if some.any():
-                    at[missing[some]] = np.arange(len(self._begins), len(self._begins) + some.sum())
-                    learn(new.filter(pa.array(some)))
-            self._index.update(zip([words[k] for k in missing.tolist()], at[missing].tolist()))
-        return at
-
-    def _learn_others(self, pieces: pa.Array) -> None:
-        found = [self._learn(piece) for piece in pieces.to_pylist()]
-        self._ids, self._begins, self._sizes = _appended(self._ids, self._begins, self._sizes, found)
-
-    def _learn_simple(self, pieces: pa.Array) -> None:
+                at[missing[some]] = np.arange(len(store.sizes), len(store.sizes) + some.sum())
+                store = learn(store, new.filter(pa.array(some)))
+        return store, at, missing
+
+    def _remember(self, store: _Store, words: list[str], places: np.ndarray, often: np.ndarray) -> None:
+        """Keep new pieces that a slice has more than once; most others will not come again."""
+        if len(self._index) + len(often) > self._known_pieces:
+            self.forget()
+        here = len(self._store.sizes)
+        self._index.update(zip([words[k] for k in often.tolist()], range(here, here + len(often))))
+        at = places[often]
+        self._store = self._store.joined(_gathered(store.ids, store.begins[at], store.sizes[at]), store.sizes[at])
+
+    def _learn_others(self, store: _Store, pieces: pa.Array) -> _Store:
+        return store.with_more([self._learn(piece) for piece in pieces.to_pylist()])
+
+    def _learn_simple(self, store: _Store, pieces: pa.Array) -> _Store:
         """Words of plain letters, some with a mark behind them: each different word is encoded once, as one unit."""
         coded = pc.ascii_rtrim(pieces, ".,").dictionary_encode()
         stems, tokenize = coded.dictionary.to_pylist(), self._model.tokenize
@@ -218,21 +222,28 @@ class TextEncoder:
         space = self._letters[32] if self._spaced else ""
         stems = [space + (stem if stem.isascii() else stem.translate(self._high_letters)) for stem in stems]
         found = [[t.id for t in tokenize(unit)] for unit in stems]
-        marks = [self._mark["."], self._mark[","], []]
-        pool, begins, sizes = _appended(np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64), found + marks)
+        own = _Store().with_more([*found, self._mark["."], self._mark[","], []])
         ends = np.select([pc.ends_with(pieces, mark).to_numpy(zero_copy_only=False) for mark in (".", ",")], [0, 1], 2) + len(found)
         parts = np.stack([coded.indices.to_numpy(), ends], 1)
-        ids = _gathered(pool, begins[parts].ravel(), sizes[parts].ravel())
-        whole = sizes[parts].sum(1)
-        self._begins = np.append(self._begins, len(self._ids) + np.cumsum(whole) - whole)
-        self._sizes = np.append(self._sizes, whole)
-        self._ids = np.append(self._ids, ids)
+        ids = _gathered(own.ids, own.begins[parts].ravel(), own.sizes[parts].ravel())
+        return store.joined(ids, own.sizes[parts].sum(1))
+
+
+@dataclass(frozen=True)
+class _Store:
+    """Runs of ids, one behind the other."""
+
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, "<u4"))
+    begins: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    sizes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
+    def joined(self, ids: np.ndarray, sizes: np.ndarray) -> _Store:
+        begins = len(self.ids) + np.cumsum(sizes) - sizes
+        return _Store(np.append(self.ids, ids), np.append(self.begins, begins), np.append(self.sizes, sizes))
 
-def _appended(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray, more: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    new = np.fromiter(map(len, more), np.int64, len(more))
-    flat = np.fromiter(chain.from_iterable(more), "<u4", int(new.sum()))
-    return np.append(ids, flat), np.append(begins, len(ids) + np.cumsum(new) - new), np.append(sizes, new)
+    def with_more(self, runs: list[list[int]]) -> _Store:
+        sizes = np.fromiter(map(len, runs), np.int64, len(runs))
+        return self.joined(np.fromiter(chain.from_iterable(runs), "<u4", int(sizes.sum())), sizes)
 
 
 def _gathered(ids: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -250,10 +261,10 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of about SLICE_BYTES of its text column; a longer text is a part of its own."""
+def slices(batch: pa.RecordBatch, text: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``size`` bytes of its text column; a longer text is a part of its own."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    cuts = [0, *(np.flatnonzero(np.diff(sizes // SLICE_BYTES)) + 1).tolist(), len(sizes)]
+    cuts = [0, *(np.flatnonzero(np.diff(sizes // size)) + 1).tolist(), len(sizes)]
     for start, stop in zip(cuts, cuts[1:]):
         if stop > start:
             yield batch.slice(start, stop - start)
