@@ -27,11 +27,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
 from feedweave.llm.lyndon import suffix_arrays
 from feedweave.llm.ranks import one_of_each, running_sums, whole_row, written
+from feedweave.llm.tokens import release, slices
 from pyspark.sql import Column, DataFrame, functions as F
 
 LENGTH = 100
@@ -41,7 +41,7 @@ GROUP_BOUND = 64
 #: Anchors of a gram that a task holds at a time.
 HELD = 1 << 20
 #: Bytes whose suffixes are sorted at a time.
-SORTED_BYTES = 1 << 21
+SORTED_BYTES = 1 << 20
 #: Places of a text that are hashed at a time; a hash gives up so many bits for a place among them.
 STRIDE, PLACE_BITS = 1 << 20, 21
 
@@ -100,7 +100,7 @@ def _anchor_rows(length: int):
         from xxhash import xxh64_intdigest
 
         letters = _letters()
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch, 1)):
             parts = []
             for at, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
@@ -120,6 +120,7 @@ def _anchor_rows(length: int):
             gram = np.where(again, digest + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), gram)  # settled; spread
             count = np.where(again, -count, count)
             yield _batch("gram digest at start count", gram.view(np.int64), digest.view(np.int64), at, start, count.astype(np.int32))
+        release()
 
     return run
 
@@ -183,6 +184,7 @@ def _meet(length: int, bound: int, held_most: int):
                 held = None
         if held is not None and len(held[0]):
             yield from settle(*held)
+        release()
 
     return run
 
@@ -225,6 +227,7 @@ def _contexts(length: int, bound: int):
                 again = np.append(False, (x[1:] == x[:-1]) & (y[1:] == y[:-1]))
                 x = np.where(again, x ^ (start << 20) ^ at, x)
                 yield _batch(names, x, y, at, start, again, pa.nulls(len(x), pa.binary()))
+        release()
 
     return run
 
@@ -313,6 +316,8 @@ def _repeats(length: int):
             last = x[-1]
         if waiting:
             yield sort(waiting)
+            waiting.clear()
+        release()
 
     return run
 
@@ -367,8 +372,8 @@ def cut(data: bytes, found: list[tuple[int, int]]) -> tuple[bytes, int, int]:
 
 
 def _cutting(with_text: bool):
-    """(text, spans) to what is left of it and counts."""
-    kind = "struct<kept: binary, n_bytes: long, n_removed: long, n_spans: long, kept_sha256: string>"
+    """(text, spans) to what is left of it and counts; the text left has whole characters only."""
+    kind = "struct<kept: string, n_bytes: long, n_removed: long, n_spans: long, kept_sha256: string>"
 
     def run(texts: pa.Array, spans: pa.Array) -> pa.Array:
         ends = spans.offsets.to_numpy().tolist()
@@ -378,8 +383,8 @@ def _cutting(with_text: bool):
             data = (text.as_py() or "").encode("utf-8", "surrogatepass")
             kept, removed, runs = cut(data, list(zip(start[low:high], stop[low:high])))
             sha = hashlib.sha256(kept).hexdigest()
-            rows.append((kept if with_text and removed else None, len(data), removed, runs, sha))
-        types = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+            rows.append((kept.decode("utf-8", "ignore") if with_text and removed else None, len(data), removed, runs, sha))
+        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, types)]
         return pa.StructArray.from_arrays(columns, ["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
@@ -389,7 +394,7 @@ def _cutting(with_text: bool):
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = False, **bounds) -> DataFrame:
     """(_doc, kept, n_bytes, n_removed, n_spans, kept_sha256): each row and counts.
 
-    ``kept`` holds the remaining bytes of texts that lost any, if ``with_text`` is set.
+    ``kept`` holds what is left of texts that lost any, if ``with_text`` is set; a character cut in two goes.
     """
     placed, once = ordered_documents(docs, doc_id, text)
     body = F.col("_doc")[text]
@@ -405,7 +410,7 @@ def remaining(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **bou
     A column ``n_chars`` is brought in line with the text.
     """
     cut = deduplicated(docs, doc_id, text, with_text=True, **bounds)
-    left = F.when(F.col("n_removed") > 0, _whole_characters(F.col("kept"))).otherwise(F.col("_doc")[text])
+    left = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("_doc")[text])
     cut = cut.select("_doc", left.alias("_left"))
     new = {text: F.col("_left"), "n_chars": F.char_length("_left")}
     return cut.select([
@@ -413,12 +418,3 @@ def remaining(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **bou
         for f in docs.schema
     ])
 
-
-def _whole_characters(data: Column) -> Column:
-    """Bytes as text without those that no longer form a character."""
-
-    @F.pandas_udf("string")
-    def of(values: pd.Series) -> pd.Series:
-        return values.map(lambda b: bytes(b).decode("utf-8", "ignore"), na_action="ignore")
-
-    return of(data)
