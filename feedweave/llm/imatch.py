@@ -12,17 +12,20 @@ average, however large the corpus is. Up to MOST_TERMS the lexicon, as a hash ta
 possible places per term, becomes a scalar that the tasks look terms up in; a larger one is
 joined with the texts' terms.
 
-Terms are counted over different texts. A text with hardly any term of the band, as the
-members of a large group of near copies, has all its terms dealt to the parts instead.
-
-Defined cases: NULL is an empty text; a text without any term is known by one hash; rows equal in id and text are one document with equal results; other texts
-of one id are ordered by a hash, NULL ids first; other columns take no part; an empty table
-gives an empty result.
+Terms are counted over different texts. The band is widened for each text that has too few terms
+of it, as the members of a large group of near copies have, until ENOUGH terms lie in it or all do:
+downwards first, to more frequent terms, as those that an edit brings in are rare. So a text with a
+term less than another has nearly the same terms. Only those texts' terms are joined with the counts.
+
+Defined cases: NULL is an empty text; a text without any term is known by one hash; rows equal in id
+and text are one document, and each of them comes back with its results; other texts of one id are
+ordered by a hash, NULL ids first; other columns take no part; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from feedweave.llm.quality import let
 from feedweave.llm.ranks import one_of_each, running_sums, written
@@ -30,9 +33,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MIN_IDF, MAX_IDF = 4.0, 5.0
 SUBSETS = 32
-#: A text with fewer terms of the band than this is known by all its terms.
-FEW = 4
-#: Terms that the lexicon's scalar may hold: 16 MB at two places each.
+#: Terms that a text's band is widened to hold.
+ENOUGH = 16
+#: Terms that the lexicon's scalar may hold: 33.5 MB with up to eight places each.
 MOST_TERMS = 1 << 19
 
 
@@ -41,11 +44,11 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != ""))
 
 
-def lexicon(docs: DataFrame, text: Column, min_idf: float = MIN_IDF, max_idf: float = MAX_IDF) -> DataFrame:
-    """(h): the hashes of the terms in the band, counted over different texts: copies push no term out of it.
+def counted(docs: DataFrame, text: Column) -> tuple[DataFrame, int]:
+    """(h, df) of terms, by hash, that two or more different texts hold, and how many different texts there are.
 
-    Terms are counted by hash, which is narrower to shuffle. All rows are counted where they
-    are; of a repeated text one row is met again and takes what the others added.
+    All rows are counted where they are; of a repeated text one row is met again and takes what
+    the others added.
     """
     texts = docs.select(text.alias("_text"), F.xxhash64(text).alias("_hash"))
     repeated = written(texts.groupBy("_hash").agg((F.count("*") - 1).alias("_extra")).filter("_extra > 0"), "imatch-repeated")
@@ -55,12 +58,19 @@ def lexicon(docs: DataFrame, text: Column, min_idf: float = MIN_IDF, max_idf: fl
     def hashed(rows: DataFrame, amount: Column) -> DataFrame:
         return rows.select(amount.alias("amount"), F.explode(F.transform(terms(F.col("_text")), lambda t: F.xxhash64(t))).alias("h"))
 
-    counted = hashed(texts, F.lit(1).cast("long"))
+    every = hashed(texts, F.lit(1).cast("long"))
     if extra:
-        counted = counted.unionAll(hashed(one_of_each(texts.join(repeated, "_hash"), "_hash"), -F.col("_extra")))
-    counted = counted.groupBy("h").agg(F.sum("amount").alias("df"))
-    idf = F.log(F.lit(float(n or 1)) / F.col("df"))
-    return counted.filter(idf.between(min_idf, max_idf)).select("h")
+        every = every.unionAll(hashed(one_of_each(texts.join(repeated, "_hash"), "_hash"), -F.col("_extra")))
+    return every.groupBy("h").agg(F.sum("amount").alias("df")).filter("df > 1"), n
+
+
+def _idf(df: Column, n: int) -> Column:
+    return F.log(F.lit(float(n or 1)) / df)
+
+
+def lexicon(counts: DataFrame, n: int, min_idf: float = MIN_IDF, max_idf: float = MAX_IDF) -> DataFrame:
+    """(h): the hashes of the terms in the band."""
+    return counts.filter(_idf(F.col("df"), n).between(min_idf, max_idf)).select("h")
 
 
 def _places(h: Column | int, size: int):
@@ -101,8 +111,8 @@ def _known(found: Column, table: Column, size: int) -> Column:
     return F.filter(found, known)
 
 
-def _prints(found: Column, known: Callable[[Column], Column], subsets: int) -> Column:
-    """The hashes by part of the known terms, or of all terms if fewer than FEW are known; one hash if there is no term."""
+def _prints(used: Column, subsets: int) -> Column:
+    """The hashes by part of the terms; one hash if there is no term."""
 
     def part(t: Column) -> Column:
         return F.pmod(F.xxhash64(t, F.lit(1)), F.lit(subsets))
@@ -114,14 +124,38 @@ def _prints(found: Column, known: Callable[[Column], Column], subsets: int) -> C
 
         return F.transform(F.sequence(F.lit(0).cast("long"), F.lit(subsets - 1).cast("long")), one)
 
+    dealt = F.sort_array(F.transform(used, lambda t: F.struct(part(t).alias("k"), t.alias("t"))))
+    return let(dealt, lambda x: F.when(F.size(x) > 0, by_part(x)).otherwise(F.array(F.xxhash64(F.array().cast("array<string>")))))
+
+
+def _marked(found: Column, known: Callable[[Column], Column], subsets: int) -> Column:
+    """(fp, few): the prints of a text with enough terms of the band, all terms of another."""
+
     def of(every: Column) -> Column:
-        used = let(known(every), lambda some: F.when(F.size(some) < FEW, every).otherwise(some))
-        dealt = F.sort_array(F.transform(used, lambda t: F.struct(part(t).alias("k"), t.alias("t"))))
-        return let(dealt, lambda x: F.when(F.size(x) > 0, by_part(x)).otherwise(F.array(F.xxhash64(every))))
+        def made(some: Column) -> Column:
+            enough = (F.size(some) >= ENOUGH) | (F.size(every) == F.size(some))
+            return F.struct(F.when(enough, _prints(some, subsets)).alias("fp"), F.when(~enough, every).alias("few"))
+
+        return let(known(every), made)
 
     return let(found, of)
 
 
+def _widened(few: DataFrame, counts: DataFrame, n: int, min_idf: float, max_idf: float, subsets: int) -> DataFrame:
+    """(key, name, fp) of texts (key, name, few): of each the ENOUGH terms that lie in the band or next to it."""
+    each = few.select("_key", "_name", F.explode("few").alias("t"))
+    held = each.join(counts, F.xxhash64("t") == F.col("h"), "left")
+    idf = _idf(F.coalesce("df", F.lit(1)), n)
+    within = idf.between(min_idf, max_idf)
+    order = F.struct(
+        F.when(within, 0).when(idf < min_idf, 1).otherwise(2).alias("side"), F.when(within, 0.0).otherwise(F.abs(idf - min_idf)).alias("off"),
+        F.xxhash64("t").alias("h"), F.col("t"),
+    )
+    nearest = F.transform(F.slice(F.array_sort(F.collect_list(order)), 1, F.greatest(F.lit(ENOUGH), F.sum(within.cast("int")).cast("int"))), lambda x: x["t"])
+    chosen = held.groupBy("_key", "_name").agg(nearest.alias("used"))
+    return chosen.select("_key", "_name", _prints(F.col("used"), subsets).alias("fp"))
+
+
 def text_of(prints: Column) -> Column:
     """A fingerprint as text: the parts' hashes in hex, dots for parts without a term."""
     return F.array_join(F.transform(prints, lambda h: F.coalesce(F.lpad(F.lower(F.hex(h)), 16, "0"), F.lit("." * 16))), "")
@@ -144,32 +178,41 @@ def _joined(df: DataFrame, key: str, text: Column, words: DataFrame, name: str)
 
 
 def fingerprints(
-    df: DataFrame, texts: dict[str, Column], corpus: DataFrame, subsets: int = SUBSETS, key: str = "_at", **band: float,
+    df: DataFrame, texts: dict[str, Column], corpus: DataFrame, subsets: int = SUBSETS, key: str = "_at",
+    keep: Sequence[str] = (), min_idf: float = MIN_IDF, max_idf: float = MAX_IDF,
 ) -> DataFrame:
-    """``df`` with a fingerprint (an array of hashes) for each named text; the lexicon is that of ``corpus``' column text.
+    """``key``, whose values are unique, the columns ``keep``, and a fingerprint (an array of hashes) for each named text.
 
-    ``key`` is a column of ``df`` whose values are unique; only a lexicon beyond MOST_TERMS needs it.
+    The lexicon is that of ``corpus``' column text.
     """
-    words = written(lexicon(corpus, F.col("text"), **band), "imatch-lexicon", release=True)
+    counts, n = counted(corpus, F.col("text"))
+    counts = written(counts, "imatch-counts", release=True)
+    words = lexicon(counts, n, min_idf, max_idf)
     if words.count() > MOST_TERMS:
-        wide, columns = written(df, "imatch-texts"), df.columns
-        made = {}
+        wide = written(df, "imatch-texts")
+        known = {}
         for k, (name, text) in enumerate(texts.items()):
             wide = _joined(wide, key, text, words, f"_held_{k}")
-            held = F.col(f"_held_{k}")
-            made[name] = _prints(terms(text), lambda found, held=held: held, subsets)
-        return wide.withColumns(made).select(*columns, *made)
-    table = hash_table([r["h"] for r in words.collect()])
-    stored = written(df.sparkSession.createDataFrame([(table,)], "slots array<bigint>"), "imatch-table")
-    looked_up = df.withColumn("_table", stored.select("slots").scalar())
-    made = {name: _prints(terms(text), lambda found: _known(found, F.col("_table"), len(table)), subsets) for name, text in texts.items()}
-    return looked_up.withColumns(made).drop("_table")
-
-
-def edited_pairs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+            known[name] = lambda found, held=F.col(f"_held_{k}"): held
+    else:
+        table = hash_table([r["h"] for r in words.collect()])
+        stored = written(df.sparkSession.createDataFrame([(table,)], "slots array<bigint>"), "imatch-table")
+        wide = df.withColumn("_table", stored.select("slots").scalar())
+        known = dict.fromkeys(texts, lambda found: _known(found, F.col("_table"), len(table)))
+    made = [_marked(terms(text), known[name], subsets).alias(name) for name, text in texts.items()]
+    first = written(wide.select(key, *keep, *made), "imatch-marked")
+    few = reduce(DataFrame.unionAll, [
+        first.filter(F.col(f"{name}.few").isNotNull()).select(F.col(key).alias("_key"), F.lit(name).alias("_name"), f"{name}.few") for name in texts
+    ])
+    more = written(_widened(few, counts, n, min_idf, max_idf, subsets), "imatch-widened")
+    for name in texts:
+        own = more.filter(F.col("_name") == name).select("_key", F.col("fp").alias("_fp"))
+        first = first.join(own, F.col(key) == F.col("_key"), "left").withColumn(name, F.coalesce(F.col(f"{name}.fp"), "_fp")).drop("_key", "_fp")
+    return first
+
+
+def edited_pairs(placed: DataFrame) -> DataFrame:
     """(_at, _next, doc_id, text, edited): every document, and its text with the next one's beginning as its second half."""
-    whole = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    placed = _unique(whole)
     ids = placed.select("_at", "doc_id", F.char_length("text").alias("n"), F.lit(1).alias("one"))
     order = written(running_sums(ids, [], ["_at"], ["one"], "imatch-order"), "imatch-ids")
     n = order.count()
@@ -186,15 +229,16 @@ def edited_pairs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return joined.select("_at", "_next", "doc_id", "text", F.concat(kept, "_head").alias("edited"))
 
 
-def _unique(whole: DataFrame) -> DataFrame:
-    """``whole`` with _at, a number in the documents' order: the id itself if ids are unique."""
+def _unique(whole: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``whole`` with _at, a number in the documents' order (the id itself if ids are unique), and (_at, doc_id) of repeated rows."""
     ids = whole.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
     if not ids.groupBy("id").count().filter("id IS NULL OR count > 1").take(1):
-        return whole.withColumn("_at", F.col("doc_id").cast("long"))
-    order = running_sums(ids.distinct().withColumn("one", F.lit(1)), [], ["id", "hash"], ["one"], "imatch-ties")
-    rows = whole.withColumns({"_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64("text")}).dropDuplicates(["_id", "_hash"])
+        return whole.withColumn("_at", F.col("doc_id").cast("long")), None
+    order = written(running_sums(ids.distinct().withColumn("one", F.lit(1)), [], ["id", "hash"], ["one"], "imatch-ties"), "imatch-order")
     same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("hash"))
-    return rows.join(order, same).select("doc_id", "text", F.col("before_one").alias("_at"))
+    rows = whole.withColumns({"_id": F.col("doc_id").cast("long"), "_hash": F.xxhash64("text")})
+    every = rows.join(order, same).select("doc_id", "text", F.col("before_one").alias("_at"))
+    return one_of_each(every, "_at"), every.select("_at", "doc_id")
 
 
 def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -203,13 +247,17 @@ def compared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
     """
     corpus = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    pairs = edited_pairs(docs, doc_id, text)
-    marked = fingerprints(pairs, {"_own": F.col("text"), "_edited": F.col("edited")}, corpus, **options)
-    done = written(marked.select(
-        "_at", "_next", "doc_id", F.char_length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited"), 256).alias("edited_sha256"), "_own", "_edited",
-    ), "imatch-prints")
-    following = done.select(F.col("_at").alias("_next"), F.col("_own").alias("_theirs"))
+    whole = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    placed, every = _unique(whole)
+    pairs = edited_pairs(placed).withColumns({
+        "n_chars": F.char_length("text").cast("long"), "edited_sha256": F.sha2(F.col("edited"), 256),
+    })
+    kept = ["_next", "doc_id", "n_chars", "edited_sha256"]
+    done = written(fingerprints(pairs, {"_own": F.col("text"), "_edited": F.col("edited")}, corpus, keep=kept, **options), "imatch-prints")
+    if every is not None:  # each of the repeated rows
+        done = done.drop("doc_id").join(every, "_at")
+    following = one_of_each(done, "_at") if every is not None else done
+    following = following.select(F.col("_at").alias("_next"), F.col("_own").alias("_theirs"))
     return done.join(following, "_next").select(
         "doc_id", "n_chars", "edited_sha256", text_of(F.col("_own")).alias("fingerprint"),
         text_of(F.col("_edited")).alias("edited_fingerprint"),
