@@ -4,7 +4,9 @@ Only lengths matter, so the packing is planned on their histogram, which has ``c
 entries however large the corpus is: large lengths are sorted, cut into groups of equal
 cardinality and rounded up to the largest of their group; configurations of the few sizes
 left are optimised by column generation; actual lengths take the places of the rounded ones,
-which leaves some room; what is left over and the small lengths go best-fit into that room.
+which leaves some room. Configurations that leave too much of it are loosened, and their lengths
+are grouped anew, in finer groups as they are fewer, in further rounds; what is left over and the
+small lengths go best-fit into the room.
 The plan is a list of runs ("ranks from .. of this length go to these sequences at this
 offset"). Pieces get their rank within their length by distributed running sums, and each
 task looks its pieces' runs up.
@@ -33,8 +35,8 @@ END_ID = 2
 GROUPS = 96
 #: Lengths up to this share of the capacity are small.
 SMALL = 1 / 8
-#: Room, as a share of the capacity, that a configuration may leave once actual lengths are in place.
-SLACKS = (1, 1 / 32, 1 / 64, 1 / 128, 1 / 256, 1 / 512)
+#: Rounds of grouping: the room, as a share of the capacity, that a configuration may leave once actual lengths are in place.
+ROUNDS = (*[1 / 128] * 4, *[1 / 64] * 4, *[1 / 32] * 2)
 RANK_BITS = 42
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -182,40 +184,38 @@ def _grouped(left: dict[int, int], capacity: int, groups: int) -> list[tuple[int
     return result
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[tuple[int, list[tuple[int, int]]]]:
-    """(times, [(length, copies), ...]): kinds of sequences that hold all lengths of the histogram.
-
-    Configurations that rounding left with more room than a slack are given up, and their
-    lengths go best-fit with the small ones; of several slacks the one that needs the fewest
-    sequences counts.
-    """
-    counts = {length: n for length, n in histogram.items() if n > 0}
-    full = counts.pop(capacity, 0)
-    kinds = [(times, capacity - sum(length for length, _ in items), items) for times, items in _grouped(counts, capacity, groups)]
-    best: list[tuple[int, list[tuple[int, int]]]] | None = None
-    for slack in SLACKS:
-        left, bins = dict(counts), _Bins()
-        bins.add(full, 0, ((capacity, 1),))
-        for times, room, items in kinds:
-            if room <= capacity * slack:
-                bins.add(times, room, items)
+def configured(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> tuple[list[tuple[int, tuple]], dict[int, int]]:
+    """(times, items): the configurations of all rounds that leave little enough room, and the lengths that none holds."""
+    left, kinds = dict(counts), []
+    for slack in ROUNDS:
+        for times, items in _grouped(left, capacity, groups):
+            if capacity - sum(length for length, _ in items) <= capacity * slack:
+                kinds.append((times, items))
                 for length, _ in items:
                     left[length] -= times
-        for length in sorted(left, reverse=True):
-            n = left[length]
-            while n:
-                found = bins.tightest(length)
-                times, room, items = found or (n, capacity, ())
-                copies = min(room // length, n)
-                used = min(times, n // copies)
-                bins.add(used, room - copies * length, (*items, (length, copies)))
-                if found:
-                    bins.add(times - used, room, items)
-                n -= used * copies
-        made = [(times, list(items)) for some in bins.by_room.values() for times, items in some]
-        if best is None or sum(t for t, _ in made) < sum(t for t, _ in best):
-            best = made
-    return best
+        left = {length: n for length, n in left.items() if n}
+    return kinds, left
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[tuple[int, list[tuple[int, int]]]]:
+    """(times, [(length, copies), ...]): kinds of sequences that hold all lengths of the histogram."""
+    counts, bins = {length: n for length, n in histogram.items() if n > 0}, _Bins()
+    bins.add(counts.pop(capacity, 0), 0, ((capacity, 1),))
+    kinds, left = configured(counts, capacity, groups)
+    for times, items in kinds:
+        bins.add(times, capacity - sum(length for length, _ in items), items)
+    for length in sorted(left, reverse=True):
+        n = left[length]
+        while n:
+            found = bins.tightest(length)
+            times, room, items = found or (n, capacity, ())
+            copies = min(room // length, n)
+            used = min(times, n // copies)
+            bins.add(used, room - copies * length, (*items, (length, copies)))
+            if found:
+                bins.add(times - used, room, items)
+            n -= used * copies
+    return [(times, list(items)) for some in bins.by_room.values() for times, items in some]
 
 
 def runs(kinds: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:

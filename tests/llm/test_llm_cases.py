@@ -282,7 +282,7 @@ def test_suffix_arrays(texts):
 
 def test_imatch_odd(spark):
     rows = imatch.compared(odd(spark)).collect()
-    assert len(rows) == len({(r[0], r[1] or "") for r in ROWS})
+    assert Counter((r["doc_id"], r["n_chars"]) for r in rows) == Counter((r[0], len(r[1] or "")) for r in ROWS)  # repeated ones too
     by_text = defaultdict(set)
     texts = {(r[0], len(r[1] or "")): r[1] or "" for r in ROWS}
     for r in rows:
@@ -327,9 +327,72 @@ def test_imatch_counts_terms_over_different_texts(spark):
     texts = [f"common own{k}" for k in range(100)]
     rows = [(t,) for t in texts + 40 * ["common own7"] + 3 * ["common own8"]]
     df = spark.createDataFrame(rows, "text string").repartition(3)
-    found = {r["h"] for r in imatch.lexicon(df, F.col("text")).collect()}
-    terms = spark.createDataFrame([(f"own{k}",) for k in range(100)], "t string").select(F.xxhash64("t").alias("h"))
-    assert found == {r["h"] for r in terms.collect()}
+    df = df.withColumn("text", F.concat("text", F.lit(" of"), F.regexp_replace("text", r"\D", "") % 40))
+    counts, n = imatch.counted(df, F.col("text"))
+    of = {k: sum(j % 40 == k for j in range(100)) for k in range(40)}
+    words = spark.createDataFrame([("common", 100), *[(f"of{k}", m) for k, m in of.items()]], "t string, df long").select(F.xxhash64("t").alias("h"), "df")
+    assert n == 100 and {tuple(r) for r in counts.collect()} == {tuple(r) for r in words.collect()}
+    found = imatch.lexicon(counts, n, 3.6, 4.0)
+    assert {r["h"] for r in found.collect()} == {r["h"] for r in words.filter("df = 2").collect()}
+
+
+def brute_prints(texts, corpus, min_idf=imatch.MIN_IDF, max_idf=imatch.MAX_IDF, enough=imatch.ENOUGH):
+    """Of each text the set of terms that its fingerprint is made of."""
+    import math
+
+    def terms(text):
+        return set(re.findall(r"[^\W_]+", text.lower()))
+
+    df = Counter(t for text in set(corpus) for t in terms(text))
+    n = len(set(corpus))
+
+    def rank(t):
+        idf = math.log(n / max(df[t], 1))
+        return (0, 0.0) if min_idf <= idf <= max_idf else (1, min_idf - idf) if idf < min_idf else (2, idf - min_idf)
+
+    used = []
+    for text in texts:
+        ranked = sorted(terms(text), key=rank)
+        upto = max(sum(rank(t)[0] == 0 for t in ranked), enough)
+        used.append((set(ranked[:upto]), upto >= len(ranked) or rank(ranked[upto - 1]) < rank(ranked[upto])))
+    return used
+
+
+def test_imatch_fingerprints_are_made_of_the_nearest_terms(spark, sf_dir):
+    """Equal sets of terms have equal fingerprints, and different ones differ in the parts that differ."""
+    docs = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    df = spark.createDataFrame(list(enumerate(docs)), "_at long, text string").repartition(3)
+    prints = dict(imatch.fingerprints(df, {"fp": F.col("text")}, df).select("_at", "fp").collect())
+    used = brute_prints(docs, docs)
+    part = {r["t"]: (r["k"], r["h"]) for r in spark.createDataFrame([(t,) for t in set().union(*(u for u, _ in used))], "t string").select(
+        "t", F.pmod(F.xxhash64("t", F.lit(1)), F.lit(imatch.SUBSETS)).alias("k"), F.xxhash64("t").alias("h")).collect()}
+    sets = {}
+    checked = 0
+    for k, (terms, certain) in enumerate(used):
+        if not certain or not terms:
+            continue  # terms of equal rank at the edge are told apart by a hash
+        checked += 1
+        parts = defaultdict(set)
+        for t in terms:
+            parts[part[t][0]].add(t)
+        assert [h is not None for h in prints[k]] == [p in parts for p in range(imatch.SUBSETS)]
+        for p, those in parts.items():
+            assert sets.setdefault(prints[k][p], (p, frozenset(those))) == (p, frozenset(those))
+    assert checked > len(docs) / 2 and len(sets) > 1000
+
+
+def test_imatch_is_gradual_where_few_terms_are_in_the_band(spark):
+    """Texts of a few more or fewer terms of the band than enough are alike if their terms are."""
+    rng = random.Random(3)
+    corpus = [" ".join([f"r{rng.randrange(4000)}" for _ in range(40)] + [f"c{rng.randrange(60)}" for _ in range(30)]) for _ in range(400)]
+    pairs = []
+    for k in range(0, 40):
+        words = corpus[k].split()
+        pairs += [" ".join(words), " ".join(words[:k] + words[k + 1:])]
+    df = spark.createDataFrame(list(enumerate(pairs)), "_at long, text string")
+    whole = spark.createDataFrame([(t,) for t in corpus], "text string")
+    prints = dict(imatch.fingerprints(df, {"fp": F.col("text")}, whole).select("_at", "fp").collect())
+    assert min(_likeness(prints[k], prints[k + 1]) for k in range(0, 80, 2)) > 0.7
 
 
 def test_imatch_joins_a_large_lexicon(spark, sf_dir, monkeypatch):
@@ -435,6 +498,23 @@ def test_plans_are_near_the_lower_bound():
     assert used <= 1.005 * sum(k * n for k, n in histogram.items()) / 1024
 
 
+def test_most_large_pieces_are_packed_by_configurations():
+    rng = random.Random(4)
+    histogram = Counter(min(int(rng.lognormvariate(5.6, 0.9)) + 2, 1024) for _ in range(30_000))
+    counts = {length: n for length, n in histogram.items() if length < 1024}
+    kinds, left = packing.configured(counts)
+    large = sum(n for length, n in counts.items() if length > packing.CAPACITY * packing.SMALL)
+    held = Counter()
+    for times, items in kinds:
+        for length, copies in items:
+            held[length] += times * copies
+    assert all(length > packing.CAPACITY * packing.SMALL for length in held)
+    assert {k: held[k] + left.get(k, 0) for k in counts} == counts
+    assert sum(held.values()) >= 0.9 * large
+    made = packing.plan(histogram)
+    assert sum(times for times, _ in made) <= 1.005 * sum(length * n for length, n in histogram.items()) / 1024 + 2
+
+
 # --- 8 licences
 
 
