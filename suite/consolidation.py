@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Window, functions as F
 
 from feedweave.functions.keys import availability_rank, row_key
-from feedweave.operators.lookup import join_lookup
+from feedweave.operators.lookup import Lookup, join_lookup
 from feedweave.operators.pick import best_per, collapse_by, concat_ranked, ordering
 from feedweave.plans import flat
 from feedweave.plans.branches import CG, ES, FO, IN, OWN, OWN_CODE
@@ -355,6 +355,19 @@ def map_inner_join(spark, sf_dir):
     return join_lookup(tables["fo_list"], tables["fo_manufacturers"], FO.lookups[0]).select("Cod", "Marca", "Prezzo", "manufacturer_id")
 
 
+# Customers with their nation's name in spellings of other case, accents and trailing spaces.
+SPELLED = """SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN lower(n_name) WHEN 1 THEN replace(n_name, 'A', 'Á')
+    WHEN 2 THEN concat(lower(replace(n_name, 'E', 'Ë')), '  ') ELSE replace(replace(n_name, 'N', 'ñ'), 'I', 'í') END AS maker
+    FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey"""
+
+
+@query(f"SELECT c_custkey, maker, n_nationkey AS maker_id FROM ({twin(SPELLED)}) JOIN nation ON lower(strip_accents(rtrim(maker))) = lower(n_name)")
+def map_join_any_accent(spark, sf_dir):
+    names = from_given(spark, sf_dir, "SELECT n_name, n_nationkey FROM {nation}")
+    lookup = Lookup("nation", (("maker", "n_name"),), {"maker_id": "n_nationkey"})
+    return join_lookup(from_given(spark, sf_dir, SPELLED), names, lookup, key_policy="ci_ai")
+
+
 @query(f"{with_feeds(['fo_list', 'fo_categories'])} SELECT Cod, Linea, Famiglia, CAST(Prezzo AS DOUBLE) AS Prezzo, cat_id, subcat_id FROM fo_list JOIN fo_categories ON Linea = feed_cat_id AND Famiglia = feed_subcat_id")
 def map_composite_join(spark, sf_dir):
     tables = Tables(spark, sf_dir)

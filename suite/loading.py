@@ -162,6 +162,16 @@ def load_unique_first_any_case(spark, sf_dir):
     return load.good_rows(raw(spark, sf_dir), SPEC, "ci").select("_row", "code", "price", "day", "status", "note")
 
 
+# The same lines with codes in four spellings.
+CASES, SPELLINGS = "CASE WHEN o_orderkey % 2 = 0 THEN 'C' ELSE 'c' END", "CASE o_orderkey % 4 WHEN 0 THEN 'Ç' WHEN 1 THEN 'ç' WHEN 2 THEN 'C' ELSE 'c' END"
+
+
+@query(first_lines("lower(strip_accents(code))").replace(CASES, SPELLINGS))
+def load_unique_first_any_accent(spark, sf_dir):
+    lines = from_given(spark, sf_dir, LINES.replace("~", '"').replace(CASES, SPELLINGS))
+    return load.good_rows(parse_lines(lines, SPEC), SPEC, "ci_ai").select("_row", "code", "price", "day", "status", "note")
+
+
 @query(f"""SELECT good AS completed, total - good AS missed, good > 0 AS success FROM
     (SELECT count(*) AS good FROM ({first_lines('code')})), (SELECT count(*) AS total FROM orders)""")
 def load_report(spark, sf_dir):

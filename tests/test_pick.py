@@ -263,3 +263,25 @@ def test_enrichment_run(spark, tmp_path):
     assert run_enrichment(spark, products, makers, table, entries, key_policy="ci") == EnrichReport(2, 2)
     assert values(table.read(), "id") == [("1",), ("2",), ("3",)]
     assert run_enrichment(spark, products, makers, table, entries) == EnrichReport(0, 0) and table.version() == 2
+
+
+def test_keys_without_accents(spark):
+    from feedweave.functions.keys import fold_letter, match_key
+
+    pairs = [("É1", "e1"), ("straße", "STRASE"), ("ẞ", "s"), ("ΟΔΟΣ", "οδοσ"), ("οδος", "οδοσ"), ("İ", "i"), ("e\u0301x ", "EX"), ("Ångström  ", "angstrom"), ("Ǆ", "ǆ"), ("Ж", "ж"), ("", "  ")]
+    rows = spark.createDataFrame(pairs, "a string, b string").select(match_key(F.col("a"), "ci_ai"), match_key(F.col("b"), "ci_ai")).collect()
+    assert [r for r in rows if r[0] != r[1]] == []
+    apart = [("a", "b"), ("ł", "l"), ("æ", "ae"), ("e x", "ex"), (" e", "e"), ("o", "ø")]
+    rows = spark.createDataFrame(apart, "a string, b string").select(match_key(F.col("a"), "ci_ai"), match_key(F.col("b"), "ci_ai")).collect()
+    assert [r for r in rows if r[0] == r[1]] == []
+    assert all(fold_letter(fold_letter(c)) == fold_letter(c) for c in map(chr, range(0x3000)) if c.isalpha())
+    with pytest.raises(ValueError):
+        match_key(F.col("a"), "other")
+
+
+def test_accent_blind_keys_group_by_hash(spark):
+    from feedweave.functions.keys import match_key
+
+    df = spark.createDataFrame([("É", 1), ("e ", 2), ("f", 4)], "k string, n long")
+    counted = df.groupBy(match_key(F.col("k"), "ci_ai").alias("k")).agg(F.sum("n").alias("n"))
+    assert values(counted) == [("e", 3), ("f", 4)] and "SortAggregate" not in plan_of(counted)
