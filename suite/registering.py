@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedweave.functions.paths import directory, extension, file_name
-from feedweave.operators import registry
+from feedweave.operators import registry, schedule
 from feedweave.sources.schema import registered_columns
 from suite import query, read
 from suite.feeds import from_given, twin
@@ -91,14 +91,33 @@ MATCHED = f"""SELECT DISTINCT local_name, time FROM ({PATTERNS}) JOIN ({MINUTES}
 
 @query(f"SELECT local_name, count(*) AS minutes, min(time) AS first_time, max(time) AS last_time FROM ({MATCHED}) GROUP BY local_name")
 def schedule_expand(spark, sf_dir):
-    times = registry.schedule(resources(spark, sf_dir))
-    return times.groupBy("local_name").agg(F.count("time").alias("minutes"), F.min("time").alias("first_time"), F.max("time").alias("last_time"))
+    hours = F.col("hours")
+    return schedule.schedules(resources(spark, sf_dir)).select(
+        "local_name", schedule.minutes(hours).alias("minutes"), schedule.first_time(hours).alias("first_time"), schedule.last_time(hours).alias("last_time"),
+    )
+
+
+@query(f"SELECT local_name, time FROM ({MATCHED})")
+def schedule_minutes(spark, sf_dir):
+    """Every minute at which a feed is due, for those who want rows."""
+    return registry.schedule(resources(spark, sf_dir))
+
+
+@query(f"""SELECT local_name, coalesce(min(time) FILTER (WHERE time > '12:35'), min(time)) AS next_time FROM ({MATCHED}) GROUP BY local_name""")
+def schedule_next(spark, sf_dir):
+    return schedule.schedules(resources(spark, sf_dir)).select("local_name", schedule.next_time(F.col("hours"), "12:35").alias("next_time"))
+
+
+@query(f"SELECT time, count(*) AS resources FROM ({MATCHED}) GROUP BY time HAVING count(*) > 1")
+def schedule_overlaps(spark, sf_dir):
+    return schedule.load(schedule.schedules(resources(spark, sf_dir))).filter("resources > 1")
 
 
 @query(f"SELECT id, local_name FROM ({RES}) WHERE sync_time IS NOT NULL AND local_name IN (SELECT local_name FROM ({MATCHED}) WHERE time = '12:35')"
        f" AND EXISTS (SELECT 1 FROM (SELECT unnest(CAST(sync_time::JSON AS VARCHAR[])) AS p) WHERE regexp_matches('12:35', concat('^', replace(p, '*', '.'), '$')))")
 def schedule_due(spark, sf_dir):
-    return registry.due(resources(spark, sf_dir), "12:35").select("id", "local_name")
+    listed = F.from_json(F.coalesce("sync_time", F.lit("[]")), "array<string>")
+    return resources(spark, sf_dir).filter(schedule.is_due(schedule.day_bits(listed), "12:35")).select("id", "local_name")
 
 
 @query(f"""SELECT event_id, substr(CAST(ts AS VARCHAR), 12, 5) AS time FROM events WHERE regexp_matches(substr(CAST(ts AS VARCHAR), 12, 5), '^.1:00$')

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of, values
-from feedweave.operators import catalogue, profile, registry
+from feedweave.operators import catalogue, profile, registry, schedule
 
 
 def minutes(spark, pattern):
@@ -35,6 +35,47 @@ def test_schedule_and_due(spark):
     assert values(registry.due(df, "01:07"), "local_name") == [("a",)]
 
 
+def agreeing(patterns):
+    """The minutes of a list of patterns, each minute tried."""
+    times = [f"{m // 60:02d}:{m % 60:02d}" for m in range(1440)]
+    digits = [p.replace(":", "") for p in patterns]
+    return [t for t in times if any(len(d) >= 4 and all(a in ("*", b) for a, b in zip(d, t.replace(":", ""))) for d in digits)]
+
+
+def test_bitmaps_hold_the_minutes_that_patterns_stand_for(spark):
+    import json
+    import random
+
+    rng = random.Random(2)
+    rows = [(f"r{k}", json.dumps(["".join(rng.choice("0123456789**") if i != 2 else ":" for i in range(5)) for _ in range(rng.randrange(5))])) for k in range(60)]
+    rows += [("all", '["**:**"]'), ("one", '["23:59"]'), ("zero", '["00:00"]'), ("odd", '["12:3", "x", "", "2a:00", "**:6*", "07:0512"]'), ("none", None), ("two", '["1*:00"]'), ("two", '["09:59", "1*:00"]')]
+    wanted = {}
+    for name, patterns in rows:
+        wanted.setdefault(name, set()).update(agreeing(json.loads(patterns or "[]")))
+    days = schedule.schedules(spark.createDataFrame(rows, "local_name string, sync_time string").repartition(3))
+    hours = F.col("hours")
+    got = {r["local_name"]: r for r in days.select(
+        "local_name", "hours", schedule.minutes(hours).alias("n"), schedule.first_time(hours).alias("first"), schedule.last_time(hours).alias("last"),
+        *[schedule.next_time(hours, t).alias(f"next {t}") for t in ("00:00", "07:05", "12:35", "23:59")],
+        *[schedule.is_due(hours, t).alias(f"due {t}") for t in ("00:00", "07:05", "23:59")],
+    ).collect()}
+    assert set(got) == {name for name, times in wanted.items() if times}
+    for name, row in got.items():
+        times = sorted(wanted[name])
+        assert [f"{h:02d}:{m:02d}" for h in range(24) for m in range(60) if row["hours"][h] >> m & 1] == times
+        assert (row["n"], row["first"], row["last"]) == (len(times), times[0], times[-1])
+        for t in ("00:00", "07:05", "12:35", "23:59"):
+            assert row[f"next {t}"] == min((x for x in times if x > t), default=times[0]), (name, t)
+        for t in ("00:00", "07:05", "23:59"):
+            assert row[f"due {t}"] == (t in times)
+    from collections import Counter
+
+    assert {tuple(r) for r in schedule.load(days).collect()} == set(Counter(t for times in wanted.values() for t in times).items())
+    assert "Generate" not in plan_of(days) and "Join" not in plan_of(days)
+    with pytest.raises(ValueError):
+        schedule.is_due(hours, "24:00")
+
+
 @pytest.mark.parametrize("kind, good, bad", [
     ("host", ["10.0.0.1", "a.example.com", "x"], ["a_b", "-x", "a..b", ""]),
     ("path", ["/a", "/a/b.csv", "/a-b/c_d"], ["a", "/a b", "/", "/a/", ""]),
