@@ -87,7 +87,7 @@ def stamp(now: datetime) -> Column:
     return F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def preflight(tables: Mapping[str, DataFrame], locked: DataFrame | None = None, also: Sequence[str] = ()) -> list[str]:
+def preflight(tables: Mapping[str, DataFrame | VersionedTable], locked: DataFrame | None = None, also: Sequence[str] = ()) -> list[str]:
     """Raise when a needed table, or one named in ``also``, is locked; return the names of empty ones."""
     names = [*tables, *also]
     if locked is not None and names:
@@ -103,7 +103,7 @@ def run_sync(
     table: VersionedTable,
     target: Target,
     now: datetime,
-    needed: Mapping[str, DataFrame] | None = None,
+    needed: Mapping[str, DataFrame | VersionedTable] | None = None,
     locked: DataFrame | None = None,
     nulls: str = "keep",
     delete_missing: bool = True,
@@ -134,12 +134,13 @@ def run_sync(
     stored = table.read(target.schema(), base)
     classified = classify(source, stored, target, stamp(now), nulls, delete_missing, key_policy, order)
     counts = Observation()
-    staged = table.stage(diff.applied(classified.observe(counts, *diff.report_columns())), base)
+    staged = table.stage(diff.applied(classified.observe(counts, *diff.report_columns())), base, [target.key])
     got = counts.get
     result = SyncReport(got["changed"], got["untouched"], got["deleted"])
     if max_delete_fraction is not None and result.deleted:
         # Every stored row is deleted, kept or updated; inserted rows only add to the base.
-        before = stored.count()
+        before = table.rows(base)
+        before = stored.count() if before is None else before
         if result.deleted > max_delete_fraction * before:
             table.discard(staged)
             raise RuntimeError(f"{result.deleted} of {before} rows would be deleted; nothing committed")

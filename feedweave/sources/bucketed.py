@@ -76,7 +76,7 @@ class BucketedTable(VersionedTable):
         version = self.version() if version is None else version
         return Manifest.of(self._commit_lines(version)[0]) if version else self._new
 
-    def count(self, version: int | None = None) -> int:
+    def rows(self, version: int | None = None) -> int:
         """The rows of a version, from its commit."""
         return self.manifest(version).rows()
 

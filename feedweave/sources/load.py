@@ -133,9 +133,9 @@ def _load(
 ) -> LoadReport:
     base = table.version()
     rejects.overwrite(quarantine(raw, spec, key_policy))
-    missed = rejects.read().count()
-    staged = table.stage(good_rows(raw, spec, key_policy).drop(*POSITION), base)
-    completed = table.staged(staged, spec.schema()).count()
+    missed = rejects.rows()
+    staged = table.stage(good_rows(raw, spec, key_policy).drop(*POSITION), base, spec.keys)
+    completed = staged.rows
     if completed:
         if transform is None and spec.after_import:
             transform = after_import(spark, spec)

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from feedweave.functions.paths import directory, extension, file_name
 from feedweave.operators import registry, schedule
+from feedweave.session import scratch_dir
 from feedweave.sources.schema import registered_columns
+from feedweave.sources.versioned import VersionedTable
 from suite import query, read
 from suite.feeds import from_given, twin
 
@@ -158,6 +160,16 @@ def preflight_empty(spark, sf_dir):
     return registry.table_counts(counted_tables(spark, sf_dir)).filter("NOT has_rows").select("table_name")
 
 
+@query(f"SELECT *, row_count > 0 AS has_rows FROM ({COUNTS})")
+def table_counts_from_commits(spark, sf_dir):
+    """The same tables as versioned ones: their commits know the counts."""
+    folder, tables = scratch_dir(spark, "counted"), {}
+    for name, df in counted_tables(spark, sf_dir).items():
+        tables[name] = VersionedTable(spark, f"{folder}/{name}")
+        tables[name].overwrite(df)
+    return registry.table_counts(tables)
+
+
 # Validation ------------------------------------------------------------------------------
 
 # The accepted forms, worded here once more and apart from the library.

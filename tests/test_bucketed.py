@@ -35,13 +35,13 @@ def test_only_buckets_with_changes_are_written(spark, tmp_path):
     table = table_at(spark, tmp_path / "t")
     assert sync.run_sync(spark, source(spark, ROWS), table, LIST, OLD) == sync.SyncReport(400, 0, 0)
     first = table.manifest()
-    assert len(first.parts) == 16 and table.count() == 400 and len({folder for folder, _ in first.parts.values()}) == 1
+    assert len(first.parts) == 16 and table.rows() == 400 and len({folder for folder, _ in first.parts.values()}) == 1
     before = files(tmp_path / "t")
     changed = [("k7", "new", 7, 1.0) if r[0] == "k7" else r for r in ROWS if r[0] != "k9"] + [("n1", "x", 1, None)]
     assert sync.run_sync(spark, source(spark, changed), table, LIST, NOW) == sync.SyncReport(2, 398, 1)
     second = table.manifest()
     touched = {b for b in second.parts if second.parts[b][0] != first.parts[b][0]}
-    assert 1 <= len(touched) <= 3 and table.count() == 400
+    assert 1 <= len(touched) <= 3 and table.rows() == 400
     after = files(tmp_path / "t")
     assert all(after[f] == before[f] for f in before) and len(after) - len(before) == len(touched)
     got = {r["id"]: r for r in table.read().collect()}
@@ -85,7 +85,7 @@ def test_equals_a_table_rewritten_whole(spark, tmp_path, policy, delete_missing)
         reports = [sync.run_sync(spark, source(spark, rows), t, LIST, now, **options) for t in (bucketed, whole)]
         assert reports[0] == reports[1]
         assert sorted(map(repr, bucketed.read().collect())) == sorted(map(repr, whole.read().collect()))
-        assert bucketed.count() == whole.read().count()
+        assert bucketed.rows() == whole.read().count()
 
 
 def test_digests_tell_nulls_apart(spark, tmp_path):
@@ -96,7 +96,7 @@ def test_digests_tell_nulls_apart(spark, tmp_path):
 
 def test_guards_empty_tables_and_other_policies(spark, tmp_path):
     table = table_at(spark, tmp_path / "t")
-    assert table.read().count() == table.count() == 0
+    assert table.read().count() == table.rows() == 0
     sync.run_sync(spark, source(spark, ROWS), table, LIST, OLD)
     with pytest.raises(RuntimeError):
         sync.run_sync(spark, source(spark, ROWS[:10]), table, LIST, NOW, max_delete_fraction=0.5)

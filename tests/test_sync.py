@@ -196,6 +196,26 @@ def test_no_version_yet(spark, tmp_path):
         table.read()
 
 
+def test_commits_know_rows_and_ranges(spark, tmp_path):
+    """Counts and preflight ask the commit: they still work where the data cannot be read."""
+    from feedweave.operators import registry
+
+    table, none = VersionedTable(spark, str(tmp_path / "t")), VersionedTable(spark, str(tmp_path / "none"))
+    sync.run_sync(spark, source(spark, [(str(i), "a", i) for i in range(12)]), table, LIST, OLD)
+    assert (table.rows(), table.statistics()["ranges"]) == (12, {"id": ["0", "9"]})
+    sync.run_sync(spark, source(spark, []), table, LIST, NOW)
+    assert (table.rows(), table.rows(1), none.rows()) == (0, 12, 0)
+    (tmp_path / "t" / "data").rename(tmp_path / "t" / "elsewhere")
+    assert registry.empty_tables({"t": table, "none": none, "df": spark.range(1)}) == ["t", "none"]
+    counts = registry.table_counts({"t": table, "df": spark.range(3)})
+    assert values(counts) == [("df", 3, True), ("t", 0, False)] and "FileScan" not in plan_of(counts)
+    (tmp_path / "t" / "elsewhere").rename(tmp_path / "t" / "data")
+    commit = tmp_path / "t" / "commits" / "00000002"
+    commit.write_text("\n".join(commit.read_text().split("\n")[:2]) + "\n")  # as written before counts were kept
+    (tmp_path / "t" / "commits" / ".00000002.crc").unlink(missing_ok=True)
+    assert table.rows() is None and registry.empty_tables({"t": table}) == ["t"]
+
+
 def test_target_schemas():
     assert FULL.schema()["enduser_price"].dataType.simpleString() == "float"
     assert RESTRICTED.schema().names[-1] == "b2b_updated"
