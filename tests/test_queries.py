@@ -41,6 +41,20 @@ def test_equals_its_twin(spark, duck, sf_dir, name):
     assert got
 
 
+def test_entry_survives_what_the_training_operators_lack():
+    import subprocess
+    import sys
+
+    script = (
+        "import sys; sys.modules[{0!r}] = None\n"
+        "import warnings; warnings.simplefilter('ignore')\n"
+        "import __spark_entry__ as e; print(len(e.queries()), 'flat_full' in e.oracle_sql())"
+    )
+    for module in ("public_tokenizers", "feedweave.llm", "corpus_pipeline"):
+        out = subprocess.run([sys.executable, "-c", script.format(module)], capture_output=True, text=True, check=True).stdout.split()
+        assert int(out[0]) >= len(QUERIES) and out[1] == "True"
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns[0] == "id"
 
