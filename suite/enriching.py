@@ -9,6 +9,7 @@ from feedweave.operators import catalogue, diff
 from feedweave.operators.lookup import Lookup, join_lookup
 from feedweave.plans import enrich
 from feedweave.session import scratch_dir
+from feedweave.sources.catalogue_files import entries as catalogue_entries
 from feedweave.sources.versioned import VersionedTable
 from suite import query
 from suite.feeds import from_given, twin
@@ -110,6 +111,42 @@ def enrich_run(spark, sf_dir):
     return table.read()
 
 
+# The catalogue as XML, several products to a line or a product over several lines; some have two EANs, some end in their tag.
+XML_LINES = """
+    SELECT concat(CASE WHEN n % 50 = 0 THEN '<?xml version=~1.0~?>\n<Catalogue>' ELSE '' END,
+           '<Product Code=~', code, '~ Prod_id=~', prod_id, '~ path=~', path, '~\n HighPic=~', high_pic, '~>',
+           CASE WHEN ean <> '' THEN concat('<EANCode EAN=~', ean, '~/>', CASE WHEN n % 3 = 0 THEN concat('<EANCode EAN=~', ean, '~/>') ELSE '' END) ELSE '' END,
+           '<Supplier Name=~', vendor, '~/>\n<SummaryDescription><ShortSummaryDescription>', short_desc,
+           '</ShortSummaryDescription></SummaryDescription></Product>', CASE WHEN n % 50 = 49 THEN '</Catalogue>' ELSE '' END,
+           CASE WHEN n % 97 = 0 THEN '<Product Prod_id=~bare > /~ Code=~1~/>' WHEN n % 89 = 0 THEN '<Product Prod_id=~broken~></Wrong></Product>' ELSE '' END) AS value
+    FROM (SELECT *, pmod(hash(path), 1000) AS n FROM ({catalogue}))"""
+
+
+def catalogue_files(spark, sf_dir):
+    folder = scratch_dir(spark, "catalogue")
+    rows = from_given(spark, sf_dir, XML_LINES.replace("{catalogue}", CATALOGUE).replace("~", '"'))
+    rows.write.text(folder)
+    return folder
+
+
+@query(f"SELECT nullif(ean, '') AS ean, prod_id, vendor, code, path, high_pic, short_desc FROM ({twin(CATALOGUE)})")
+def catalogue_scan(spark, sf_dir):
+    """Products of XML files, cut at their tags; the bare and the broken ones among them are left out here."""
+    found = catalogue_entries(spark, catalogue_files(spark, sf_dir)).filter("path IS NOT NULL")
+    return found.select("ean", "prod_id", "vendor", "code", *FIELDS)
+
+
+@query(f"""SELECT id, path, high_pic, short_desc FROM ({HITS})
+    UNION ALL SELECT * FROM ({twin(ENTRIES)}) e WHERE e.id NOT IN (SELECT id FROM ({HITS}))""")
+def enrich_run_from_files(spark, sf_dir):
+    """The whole run with a catalogue of XML files."""
+    table = VersionedTable(spark, scratch_dir(spark, "enrich_files"))
+    table.overwrite(from_given(spark, sf_dir, ENTRIES))
+    products, manufacturers = (from_given(spark, sf_dir, sql) for sql in (PRODUCTS, MANUFACTURERS))
+    enrich.run_enrichment(spark, products, manufacturers, table, catalogue_entries(spark, catalogue_files(spark, sf_dir)), FIELDS)
+    return table.read()
+
+
 # Catalogue documents, one per part, with escaped text and a few broken ones.
 DOCUMENTS = """
     SELECT p_partkey, CASE WHEN p_partkey % 29 = 0 THEN '<broken' ELSE concat('<Catalogue><Product Code=~', CASE WHEN p_partkey % 4 = 0 THEN '-1' ELSE '1' END,
