@@ -6,27 +6,17 @@ file split are numbered by the one task that reads it, and splits follow by thei
 
 from __future__ import annotations
 
-import gzip
-import io
-import sys
-import zipfile
-from collections.abc import Iterator, Sequence
-
-import pandas as pd
-from pyspark import cloudpickle
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedweave.session import scratch_dir
+from feedweave.sources.archives import archive_lines, packed_files
 from feedweave.sources.records import ends_open, whole_records
 from feedweave.sources.schema import FeedSpec
 
-# The functions run by tasks travel with the job: executors need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 POSITION = ("_file", "_block", "_row")
-LINE_COLUMNS = [*POSITION, "value"]
 BAD_LINE = "_bad_line"
-BATCH_LINES, BATCH_CHARS = 10_000, 16_000_000
 
 
 def _positions() -> list[Column]:
@@ -169,63 +159,3 @@ def _by_name(spark: SparkSession, path: str | Sequence[str], packed: Sequence[st
     if not packed:
         return True
     return not spark.read.format("binaryFile").load(path).select("path").filter("NOT endswith(path, '.gz')").take(1)
-
-
-#: Larger files are opened by path where they are read; smaller ones come as one cell.
-CELL_BYTES = 256 << 20
-
-
-def packed_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, content) of files; content is NULL for those too large for a cell."""
-    files = spark.read.format("binaryFile").load(path)
-    large = files.filter(F.col("length") > CELL_BYTES).select("path", F.lit(None).cast("binary").alias("content"))
-    return files.filter(F.col("length") <= CELL_BYTES).select("path", "content").unionAll(large)
-
-
-def _open(path: str, content: bytes | None, steps: Sequence[str], encoding: str) -> io.TextIOWrapper:
-    if content is None:
-        from pyarrow import fs
-
-        store, name = fs.FileSystem.from_uri(path)
-        stream: io.IOBase = store.open_input_file(name)
-    else:
-        stream = io.BytesIO(content)
-    for step in steps:
-        if step == "zip":
-            archive = zipfile.ZipFile(stream)
-            stream = archive.open(archive.infolist()[0])
-        elif step == "gz":
-            stream = gzip.GzipFile(fileobj=stream)
-        elif step != "csv":
-            raise ValueError(f"cannot unpack {step}")
-    if path.endswith(".gz") and "gz" not in steps:
-        stream = gzip.GzipFile(fileobj=stream)
-    return io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="\n")
-
-
-def archive_lines(files: DataFrame, steps: Sequence[str], encoding: str = "UTF-8", skip: int = 0) -> DataFrame:
-    """Lines of packed files (``path``, ``content``), unpacked step by step, without the first ``skip``.
-
-    An archive cannot be split, so one task unpacks it, but as a stream: only a small file's
-    packed bytes and one batch of lines are in memory. Of a zip, the first entry counts.
-    """
-    steps = list(steps)
-
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows: list[tuple[str, int, int, str]] = []
-        size = 0
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with _open(path, content, steps, encoding) as text:
-                    for _ in range(skip):
-                        next(text, None)
-                    for number, line in enumerate(text):
-                        rows.append((path, 0, skip + number, line.removesuffix("\n")))
-                        size += len(line)
-                        if len(rows) == BATCH_LINES or size > BATCH_CHARS:
-                            yield pd.DataFrame(rows, columns=LINE_COLUMNS)
-                            rows, size = [], 0
-        if rows:
-            yield pd.DataFrame(rows, columns=LINE_COLUMNS)
-
-    return files.select("path", "content").mapInPandas(unpack, "_file string, _block long, _row long, value string")

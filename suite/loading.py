@@ -16,7 +16,8 @@ from feedweave.functions import coerce as c
 from feedweave.operators import diff, profile
 from feedweave.session import scratch_dir
 from feedweave.sources import load
-from feedweave.sources.reader import archive_lines, clean_lines, clean_records, line_window, parse_lines, read_feed, read_lines
+from feedweave.sources.archives import archive_lines
+from feedweave.sources.reader import clean_lines, clean_records, line_window, parse_lines, read_feed, read_lines
 from feedweave.sources.records import whole_records
 from feedweave.sources.schema import FeedSpec
 from suite import query, read

@@ -231,13 +231,81 @@ def test_open_quotes():
     assert re.match(open_quote("|", "^"), "a|^b") and not re.match(open_quote("|", "^"), "a|^b^")
 
 
-def test_large_archives_are_opened_by_path(spark, tmp_path, monkeypatch):
-    from feedweave.sources import reader
+def zip_of(text, method, path, later=False):
+    """A zip archive whose first entry holds the text; ``later`` writes it to a pipe, sizes behind the entry."""
+    import io
 
-    monkeypatch.setattr(reader, "CELL_BYTES", 10)
-    with zipfile.ZipFile(tmp_path / "f.zip", "w") as archive:
-        archive.writestr("f.csv", TEXT)
-    expect(load.good_rows(read_feed(spark, spec(conversion=("zip", "csv")), str(tmp_path / "f.zip")), spec()))
+    class Pipe(io.RawIOBase):
+        def __init__(self):
+            self.data = b""
+
+        def writable(self):
+            return True
+
+        def write(self, data):
+            self.data += bytes(data)
+            return len(data)
+
+    out = Pipe() if later else io.BytesIO()
+    with zipfile.ZipFile(out, "w", method) as archive:
+        archive.writestr("f.csv", text)
+        archive.writestr("other.csv", "zz;1;1;;no\n")
+    path.write_bytes(out.data if later else out.getvalue())
+
+
+def test_large_archives_come_in_stretches(spark, tmp_path, monkeypatch):
+    """Files beyond a cell are read by Spark in many splits and unpacked in order, whatever their bytes."""
+    import random
+
+    from feedweave.sources import archives
+
+    rng = random.Random(1)
+    body = "".join(f"k{i};{i};1;;{rng.getrandbits(200):x}\n" for i in range(3000))
+    folder = tmp_path / "in"
+    folder.mkdir()
+    zip_of(body, zipfile.ZIP_DEFLATED, folder / "a.zip")
+    zip_of(body.replace("k", "s"), zipfile.ZIP_STORED, folder / "b.zip")
+    zip_of(body.replace("k", "p"), zipfile.ZIP_DEFLATED, folder / "c.zip", later=True)
+    zip_of(body[:60], zipfile.ZIP_DEFLATED, folder / "small.zip")
+    monkeypatch.setattr(archives, "CELL_BYTES", 1000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        files = archives.packed_files(spark, str(folder))
+        assert files.count() > 100
+        raw = read_feed(spark, spec(conversion=("zip", "csv"), multi_line=False), str(folder))
+        got = sorted((r["k"], r["t"]) for r in raw.collect())
+        wanted = [tuple(line.split(";"))[::4] for text in (body, body.replace("k", "s"), body.replace("k", "p"), body[:60]) for line in text.splitlines()]
+        assert [g for g in got if g[1] is not None] == sorted(w for w in wanted if len(w) == 2)
+        (tmp_path / "x").mkdir()
+        for name, end in (("n", b"\n"), ("n2", b"\n\n"), ("r", b"\r"), ("z", b"\x00")):  # bytes of a file come back as they were
+            (tmp_path / "x" / name).write_bytes(b"\n" + body.encode() + end)
+        back = {}
+        for r in archives.packed_files(spark, str(tmp_path / "x")).collect():
+            back.setdefault(r["path"].rsplit("/", 1)[-1], []).append((bytes(r["content"]), r["length"]))
+        for name, parts in back.items():
+            assert b"".join(archives._Joined._whole(iter(parts))) == (tmp_path / "x" / name).read_bytes()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_compressed_files_under_other_encodings_and_sizes(spark, tmp_path, monkeypatch):
+    from feedweave.sources import archives
+
+    monkeypatch.setattr(archives, "CELL_BYTES", 10)
+    (tmp_path / "f.csv.gz").write_bytes(gzip.compress(TEXT.encode("UTF-16")))
+    expect(load.good_rows(read_feed(spark, spec(conversion=("gz", "csv"), encoding="UTF-16"), str(tmp_path / "f.csv.gz")), spec()))
+    (tmp_path / "g.bin").write_bytes(gzip.compress(TEXT.encode()) * 1 + gzip.compress(b"z;9;9;;end\n"))
+    raw = read_feed(spark, spec(conversion=("gz", "csv")), str(tmp_path / "g.bin"))
+    assert raw.filter("k = 'z'").count() == 1
+
+
+def test_damaged_archives_fail(spark, tmp_path):
+    zip_of(TEXT * 50, zipfile.ZIP_DEFLATED, tmp_path / "f.zip")
+    data = bytearray((tmp_path / "f.zip").read_bytes())
+    for name, broken in (("cut", data[:90]), ("none", b"no archive at all, but long enough to be one"), ("sum", data[:14] + b"\0\0\0\0" + data[18:])):
+        (tmp_path / name).write_bytes(bytes(broken))
+        with pytest.raises(Exception):
+            read_feed(spark, spec(conversion=("zip", "csv"), multi_line=False), str(tmp_path / name)).count()
 
 
 def test_packed_files(spark, tmp_path):
