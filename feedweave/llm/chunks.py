@@ -4,7 +4,7 @@ A gear hash rolls over the bytes (each byte shifts it and adds a random number,
 on the last 32 bytes) and a chunk ends where its top bits are zero. Insertions shift bytes
 but not these places, so equal passages are cut into equal chunks away from their edges.
 Chunks with a digest that occurred earlier are removed if they form a run of ``least_run``
-bytes; shorter coincidences of invented prose stay.
+bytes, or one that is a whole text or whole lines of it; shorter coincidences within prose stay.
 
 Copies within a batch are folded before the shuffle; after it, chunks stream by in order of
 digest, document and place, so a chunk that every document has needs no memory.
@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 
 from feedweave.llm.substrings import _batch, _letters, cut, ordered_documents
+from feedweave.llm.tokens import release, slices
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Zero bits at the top of the hash where a chunk ends: one place in 32.
@@ -30,6 +31,7 @@ ZERO_BITS = 5
 LEAST, MOST = 24, 256
 LEAST_RUN = 80
 STRIDE = 1 << 20
+LINE_FEED = 10
 
 
 def _rolled(data: bytes, low: int, high: int, gears: np.ndarray) -> np.ndarray:
@@ -75,7 +77,7 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from xxhash import xxh3_128_digest
 
     gears = (_letters() >> np.uint64(32)).astype(np.uint32)
-    for batch in batches:
+    for batch in (part for batch in batches for part in slices(batch, 1)):
         digests, ats, starts, stops = [], [], [], []
         for at, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             data = (text.as_py() or "").encode("utf-8", "surrogatepass")
@@ -95,6 +97,7 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         again = np.append(False, (x[1:] == x[:-1]) & (y[1:] == y[:-1]))
         x = np.where(again, x ^ (at << 24) ^ start, x)  # known to be repeated; spread
         yield _batch("x y at start stop settled", x, y, at, start, stop, again)
+    release()
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,15 +127,20 @@ def repeated_chunks(docs: DataFrame, text: Column) -> DataFrame:
     return later.groupBy(F.col("at").alias("_at")).agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
 
 
-def runs(spans: list[tuple[int, int]], least: int) -> list[tuple[int, int]]:
-    """Neighbouring chunks as runs; those shorter than ``least`` bytes are left out."""
+def runs(spans: list[tuple[int, int]], least: int, data: bytes) -> list[tuple[int, int]]:
+    """Neighbouring chunks as runs; those shorter than ``least`` bytes are left out unless they are whole lines of ``data``."""
     joined: list[list[int]] = []
     for start, stop in sorted(set(spans)):
         if joined and start == joined[-1][1]:
             joined[-1][1] = stop
         else:
             joined.append([start, stop])
-    return [(a, b) for a, b in joined if b - a >= least]
+
+
+    def whole(a: int, b: int) -> bool:
+        return (a == 0 or data[a - 1] == LINE_FEED) and (b == len(data) or LINE_FEED in data[b - 1:b + 1])
+
+    return [(a, b) for a, b in joined if b - a >= least or whole(a, b)]
 
 
 def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_run: int = LEAST_RUN) -> DataFrame:
@@ -149,7 +157,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
         rows = []
         for words, low, high in zip(texts, ends, ends[1:]):
             data = (words.as_py() or "").encode("utf-8", "surrogatepass")
-            kept, removed, n = cut(data, runs(list(zip(start[low:high], stop[low:high])), least_run))
+            kept, removed, n = cut(data, runs(list(zip(start[low:high], stop[low:high])), least_run, data))
             rows.append((kept.decode("utf-8", "ignore"), len(data), removed, n, hashlib.sha256(kept).hexdigest()))
         types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, types)]

@@ -147,3 +147,39 @@ def linked(prints: list[int], radius: int) -> list[int]:
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return [find(k) for k in range(len(prints))]
+
+
+def chunked(rows: list[tuple], gears: list[int], least_run: int, zero_bits: int = 5, least: int = 24, most: int = 256) -> list[tuple]:
+    """(doc_id, n_removed, n_spans, sha256) of rows (doc_id, text) in order, the hash rolled byte by byte."""
+    seen, result = set(), []
+    for doc_id, text in rows:
+        data, ends, start, h, hashes = (text or "").encode(), [], 0, 0, []
+        for byte in data:
+            h = ((h << 1) + gears[byte]) & 0xFFFFFFFF
+            hashes.append(h)
+        allowed = [k + 1 for k, h in enumerate(hashes) if h >> (32 - zero_bits) == 0]
+        for end in [*allowed, len(data)]:
+            while end - start > most:  # the greatest value where none allows an end
+                window = range(start + least - 1, start + most)
+                start = max(window, key=lambda k: (hashes[k], -k)) + 1
+                ends.append(start)
+            if end - start >= least or end == len(data) > start:
+                ends.append(end)
+                start = end
+        spans = []
+        for a, b in zip([0, *ends[:-1]], ends):
+            if data[a:b] in seen:
+                if spans and spans[-1][1] == a:
+                    spans[-1][1] = b
+                else:
+                    spans.append([a, b])
+            seen.add(data[a:b])
+        lines = [0, *(k + 1 for k, byte in enumerate(data) if byte == 10)]
+        ends_of_lines = {len(data), *lines, *(k - 1 for k in lines)}
+        gone = [(a, b) for a, b in spans if b - a >= least_run or a in lines and b in ends_of_lines]
+        kept, at = b"", 0
+        for a, b in gone:
+            kept, at = kept + data[at:a], b
+        kept += data[at:]
+        result.append((doc_id, len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest()))
+    return result

@@ -10,7 +10,7 @@ from collections import defaultdict
 import duckdb
 import public_tokenizers
 import pytest
-from llm_data import cut, in_order, linked, passing, remaining, simhash, substrings, taken
+from llm_data import chunked, cut, in_order, linked, passing, remaining, simhash, substrings, taken
 from tokenizers import Tokenizer
 
 from feedweave.llm import queries
@@ -75,14 +75,29 @@ def test_op3_removes_what_repeats_and_little_else(spark, sf_dir, documents):
     masks = cut([d[:2] for d in documents], 100)
     short = {d[0]: m for d, (_, _, m) in zip(documents, cut([d[:2] for d in documents], 80))}
     longest = {d[0]: max(map(len, bytes(m).split(b"\0"))) for d, (_, _, m) in zip(documents, masks)}
-    rows = rows_of(spark, sf_dir, "op3_content_defined_chunks", "doc_id", "text_left", "n_bytes", "n_removed", "kept_sha256")
+    rows = in_order(rows_of(spark, sf_dir, "op3_content_defined_chunks", "doc_id", "text_left", "n_bytes", "n_removed", "kept_sha256"))
     assert len(rows) == len(documents)
+    texts, seen, lines = {d[0]: d[1] or "" for d in documents}, set(), set()
     for doc_id, left, n_bytes, removed, sha in rows:
         assert n_bytes == exact[doc_id][1] and n_bytes - removed >= len(left.encode())
         if longest[doc_id] >= 300:  # a passage of 50 words loses at most a chunk at each edge
             assert removed > 0, doc_id
         if not any(short[doc_id]):
-            assert removed == 0
+            whole_lines = texts[doc_id] in seen or any(line in lines for line in texts[doc_id].split("\n"))
+            assert removed == 0 or whole_lines and removed < 80 * len(texts[doc_id].split("\n"))
+        seen.add(texts[doc_id])
+        lines.update(texts[doc_id].split("\n"))
+
+
+def test_op3_equals_brute_force(spark, sf_dir, documents):
+    from feedweave.llm import chunks, substrings as subs
+
+    gears = [int(x) >> 32 for x in subs._letters()]
+    got = rows_of(spark, sf_dir, "op3_content_defined_chunks", "doc_id", "n_removed", "n_spans", "kept_sha256")
+    assert in_order(got) == chunked([d[:2] for d in documents], gears, chunks.LEAST_RUN)
+    copies = [d for k, d in enumerate(documents) if d[1] and d[1] in {e[1] for e in documents[:k]}]
+    removed = {r[0]: r[1] for r in got}
+    assert copies and all(removed[d[0]] == len(d[1].encode()) for d in copies if len(d[1].encode()) < chunks.LEAST or "\n" not in d[1])
 
 
 def test_op4_compares_with_the_edited_and_the_next(spark, sf_dir, documents):
