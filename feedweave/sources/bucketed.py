@@ -67,8 +67,8 @@ class BucketedTable(VersionedTable):
     ``buckets`` counts for a table without a version; choose it so that a bucket fits a task.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, buckets: int = 64, policy: str = "exact") -> None:
-        super().__init__(spark, path)
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, buckets: int = 64, policy: str = "exact", claim: str = "") -> None:
+        super().__init__(spark, path, claim)
         self.schema = schema
         self._new = Manifest(buckets, policy)
 

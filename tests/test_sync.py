@@ -114,6 +114,50 @@ def test_only_one_of_two_writers_commits(spark, tmp_path):
     assert table.read().count() == 3 and table.note() == "one"
 
 
+class Overwriting(VersionedTable):
+    """A table on a store whose rename replaces what is there."""
+
+    def _rename(self, half, final):
+        fs, _ = self._hadoop(self.path)
+        fs.delete(final, False)
+        assert fs.rename(half, final)
+
+
+@pytest.mark.parametrize("claim, winners", [("rename", 2), ("create", 1)])
+def test_two_writers_where_rename_replaces(spark, tmp_path, claim, winners):
+    """Renaming lets both believe that they have won; the conditional create tells them apart."""
+    first, second = (Overwriting(spark, str(tmp_path / "t"), claim) for _ in range(2))
+    staged = [first.stage(spark.range(3)), second.stage(spark.range(5))]
+    outcomes = []
+    for table, data in zip((first, second), staged):
+        try:
+            table.commit(data, f"{len(outcomes)}")
+            outcomes.append(True)
+        except LostRace:
+            outcomes.append(False)
+    assert sum(outcomes) == winners
+    if claim == "create":
+        assert first.read().count() == 3 and first.note() == "0" and first.rows() == 3
+        assert len(list((tmp_path / "t" / "data").iterdir())) == 1  # the loser's data is gone
+        first.overwrite(spark.range(7))
+        assert second.read().count() == 7 and second.version() == 2
+
+
+def test_a_create_that_fails_is_told_from_a_lost_race(spark, tmp_path):
+    class Failing(VersionedTable):
+        def _put(self, out, content):
+            out.close()
+            fs, path = self._hadoop(f"{self.path}/commits/00000001")
+            fs.delete(path, False)
+            raise OSError("no space")
+
+    with pytest.raises(OSError):
+        Failing(spark, str(tmp_path / "t"), "create").overwrite(spark.range(2))
+    assert list((tmp_path / "t" / "data").iterdir()) == []
+    with pytest.raises(ValueError):
+        VersionedTable(spark, "x", "other")
+
+
 def test_a_commit_in_between_is_not_lost(spark, tmp_path):
     """The version that was read is the one that is followed, so the slower run fails."""
     table = VersionedTable(spark, str(tmp_path / "t"))
