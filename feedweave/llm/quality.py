@@ -103,12 +103,13 @@ def judged(measured: DataFrame, hosts: DataFrame, host: str = "source") -> DataF
 def filtered(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """The documents that pass, with the columns of ``docs``.
 
-    The texts are read twice, once for the hosts' rates and once to filter them. The rejected
-    hosts are written, so Spark knows their size when it plans the join: few of them are
-    broadcast and no text is shuffled.
+    Each text is measured once: the rows are written with their own verdict, of which the hosts'
+    rates read no text. The rejected hosts are written too, so Spark knows their size when it plans
+    the join: few of them are broadcast and no text is shuffled.
     """
     failed = _measured(F.col("_row")[text])["base_failed"].alias("base_failed")
     rows = docs.select(whole_row(docs).alias("_row")).select("_row", F.col("_row")[host].alias("_host"), failed)
+    rows = written(rows, "quality-rows")
     hosts = host_verdicts(rows, "_host").filter("rejected")
     rejected = written(hosts.select("host", "rejected"), "quality-hosts")
     return judged(rows, rejected, "_host").filter("kept").select("_row.*")
