@@ -46,7 +46,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", te
     narrow = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"),
     )
-    ranged = narrow.repartitionByRange("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash")
+    # Where ids are unique, the ranges are found without reading a text.
+    repeated = narrow.groupBy("doc_id").count().filter("count > 1").take(1)
+    order = ["doc_id", "text_hash"] if repeated else ["doc_id"]
+    ranged = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
     options = {
         "compression": "snappy", "orc.stripe.size": STRIPE_BYTES, "orc.create.index": "true",
         "orc.row.index.stride": ROWS_PER_INDEX, "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": FALSE_HITS,
