@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedweave.functions.keys import match_key
 from feedweave.operators.pick import best_per
@@ -34,11 +34,11 @@ class LoadReport:
         return self.completed > 0
 
 
-def _keys(spec: FeedSpec, key_policy: str, within: str = "") -> list:
-    """The key columns as they are compared; of the struct ``within`` if it is given."""
+def _keys(spec: FeedSpec, key_policy: str, stored: bool = True) -> list[Column]:
+    """The key columns as they are compared, of rows that hold stored values or still the feed's text."""
     kinds = dict(spec.columns)
-    columns = {k: F.col(within)[k] if within else F.col(f"`{k}`") for k in spec.keys}
-    return [match_key(c, key_policy) if kinds[k] in ("String", "Description") else c for k, c in columns.items()]
+    columns = [F.col(f"`{k}`") if stored else spec.coercion(k) for k in spec.keys]
+    return [match_key(c, key_policy) if kinds[k] in ("String", "Description") else c for k, c in zip(spec.keys, columns)]
 
 
 def coerced(raw: DataFrame, spec: FeedSpec) -> DataFrame:
@@ -64,10 +64,7 @@ def _marked(raw: DataFrame, spec: FeedSpec, key_policy: str) -> DataFrame:
     if not spec.keys:
         return raw.withColumn("reject_reason", reason)
     columns = [name for name, _ in spec.columns]
-    values = F.struct(*spec.coercions()).alias("_values")
-    rows = raw.select(*[f"`{c}`" for c in raw.columns], F.inline(F.array(F.struct(values)))).withColumns(
-        {f"_key{n}": key for n, key in enumerate(_keys(spec, key_policy, "_values"))},
-    ).drop("_values")
+    rows = raw.withColumns({f"_key{n}": key for n, key in enumerate(_keys(spec, key_policy, stored=False))})
     keys = [f"_key{n}" for n in range(len(spec.keys))]
     place = F.struct(*POSITION)
     repeated = rows.filter(F.col(BAD_LINE).isNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))

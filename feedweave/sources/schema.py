@@ -99,6 +99,10 @@ class FeedSpec:
         """One expression per column that turns its text into the stored value."""
         return [self._coerce(F.col(f"`{name}`"), kind).alias(name) for name, kind in self.columns]
 
+    def coercion(self, name: str) -> Column:
+        """The expression for one column."""
+        return self._coerce(F.col(f"`{name}`"), dict(self.columns)[name])
+
     def _coerce(self, c: Column, kind: str) -> Column:
         if kind == "Integer":
             return lenient_int(c)
