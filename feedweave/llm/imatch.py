@@ -111,30 +111,34 @@ def _known(found: Column, table: Column, size: int) -> Column:
     return F.filter(found, known)
 
 
+def _hashes(found: Column) -> Column:
+    return F.transform(found, lambda t: F.xxhash64(t))
+
+
 def _prints(used: Column, subsets: int) -> Column:
-    """The hashes by part of the terms; one hash if there is no term."""
+    """The hashes by part of the terms, which come as hashes themselves; one hash if there is no term."""
 
-    def part(t: Column) -> Column:
-        return F.pmod(F.xxhash64(t, F.lit(1)), F.lit(subsets))
+    def part(h: Column) -> Column:
+        return F.pmod(F.xxhash64(h, F.lit(1)), F.lit(subsets))
 
     def by_part(kept: Column) -> Column:
         def one(k: Column) -> Column:
             mine = F.filter(kept, lambda x: x["k"] == k)
-            return F.when(F.size(mine) > 0, F.xxhash64(F.transform(mine, lambda x: x["t"])))
+            return F.when(F.size(mine) > 0, F.xxhash64(F.transform(mine, lambda x: x["h"])))
 
         return F.transform(F.sequence(F.lit(0).cast("long"), F.lit(subsets - 1).cast("long")), one)
 
-    dealt = F.sort_array(F.transform(used, lambda t: F.struct(part(t).alias("k"), t.alias("t"))))
-    return let(dealt, lambda x: F.when(F.size(x) > 0, by_part(x)).otherwise(F.array(F.xxhash64(F.array().cast("array<string>")))))
+    dealt = F.sort_array(F.transform(used, lambda h: F.struct(part(h).alias("k"), h.alias("h"))))
+    return let(dealt, lambda x: F.when(F.size(x) > 0, by_part(x)).otherwise(F.array(F.xxhash64(F.lit("no term")))))
 
 
 def _marked(found: Column, known: Callable[[Column], Column], subsets: int) -> Column:
-    """(fp, few): the prints of a text with enough terms of the band, all terms of another."""
+    """(fp, few): the prints of a text with enough terms of the band, the hashes of all terms of another."""
 
     def of(every: Column) -> Column:
         def made(some: Column) -> Column:
             enough = (F.size(some) >= ENOUGH) | (F.size(every) == F.size(some))
-            return F.struct(F.when(enough, _prints(some, subsets)).alias("fp"), F.when(~enough, every).alias("few"))
+            return F.struct(F.when(enough, _prints(_hashes(some), subsets)).alias("fp"), F.when(~enough, _hashes(every)).alias("few"))
 
         return let(known(every), made)
 
@@ -144,14 +148,14 @@ def _marked(found: Column, known: Callable[[Column], Column], subsets: int) -> C
 def _widened(few: DataFrame, counts: DataFrame, n: int, min_idf: float, max_idf: float, subsets: int) -> DataFrame:
     """(key, name, fp) of texts (key, name, few): of each the ENOUGH terms that lie in the band or next to it."""
     each = few.select("_key", "_name", F.explode("few").alias("t"))
-    held = each.join(counts, F.xxhash64("t") == F.col("h"), "left")
+    held = each.join(counts, F.col("t") == F.col("h"), "left")
     idf = _idf(F.coalesce("df", F.lit(1)), n)
     within = idf.between(min_idf, max_idf)
     order = F.struct(
-        F.when(within, 0).when(idf < min_idf, 1).otherwise(2).alias("side"), F.when(within, 0.0).otherwise(F.abs(idf - min_idf)).alias("off"),
-        F.xxhash64("t").alias("h"), F.col("t"),
+        F.when(within, 0).when(idf < min_idf, 1).otherwise(2).alias("side"), F.when(within, 0.0).otherwise(F.abs(idf - min_idf)).alias("off"), F.col("t"),
     )
-    nearest = F.transform(F.slice(F.array_sort(F.collect_list(order)), 1, F.greatest(F.lit(ENOUGH), F.sum(within.cast("int")).cast("int"))), lambda x: x["t"])
+    upto = F.greatest(F.lit(ENOUGH), F.sum(within.cast("int")).cast("int"))
+    nearest = F.transform(F.slice(F.array_sort(F.collect_list(order)), 1, upto), lambda x: x["t"])
     chosen = held.groupBy("_key", "_name").agg(nearest.alias("used"))
     return chosen.select("_key", "_name", _prints(F.col("used"), subsets).alias("fp"))
 
@@ -200,13 +204,13 @@ def fingerprints(
         wide = df.withColumn("_table", stored.select("slots").scalar())
         known = dict.fromkeys(texts, lambda found: _known(found, F.col("_table"), len(table)))
     made = [_marked(terms(text), known[name], subsets).alias(name) for name, text in texts.items()]
-    first = written(wide.select(key, *keep, *made), "imatch-marked")
+    first = written(wide.select(key, *keep, *made), "imatch-marked", release=True)
     few = reduce(DataFrame.unionAll, [
-        first.filter(F.col(f"{name}.few").isNotNull()).select(F.col(key).alias("_key"), F.lit(name).alias("_name"), f"{name}.few") for name in texts
+        first.filter(F.col(f"{name}.few").isNotNull()).select(F.col(key).alias("_key"), F.lit(k).alias("_name"), f"{name}.few") for k, name in enumerate(texts)
     ])
-    more = written(_widened(few, counts, n, min_idf, max_idf, subsets), "imatch-widened")
-    for name in texts:
-        own = more.filter(F.col("_name") == name).select("_key", F.col("fp").alias("_fp"))
+    more = written(_widened(few, counts, n, min_idf, max_idf, subsets), "imatch-widened", release=True)
+    for k, name in enumerate(texts):
+        own = more.filter(F.col("_name") == k).select("_key", F.col("fp").alias("_fp"))
         first = first.join(own, F.col(key) == F.col("_key"), "left").withColumn(name, F.coalesce(F.col(f"{name}.fp"), "_fp")).drop("_key", "_fp")
     return first
 

@@ -365,7 +365,7 @@ def test_imatch_fingerprints_are_made_of_the_nearest_terms(spark, sf_dir):
     prints = dict(imatch.fingerprints(df, {"fp": F.col("text")}, df).select("_at", "fp").collect())
     used = brute_prints(docs, docs)
     part = {r["t"]: (r["k"], r["h"]) for r in spark.createDataFrame([(t,) for t in set().union(*(u for u, _ in used))], "t string").select(
-        "t", F.pmod(F.xxhash64("t", F.lit(1)), F.lit(imatch.SUBSETS)).alias("k"), F.xxhash64("t").alias("h")).collect()}
+        "t", F.pmod(F.xxhash64(F.xxhash64("t"), F.lit(1)), F.lit(imatch.SUBSETS)).alias("k"), F.xxhash64("t").alias("h")).collect()}
     sets = {}
     checked = 0
     for k, (terms, certain) in enumerate(used):
