@@ -155,6 +155,49 @@ def test_op9_tells_held_out_languages(spark, sf_dir, documents):
     assert sum(right) / len(right) > 0.95
 
 
+def test_op9_equals_brute_force(spark, sf_dir, documents):
+    """Every trigram bound and bundled by itself, in whole numbers."""
+    from collections import Counter
+
+    import numpy as np
+
+    from feedweave.llm import language
+
+    signs = np.random.Generator(np.random.PCG64(language.SEED)).integers(0, 2, (language.SYMBOLS, language.DIMENSIONS)) * 2 - 1
+
+    def symbol(c):
+        if not c.isalpha():
+            return 0
+        return ord(c) - 96 if "a" <= c <= "z" else 27 + ((ord(c) * 2654435761 & 0xFFFFFFFF) >> 16) % (language.SYMBOLS - 27)
+
+    def bundled(text):
+        letters = [0]
+        for c in text.lower():
+            if symbol(c) or letters[-1]:
+                letters.append(symbol(c))
+        letters += [0] if letters[-1] else []
+        total = np.zeros(language.DIMENSIONS, np.int64)
+        for (a, b, c), n in Counter(zip(letters, letters[1:], letters[2:])).items():
+            total += n * np.roll(signs[a], 2) * np.roll(signs[b], 1) * signs[c]
+        return total
+
+    vectors = {d[0]: bundled(d[1] or "") for d in documents}
+    prototypes = {}
+    for doc_id, _, lang in documents:
+        if lang is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2:
+            prototypes[lang] = prototypes.get(lang, 0) + vectors[doc_id]
+    found = {r[0]: r[1:] for r in rows_of(spark, sf_dir, "op9_language_id", "doc_id", "lang_pred", "score")}
+    for doc_id, text, _ in documents:
+        v = vectors[doc_id]
+        if not any(c.isalpha() for c in text or ""):
+            assert found[doc_id] == ("und", 0.0)
+            continue
+        cosines = {lang: float(v @ p) / (np.linalg.norm(v) * np.linalg.norm(p) or 1.0) for lang, p in prototypes.items()}
+        predicted, score = found[doc_id]
+        assert cosines[predicted] >= max(cosines.values()) - 1e-5
+        assert abs(score - min(max(cosines[predicted], 0.0), 1.0)) < 1e-5
+
+
 def test_op10_equals_brute_force(spark, sf_dir, documents):
     prints = [simhash(d[1]) for d in documents]
     roots = linked(prints, 3)
