@@ -1,6 +1,6 @@
 """Licence scan on DataFrame functions alone: TF-IDF cosine to notices and licence texts, inheritance by directory.
 
-A document's lines are compared with the notices below as sparse TF-IDF vectors, and so are
+A document's lines are compared with the notices, titles and tags below as sparse TF-IDF vectors, and so are
 its header (the leading comment, or the lines ahead of the first blank one) and, of a licence
 file, its whole text with the standard headers and texts in ``licence_texts``; each different
 line or block once, however many documents repeat it. Terms of notices weigh by the notices,
@@ -27,8 +27,8 @@ from pathlib import Path
 from feedweave.llm.ranks import written
 from pyspark.sql import Column, DataFrame, functions as F
 
-# What the notices of common licences say.
-NOTICES = (
+# What the notices of common licences say, how short titles name them, and their tags.
+SENTENCES = (
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "you may not use this file except in compliance with the License"),
@@ -45,6 +45,25 @@ NOTICES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 )
+TITLES = (
+    ("AGPL-3.0", "GNU Affero General Public License, version 3"),
+    ("Apache-2.0", "Apache License, Version 2.0"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("GPL-2.0", "GNU General Public License, version 2"),
+    ("GPL-3.0", "GNU General Public License, version 3"),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3"),
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MPL-2.0", "Mozilla Public License, version 2.0"),
+)
+WITH_VERSIONS = ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0")
+TAGS = tuple(
+    (name, f"SPDX-License-Identifier: {name}{suffix}")
+    for name in sorted({name for name, _ in (*SENTENCES, *TITLES)})
+    for suffix in (("", "-only", "-or-later") if name in WITH_VERSIONS else ("",))
+)
+NOTICES = (*SENTENCES, *TITLES, *TAGS)
 TEXTS = Path(__file__).parent / "licence_texts"
 #: A line of a comment.
 COMMENT = r"^\s*(?:#|//|/\*|\*|--|;|%|<!--|dnl |rem |\(\*)"
