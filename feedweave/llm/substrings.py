@@ -40,6 +40,8 @@ GRAM = 32
 GROUP_BOUND = 64
 #: Anchors of a gram that a task holds at a time.
 HELD = 1 << 20
+#: Bytes of text whose equal contexts are folded before the shuffle.
+FOLDED_BYTES = 1 << 24
 #: Bytes whose suffixes are sorted at a time.
 SORTED_BYTES = 1 << 20
 #: Places of a text that are hashed at a time; a hash gives up so many bits for a place among them.
@@ -100,7 +102,7 @@ def _anchor_rows(length: int):
         from xxhash import xxh64_intdigest
 
         letters = _letters()
-        for batch in (part for batch in batches for part in slices(batch, 1)):
+        for batch in (part for batch in batches for part in slices(batch, 1, FOLDED_BYTES)):
             parts = []
             for at, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
