@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 
+from feedweave.session import scratch_dir
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WORD = 6  # 2^6 lines to a word of bits
@@ -86,45 +87,57 @@ def _marks(words: DataFrame) -> DataFrame:
     e0, e1 = F.col("e0"), F.col("e1")
     along = Window.partitionBy("_file", "_block").orderBy("_word")
     placed = _composed(folded, along, "fixed", "end", (e0 == 1) & (e1 == 0), F.when(e0 == e1, e0))
-    split_end = F.struct("end", "end_swaps")
-    splits = placed.groupBy("_file", "_block").agg(F.max_by(split_end, "_word").alias("x")).select("_file", "_block", "x.*")
-    parity, fixed = F.col("end_swaps") % 2, F.col("end")
+    ahead = along.rowsBetween(Window.unboundedPreceding, -1)
+    for k in (0, 1):  # for either state that the split may begin in
+        state = (F.coalesce("fixed", F.lit(k)) + F.col("fixed_swaps")) % 2
+        placed = placed.withColumn(f"within{k}", F.when(state == 0, F.col("m0")).otherwise(F.col("m1")))
+        placed = placed.withColumn(f"begin{k}", F.expr(f"~within{k} & here"))
+        last = F.when(F.col(f"begin{k}") != 0, F.shiftleft("_word", WORD) + _highest(F.col(f"begin{k}")))
+        placed = placed.withColumn(f"last{k}", last).withColumn(f"before{k}", F.last(last, ignorenulls=True).over(ahead))
+    splits = _splits(placed)
+    known = placed.join(splits, ["_file", "_block"])
+
+    def of(name: str) -> Column:
+        return F.when(F.col("state") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
+
+    found = known.select("_file", "_block", "_word", "opens", "_ahead", "_end", *[of(name).alias(name) for name in ("within", "begin", "before")])
+    opened = F.when(F.col("before").isNotNull(), F.struct("_block", F.col("before").alias("_row"))).otherwise(F.col("_ahead"))
+    found = found.filter("within != 0 OR (opens & ~within) != 0")
+    return found.select("_file", "_block", "_word", "within", "opens", "begin", opened.alias("_opened"), "_end")
+
+
+def _splits(placed: DataFrame) -> DataFrame:
+    """By split: the state it begins in, the last place ahead of it at which a record began, and ``_end``."""
+    splits = placed.groupBy("_file", "_block").agg(
+        F.max_by(F.struct("end", "end_swaps"), "_word").alias("x"), F.max("last0").alias("last0"), F.max("last1").alias("last1"),
+    )
+    odd = F.col("x.end_swaps") % 2
     # Behind the split: a constant, or the state before it, swapped or not.
+    splits = splits.select("_file", "_block", "last0", "last1", odd.alias("odd"), ((F.col("x.end") + odd) % 2).alias("constant"))
     over = Window.partitionBy("_file").orderBy("_block")
-    splits = splits.select("_file", "_block", parity.alias("odd"), ((fixed + parity) % 2).alias("constant"))
+    whole = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     splits = _composed(splits, over, "at", "to", F.col("constant").isNull() & (F.col("odd") == 1), F.col("constant"))
-    state = (F.coalesce("at", F.lit(0)) + F.col("at_swaps")) % 2
-    behind = (F.coalesce("to", F.lit(0)) + F.col("to_swaps")) % 2
-    splits = splits.select("_file", "_block", state.alias("state"), behind.alias("behind"))
-    known = placed.join(splits.select("_file", "_block", "state"), ["_file", "_block"])
-    state = (F.coalesce("fixed", "state") + F.col("fixed_swaps")) % 2
-    known = known.withColumn("within", F.when(state == 0, F.col("m0")).otherwise(F.col("m1")))
-    known = known.withColumn("begin", F.expr("~within & here"))
-    last = F.when(F.col("begin") != 0, F.shiftleft("_word", WORD) + _highest(F.col("begin")))
-    known = known.withColumn("_last", last)
-    known = known.withColumn("_before", F.last("_last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)))
-    ends = known.groupBy("_file", "_block").agg(F.max("_last").alias("_last"))
-    ends = ends.withColumn("_place", F.when(F.col("_last").isNotNull(), F.struct("_block", F.col("_last").alias("_row"))))
-    ends = ends.withColumn("_ahead", F.last("_place", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)))
-    files = splits.groupBy("_file").agg(F.max_by("behind", "_block").alias("behind")).filter("behind = 1").select("_file")
-    never = ends.join(files, "_file", "left_semi").groupBy("_file").agg(F.max("_place").alias("_end"))
-    found = known.filter("within != 0 OR (opens & ~within) != 0")
-    found = found.join(ends.select("_file", "_block", "_ahead"), ["_file", "_block"]).join(never, "_file", "left")
-    opened = F.when(F.col("_before").isNotNull(), F.struct("_block", F.col("_before").alias("_row"))).otherwise(F.col("_ahead"))
-    return found.select("_file", "_block", "_word", "within", "opens", "begin", opened.alias("_opened"), "_end")
+    splits = splits.withColumn("state", (F.coalesce("at", F.lit(0)) + F.col("at_swaps")) % 2)
+    last = F.when(F.col("state") == 0, F.col("last0")).otherwise(F.col("last1"))
+    splits = splits.withColumn("_place", F.when(last.isNotNull(), F.struct("_block", last.alias("_row"))))
+    behind = F.last((F.coalesce("to", F.lit(0)) + F.col("to_swaps")) % 2).over(whole)
+    ahead = F.last("_place", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1))
+    return splits.select("_file", "_block", "state", ahead.alias("_ahead"), F.when(behind == 1, F.max("_place").over(whole)).alias("_end"))
 
 
 def whole_records(lines: DataFrame, delimiter: str, enclosure: str) -> DataFrame:
     """Lines (file, block, row, value; neither line feeds nor lines left out) to records, in the place of their first line.
 
-    Lines are read twice or three times: for a line that opens a quote, without which they are the
-    records; for the words' bits; for the records.
+    Lines are read for one that opens a quote, without which they are the records; for the words' bits;
+    and for the records, those of one line and the others.
     """
     columns = ["_file", "_block", "_row", "value"]
     lines = lines.select(*columns)
     if not lines.filter(ends_open(F.rtrim(F.col("value"), F.lit(ENDS)), delimiter, enclosure)).take(1):
         return lines
-    marks = _marks(_words(lines, delimiter, enclosure))
+    folder, found = scratch_dir(lines.sparkSession, "records"), _marks(_words(lines, delimiter, enclosure))
+    found.write.parquet(folder)  # a row for 64 lines at most: Spark knows its size when it plans the joins
+    marks = lines.sparkSession.read.schema(found.schema).parquet(folder)
     placed = lines.withColumn("_word", F.shiftright("_row", WORD))
     keys = ["_file", "_block", "_word"]
     k = "CAST(_row & 63 AS INT)"
