@@ -43,6 +43,8 @@ _other_space = re.compile(r"[^\S \n]").search
 #: which then belongs to the unit of the mark behind it.
 STABLE = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 _stable = re.compile(f"{STABLE}+").fullmatch
+#: Signs; any run of them behind such a letter and at a piece's end is a unit of its own.
+SIGN = r"[!-/:-@\[-`{-~]"
 
 
 def _byte_letters() -> list[str]:
@@ -195,7 +197,7 @@ class TextEncoder:
         missing, store = np.flatnonzero(at < 0), self._store
         if len(missing):
             new = pieces.take(pa.array(missing))
-            simple = pc.match_substring_regex(new, f"^{STABLE}+[.,]?$").to_numpy(zero_copy_only=False)
+            simple = pc.match_substring_regex(new, f"^{STABLE}+{SIGN}*$").to_numpy(zero_copy_only=False)
             for some, learn in ((simple, self._learn_simple), (~simple, self._learn_others)):
                 at[missing[some]] = np.arange(len(store.sizes), len(store.sizes) + some.sum())
                 store = learn(store, new.filter(pa.array(some)))
@@ -214,17 +216,17 @@ class TextEncoder:
         return store.with_more([self._learn(piece) for piece in pieces.to_pylist()])
 
     def _learn_simple(self, store: _Store, pieces: pa.Array) -> _Store:
-        """Words of plain letters, some with a mark behind them: each different word is encoded once, as one unit."""
-        coded = pc.ascii_rtrim(pieces, ".,").dictionary_encode()
+        """Words of plain letters, some with signs behind them: each different word is encoded once, as one unit."""
+        coded = pc.replace_substring_regex(pieces, f"{SIGN}+$", "").dictionary_encode()
+        signs = pc.replace_substring_regex(pieces, f"^{STABLE}+", "").dictionary_encode()
         stems, tokenize = coded.dictionary.to_pylist(), self._model.tokenize
         if self._lower:
             stems = [stem.lower() for stem in stems]
         space = self._letters[32] if self._spaced else ""
         stems = [space + (stem if stem.isascii() else stem.translate(self._high_letters)) for stem in stems]
         found = [[t.id for t in tokenize(unit)] for unit in stems]
-        own = _Store().with_more([*found, self._mark["."], self._mark[","], []])
-        ends = np.select([pc.ends_with(pieces, mark).to_numpy(zero_copy_only=False) for mark in (".", ",")], [0, 1], 2) + len(found)
-        parts = np.stack([coded.indices.to_numpy(), ends], 1)
+        own = _Store().with_more([*found, *(self._whole(run) if run else [] for run in signs.dictionary.to_pylist())])
+        parts = np.stack([coded.indices.to_numpy(), signs.indices.to_numpy() + len(found)], 1)
         ids = _gathered(own.ids, own.begins[parts].ravel(), own.sizes[parts].ravel())
         return store.joined(ids, own.sizes[parts].sum(1))
 

@@ -92,6 +92,25 @@ def test_every_letter_before_a_mark(path):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == untouched.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [BYTES, WORD])
+def test_signs_behind_words(path):
+    """Runs of signs at a piece's end, alone and in the company of contractions."""
+    import string
+
+    untouched, encoder, rng = Tokenizer.from_file(path), TextEncoder(path), random.Random(6)
+    signs = string.punctuation
+    texts = [f"a word{x}{y} wörd{y}{x}{x} WORD{x}\nthen{y} {x}{y}lead it's{x} x{y}s 'll{x} don't{y}." for x in signs for y in signs]
+    for _ in range(1500):
+        words = []
+        for _ in range(12):
+            run = "".join(rng.choice(signs + "'" * 6) for _ in range(rng.randrange(5)))
+            words.append(rng.choice(["it", "Ça", "ß", "don", "x1", "é", ""]) + run + rng.choice(["", "s", "ll", "\n"]))
+        texts.append(" ".join(words))
+    expected = [e.ids for e in untouched.encode_batch(texts, add_special_tokens=False)]
+    found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode_all(pa.array(texts))]
+    assert [t for t, a, b in zip(texts, expected, found) if a != b] == []
+
+
 @pytest.mark.parametrize("path", [BYTES, WORD])
 def test_strings_of_added_tokens_become_their_ids(path):
     untouched, encoder = Tokenizer.from_file(path), TextEncoder(path)
