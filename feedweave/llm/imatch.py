@@ -15,7 +15,8 @@ joined with the texts' terms.
 Terms are counted over different texts. The band is widened for each text that has too few terms
 of it, as the members of a large group of near copies have, until ENOUGH terms lie in it or all do:
 downwards first, to more frequent terms, as those that an edit brings in are rare. So a text with a
-term less than another has nearly the same terms. Only those texts' terms are joined with the counts.
+term less than another has nearly the same terms. The lexicon holds the more frequent terms too,
+which its bound covers; only texts that need rarer ones are joined with the counts.
 
 Defined cases: NULL is an empty text; a text without any term is known by one hash; rows equal in id
 and text are one document, and each of them comes back with its results; other texts of one id are
@@ -24,6 +25,7 @@ ordered by a hash, NULL ids first; other columns take no part; an empty table gi
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -35,7 +37,7 @@ MIN_IDF, MAX_IDF = 4.0, 5.0
 SUBSETS = 32
 #: Terms that a text's band is widened to hold.
 ENOUGH = 16
-#: Terms that the lexicon's scalar may hold: 33.5 MB with up to eight places each.
+#: Terms that the lexicon's scalar may hold: 67 MB with up to eight places each.
 MOST_TERMS = 1 << 19
 
 
@@ -44,8 +46,8 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != ""))
 
 
-def counted(docs: DataFrame, text: Column) -> tuple[DataFrame, int]:
-    """(h, df) of terms, by hash, that two or more different texts hold, and how many different texts there are.
+def counted(docs: DataFrame, text: Column, max_idf: float = MAX_IDF) -> tuple[DataFrame, int]:
+    """(h, df) of terms, by hash, and how many different texts there are; terms of one text only where these are in the band.
 
     All rows are counted where they are; of a repeated text one row is met again and takes what
     the others added.
@@ -61,7 +63,8 @@ def counted(docs: DataFrame, text: Column) -> tuple[DataFrame, int]:
     every = hashed(texts, F.lit(1).cast("long"))
     if extra:
         every = every.unionAll(hashed(one_of_each(texts.join(repeated, "_hash"), "_hash"), -F.col("_extra")))
-    return every.groupBy("h").agg(F.sum("amount").alias("df")).filter("df > 1"), n
+    least = 1 if n <= math.exp(max_idf) else 2
+    return every.groupBy("h").agg(F.sum("amount").alias("df")).filter(F.col("df") >= least), n
 
 
 def _idf(df: Column, n: int) -> Column:
@@ -69,8 +72,9 @@ def _idf(df: Column, n: int) -> Column:
 
 
 def lexicon(counts: DataFrame, n: int, min_idf: float = MIN_IDF, max_idf: float = MAX_IDF) -> DataFrame:
-    """(h): the hashes of the terms in the band."""
-    return counts.filter(_idf(F.col("df"), n).between(min_idf, max_idf)).select("h")
+    """(h, rank): the hashes of the terms in the band, of rank 0, and of more frequent ones, ranked by their count."""
+    idf = _idf(F.col("df"), n)
+    return counts.filter(idf <= max_idf).select("h", F.when(idf >= min_idf, 0).otherwise(F.col("df")).cast("long").alias("rank"))
 
 
 def _places(h: Column | int, size: int):
@@ -100,15 +104,15 @@ def hash_table(hashes: list[int]) -> list[int]:
         size *= 2
 
 
-def _known(found: Column, table: Column, size: int) -> Column:
-    """Those of the terms that the table holds."""
+def _known(hashes: Column, table: Column, ranks: Column, size: int) -> Column:
+    """(rank, h) of the terms that the table holds."""
 
-    def known(t: Column) -> Column:
-        h = F.xxhash64(t)
+    def found(h: Column) -> Column:
         a, b = _places(h, size)
-        return (F.get(table, a) == h) | (F.get(table, b) == h)
+        rank = F.when(F.get(table, a) == h, F.get(ranks, a)).when(F.get(table, b) == h, F.get(ranks, b))
+        return F.struct(rank.alias("rank"), h.alias("h"))
 
-    return F.filter(found, known)
+    return F.filter(F.transform(hashes, found), lambda x: x["rank"].isNotNull())
 
 
 def _hashes(found: Column) -> Column:
@@ -132,17 +136,19 @@ def _prints(used: Column, subsets: int) -> Column:
     return let(dealt, lambda x: F.when(F.size(x) > 0, by_part(x)).otherwise(F.array(F.xxhash64(F.lit("no term")))))
 
 
-def _marked(found: Column, known: Callable[[Column], Column], subsets: int) -> Column:
-    """(fp, few): the prints of a text with enough terms of the band, the hashes of all terms of another."""
+def _marked(hashes: Column, known: Callable[[Column], Column], subsets: int) -> Column:
+    """(fp, few): the prints of a text that the lexicon has enough terms of; the terms of one that needs rarer ones."""
 
     def of(every: Column) -> Column:
         def made(some: Column) -> Column:
+            within = F.size(F.filter(some, lambda x: x["rank"] == 0))
             enough = (F.size(some) >= ENOUGH) | (F.size(every) == F.size(some))
-            return F.struct(F.when(enough, _prints(_hashes(some), subsets)).alias("fp"), F.when(~enough, _hashes(every)).alias("few"))
+            used = F.transform(F.slice(some, F.lit(1), F.greatest(F.lit(ENOUGH), within)), lambda x: x["h"])
+            return F.struct(F.when(enough, _prints(used, subsets)).alias("fp"), F.when(~enough, every).alias("few"))
 
-        return let(known(every), made)
+        return let(F.array_sort(known(every)), made)
 
-    return let(found, of)
+    return let(hashes, of)
 
 
 def _widened(few: DataFrame, counts: DataFrame, n: int, min_idf: float, max_idf: float, subsets: int) -> DataFrame:
@@ -175,10 +181,10 @@ def likeness(a: Column, b: Column) -> Column:
 
 def _joined(df: DataFrame, key: str, text: Column, words: DataFrame, name: str) -> DataFrame:
     """``df`` with the terms of a text that the lexicon holds, by a join: for lexicons that no task should hold."""
-    each = df.select(F.col(key).alias("_key"), F.explode(terms(text)).alias("_term"))
-    held = each.join(words, F.xxhash64("_term") == F.col("h")).groupBy("_key").agg(F.collect_list("_term").alias(name))
+    each = df.select(F.col(key).alias("_key"), F.explode(_hashes(terms(text))).alias("h"))
+    held = each.join(words, "h").groupBy("_key").agg(F.collect_list(F.struct("rank", "h")).alias(name))
     joined = df.join(held, F.col(key) == F.col("_key"), "left").drop("_key")
-    return joined.withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
+    return joined.withColumn(name, F.coalesce(name, F.array().cast("array<struct<rank: bigint, h: bigint>>")))
 
 
 def fingerprints(
@@ -189,7 +195,7 @@ def fingerprints(
 
     The lexicon is that of ``corpus``' column text.
     """
-    counts, n = counted(corpus, F.col("text"))
+    counts, n = counted(corpus, F.col("text"), max_idf)
     counts = written(counts, "imatch-counts", release=True)
     words = lexicon(counts, n, min_idf, max_idf)
     if words.count() > MOST_TERMS:
@@ -199,11 +205,13 @@ def fingerprints(
             wide = _joined(wide, key, text, words, f"_held_{k}")
             known[name] = lambda found, held=F.col(f"_held_{k}"): held
     else:
-        table = hash_table([r["h"] for r in words.collect()])
-        stored = written(df.sparkSession.createDataFrame([(table,)], "slots array<bigint>"), "imatch-table")
-        wide = df.withColumn("_table", stored.select("slots").scalar())
-        known = dict.fromkeys(texts, lambda found: _known(found, F.col("_table"), len(table)))
-    made = [_marked(terms(text), known[name], subsets).alias(name) for name, text in texts.items()]
+        rank = dict(words.collect())
+        table = hash_table(list(rank))
+        ranks = [rank.get(h, 0) for h in table]
+        stored = written(df.sparkSession.createDataFrame([(table, ranks)], "slots array<bigint>, ranks array<bigint>"), "imatch-table")
+        wide = df.withColumn("_table", stored.select("slots").scalar()).withColumn("_ranks", stored.select("ranks").scalar())
+        known = dict.fromkeys(texts, lambda hashes: _known(hashes, F.col("_table"), F.col("_ranks"), len(table)))
+    made = [_marked(_hashes(terms(text)), known[name], subsets).alias(name) for name, text in texts.items()]
     first = written(wide.select(key, *keep, *made), "imatch-marked", release=True)
     few = reduce(DataFrame.unionAll, [
         first.filter(F.col(f"{name}.few").isNotNull()).select(F.col(key).alias("_key"), F.lit(k).alias("_name"), f"{name}.few") for k, name in enumerate(texts)

@@ -347,12 +347,14 @@ def test_imatch_counts_terms_over_different_texts(spark):
     rows = [(t,) for t in texts + 40 * ["common own7"] + 3 * ["common own8"]]
     df = spark.createDataFrame(rows, "text string").repartition(3)
     df = df.withColumn("text", F.concat("text", F.lit(" of"), F.regexp_replace("text", r"\D", "") % 40))
-    counts, n = imatch.counted(df, F.col("text"))
+    counts, n = imatch.counted(df, F.col("text"), 4.2)
     of = {k: sum(j % 40 == k for j in range(100)) for k in range(40)}
     words = spark.createDataFrame([("common", 100), *[(f"of{k}", m) for k, m in of.items()]], "t string, df long").select(F.xxhash64("t").alias("h"), "df")
     assert n == 100 and {tuple(r) for r in counts.collect()} == {tuple(r) for r in words.collect()}
     found = imatch.lexicon(counts, n, 3.6, 4.0)
-    assert {r["h"] for r in found.collect()} == {r["h"] for r in words.filter("df = 2").collect()}
+    assert {r["h"] for r in found.filter("rank = 0").collect()} == {r["h"] for r in words.filter("df = 2").collect()}
+    assert {tuple(r) for r in found.filter("rank > 0").collect()} == {tuple(r) for r in words.filter("df > 2").collect()}
+    assert imatch.counted(df, F.col("text"), 5.0)[0].count() == 141  # terms of one text are in the band of so few
 
 
 def brute_prints(texts, corpus, min_idf=imatch.MIN_IDF, max_idf=imatch.MAX_IDF, enough=imatch.ENOUGH):
@@ -417,7 +419,7 @@ def test_imatch_is_gradual_where_few_terms_are_in_the_band(spark):
 def test_imatch_joins_a_large_lexicon(spark, sf_dir, monkeypatch):
     for docs in (spark.read.parquet(f"{sf_dir}/documents.parquet").limit(120), odd(spark)):
         looked_up = sorted(map(repr, imatch.compared(docs).collect()))
-        monkeypatch.setattr(imatch, "MOST_TERMS", 0)
+        monkeypatch.setattr(imatch, "MOST_TERMS", -1)
         assert sorted(map(repr, imatch.compared(docs).collect())) == looked_up
         monkeypatch.undo()
 
