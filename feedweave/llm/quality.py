@@ -109,7 +109,7 @@ def filtered(docs: DataFrame, text: str = "text", host: str = "source") -> DataF
     """
     failed = _measured(F.col("_row")[text])["base_failed"].alias("base_failed")
     rows = docs.select(whole_row(docs).alias("_row")).select("_row", F.col("_row")[host].alias("_host"), failed)
-    rows = written(rows, "quality-rows")
+    rows = written(rows, "quality-rows", compression="zstd")  # it lies there until its reader is done
     hosts = host_verdicts(rows, "_host").filter("rejected")
     rejected = written(hosts.select("host", "rejected"), "quality-hosts")
     return judged(rows, rejected, "_host").filter("kept").select("_row.*")

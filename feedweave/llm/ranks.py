@@ -8,7 +8,7 @@ from feedweave.session import scratch_dir
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
-def written(df: DataFrame, label: str, release: bool = False) -> DataFrame:
+def written(df: DataFrame, label: str, release: bool = False, compression: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared folder: computed once, safe from lost executors.
 
     Spark deletes a finished query's shuffle files when the driver's garbage collector finds
@@ -17,7 +17,7 @@ def written(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path, schema = scratch_dir(spark, label), df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     if release:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
