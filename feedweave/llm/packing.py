@@ -17,9 +17,10 @@ packed one by one (in any order among equal rows); an empty table gives an empty
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,13 @@ GROUPS = 96
 #: Lengths up to this share of the capacity are small.
 SMALL = 1 / 8
 #: Rounds of grouping: the room, as a share of the capacity, that a configuration may leave once actual lengths are in place.
-ROUNDS = (*[1 / 128] * 4, *[1 / 64] * 4, *[1 / 32] * 2)
+#: Schedules of rounds, tried in turn until the sequences are NEAR enough to the lower bound: later ones leave more to best-fit.
+SCHEDULES = (
+    (*[1 / 128] * 4, *[1 / 64] * 4, *[1 / 32] * 2),
+    (*[1 / 256] * 6, *[1 / 128] * 4),
+    (*[1 / 512] * 6, *[1 / 256] * 2),
+)
+NEAR = 1.004
 RANK_BITS = 42
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -184,10 +191,12 @@ def _grouped(left: dict[int, int], capacity: int, groups: int) -> list[tuple[int
     return result
 
 
-def configured(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> tuple[list[tuple[int, tuple]], dict[int, int]]:
+def configured(
+    counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS, rounds: Sequence[float] = SCHEDULES[0],
+) -> tuple[list[tuple[int, tuple]], dict[int, int]]:
     """(times, items): the configurations of all rounds that leave little enough room, and the lengths that none holds."""
     left, kinds = dict(counts), []
-    for slack in ROUNDS:
+    for slack in rounds:
         for times, items in _grouped(left, capacity, groups):
             if capacity - sum(length for length, _ in items) <= capacity * slack:
                 kinds.append((times, items))
@@ -199,9 +208,23 @@ def configured(counts: dict[int, int], capacity: int = CAPACITY, groups: int = G
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[tuple[int, list[tuple[int, int]]]]:
     """(times, [(length, copies), ...]): kinds of sequences that hold all lengths of the histogram."""
+    least = sum(length * n for length, n in histogram.items() if n > 0) / capacity
+    best: list[tuple[int, list[tuple[int, int]]]] = []
+    fewest = math.inf
+    for rounds in SCHEDULES:
+        made = _planned(histogram, capacity, groups, rounds)
+        used = sum(times for times, _ in made)
+        if used < fewest:
+            best, fewest = made, used
+        if fewest <= NEAR * least:
+            break
+    return best
+
+
+def _planned(histogram: dict[int, int], capacity: int, groups: int, rounds: Sequence[float]) -> list[tuple[int, list[tuple[int, int]]]]:
     counts, bins = {length: n for length, n in histogram.items() if n > 0}, _Bins()
     bins.add(counts.pop(capacity, 0), 0, ((capacity, 1),))
-    kinds, left = configured(counts, capacity, groups)
+    kinds, left = configured(counts, capacity, groups, rounds)
     for times, items in kinds:
         bins.add(times, capacity - sum(length for length, _ in items), items)
     for length in sorted(left, reverse=True):
