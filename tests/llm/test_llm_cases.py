@@ -588,18 +588,6 @@ def test_required_terms_miss_no_match():
         assert sum(w * w for t, w in vector.items() if t not in terms) < 0.64
 
 
-def test_titles_and_tags_are_told(spark):
-    rows = [
-        (1, "MIT License", "MIT"), (2, "# The MIT License (MIT)", "MIT"), (3, "// SPDX-License-Identifier: MIT", "MIT"), (4, "SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"),
-        (5, "/* SPDX-License-Identifier: GPL-2.0-only */", "GPL-2.0"), (6, "Apache License, Version 2.0", "Apache-2.0"), (7, "GNU General Public License, Version 3", "GPL-3.0"),
-        (8, "SPDX-License-Identifier: Zlib", None), (9, "er kam mit dem Zug und mit dem Rad", None), (10, "the license of the author", None), (11, "BSD 3-Clause License", "BSD-3-Clause"),
-        (12, "Mozilla Public License, version 2.0", "MPL-2.0"), (13, "general public", None),
-    ]
-    df = spark.createDataFrame([(i, f"some text\n{line}\nmore text", f"d{i}/a.txt") for i, line, _ in rows], "doc_id long, text string, path string")
-    got = {r["doc_id"]: r["licence"] for r in licences.scanned(df, F.col("path")).collect()}
-    assert got == {i: licence for i, _, licence in rows}
-
-
 # --- 9 language
 
 
