@@ -15,7 +15,7 @@ import sys
 import zlib
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,8 +24,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Files up to this many bytes come as one cell.
 CELL_BYTES = 64 << 20
-LINE_COLUMNS = ["_file", "_block", "_row", "value"]
-BATCH_LINES, BATCH_CHARS = 10_000, 16_000_000
+LINE_COLUMNS = {"_file": pa.string(), "_block": pa.int64(), "_row": pa.int64(), "value": pa.string()}
+#: Lines are handed on when they are so many or so long.
+BATCH_LINES, BATCH_CHARS = 2_000, 1_000_000
 #: The length of a large file named .gz: Spark has unzipped it when it comes.
 UNZIPPED = -1
 
@@ -162,22 +163,31 @@ def _open(path: str, parts: Iterator[tuple[bytes, int]], steps: Sequence[str], e
     return io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="\n")
 
 
+def _batch(rows: list[tuple[str, int, int, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), LINE_COLUMNS.values())], list(LINE_COLUMNS))
+
+
 def archive_lines(files: DataFrame, steps: Sequence[str], encoding: str = "UTF-8", skip: int = 0) -> DataFrame:
     """Lines of packed files, unpacked step by step, without the first ``skip``.
 
     ``files`` has ``path`` and ``content``, and ``length`` where a file has several rows. One task
-    unpacks an archive, as a stream: a stretch of it and a batch of lines are in memory. Of a zip,
-    the entry that comes first in the file counts.
+    unpacks an archive, as a stream: what Spark hands over at once (``spark.sql.execution.arrow.maxBytesPerBatch``),
+    one cell of it and a few lines are in memory. Of a zip, the entry that comes first in the file counts.
     """
     steps = list(steps)
     if "length" not in files.columns:
         files = files.withColumn("length", F.octet_length("content").cast("long"))
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, int]]:
+        for batch in batches:
+            for k in range(batch.num_rows):  # one cell at a time leaves the batch
+                path, content, length = (column[k].as_py() for column in batch.columns)
+                yield path, content, length
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[str, int, int, str]] = []
         size = 0
-        parts = (row for batch in batches for row in zip(batch["path"], batch["content"], batch["length"]))
-        for path, group in itertools.groupby(parts, lambda row: row[0]):
+        for path, group in itertools.groupby(cells(batches), lambda row: row[0]):
             with _open(path, ((content, length) for _, content, length in group), steps, encoding) as text:
                 for _ in range(skip):
                     next(text, None)
@@ -185,9 +195,9 @@ def archive_lines(files: DataFrame, steps: Sequence[str], encoding: str = "UTF-8
                     rows.append((path, 0, skip + number, line.removesuffix("\n")))
                     size += len(line)
                     if len(rows) == BATCH_LINES or size > BATCH_CHARS:
-                        yield pd.DataFrame(rows, columns=LINE_COLUMNS)
+                        yield _batch(rows)
                         rows, size = [], 0
         if rows:
-            yield pd.DataFrame(rows, columns=LINE_COLUMNS)
+            yield _batch(rows)
 
-    return files.select("path", "content", "length").mapInPandas(unpack, "_file string, _block long, _row long, value string")
+    return files.select("path", "content", "length").mapInArrow(unpack, "_file string, _block long, _row long, value string")

@@ -299,6 +299,39 @@ def test_compressed_files_under_other_encodings_and_sizes(spark, tmp_path, monke
     assert raw.filter("k = 'z'").count() == 1
 
 
+class Handed:
+    """Files of which only the function that tasks run is wanted."""
+
+    columns = ("path", "content", "length")
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_archives_are_unpacked_a_cell_at_a_time(tmp_path):
+    import tracemalloc
+
+    import pyarrow as pa
+    from feedweave.sources import archives
+
+    zip_of("one line of a feed;1;2\n" * 4000, zipfile.ZIP_DEFLATED, tmp_path / "f.zip")
+    data = (tmp_path / "f.zip").read_bytes()
+    n = 300
+    batch = pa.RecordBatch.from_arrays([pa.array([f"f{k}" for k in range(n)]), pa.array([data] * n), pa.array([len(data)] * n)], list(Handed.columns))
+    unpack = archives.archive_lines(Handed(), ["zip"])
+    tracemalloc.start()
+    try:
+        sizes = [part.num_rows for part in unpack(iter([batch]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(sizes) == 4000 * n and max(sizes) <= archives.BATCH_LINES
+    assert peak < 8e6
+
+
 def test_damaged_archives_fail(spark, tmp_path):
     zip_of(TEXT * 50, zipfile.ZIP_DEFLATED, tmp_path / "f.zip")
     data = bytearray((tmp_path / "f.zip").read_bytes())
