@@ -33,9 +33,9 @@ def elements(spark: SparkSession, path: str | Sequence[str], tag: str) -> DataFr
     pieces = spark.read.option("lineSep", f"</{tag}>").text(path)
     closed = rf"<{tag}(?:\s(?:[^>\"'/]++|/(?!>)|\"[^\"]*+\"|'[^']*+')*+)?/>"
     rest = F.regexp_replace("value", closed, "")
-    begun = F.regexp_extract(rest, rf"(?s)<{tag}(?=[\s>]).*$", 0)
-    found = F.array_append(F.regexp_extract_all("value", F.lit(closed), 0), F.when(begun != "", F.concat(begun, F.lit(f"</{tag}>"))))
-    return pieces.select(F.explode(found).alias("xml")).filter("xml IS NOT NULL")
+    begun = F.regexp_extract_all(rest, F.lit(rf"(?s)<{tag}(?=[\s>]).*$"), 0)  # one or none
+    whole = F.transform(begun, lambda x: F.concat(x, F.lit(f"</{tag}>")))
+    return pieces.select(F.explode(F.concat(F.regexp_extract_all("value", F.lit(closed), 0), whole)).alias("xml"))
 
 
 def scan(spark: SparkSession, path: str | Sequence[str], tag: str = "Product") -> DataFrame:
@@ -45,7 +45,8 @@ def scan(spark: SparkSession, path: str | Sequence[str], tag: str = "Product") -
     """
     schema = f"struct<{PRODUCT_FIELDS}, {BAD_PRODUCT}: string>"
     options = {"rowTag": tag, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_PRODUCT}
-    parsed = elements(spark, path, tag).select(F.from_xml("xml", schema, options).alias("p"))
+    # As a generator's output a product is parsed once; as a plain column Spark would copy the parsing into every filter on it.
+    parsed = elements(spark, path, tag).select(F.inline(F.array(F.struct(F.from_xml("xml", schema, options).alias("p")))))
     codes = F.transform("p.EANCode", lambda e: e["_EAN"])
     each = parsed.select("p", F.explode_outer(F.array_distinct(codes)).alias("ean"))
 

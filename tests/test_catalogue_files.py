@@ -51,3 +51,9 @@ def test_products_do_not_depend_on_the_cuts(spark, tmp_path):
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
         assert sorted(map(repr, got)) == sorted(map(repr, wanted))
     assert "Python" not in plan_of(rows) and "Exchange" not in plan_of(rows)
+
+
+def test_products_are_parsed_once(spark, tmp_path):
+    (tmp_path / "c.xml").write_text(TEXT)
+    plan = plan_of(files.entries(spark, str(tmp_path / "c.xml")).filter("path IS NULL").select("ean", "prod_id", "vendor", "short_desc"))
+    assert plan.count("from_xml(") == 1 and plan.count("regexp_replace(") == 1
