@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from feedweave.session import scratch_dir
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BAD_PRODUCT = "_bad_product"
@@ -60,3 +61,10 @@ def scan(spark: SparkSession, path: str | Sequence[str], tag: str = "Product") -
 def entries(spark: SparkSession, path: str | Sequence[str], tag: str = "Product") -> DataFrame:
     """The products of ``scan`` that could be parsed, as the look-up wants them."""
     return scan(spark, path, tag).filter(F.col(BAD_PRODUCT).isNull()).drop(BAD_PRODUCT)
+
+
+def stored_entries(spark: SparkSession, path: str | Sequence[str], tag: str = "Product") -> DataFrame:
+    """``entries`` from a table in the shared folder: the files are read and parsed once, however often the entries are used."""
+    folder, found = scratch_dir(spark, "products"), entries(spark, path, tag)
+    found.write.parquet(folder)
+    return spark.read.schema(found.schema).parquet(folder)

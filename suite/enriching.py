@@ -9,7 +9,7 @@ from feedweave.operators import catalogue, diff
 from feedweave.operators.lookup import Lookup, join_lookup
 from feedweave.plans import enrich
 from feedweave.session import scratch_dir
-from feedweave.sources.catalogue_files import entries as catalogue_entries
+from feedweave.sources.catalogue_files import entries as catalogue_entries, stored_entries
 from feedweave.sources.versioned import VersionedTable
 from suite import query
 from suite.feeds import from_given, twin
@@ -143,7 +143,7 @@ def enrich_run_from_files(spark, sf_dir):
     table = VersionedTable(spark, scratch_dir(spark, "enrich_files"))
     table.overwrite(from_given(spark, sf_dir, ENTRIES))
     products, manufacturers = (from_given(spark, sf_dir, sql) for sql in (PRODUCTS, MANUFACTURERS))
-    enrich.run_enrichment(spark, products, manufacturers, table, catalogue_entries(spark, catalogue_files(spark, sf_dir)), FIELDS)
+    enrich.run_enrichment(spark, products, manufacturers, table, stored_entries(spark, catalogue_files(spark, sf_dir)), FIELDS)
     return table.read()
 
 

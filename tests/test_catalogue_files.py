@@ -57,3 +57,15 @@ def test_products_are_parsed_once(spark, tmp_path):
     (tmp_path / "c.xml").write_text(TEXT)
     plan = plan_of(files.entries(spark, str(tmp_path / "c.xml")).filter("path IS NULL").select("ean", "prod_id", "vendor", "short_desc"))
     assert plan.count("from_xml(") == 1 and plan.count("regexp_replace(") == 1
+
+
+def test_a_run_parses_its_catalogue_once(spark, sf_dir, tmp_path, monkeypatch):
+    from suite import enriching
+
+    (tmp_path / "c.xml").write_text(TEXT)
+    stored, columns = files.stored_entries(spark, str(tmp_path / "c.xml")), ("prod_id", "ean", "code", "vendor")
+    assert values(stored, *columns) == values(files.entries(spark, str(tmp_path / "c.xml")), *columns)
+    taken, run = [], enriching.enrich.run_enrichment
+    monkeypatch.setattr(enriching.enrich, "run_enrichment", lambda *a: taken.append(a[4]) or run(*a))
+    enriching.enrich_run_from_files(spark, sf_dir)
+    assert "from_xml" not in plan_of(taken[0])
