@@ -77,20 +77,44 @@ def drop_leading(lines: DataFrame, n: int) -> DataFrame:
     return joined.select(*lines.columns)
 
 
+#: Into so many stretches a split is cut.
+STRETCHES = 4096
+
+
 def line_window(lines: DataFrame, start: int, n: int) -> DataFrame:
     """A sample of a feed: lines ``start`` to ``start + n`` in file order, blank ones left out.
 
-    Lines are counted by file and split; the counts tell in which splits the window lies, and
-    only their lines are ordered.
+    Lines are counted by file and split; the counts tell in which splits the window lies. Those are
+    cut into stretches of equal width and counted again, so that only the lines of the stretches
+    that the window meets are ordered, each stretch by itself, however long a split is.
     """
-    split = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    counted = lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_lines"))
-    placed = counted.withColumn("_before", F.coalesce(F.sum("_lines").over(split), F.lit(0)))
-    touched = placed.filter((F.col("_before") < start + n) & (F.col("_before") + F.col("_lines") > start))
-    within = Window.partitionBy("_file", "_block").orderBy("_row")
-    numbered = lines.join(touched, ["_file", "_block"]).withColumn("_at", F.col("_before") + F.row_number().over(within) - 1)
-    kept = numbered.filter((F.col("_at") >= start) & (F.col("_at") < start + n))
-    return clean_lines(kept.select(*lines.columns))
+    spark, split = lines.sparkSession, ["_file", "_block"]
+    counted = lines.groupBy(*split).agg(F.count(F.lit(1)).alias("_lines"), F.min("_row").alias("_low"), F.max("_row").alias("_high"))
+    splits = _kept(spark, _met(counted, Window.orderBy(*split), start, n))
+    # As doubles, so that no difference overflows; a line without a number comes first, as it does in order.
+    width = F.col("_high").cast("double") - F.col("_low") + 1
+    stretch = F.coalesce(F.floor((F.col("_row").cast("double") - F.col("_low")) / width * STRETCHES), F.lit(-1))
+    placed = lines.join(splits.select(*split, "_low", "_high", F.col("_before").alias("_ahead")), split).withColumn("_stretch", stretch)
+    counted = placed.groupBy(*split, "_stretch", "_ahead").agg(F.count(F.lit(1)).alias("_lines"))
+    stretches = _kept(spark, _met(counted, Window.partitionBy(*split).orderBy("_stretch"), start, n, F.col("_ahead")))
+    within = Window.partitionBy(*split, "_stretch").orderBy("_row")
+    ordered = placed.drop("_ahead").join(stretches.select(*split, "_stretch", "_before"), [*split, "_stretch"])
+    numbered = ordered.withColumn("_at", F.col("_before") + F.row_number().over(within) - 1)
+    return clean_lines(numbered.filter((F.col("_at") >= start) & (F.col("_at") < start + n)).select(*lines.columns))
+
+
+def _met(counted: DataFrame, order, start: int, n: int, ahead: Column | None = None) -> DataFrame:
+    """The parts that lines ``start`` to ``start + n`` lie in, with the lines before each."""
+    earlier = F.coalesce(F.sum("_lines").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = counted.withColumn("_before", earlier if ahead is None else ahead + earlier)
+    return placed.filter((F.col("_before") < start + n) & (F.col("_before") + F.col("_lines") > start))
+
+
+def _kept(spark: SparkSession, parts: DataFrame) -> DataFrame:
+    """The same rows from the shared folder: Spark knows their size when it plans the joins."""
+    folder = scratch_dir(spark, "window")
+    parts.write.parquet(folder)
+    return spark.read.schema(parts.schema).parquet(folder)
 
 
 def csv_options(spec: FeedSpec) -> dict[str, str]:

@@ -366,6 +366,24 @@ def test_line_window(spark, tmp_path):
     assert clean_lines(raw).count() == 4
 
 
+def test_line_window_orders_little_of_a_long_split(spark, monkeypatch):
+    """Only the stretches that the window meets are ordered, however the lines lie and their numbers are spread."""
+    from feedweave.sources import reader
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(reader, "STRETCHES", 50)
+    numbers = [*range(0, 5000, 3), *range(2**60, 2**60 + 4000)]
+    rows = [("f", 0, k, f"a{k}") for k in numbers] + [("f", 7, None, "none")] + [("f", 7, k, "" if k == 3 else f"b{k}") for k in range(2000)]
+    lines = spark.createDataFrame(rows, "_file string, _block long, _row long, value string").repartition(3, F.hash("value"))
+    wanted = [row[3] for row in rows]
+    kept, write = [], reader._kept
+    monkeypatch.setattr(reader, "_kept", lambda spark, parts: kept.append(write(spark, parts)) or kept[-1])
+    for start, n in ((0, 4), (5, 25), (1660, 20), (len(numbers) - 2, 6), (len(numbers) + 700, 300), (len(rows) - 3, 10), (len(rows), 5)):
+        got = sorted(r["value"] for r in line_window(lines, start, n).collect())
+        assert got == sorted(v for v in wanted[start:start + n] if v)
+    assert kept[-5].agg(F.sum("_lines")).first()[0] < 600
+
+
 def test_case_blind_first_wins(spark):
     lines = spark.createDataFrame([("f", 0, 1, "B;1;1;;x"), ("f", 0, 2, "b ;2;2;;y"), ("e", 9, 3, "b;3;3;;z")], "_file string, _block long, _row long, value string")
     raw = parse_lines(lines, spec())
