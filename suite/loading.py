@@ -6,9 +6,11 @@ import gzip
 import io
 import sys
 import zipfile
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -243,27 +245,38 @@ def read_and_load(spark, sf_dir):
     return load.VersionedTable(spark, f"{folder}/tables/{SPEC.name}").read(SPEC.schema())
 
 
-@F.pandas_udf(T.BinaryType())
-def zipped(texts: pd.Series) -> pd.Series:
-    """Each text as a zip archive whose first entry holds it and whose second is a decoy."""
-    def pack(text: str) -> bytes:
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("list.csv", text)
-            archive.writestr("readme.txt", "not this one")
-        return out.getvalue()
-    return texts.map(pack)
+def zipped(text: str) -> bytes:
+    """The text as a zip archive whose first entry holds it and whose second is a decoy."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("list.csv", text)
+        archive.writestr("readme.txt", "not this one")
+    return out.getvalue()
 
 
-@F.pandas_udf(T.BinaryType())
-def zipped_gzip(texts: pd.Series) -> pd.Series:
-    """Each text gzipped inside a zip archive."""
-    def pack(text: str) -> bytes:
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w") as archive:
-            archive.writestr("list.csv.gz", gzip.compress(text.encode()))
-        return out.getvalue()
-    return texts.map(pack)
+def zipped_gzip(text: str) -> bytes:
+    """The text gzipped inside a zip archive."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        archive.writestr("list.csv.gz", gzip.compress(text.encode()))
+    return out.getvalue()
+
+
+#: Archives that are in memory at once.
+PACKED_AT_ONCE = 64
+
+
+def archives_of(texts: DataFrame, pack: Callable[[str], bytes]) -> DataFrame:
+    """(path, content): each text (path, text) in an archive; of a batch a few are packed and handed on at a time."""
+
+    def add(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, PACKED_AT_ONCE):
+                some = batch.slice(k, PACKED_AT_ONCE)
+                contents = pa.array((pack(text.as_py()) for text in some.column(1)), pa.binary())
+                yield pa.RecordBatch.from_arrays([some.column(0), contents], ["path", "content"])
+
+    return texts.select("path", "text").mapInArrow(add, "path string, content binary")
 
 
 TEXT_LINES = r"""SELECT doc_id, line_no - 1 AS _row, value FROM (
@@ -273,8 +286,8 @@ TEXT_LINES = r"""SELECT doc_id, line_no - 1 AS _row, value FROM (
 
 def unpacked(spark, sf_dir, pack, steps) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
-    files = documents.select(F.col("doc_id").cast("string").alias("path"), pack("text").alias("content"))
-    lines = clean_lines(archive_lines(files, steps))
+    texts = documents.select(F.col("doc_id").cast("string").alias("path"), "text")
+    lines = clean_lines(archive_lines(archives_of(texts, pack), steps))
     return lines.select(F.col("_file").cast("bigint").alias("doc_id"), "_row", "value")
 
 
@@ -307,9 +320,9 @@ def read_multi_line(spark, sf_dir):
 @query(DOCUMENT_ROWS)
 def read_zip_multi_line(spark, sf_dir):
     """Each document an archive of one record; the records are put together from the lines unpacked."""
-    files = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), zipped(F.expr(DOCUMENT_RECORD)).alias("content"))
+    texts = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.expr(DOCUMENT_RECORD).alias("text"))
     lines = scratch_dir(spark, "unpacked")
-    archive_lines(files, ["zip"]).write.parquet(lines)
+    archive_lines(archives_of(texts, zipped), ["zip"]).write.parquet(lines)
     records = clean_records(whole_records(spark.read.parquet(lines), ";", '"'))
     rows = load.coerced(parse_lines(records, DOCUMENT_SPEC), DOCUMENT_SPEC).filter("_bad_line IS NULL")
     return rows.select("id", "body", "lang")

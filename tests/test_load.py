@@ -332,6 +332,16 @@ def test_archives_are_unpacked_a_cell_at_a_time(tmp_path):
     assert peak < 8e6
 
 
+def test_texts_are_packed_a_few_at_a_time():
+    import pyarrow as pa
+    from suite import loading
+
+    texts = pa.RecordBatch.from_arrays([pa.array([str(k) for k in range(1000)]), pa.array(["text"] * 1000)], ["path", "text"])
+    parts = list(loading.archives_of(Handed(), loading.zipped)(iter([texts])))
+    assert max(part.num_rows for part in parts) <= 64
+    assert [path for part in parts for path in part.column(0).to_pylist()] == [str(k) for k in range(1000)]
+
+
 def test_damaged_archives_fail(spark, tmp_path):
     zip_of(TEXT * 50, zipfile.ZIP_DEFLATED, tmp_path / "f.zip")
     data = bytearray((tmp_path / "f.zip").read_bytes())
