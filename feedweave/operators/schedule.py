@@ -38,13 +38,15 @@ def day_bits(patterns: Column) -> Column:
         digits = F.replace(pattern, F.lit(":"), F.lit(""))
         return F.struct(_pair(digits, 1, HOURS).alias("h"), _pair(digits, 3, MINUTES).alias("m"))
 
-    pairs = F.transform(patterns, parsed)
+    def hours(pairs: Column) -> Column:
+        def hour(h: Column) -> Column:
+            covered = lambda p: F.call_function("shiftright", p["h"], h).bitwiseAND(F.lit(1)) == 1
+            return F.aggregate(pairs, F.lit(0).cast("long"), lambda bits, p: bits.bitwiseOR(F.when(covered(p), p["m"]).otherwise(0)))
 
-    def hour(h: Column) -> Column:
-        covered = lambda p: F.call_function("shiftright", p["h"], h).bitwiseAND(F.lit(1)) == 1
-        return F.aggregate(pairs, F.lit(0).cast("long"), lambda bits, p: bits.bitwiseOR(F.when(covered(p), p["m"]).otherwise(0)))
+        return F.transform(F.sequence(F.lit(0), F.lit(HOURS - 1)), hour)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(HOURS - 1)), hour)
+    # A lambda's variable stands for the pairs, so that patterns are parsed once and not for every hour.
+    return F.get(F.transform(F.array(F.transform(patterns, parsed)), hours), F.lit(0))
 
 
 def schedules(resources: DataFrame) -> DataFrame:

@@ -35,6 +35,13 @@ def test_schedule_and_due(spark):
     assert values(registry.due(df, "01:07"), "local_name") == [("a",)]
 
 
+def test_patterns_are_parsed_once_for_a_day(spark):
+    df = spark.createDataFrame([(["12:3*", "0*:00"],), ([None, "x"],), (None,)], "p array<string>").select(schedule.day_bits(F.col("p")).alias("d"))
+    assert "aggregate(transform(" not in plan_of(df)
+    nothing = [0] * 24
+    assert [r["d"] for r in df.collect()] == [[*[1] * 10, 0, 0, 0x3FF << 30, *[0] * 11], nothing, [None] * 24]
+
+
 def agreeing(patterns):
     """The minutes of a list of patterns, each minute tried."""
     times = [f"{m // 60:02d}:{m % 60:02d}" for m in range(1440)]
