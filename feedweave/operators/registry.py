@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from feedweave.operators import schedule as bitmaps
 from feedweave.sources.versioned import VersionedTable
 
 
@@ -88,17 +89,9 @@ def patterns(resources: DataFrame) -> DataFrame:
 def schedule(resources: DataFrame) -> DataFrame:
     """Every minute of the day at which a resource is due, once per resource.
 
-    Each pattern is expanded once: a minute fits 16 patterns of four digits or stars, so all
-    patterns together have at most 1,440 x 16 = 23,040 minutes, however many resources share
-    them, and Spark finds that small side by itself.
+    Rows of one name meet as bitmaps; minutes are taken from those, so none comes twice and none is moved.
     """
-    listed = patterns(resources).withColumn("pattern", F.substring(_without_colon(F.col("pattern")), 1, 4))
-    # Outer, because for a plain explode Spark would test the array's size before the distinct,
-    # once per resource.
-    times = listed.select("pattern").distinct().select("pattern", F.explode_outer(due_minutes(F.col("pattern"))).alias("time"))
-    times = times.filter("time IS NOT NULL")
-    # A resource with several patterns may meet a minute twice.
-    return listed.join(times, "pattern").select("local_name", "time").distinct()
+    return bitmaps.times(bitmaps.schedules(resources))
 
 
 def due(resources: DataFrame, time: str) -> DataFrame:

@@ -50,9 +50,14 @@ def day_bits(patterns: Column) -> Column:
 
 
 def schedules(resources: DataFrame) -> DataFrame:
-    """(local_name, hours): the bitmaps of every resource that is due at all; rows of one name are one schedule."""
+    """(local_name, hours): the bitmaps of every resource that is due at all; rows of one name are one schedule.
+
+    Rows are dealt out before their bitmaps are made, so that a task holds those of few names, however
+    few splits the registry has.
+    """
     listed = F.from_json(F.coalesce("sync_time", F.lit("[]")), "array<string>")
-    days = resources.select("local_name", F.coalesce(day_bits(listed), F.array_repeat(F.lit(0).cast("long"), HOURS)).alias("hours"))
+    dealt = resources.select("local_name", "sync_time").repartition("local_name", "sync_time")
+    days = dealt.select("local_name", F.coalesce(day_bits(listed), F.array_repeat(F.lit(0).cast("long"), HOURS)).alias("hours"))
     joined = days.groupBy("local_name").agg(*[F.bit_or(F.get("hours", F.lit(h))).alias(f"h{h}") for h in range(HOURS)])
     hours = F.array(*[F.col(f"h{h}") for h in range(HOURS)])
     return joined.select("local_name", hours.alias("hours")).filter(F.exists("hours", lambda x: x != 0))
@@ -109,6 +114,15 @@ def next_time(hours: Column, time: str) -> Column:
     return _time((following["h"] + hour) % HOURS, _lowest(following["x"]))
 
 
+def times(days: DataFrame) -> DataFrame:
+    """(local_name, time): every minute at which a resource is due, a row for each; nothing is moved."""
+    each = days.select("local_name", F.posexplode("hours").alias("hour", "bits")).filter("bits != 0")
+    every = F.posexplode(F.array(*[F.lit(f":{m:02d}") for m in range(MINUTES)])).alias("at", "minute")
+    due = F.call_function("shiftright", F.col("bits"), F.col("at")).bitwiseAND(F.lit(1)) == 1
+    hour = F.lpad(F.col("hour").cast("string"), 2, "0")
+    return each.select("local_name", hour.alias("hour"), "bits", every).filter(due).select("local_name", F.concat("hour", "minute").alias("time"))
+
+
 def load(days: DataFrame) -> DataFrame:
     """(time, resources): how many resources are due at each minute; 24 rows per resource are summed, 60 sums each."""
     each = days.select(F.posexplode("hours").alias("hour", "bits"))

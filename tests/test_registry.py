@@ -35,6 +35,14 @@ def test_schedule_and_due(spark):
     assert values(registry.due(df, "01:07"), "local_name") == [("a",)]
 
 
+def test_minutes_are_not_moved(spark):
+    rows = [("a", '["12:3*","12:*5"]'), ("a", '["12:35"]'), (None, '["00:00"]'), ("b", "[]"), ("c", "no list"), ("d", '["1","24:00",null]'), ("e", '["23:59"]')]
+    df = registry.schedule(spark.createDataFrame(rows, "local_name string, sync_time string"))
+    assert values(df) == [(None, "00:00"), *[("a", t) for t in sorted({f"12:3{i}" for i in range(10)} | {f"12:{i}5" for i in range(6)})], ("e", "23:59")]
+    plan = plan_of(df)
+    assert plan.index("Generate") < plan.index("Exchange")  # they are made behind the last exchange
+
+
 def test_patterns_are_parsed_once_for_a_day(spark):
     df = spark.createDataFrame([(["12:3*", "0*:00"],), ([None, "x"],), (None,)], "p array<string>").select(schedule.day_bits(F.col("p")).alias("d"))
     assert "aggregate(transform(" not in plan_of(df)
