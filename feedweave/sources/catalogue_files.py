@@ -6,6 +6,7 @@ is the product, which is parsed by itself. A product that cannot be parsed is ke
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from feedweave.session import scratch_dir
@@ -44,10 +45,14 @@ def scan(spark: SparkSession, path: str | Sequence[str], tag: str = "Product") -
 
     ``_bad_product`` holds the text of an element that is no product; its other columns are NULL.
     """
+    return _parsed(elements(spark, path, tag), tag)
+
+
+def _parsed(products: DataFrame, tag: str) -> DataFrame:
     schema = f"struct<{PRODUCT_FIELDS}, {BAD_PRODUCT}: string>"
     options = {"rowTag": tag, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_PRODUCT}
     # As a generator's output a product is parsed once; as a plain column Spark would copy the parsing into every filter on it.
-    parsed = elements(spark, path, tag).select(F.inline(F.array(F.struct(F.from_xml("xml", schema, options).alias("p")))))
+    parsed = products.select(F.inline(F.array(F.struct(F.from_xml("xml", schema, options).alias("p")))))
     codes = F.transform("p.EANCode", lambda e: e["_EAN"])
     each = parsed.select("p", F.explode_outer(F.array_distinct(codes)).alias("ean"))
 
@@ -60,11 +65,25 @@ def scan(spark: SparkSession, path: str | Sequence[str], tag: str = "Product") -
 
 def entries(spark: SparkSession, path: str | Sequence[str], tag: str = "Product") -> DataFrame:
     """The products of ``scan`` that could be parsed, as the look-up wants them."""
-    return scan(spark, path, tag).filter(F.col(BAD_PRODUCT).isNull()).drop(BAD_PRODUCT)
+    return _good(scan(spark, path, tag))
+
+
+def _good(scanned: DataFrame) -> DataFrame:
+    return scanned.filter(F.col(BAD_PRODUCT).isNull()).drop(BAD_PRODUCT)
 
 
-def stored_entries(spark: SparkSession, path: str | Sequence[str], tag: str = "Product") -> DataFrame:
-    """``entries`` from a table in the shared folder: the files are read and parsed once, however often the entries are used."""
-    folder, found = scratch_dir(spark, "products"), entries(spark, path, tag)
+def _may_have(xml: Column, code: str) -> Column:
+    """False only where no parser could find that code: as an attribute, blanks around it, an entity in it, or as an element ``_Code``."""
+    written = rf"Code\s*=\s*[\"'][\x00-\x20]*{re.escape(code)}"
+    return F.contains(xml, F.lit("&")) | F.contains(xml, F.lit("_Code")) | xml.rlike(written)
+
+
+def stored_entries(spark: SparkSession, path: str | Sequence[str], code: str, tag: str = "Product") -> DataFrame:
+    """The ``entries`` of one code, from a table in the shared folder: the files are read and parsed once, however often they are used.
+
+    Elements whose text cannot have the code are not parsed.
+    """
+    able = elements(spark, path, tag).filter(_may_have(F.col("xml"), code))
+    folder, found = scratch_dir(spark, "products"), _good(_parsed(able, tag)).filter(F.col("code") == code)
     found.write.parquet(folder)
     return spark.read.schema(found.schema).parquet(folder)

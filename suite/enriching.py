@@ -143,7 +143,7 @@ def enrich_run_from_files(spark, sf_dir):
     table = VersionedTable(spark, scratch_dir(spark, "enrich_files"))
     table.overwrite(from_given(spark, sf_dir, ENTRIES))
     products, manufacturers = (from_given(spark, sf_dir, sql) for sql in (PRODUCTS, MANUFACTURERS))
-    enrich.run_enrichment(spark, products, manufacturers, table, stored_entries(spark, catalogue_files(spark, sf_dir)), FIELDS)
+    enrich.run_enrichment(spark, products, manufacturers, table, stored_entries(spark, catalogue_files(spark, sf_dir), catalogue.VALID), FIELDS)
     return table.read()
 
 

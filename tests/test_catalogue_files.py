@@ -5,6 +5,7 @@ import xml.etree.ElementTree as ET
 
 from conftest import plan_of, values
 from feedweave.sources import catalogue_files as files
+from pyspark.sql import functions as F
 
 TEXT = """<?xml version="1.0"?>
 <Catalogue><Product Code="1" Prod_id="a" HighPic="h &amp; &quot;x&quot;"><EANCode EAN="1"/><EANCode EAN="2"/><EANCode EAN="1"/>
@@ -59,13 +60,21 @@ def test_products_are_parsed_once(spark, tmp_path):
     assert plan.count("from_xml(") == 1 and plan.count("regexp_replace(") == 1
 
 
-def test_a_run_parses_its_catalogue_once(spark, sf_dir, tmp_path, monkeypatch):
+def test_a_run_parses_its_catalogue_once(spark, sf_dir, monkeypatch):
     from suite import enriching
 
-    (tmp_path / "c.xml").write_text(TEXT)
-    stored, columns = files.stored_entries(spark, str(tmp_path / "c.xml")), ("prod_id", "ean", "code", "vendor")
-    assert values(stored, *columns) == values(files.entries(spark, str(tmp_path / "c.xml")), *columns)
     taken, run = [], enriching.enrich.run_enrichment
     monkeypatch.setattr(enriching.enrich, "run_enrichment", lambda *a: taken.append(a[4]) or run(*a))
     enriching.enrich_run_from_files(spark, sf_dir)
     assert "from_xml" not in plan_of(taken[0])
+
+
+def test_stored_entries_are_those_of_the_code(spark, tmp_path):
+    """However the code is written, and whatever else holds its digits."""
+    codes = ['Code="1"', "Code='1'", 'Code = " 1\t"', 'Code\n=\n"&#49;"', 'Code="&#x31;"', 'Code="11"', 'Code="-1"', 'Code="2" _Code="1"', 'Other="1"', 'Code=""', ""]
+    bodies = ["", "<_Code>1</_Code>", '<Code>1</Code><EANCode EAN="1"/>', "<Open>"]
+    text = "".join(f'<Product Prod_id="p{k}.{j}" {c}>{b}</Product><Product {c} path="s{k}.{j}"/>' for k, c in enumerate(codes) for j, b in enumerate(bodies))
+    (tmp_path / "c.xml").write_text(f"<Catalogue>{text}</Catalogue>")
+    for code in ("1", "-1", "11"):
+        wanted = values(files.entries(spark, str(tmp_path / "c.xml")).filter(F.col("code") == code))
+        assert wanted and values(files.stored_entries(spark, str(tmp_path / "c.xml"), code)) == wanted
